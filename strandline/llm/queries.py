@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bitsliced, kdtree, mixing, urlfilter
+from strandline.llm import bitsliced, kdtree, mixing, ngramjoin, suffixdedup, urlfilter, warc
 from strandline.llm.common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -20,6 +24,15 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False).drop("text")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read_records(index, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
@@ -31,8 +44,11 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_url_filters": op2_url_filters,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_warc": op6_warc,
     "op8_mix_sources": op8_mix_sources,
     "op10_exact_top_k": op10_exact_top_k,
 }
