@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bitsliced, kdtree, mixing, ngramjoin, suffixdedup, urlfilter, warc
+from strandline.llm import bitsliced, kdtree, mixing, ngramjoin, suffixdedup, toxicity, urlfilter, warc
 from strandline.llm.common import table
 
 
@@ -24,6 +24,12 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score_toxicity(docs, model)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False).drop("text")
 
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_url_filters": op2_url_filters,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_warc": op6_warc,
     "op8_mix_sources": op8_mix_sources,
