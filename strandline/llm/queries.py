@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bitsliced, kdtree, mixing, ngramjoin, suffixdedup, toxicity, urlfilter, warc
+from strandline.llm import bitsliced, kdtree, mixing, ngramjoin, pieces, quality, suffixdedup, toxicity, urlfilter, warc
 from strandline.llm.common import table
 
 
@@ -39,11 +39,22 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return quality.score_quality(docs, model)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_sampled(docs, ids=False).select("doc_id", "n_pieces", "ids_sha256", "decoded_sha256", "lossless")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = bitsliced.quantised(table(spark, sf_dir, "embeddings"))
     return bitsliced.top_inner_products(vectors, vectors.where("vec_id % 20 = 0"))
@@ -56,7 +67,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_warc": op6_warc,
+    "op7_quality": op7_quality,
     "op8_mix_sources": op8_mix_sources,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
