@@ -23,6 +23,8 @@ from strandline.llm.common import SLICE_BYTES, U64, Packer, deal, materialize, m
 LENGTH = 100
 GRAM = 32
 SHALLOW = 32
+#: Segments that a task holds before it combines and sends them.
+FLUSH = 250_000
 _POSITION = U64((1 << 24) - 1)
 
 # ---------------------------------------------------------------- sorting
@@ -200,12 +202,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             lead = order[at][cls]
             # map-side combine: all but a class's first occurrence are repeats whatever other tasks hold
             late = (doc[order] != doc[lead]) | (th[order] != th[lead]) | (pos[order] != pos[lead])
-            x = order[late]
+            x = np.sort(order[late])  # in document order the columns doc and th compress to little
             packed = Packer(parts, _COV, 1 << 62)
             list(packed.add(_doc_part(doc[x], th[x], parts), doc[x], th[x], pos[x].astype(np.int64), pos[x].astype(np.int64) + cnt[x] + (length - 1)))
             for rb in packed.flush():
                 yield _wide(rb, 1)
-            x = order[at]
+            x = np.sort(order[at])
             packed = Packer(parts, _SEG, 1 << 62)
             part = ((anchor[x] >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
             list(packed.add(part, anchor[x].astype(np.uint32), digest[x], doc[x], th[x], pos[x].astype(np.int32), cnt[x].astype(np.uint8)))
@@ -219,7 +221,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 if len(row):
                     held.append((anchor, digest, ids[row + a], ths[row + a], pos, cnt))
                     count += len(row)
-                if count >= 1_000_000:
+                if count >= FLUSH:
                     yield from emit()
                     held, count = [], 0
         if held:
@@ -250,7 +252,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         anchor, digest, doc, th, pos, cnt = (x[by] for x in (anchor, digest, doc, th, pos, cnt))
         order, at, cls = _first_of_each(anchor, digest, doc, th, pos)
         lead = order[at][cls]
-        late = order[(doc[order] != doc[lead]) | (th[order] != th[lead]) | (pos[order] != pos[lead])]
+        late = np.sort(order[(doc[order] != doc[lead]) | (th[order] != th[lead]) | (pos[order] != pos[lead])])
         packed = Packer(parts, _COV)
         p64 = pos.astype(np.int64)
         for rb in packed.add(_doc_part(doc[late], th[late], parts), doc[late], th[late], p64[late], p64[late] + cnt[late] + (length - 1)):
