@@ -405,8 +405,8 @@ def _judge(raw: list[bytes], grp, doc, th, pos, length: int, packed: Packer, par
         yield from packed.add(_doc_part(doc[s], th[s], parts), doc[s], th[s], lo, lo + length)
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_text: bool = True) -> DataFrame:
-    """docs' rows as (doc_id, text, n_bytes, n_removed, n_spans, kept_sha256) with repeated bytes removed.
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_text: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """docs' rows as (doc_id, text, n_bytes, n_removed, n_spans, kept_sha256, *keep) with repeated bytes removed.
 
     A byte goes if it lies in a string of `length` bytes that also starts earlier: in a document of
     smaller doc_id, or earlier in the same one; strings are judged on the input.  text holds what is left, where
@@ -415,12 +415,13 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ke
 
     Null text: empty.  Rows without doc_id are returned as they are and serve no other row.  Rows of one
     doc_id with different texts count as documents of their own, in order of a hash of the text; repeated
-    equal rows (doc_id and text) all get the result of one.  Other columns are ignored; an empty table
-    gives an empty result.
+    equal rows (doc_id and text) all get the result of one.  Other columns are ignored but for those named
+    in keep (names of result columns excepted); an empty table gives an empty result.
     """
     runs = repeated_spans(docs, length, gram)
     text = F.coalesce("text", F.lit(""))
-    base = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("th"))
+    names = [c for c in keep if c not in _OUT.names]
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"), *(F.col(c).alias(f"__keep_{c}") for c in names))
     joined = base.join(runs, ["doc_id", "th"], "left")
 
     def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,9 +438,11 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ke
                     kept.append(raw[at:])
                     left = whole_characters(raw, los, his) if keep_text else None
                     out.append((doc_id, left, len(raw), sum(his) - sum(los), len(los), hashlib.sha256(b"".join(kept)).hexdigest()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _OUT.types, strict=True)], schema=_OUT)
+                cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _OUT.types, strict=True)]
+                yield pa.RecordBatch.from_arrays(cols + [rb.slice(a, 256).column(f"__keep_{c}") for c in names], names=_OUT.names + names)
 
-    return joined.mapInArrow(apply, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    kinds = dict(docs.dtypes)
+    return joined.mapInArrow(apply, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(f", `{c}` {kinds[c]}" for c in names))
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
