@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +24,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_package(spark: SparkSession) -> SparkSession:
+    """The session, whose Python workers can import this package: Spark sends it to them as a zip file, once a context."""
+    context = spark.sparkContext
+    if not getattr(context, "_strandline_sent", False):
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="strandline-code-"), "strandline.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(top)))
+        context.addPyFile(path)
+        context._strandline_sent = True
+    return spark
