@@ -179,7 +179,7 @@ class Packer:
     Memory is bounded by flush_at entries; a row holds what one flush has for one part.
     """
 
-    def __init__(self, parts: int, names: list[str], flush_at: int = 1_000_000) -> None:
+    def __init__(self, parts: int, names: list[str], flush_at: int = 500_000) -> None:
         self.parts, self.names, self.flush_at = parts, names, flush_at
         self.held: list[tuple[np.ndarray, ...]] = []
         self.n = 0

@@ -25,11 +25,9 @@ from strandline.llm.common import LOWER, U64, Packer, components, deal, discard,
 
 N = 5
 NUM, DEN = 4, 5  # the threshold 0.8, exactly
-#: Share of the hash range in which n-gram frequencies are counted; a row's prefix seldom reaches beyond it.
-COUNTED = 0.35
 #: An n-gram that more documents than this hold is frequent; of these the FREQUENT most frequent are moved to the end.
 OFTEN = 16
-FREQUENT = 1 << 19
+FREQUENT = 1 << 21
 _SALT = U64(0x51ED270B9F4A7C15)
 _TAG = seeds(64, 5)
 
@@ -112,36 +110,47 @@ def signatures(docs: DataFrame, n: int = N) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), th.alias("th"), "text").mapInArrow(sign, "doc_id long, th long, n_shingles long, cls long")
 
 
+def _print(h: np.ndarray, parts: int) -> np.ndarray:
+    """Fingerprint of an n-gram for counting: 16 bits that name its part (of at most 65,536) and 32 more."""
+    return ((h >> U64(16)) * U64(parts)) >> U64(16)
+
+
 def _frequent(docs: DataFrame, n: int, parts: int) -> np.ndarray:
-    """The at most FREQUENT n-grams of the counted range that most documents hold, sorted; counts cover all documents."""
-    top = U64(int(COUNTED * 2.0**64))
+    """Sorted fingerprints of the at most FREQUENT n-grams that most documents hold; counts cover all documents.
+
+    Fingerprints that n-grams share only place these n-grams together in the order.
+    """
+    parts = min(parts, 1 << 16)
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(parts, ["h"], 2_000_000)
+        packer = Packer(parts, ["f"])
         seen: set[int] = set()
         for rb in it:
             for _, _, data, offs in slices(rb.column("text")):
                 r, h = shingles(data, offs, n)
-                h = h[_new_rows(r, h, seen) & (h < top)]
-                yield from packer.add(_part(h, parts, COUNTED), h)
+                f = _print(h[_new_rows(r, h, seen)], parts)
+                yield from packer.add((f >> U64(32)).astype(np.int32), f.astype(np.uint32))
         yield from packer.flush()
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (h,) = unpack(it, ["h"], [U64])
-        h = np.sort(h)
-        at = run_starts(h)
-        size = np.diff(np.append(at, len(h)))
+        held, part = [], 0
+        for rb in it:
+            held += rb.column("f").to_pylist()
+            part = rb.column("part")[0].as_py() if rb.num_rows else part
+        f = np.sort(np.frombuffer(b"".join(held), np.uint32))
+        at = run_starts(f)
+        size = np.diff(np.append(at, len(f)))
         often = size > OFTEN
-        yield pa.RecordBatch.from_arrays([pa.array(h[at[often]].view(np.int64)), pa.array(size[often])], names=["h", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(f[at[often]].astype(np.int64) + (part << 32)), pa.array(size[often])], names=["f", "n"])
 
-    counted = deal(docs.select("text").mapInArrow(emit, packed_schema(["h"])), parts).mapInArrow(count, "h long, n long")
-    top_rows = counted.orderBy(F.desc("n"), "h").limit(FREQUENT).select("h").toArrow()
-    return np.sort(np.asarray(top_rows.column("h").combine_chunks(), dtype=np.int64).view(U64)) if top_rows.num_rows else np.zeros(0, U64)
+    counted = deal(docs.select("text").mapInArrow(emit, packed_schema(["f"])), parts).mapInArrow(count, "f long, n long")
+    top = counted.orderBy(F.desc("n"), "f").limit(FREQUENT).select("f").toArrow()
+    return np.sort(np.asarray(top.column("f").combine_chunks(), dtype=np.int64)).view(U64) if top.num_rows else np.zeros(0, U64)
 
 
-def _part(h: np.ndarray, parts: int, share: float = 1.0) -> np.ndarray:
-    """Blocks of columns: equal ranges of the (lower `share` of the) hash range."""
-    return np.minimum((h >> U64(32)).astype(np.float64) * (parts / (share * 2.0**32)), parts - 1).astype(np.int32)
+def _part(h: np.ndarray, parts: int) -> np.ndarray:
+    """Blocks of columns: equal ranges of the hash range."""
+    return ((h >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
 
 
 def _new_rows(r: np.ndarray, h: np.ndarray, seen: set[int]) -> np.ndarray:
@@ -161,7 +170,7 @@ _POST = ["list", "cls", "n"]
 def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFrame:
     """Packed (list, cls, n): the columns of the prefix incidence that at least two classes share."""
     spark = docs.sparkSession
-    last = spark.sparkContext.broadcast(_frequent(docs, n, parts))  # 8 bytes each, at most FREQUENT
+    last = spark.sparkContext.broadcast(_frequent(docs, n, parts))  # 8 bytes each, at most FREQUENT of them
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(parts, ["h", "cls", "n"])
@@ -175,7 +184,8 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFr
                 at, size, cls = _rows(r, h)
                 if not len(at):
                     continue
-                is_hot = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
+                f = _print(h, min(parts, 1 << 16))
+                is_hot = hot[np.minimum(np.searchsorted(hot, f), len(hot) - 1)] == f if len(hot) else np.zeros(len(h), bool)
                 # rank in the global order (frequent ones last, then by hash) within the row
                 colder = np.cumsum(~is_hot)
                 colder -= np.repeat(colder[at] - ~is_hot[at], size)
@@ -306,7 +316,7 @@ def _cross_pairs(key, cls, n, comp, num: int, den: int) -> Iterator[pa.RecordBat
         first = at[several & (size == m)]
         if m <= 64:
             x, y = np.triu_indices(m, 1)
-            step = max(1, 500_000 // len(x))
+            step = max(1, 200_000 // len(x))
             blocks = [((first[k : k + step, None] + x).ravel(), (first[k : k + step, None] + y).ravel()) for k in range(0, len(first), step)]
         else:
             # a long column: each row against the later ones
@@ -314,7 +324,7 @@ def _cross_pairs(key, cls, n, comp, num: int, den: int) -> Iterator[pa.RecordBat
         for b in blocks:
             held.append(b)
             count += len(b[0])
-            if count >= 1_000_000:
+            if count >= 400_000:
                 if (rb := flush()) is not None:
                     yield rb
                 held, count = [], 0
