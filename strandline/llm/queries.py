@@ -114,3 +114,42 @@ scored AS (
 ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+SQL["op1_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), g AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS shared FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), link AS (SELECT a, b FROM pairs WHERE 100 * shared >= 80 * (na + nb - shared)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id FROM s JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) USING (doc_id)
+"""
+
+SQL["op5_suffix_dedup"] = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS i FROM d)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM win) WHERE n > 1),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM again),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS lo, max(i) + 100 AS hi FROM numbered GROUP BY doc_id, span),
+cut AS (SELECT doc_id, lo, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since, hi FROM spans),
+kept AS (
+  SELECT d.doc_id, h, count(lo) AS n_spans, coalesce(sum(hi - lo), 0) AS n_removed, coalesce(string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo), '') || substr(h, 2 * coalesce(max(hi), 0) + 1) AS k
+  FROM d LEFT JOIN cut USING (doc_id) GROUP BY d.doc_id, h
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, n_removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256 FROM kept
+"""
+
+SQL["op6_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), last AS (SELECT h, max(page_id) AS m FROM p GROUP BY h),
+digest AS (
+  SELECT page_id, h, array_to_string(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(sha1(h), 5 * (k // 4) + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1)::INT, 1)), '') AS payload_digest FROM p
+)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to
+FROM digest JOIN last USING (h)
+"""
