@@ -23,6 +23,9 @@ from strandline.llm.common import SLICE_BYTES, U64, Packer, deal, materialize, m
 LENGTH = 100
 GRAM = 32
 SHALLOW = 32
+#: An anchor with more different segments than this is split by what surrounds it; each split takes SPREAD neighbouring windows.
+HOT_ANCHOR = 64
+SPREAD = 9
 #: Segments that a task holds before it combines and sends them.
 FLUSH = 250_000
 _POSITION = U64((1 << 24) - 1)
@@ -126,7 +129,8 @@ def deep_shallow(text: np.ndarray, starts: np.ndarray, group: np.ndarray, length
 
 
 def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(row, first window, number of windows, anchor hash, digest) of each segment; windows count from the row's start.
+    """(row, first window, number of windows, anchor hash, digest, lead) of each segment; windows count from the row's
+    start, lead is how far the anchor stands behind the first window.
 
     A window lies inside one row.  The digest is of the segment's bytes and of where its anchor stands.
     """
@@ -158,15 +162,16 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
         s1 = start[at]
         s2 = start[np.append(at[1:], len(start)) - 1]
         digest = mix(span_hash(p, s1, s2 + length) ^ (anchor[at] - s1).astype(U64))
-        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, h[anchor[at]], digest))
+        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, h[anchor[at]], digest, anchor[at] - s1))
     if not out:
         z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, U64), np.zeros(0, U64)
+        return z, z, z, np.zeros(0, U64), np.zeros(0, U64), z
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-_SEG = ["anchor", "digest", "doc", "th", "pos", "cnt"]
-_TYPES = [np.dtype("u4"), np.dtype("u8"), np.dtype("i8"), np.dtype("i8"), np.dtype("i4"), np.dtype("u1")]
+#: shape is number of windows + 128 * lead
+_SEG = ["anchor", "digest", "doc", "th", "pos", "shape"]
+_TYPES = [np.dtype("u4"), np.dtype("u8"), np.dtype("i8"), np.dtype("i8"), np.dtype("i4"), np.dtype("u2")]
 _COV = ["doc", "th", "lo", "hi"]
 
 
@@ -197,7 +202,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         count = 0
 
         def emit() -> Iterator[pa.RecordBatch]:
-            anchor, digest, doc, th, pos, cnt = (np.concatenate(x) for x in zip(*held, strict=True))
+            anchor, digest, doc, th, pos, cnt, lead_in = (np.concatenate(x) for x in zip(*held, strict=True))
             order, at, cls = _first_of_each(anchor, digest, doc, th, pos)
             lead = order[at][cls]
             # map-side combine: all but a class's first occurrence are repeats whatever other tasks hold
@@ -210,16 +215,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             x = np.sort(order[at])
             packed = Packer(parts, _SEG, 1 << 62)
             part = ((anchor[x] >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
-            list(packed.add(part, anchor[x].astype(np.uint32), digest[x], doc[x], th[x], pos[x].astype(np.int32), cnt[x].astype(np.uint8)))
+            list(packed.add(part, anchor[x].astype(np.uint32), digest[x], doc[x], th[x], pos[x].astype(np.int32), (cnt[x] + 128 * lead_in[x]).astype(np.uint16)))
             for rb in packed.flush():
                 yield _wide(rb, 0)
 
         for rb in it:
             ids, ths = np.asarray(rb.column("doc_id")), np.asarray(rb.column("th"))
             for a, _, data, offs in slices(rb.column("text")):
-                row, pos, cnt, anchor, digest = segments(data, offs, length, gram)
+                row, pos, cnt, anchor, digest, lead_in = segments(data, offs, length, gram)
                 if len(row):
-                    held.append((anchor, digest, ids[row + a], ths[row + a], pos, cnt))
+                    held.append((anchor, digest, ids[row + a], ths[row + a], pos, cnt, lead_in))
                     count += len(row)
                 if count >= FLUSH:
                     yield from emit()
@@ -242,14 +247,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                     me = rb.column("part")[i].as_py()
                     for c, x in zip(cols, range(len(_SEG)), strict=True):
                         c.append(rb.column(f"c{x}")[i].as_py())
-        anchor, digest, doc, th, pos, cnt = (np.frombuffer(b"".join(c), t) for c, t in zip(cols, _TYPES, strict=True))
+        anchor, digest, doc, th, pos, shape = (np.frombuffer(b"".join(c), t) for c, t in zip(cols, _TYPES, strict=True))
         del cols
         by = np.argsort(anchor, kind="stable")
         run = np.zeros(len(by), dtype=np.int64)
         run[run_starts(anchor[by])] = 1
         run = np.cumsum(run) - 1
         by = by[np.bincount(run)[run] > 1] if len(run) else by
-        anchor, digest, doc, th, pos, cnt = (x[by] for x in (anchor, digest, doc, th, pos, cnt))
+        anchor, digest, doc, th, pos, shape = (x[by] for x in (anchor, digest, doc, th, pos, shape))
+        cnt = (shape % 128).astype(np.int64)
         order, at, cls = _first_of_each(anchor, digest, doc, th, pos)
         lead = order[at][cls]
         late = np.sort(order[(doc[order] != doc[lead]) | (th[order] != th[lead]) | (pos[order] != pos[lead])])
@@ -263,10 +269,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         a = np.zeros(len(first), dtype=np.int64)
         a[run_starts(anchor[first])] = 1
         a = np.cumsum(a) - 1
-        several = first[np.bincount(a)[a] > 1] if len(a) else first
+        rivals = np.bincount(a)[a] if len(a) else a
+        several, hot = first[rivals > 1], (rivals > HOT_ANCHOR)[rivals > 1].astype(np.int64)
         group = (np.int64(me) << 32) | anchor[several].astype(np.int64)
-        packed = Packer(parts, ["doc", "th", "group", "pos", "cnt"])
-        for rb in packed.add(_doc_part(doc[several], th[several], parts), doc[several], th[several], group, p64[several], cnt[several].astype(np.int64)):
+        packed = Packer(parts, ["doc", "th", "group", "pos", "shape", "hot"])
+        for rb in packed.add(_doc_part(doc[several], th[several], parts), doc[several], th[several], group, p64[several], shape[several].astype(np.int64), hot):
             yield _wide(rb, 1)
         for rb in packed.flush():
             yield _wide(rb, 1)
@@ -275,44 +282,68 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     # the bytes of the segments that are to be sorted: one row a document that has any
     def asked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, th, group, pos, cnt = _gather(it, 5)
+        doc, th, group, pos, shape, hot = _gather(it, 6)
         order = np.lexsort((pos, th, doc))
-        doc, th, group, pos, cnt = (x[order] for x in (doc, th, group, pos, cnt))
+        doc, th, group, pos, shape, hot = (x[order] for x in (doc, th, group, pos, shape, hot))
         at = run_starts(doc, th)
         ends = np.append(at[1:], len(doc))
         for i in range(0, len(at), 4096):
             pairs = list(zip(at[i : i + 4096].tolist(), ends[i : i + 4096].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(doc[[a for a, _ in pairs]]), pa.array(th[[a for a, _ in pairs]])] + [pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary()) for x in (group, pos, cnt)], names=["doc_id", "th", "grp", "pos", "cnt"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[[a for a, _ in pairs]]), pa.array(th[[a for a, _ in pairs]])] + [pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary()) for x in (group, pos, shape, hot)], names=["doc_id", "th", "grp", "pos", "shape", "hot"])
 
-    requests = deal(held.where("kind = 1").drop("kind"), parts).mapInArrow(asked, "doc_id long, th long, grp binary, pos binary, cnt binary")
+    requests = deal(held.where("kind = 1").drop("kind"), parts).mapInArrow(asked, "doc_id long, th long, grp binary, pos binary, shape binary, hot binary")
     joined = requests.join(base, ["doc_id", "th"])
 
     def fetch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        # parts of hot segments: equal ones are combined here, so a common passage sends one row a task
+        held: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+
+        def flush() -> pa.RecordBatch:
+            out = rows + [(int(g % parts), g, *place, len(x), x) for (g, x), place in held.items()]
+            rows.clear()
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _FOUND.types, strict=True)], schema=_FOUND)
+
         for rb in it:
             for i in range(rb.num_rows):
+                doc, th = rb.column("doc_id")[i].as_py(), rb.column("th")[i].as_py()
                 raw = rb.column("text")[i].as_py().encode()
-                group, pos, cnt = (np.frombuffer(rb.column(c)[i].as_py(), np.int64) for c in ("grp", "pos", "cnt"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((group >> 32).astype(np.int32)),
-                        pa.array(group),
-                        pa.array(np.full(len(group), rb.column("doc_id")[i].as_py())),
-                        pa.array(np.full(len(group), rb.column("th")[i].as_py())),
-                        pa.array(pos),
-                        pa.array([raw[p : p + c + length - 1] for p, c in zip(pos.tolist(), cnt.tolist(), strict=True)], pa.binary()),
-                    ],
-                    names=["part", "grp", "doc_id", "th", "pos", "bytes"],
-                )
-
-    found = joined.mapInArrow(fetch, "part int, grp long, doc_id long, th long, pos long, bytes binary")
+                group, pos, shape, hot = (np.frombuffer(rb.column(c)[i].as_py(), np.int64).tolist() for c in ("grp", "pos", "shape", "hot"))
+                for g, p, s, is_hot in zip(group, pos, shape, hot, strict=True):
+                    n, lead = s % 128, s // 128
+                    x = raw[p : p + n + length - 1]
+                    if not is_hot:
+                        rows.append((g >> 32, g, doc, th, p, len(x), x))
+                        continue
+                    for sub, first, y in split_segment(g, x, n, lead, length):
+                        place = (doc, th, p + first)
+                        old = held.setdefault((sub, y), place)
+                        if old != place:
+                            late = max(old, place)
+                            held[sub, y] = min(old, place)
+                            rows.append((int(_doc_part(np.array([late[0]]), np.array([late[1]]), parts)[0]), 0, *late, len(y), None))
+                if len(rows) + len(held) > 20_000:
+                    yield flush()
+        if rows or held:
+            yield flush()
+
+    found = joined.mapInArrow(fetch, "part int, grp long, doc_id long, th long, pos long, len long, bytes binary")
 
     def sort(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(it)) if (it := list(it)) else None
         if t is None or not t.num_rows:
             return
-        grp, doc, th, pos = (np.asarray(t.column(c).combine_chunks()) for c in ("grp", "doc_id", "th", "pos"))
+        grp, doc, th, pos, size = (np.asarray(t.column(c).combine_chunks()) for c in ("grp", "doc_id", "th", "pos", "len"))
         raw = t.column("bytes").to_pylist()
+        known = np.asarray(t.column("bytes").combine_chunks().is_null())
+        ready = Packer(parts, _COV)
+        for rb in ready.add(_doc_part(doc[known], th[known], parts), doc[known], th[known], pos[known], pos[known] + size[known]):
+            yield _wide(rb, 0)
+        for rb in ready.flush():
+            yield _wide(rb, 0)
         order = np.lexsort((pos, th, doc, grp))
+        order = order[~known[order]]
         # a repeated row of documents brings its segments again
         order = order[run_starts(grp[order], doc[order], th[order], pos[order])]
         packed = Packer(parts, _COV)
@@ -356,6 +387,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     return deal(all_runs, parts).mapInArrow(merged, "doc_id long, th long, lo binary, hi binary")
 
 
+def split_segment(group: int, x: bytes, n: int, lead: int, length: int) -> Iterator[tuple[int, int, bytes]]:
+    """(group, first window, bytes) of parts of a segment of n windows whose anchor stands `lead` behind the first.
+
+    Windows go together whose anchor stands at distances of one range of SPREAD; the bytes that all windows of
+    the range have in common name the new group.  Equal windows have equal distances and so equal groups.
+    """
+    core = length - SPREAD + 1
+    i = 0
+    while i < n:
+        r = (lead - i) // SPREAD
+        last = min(n - 1, lead - r * SPREAD)
+        at = lead - r * SPREAD
+        name = hashlib.blake2b(x[at : at + core], digest_size=8, key=b"%d:%d" % (group, r)).digest()
+        yield int.from_bytes(name, "big") >> 1, i, x[i : last + length]
+        i = last + 1
+
+
+_FOUND = pa.schema([("part", pa.int32()), ("grp", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int64()), ("len", pa.int64()), ("bytes", pa.binary())])
 _WIDE = "part int, kind int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary, c5 binary"
 _WIDE_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), *((f"c{i}", pa.binary()) for i in range(6))])
 

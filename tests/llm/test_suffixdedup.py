@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from strandline.llm import suffixdedup as sd
 
@@ -66,7 +67,9 @@ def _docs():
     return [(7 * i, t) for i, t in enumerate(texts)]
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [64, 1])
+def test_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(sd, "HOT_ANCHOR", hot)
     rows = _docs()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, n_spans string")
     for length, gram in ((100, 32), (40, 16)):
@@ -74,6 +77,18 @@ def test_against_brute_force(spark):
         assert got == expected(rows, length)
 
 
+def test_a_hot_anchor_is_split_exactly(spark, monkeypatch):
+    monkeypatch.setattr(sd, "HOT_ANCHOR", 3)
+    rng = random.Random(9)
+    line = "this very common line of text stands in all documents, whatever else they say."
+    w = lambda: "".join(rng.choice("abcde ") for _ in range(150))
+    rows = [(i, w() + (line if i % 3 else line[:60] + line) + ("same tail of thirty bytes here" if i % 2 else "") + w()) for i in range(120)]
+    rows += [(200 + i, rows[i][1][40:260]) for i in range(0, 60, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup_substrings(df).collect()}
+    assert got == expected(rows, 100)
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     long = "abcdefghij" * 3 + "".join(chr(97 + i * 7 % 26) for i in range(120))
     rows = [(1, long), (1, long), (2, None), (None, long), (3, long + "!")]
@@ -95,6 +110,6 @@ def test_long_text_in_pieces(monkeypatch):
     rng = random.Random(5)
     raw = "".join(rng.choice("abc ") for _ in range(4000)).encode()
     data, offs = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-    row, pos, cnt, anchor, digest = sd.segments(data, offs)
+    row, pos, cnt, anchor, digest, _ = sd.segments(data, offs)
     assert (np.diff(np.sort(np.concatenate([np.arange(p, p + c) for p, c in zip(pos, cnt, strict=True)]))) == 1).all()
     assert cnt.sum() == len(raw) - 99
