@@ -6,7 +6,6 @@ bytes sit in one uint8 array.  All hashing is done over such arrays without a Py
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,20 +15,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.functions.shared import shared_dir
+
 SLICE_BYTES = 1 << 21
 
 # ---------------------------------------------------------------- shared folder
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one of our own only where unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="strandline-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
