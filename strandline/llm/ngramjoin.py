@@ -8,8 +8,9 @@ block adds its overlap counts, and pairs below the size-derived bounds are disca
 
 The order puts the most frequent n-grams last (a bounded, broadcast set), so that passages which many
 unlike documents share make no candidates.  Groups of many like documents are handled in two rounds: the
-first takes, per column, only the products with one hub row, and links what is verified; the second takes
-all remaining products between rows that are not yet connected.  Every verified link is between full sets.
+first takes, per column, only the products with a few hub rows, and links what is verified; the second takes
+all remaining products between rows that are not yet connected: pair by pair where columns are short, and as tiles of whole
+rows for the groups that long columns connect.  Every link is between full sets.
 """
 
 from __future__ import annotations
@@ -28,6 +29,13 @@ NUM, DEN = 4, 5  # the threshold 0.8, exactly
 #: An n-gram that more documents than this hold is frequent; of these the FREQUENT most frequent are moved to the end.
 OFTEN = 16
 FREQUENT = 1 << 21
+#: A column with more rows than this is long; groups of rows that share long columns are multiplied as blocks of
+#: whole rows, in tiles of TILE rows, instead of pair by pair.
+LONG = 64
+TILE = 1024
+#: Hub rows of each column in the first round.
+HUBS = 2
+_SIZE = np.int64((1 << 32) - 1)
 _SALT = U64(0x51ED270B9F4A7C15)
 _TAG = seeds(64, 5)
 
@@ -168,7 +176,10 @@ _POST = ["list", "cls", "n"]
 
 
 def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFrame:
-    """Packed (list, cls, n): the columns of the prefix incidence that at least two classes share."""
+    """Packed (list, cls, n): the columns of the prefix incidence that at least two classes share.
+
+    n is a row's size in its lower 32 bits and above them the number of its n-grams that are not frequent.
+    """
     spark = docs.sparkSession
     last = spark.sparkContext.broadcast(_frequent(docs, n, parts))  # 8 bytes each, at most FREQUENT of them
 
@@ -193,11 +204,13 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFr
                 place = np.arange(len(h)) - np.repeat(at, size)
                 rank = np.where(is_hot, cold_in_row + place - colder, colder - 1)
                 take = rank < np.repeat(prefix_size(size, num, den), size)
-                yield from packer.add(_part(h[take], parts), h[take], np.repeat(cls, size)[take], np.repeat(size, size)[take].astype(np.int32))
+                # how many n-grams are the row's own or nearly so: the hub of a group of copies should have few
+                shape = np.repeat(size + (np.add.reduceat((~is_hot).astype(np.int64), at) << 32), size)
+                yield from packer.add(_part(h[take], parts), h[take], np.repeat(cls, size)[take], shape[take])
         yield from packer.flush()
 
     def lists(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, cls, size = unpack(it, ["h", "cls", "n"], [U64, np.dtype("i8"), np.dtype("i4")])
+        h, cls, size = unpack(it, ["h", "cls", "n"], [U64, np.dtype("i8"), np.dtype("i8")])
         by = np.argsort(h)
         run = _runs(h[by])
         by = by[np.bincount(run)[run] > 1] if len(run) else by
@@ -210,7 +223,7 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFr
         keep = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
         h, cls, size = h[keep], cls[keep], size[keep]
         packer = Packer(1, _POST, 1 << 62)
-        list(packer.add(np.zeros(len(h), np.int32), h.view(np.int64), cls, size.astype(np.int64)))
+        list(packer.add(np.zeros(len(h), np.int32), h.view(np.int64), cls, size))
         yield from packer.flush()
 
     packed = docs.select("text").mapInArrow(emit, packed_schema(["h", "cls", "n"]))
@@ -250,42 +263,68 @@ def _above(pairs: DataFrame) -> DataFrame:
 
 
 def _stars(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Products of each column's rows with its hub, the row of least mixed class."""
+    """Products of each column's rows with its hubs: the HUBS rows with the fewest n-grams of their own for their size
+    (the middle of a group of edited copies), of equal ones those of least mixed class."""
 
     def stars(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             for i in range(rb.num_rows):
                 key, cls, n = (np.frombuffer(rb.column(c)[i].as_py(), np.int64) for c in _POST)
-                by = np.lexsort((mix(cls.view(U64)), key))
+                own, n = n >> 32, n & _SIZE
+                by = np.lexsort((mix(cls.view(U64)), own / np.maximum(n, 1), key))
                 key, cls, n = key[by], cls[by], n[by]
                 at = run_starts(key)
-                hub = np.repeat(at, np.diff(np.append(at, len(key))))
-                ok = (hub != np.arange(len(key))) & _fits(n, n[hub], num, den)
-                if ok.any():
-                    yield _counted(cls[hub][ok], cls[ok], n[hub][ok], n[ok])
+                size = np.diff(np.append(at, len(key)))
+                place = np.arange(len(key)) - np.repeat(at, size)
+                got = []
+                for k in range(HUBS):
+                    hub = np.repeat(at, size) + k
+                    on = np.flatnonzero(place > k)
+                    on = on[_fits(n[on], n[hub[on]], num, den)]
+                    got.append((hub[on], on))
+                hub, on = (np.concatenate(x) for x in zip(*got, strict=True))
+                if len(on):
+                    yield _counted(cls[hub], cls[on], n[hub], n[on])
 
     return postings.mapInArrow(stars, _PAIR)
 
 
-def _across(postings: DataFrame, joined: DataFrame, num: int, den: int, parts: int) -> DataFrame:
-    """All products between rows of a column that are not connected yet; joined: (node, component)."""
+def _unrolled(postings: DataFrame) -> DataFrame:
+    """(list, cls, n, long) of each entry; long: whether its column is."""
 
     def unroll(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             for i in range(rb.num_rows):
-                cols = [np.frombuffer(rb.column(c)[i].as_py(), np.int64) for c in _POST]
-                for a in range(0, len(cols[0]), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[a : a + (1 << 16)]) for x in cols], names=_POST)
+                key, cls, n = (np.frombuffer(rb.column(c)[i].as_py(), np.int64) for c in _POST)
+                at = run_starts(key)
+                size = np.diff(np.append(at, len(key)))
+                cols = [key, cls, n & _SIZE, np.repeat(size > LONG, size), np.repeat(cls[at], size)]
+                for a in range(0, len(key), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[a : a + (1 << 16)]) for x in cols], names=["list", "cls", "n", "long", "head"])
+
+    return postings.mapInArrow(unroll, "list long, cls long, n long, long boolean, head long")
+
+
+def _blocks(entries: DataFrame) -> DataFrame:
+    """(cls, block): rows that long columns connect; block is the least class of each."""
+    edges = entries.where("long and cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
+    return components(edges, "ngram-blocks").select(F.col("node").alias("cls"), F.col("component").alias("block"))
+
+
+def _across(entries: DataFrame, joined: DataFrame, blocks: DataFrame, num: int, den: int, parts: int) -> DataFrame:
+    """Products of short columns between rows that are not connected yet and stand in no common block.
 
-    entries = postings.mapInArrow(unroll, "list long, cls long, n long")
-    placed = entries.join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("list", "cls", "n", F.coalesce("component", "cls").alias("component"))
+    joined: (node, component).  Rows without a block count as a block of their own.
+    """
+    placed = entries.where("not long").join(joined.withColumnRenamed("node", "cls"), "cls", "left").join(blocks, "cls", "left")
+    placed = placed.select("list", "cls", "n", F.coalesce("component", "cls").alias("component"), F.coalesce("block", "cls").alias("block"))
     # a column's rows come together in sorted order and stream by; none is gathered by key
     dealt = placed.repartition(parts, "list").sortWithinPartitions("list", "component", "cls")
 
     def pairs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: tuple[np.ndarray, ...] | None = None
         for rb in it:
-            cols = tuple(np.asarray(rb.column(c)) for c in ("list", "cls", "n", "component"))
+            cols = tuple(np.asarray(rb.column(c)) for c in ("list", "cls", "n", "component", "block"))
             if rest is not None:
                 cols = tuple(np.concatenate(x) for x in zip(rest, cols, strict=True))
             cut = int(np.searchsorted(cols[0] == cols[0][-1], True)) if len(cols[0]) else 0
@@ -297,8 +336,89 @@ def _across(postings: DataFrame, joined: DataFrame, num: int, den: int, parts: i
     return dealt.mapInArrow(pairs, _PAIR)
 
 
-def _cross_pairs(key, cls, n, comp, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each run of keys (rows sorted by key and component), in bounded pieces."""
+def _rows_of(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(cls, grams): the full rows of the asked (doc_id, asked) classes, taken from their texts."""
+
+    def full(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in it:
+            ask = np.asarray(rb.column("asked"))
+            for a, _, data, offs in slices(rb.column("text")):
+                r, h = shingles(data, offs, n)
+                at, size, cls = _rows(r, h)
+                mine = [(c, h[s : s + k].tobytes()) for s, k, c in zip(at.tolist(), size.tolist(), cls.tolist(), strict=True) if ask[r[s] + a] == c]
+                if mine:
+                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in mine], pa.int64()), pa.array([x for _, x in mine], pa.binary())], names=["cls", "grams"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked, "doc_id").select("asked", "text").mapInArrow(full, "cls long, grams binary")
+
+
+def _block_links(blocks: DataFrame, joined: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(a, b): links inside the blocks, between components, as many as it takes to connect what links connect.
+
+    A block of many rows is cut into tiles of about TILE rows; each pair of tiles is one product of full rows,
+    with overlaps accumulated over the n-grams that both have, and gives at most one link a row.
+    """
+    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    tile = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
+    placed = blocks.join(sizes, "block").withColumn("tile", tile).join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    rows = _rows_of(placed.select("cls").join(classes, "cls").select("doc_id", F.col("cls").alias("asked")), docs, n).dropDuplicates(["cls"])
+    full = placed.join(rows, "cls")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    pairs = full.select("block", "tile", "cls", "component", "grams", other.alias("other"))
+    pairs = pairs.select("block", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "cls", "component", "grams")
+
+    def multiply(t: pa.Table) -> pa.Table:
+        cls, comp, tile_ = (np.asarray(t.column(c).combine_chunks()) for c in ("cls", "component", "tile"))
+        sets = [np.frombuffer(x.as_buffer(), U64) for x in t.column("grams").combine_chunks()]
+        same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
+        a, b = tile_links(sets, comp, tile_, same, num, den)
+        return pa.table([pa.array(cls[a]), pa.array(cls[b])], names=["a", "b"])
+
+    return pairs.groupBy("block", "i", "j").applyInArrow(multiply, "a long, b long")
+
+
+def tile_links(sets: list[np.ndarray], comp: np.ndarray, tile: np.ndarray, same: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linked rows (a, b) of a tile pair (of one tile where `same`) that connect components not yet connected."""
+    if not sets:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    gram = np.concatenate(sets)
+    by = np.argsort(gram, kind="stable")
+    col = _runs(gram[by])
+    shared = np.bincount(col)[col] > 1
+    row, col = row[by][shared], col[shared]
+    col = _runs(col)
+    overlap = np.zeros((len(sets), len(sets)), np.float32)
+    cuts = np.searchsorted(col, np.arange(0, (int(col[-1]) + 1 if len(col) else 0) + 2048, 2048))
+    for k, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        part = np.zeros((len(sets), 2048), np.float32)
+        part[row[s:e], col[s:e] - k * 2048] = 1
+        overlap += part @ part.T
+    least = num * (size[:, None] + size[None, :])
+    hit = np.triu(overlap.astype(np.int64) * (num + den) >= least, 1) & (comp[:, None] != comp[None, :])
+    if not same:
+        hit &= tile[:, None] != tile[None, :]
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    a, b = [], []
+    for i, j in np.argwhere(hit).tolist():
+        x, y = find(int(comp[i])), find(int(comp[j]))
+        if x != y:
+            parent[x] = y
+            a.append(i)
+            b.append(j)
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _cross_pairs(key, cls, n, comp, block, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components and blocks within each run of keys (sorted by key and component), in bounded pieces."""
     if not len(key):
         return
     at = run_starts(key)
@@ -309,18 +429,14 @@ def _cross_pairs(key, cls, n, comp, num: int, den: int) -> Iterator[pa.RecordBat
 
     def flush() -> pa.RecordBatch | None:
         i, j = (np.concatenate(x) for x in zip(*held, strict=True))
-        ok = (comp[i] != comp[j]) & _fits(n[i], n[j], num, den)
+        ok = (comp[i] != comp[j]) & (block[i] != block[j]) & _fits(n[i], n[j], num, den)
         return _counted(cls[i[ok]], cls[j[ok]], n[i[ok]], n[j[ok]]) if ok.any() else None
 
     for m in np.unique(size[several]).tolist():
         first = at[several & (size == m)]
-        if m <= 64:
-            x, y = np.triu_indices(m, 1)
-            step = max(1, 200_000 // len(x))
-            blocks = [((first[k : k + step, None] + x).ravel(), (first[k : k + step, None] + y).ravel()) for k in range(0, len(first), step)]
-        else:
-            # a long column: each row against the later ones
-            blocks = ((np.full(f + m - 1 - r, r), np.arange(r + 1, f + m)) for f in first.tolist() for r in range(f, f + m - 1))
+        x, y = np.triu_indices(m, 1)
+        step = max(1, 200_000 // len(x))
+        blocks = (((first[k : k + step, None] + x).ravel(), (first[k : k + step, None] + y).ravel()) for k in range(0, len(first), step))
         for b in blocks:
             held.append(b)
             count += len(b[0])
@@ -336,17 +452,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, num
     """(a, b) of the pairs whose full sets link.  Full rows of the classes that occur in pairs are taken from their texts."""
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes, "cls").select("doc_id", F.col("cls").alias("asked"))
 
-    def full(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in it:
-            ask = np.asarray(rb.column("asked"))
-            for a, _, data, offs in slices(rb.column("text")):
-                r, h = shingles(data, offs, n)
-                at, size, cls = _rows(r, h)
-                mine = [(c, h[s : s + k].tobytes()) for s, k, c in zip(at.tolist(), size.tolist(), cls.tolist(), strict=True) if ask[r[s] + a] == c]
-                if mine:
-                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in mine], pa.int64()), pa.array([x for _, x in mine], pa.binary())], names=["cls", "grams"])
-
-    sets = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked, "doc_id").select("asked", "text").mapInArrow(full, "cls long, grams binary"), "ngram-rows")
+    sets = materialize(_rows_of(asked, docs, n), "ngram-rows")
     right = pairs.join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     both = right.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").select("a", "b", "ga", "gb")
 
@@ -386,9 +492,12 @@ def jaccard_components(docs: DataFrame, n: int = N, num: int = NUM, den: int = D
     first = materialize(_above(_stars(postings, num, den)), "ngram-stars")
     links = _verified(first, named, classes, n, num, den)
     joined = components(links, "ngram-components")
-    second = materialize(_above(_across(postings, joined, num, den, parts)).join(first, ["a", "b"], "left_anti"), "ngram-across")
+    entries = _unrolled(postings)
+    blocks = _blocks(entries)
+    second = materialize(_above(_across(entries, joined, blocks, num, den, parts)).join(first, ["a", "b"], "left_anti"), "ngram-across")
     more = _verified(second, named, classes, n, num, den)
-    whole = components(links.union(more), "ngram-components")
+    inside = materialize(_block_links(blocks, joined, classes, named, n, num, den), "ngram-inside")
+    whole = components(links.union(more).union(inside), "ngram-components")
     least = classes.join(whole.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     of = least.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_class = least.join(of, "component").select("cls", "component", "component_id")

@@ -61,15 +61,37 @@ def documents(seed, groups=12, near=14):
     return [(3 * i + 1, (" " if i % 5 else "\n\t").join(v)) for i, v in enumerate(out)]
 
 
-@pytest.mark.parametrize("seed,often", [(1, 16), (2, 2), (3, 1000)])
-def test_against_brute_force(spark, monkeypatch, seed, often):
-    monkeypatch.setattr(nj, "OFTEN", often)
+@pytest.mark.parametrize("seed,often,long,tile", [(1, 16, 64, 1024), (2, 2, 3, 4), (3, 1000, 5, 1024)])
+def test_against_brute_force(spark, monkeypatch, seed, often, long, tile):
+    for name, value in (("OFTEN", often), ("LONG", long), ("TILE", tile)):
+        monkeypatch.setattr(nj, name, value)
     rows = documents(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in nj.jaccard_components(df).collect())
     assert got == brute(rows)
 
 
+def test_tile_links():
+    rng = np.random.default_rng(5)
+    base = rng.choice(10_000, 60, replace=False).astype(np.uint64)
+    sets = [np.unique(np.append(rng.choice(base, rng.integers(40, 60), replace=False), rng.integers(20_000, 30_000, rng.integers(0, 6)).astype(np.uint64))) for _ in range(40)]
+    comp, tile = np.arange(40), np.arange(40) % 2
+    linked = lambda i, j: len(np.intersect1d(sets[i], sets[j])) * 5 >= 4 * len(np.union1d(sets[i], sets[j]))
+
+    def groups(edges):
+        label = list(range(40))
+        for i, j in edges:
+            label = [label[i] if x == label[j] else x for x in label]
+        return [label.index(x) for x in label]
+
+    for same in (True, False):
+        a, b = nj.tile_links(sets, comp, tile, same, 4, 5)
+        assert all(linked(i, j) and (same or tile[i] != tile[j]) for i, j in zip(a, b, strict=True))
+        want = [(i, j) for i in range(40) for j in range(i) if linked(i, j) and (same or tile[i] != tile[j])]
+        assert groups(want) == groups(list(zip(a.tolist(), b.tolist(), strict=True)))
+    assert nj.tile_links([], np.zeros(0, int), np.zeros(0, int), True, 4, 5)[0].tolist() == []
+
+
 def test_shingles_of_a_slice():
     texts = ["A b  c d E f", "", None, "x y", "a B c d e", "é" * 3]
     got = {}
