@@ -162,6 +162,13 @@ def run_starts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Number of the run of equal keys that each place of sorted arrays belongs to."""
+    new = np.zeros(len(keys[0]), dtype=np.int64)
+    new[run_starts(*keys)] = 1
+    return np.cumsum(new) - 1
+
+
 # ---------------------------------------------------------------- packed shuffles
 
 

@@ -1,34 +1,54 @@
 """Removal of repeated substrings over a sparse, distributed suffix order (deep-shallow sorting).
 
 Every window of `length` bytes is owned by one anchor: the k-gram inside it with the least hash (the leftmost
-such).  Equal windows own equal anchors, so the windows of an anchor gram can be sorted apart from all
-others.  The consecutive windows that one anchor owns form a segment.  Segments travel by anchor; equal
-segments of an anchor are kept as one suffix with its occurrences, and where an anchor has several different
-segments, the suffixes at all their windows are put in order: multikey quicksort on 8-byte characters to a
-shallow depth, then a blind trie for each group that still has a common prefix.
+such).  The consecutive windows that one anchor owns form a segment.  Equal windows own equal anchors at equal distances, so
+suffixes can be sorted apart for each anchor: first one suffix per segment (from its first window to the end of its
+last), which finds the segments that occur again as a whole; then, where an anchor still has several different
+segments, the suffixes at all their windows.  Both are ordered by their bytes: multikey quicksort (three-way, on 8-byte
+characters) to a shallow depth, then a blind trie for each group that still has a common prefix.
+
+No anchor is gathered that has too many different segments: what each task would send is counted first, over
+all documents, and segments of heavier anchors are cut into parts that share more bytes (first length - 8, and if that
+is too many as well, the whole window).
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import SLICE_BYTES, U64, Packer, deal, materialize, mix, prefix_hash, run_starts, shuffle_parts, slices, span_hash
+from strandline.llm.common import SLICE_BYTES, U64, deal, materialize, mix, prefix_hash, run_starts, runs, shuffle_parts, slices, span_hash
 
 LENGTH = 100
 GRAM = 32
 SHALLOW = 32
-#: An anchor with more different segments than this is split by what surrounds it; each split takes SPREAD neighbouring windows.
-HOT_ANCHOR = 64
-SPREAD = 9
-#: Segments that a task holds before it combines and sends them.
-FLUSH = 250_000
+
+
+@dataclass(frozen=True)
+class Limits:
+    """What bounds a task's state; results do not depend on it."""
+
+    #: A name (anchor, or part of one) is heavy if tasks would send more segments of it than this and than one in `many`
+    #: of all; so at most `many` names are heavy, and they are broadcast (8 bytes each).
+    heavy: int = 512
+    many: int = 1 << 20
+    #: Neighbouring windows that a part of a heavy name's segment takes, level by level; the last are single windows.
+    spreads: tuple[int, ...] = (9, 1)
+    #: Segments that a task holds before it folds and sends them, and that a part of the shuffle holds on average.
+    flush: int = 250_000
+    #: Windows that are put in order at once.
+    batch: int = 1 << 21
+
+
 _POSITION = U64((1 << 24) - 1)
+#: A shape is the number of windows + _LEAD * how far the anchor stands behind the first one.
+_LEAD = 1 << 16
 
 # ---------------------------------------------------------------- sorting
 
@@ -80,48 +100,78 @@ class BlindTrie:
                 todo += [node[1][b] for b in sorted(node[1], reverse=True)]
 
 
-def deep_shallow(text: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
-    """(order, new): the suffixes at `starts`, cut to `length` bytes, sorted within their group (group is
-    ascending), and for each place in the order whether it begins a new group or differs from the one before.
+def multikey_quicksort(text: np.ndarray, starts: np.ndarray, group: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): the suffixes sorted within their group (group is ascending) by their first `shallow` bytes, and for
+    each place whether it begins a group of equal ones.
+
+    Every round splits all open groups three ways around a pivot (the median of three) at the group's own depth: less and
+    greater stay at that depth, equal goes 8 bytes deeper.  shallow is a multiple of 8.
     """
     n = len(starts)
-    order = np.arange(n)
-    new = np.zeros(n, dtype=bool)
+    order, new, depth = np.arange(n), np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
     if not n:
         return order, new
-    new[run_starts(group)] = True
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    shallow = min(shallow, length)
-    for depth in range(0, shallow, 8):
-        gid = np.cumsum(new)
-        open_ = np.flatnonzero(np.bincount(gid)[gid] > 1)
-        if not len(open_):
-            break
-        at = starts[order[open_]] + depth
-        char = np.zeros(len(open_), dtype=U64)
-        for i in range(8):
-            char = (char << U64(8)) | (padded[at + i].astype(U64) if depth + i < length else U64(0))
-        by = np.lexsort((char, gid[open_]))
-        order[open_] = order[open_][by]
-        char, g = char[by], gid[open_]
-        cut = np.zeros(len(open_), dtype=bool)
-        cut[1:] = (char[1:] != char[:-1]) & (g[1:] == g[:-1])
-        new[open_[cut]] = True
-    if length > shallow:
-        a = np.flatnonzero(new)
-        b = np.append(a[1:], n)
-        raw = text.tobytes()
-        for a, b in zip(a[b - a > 1].tolist(), b[b - a > 1].tolist(), strict=True):  # noqa: B020
-            trie = BlindTrie()
-            members = order[a:b].tolist()
-            for m in members:
-                s = int(starts[m])
-                trie.insert(raw[s + shallow : s + length], m)
-            at = a
-            for same in trie.classes():
-                new[at] = True
-                order[at : at + len(same)] = same
-                at += len(same)
+    at = run_starts(group)
+    new[at] = True
+    eight = np.lib.stride_tricks.as_strided(np.concatenate([text, np.zeros(8, np.uint8)]), (len(text) + 1, 8), (1, 1))
+    size = np.diff(np.append(at, n))
+    open_ = np.flatnonzero(np.repeat(size > 1, size)) if shallow else np.zeros(0, np.int64)
+    while len(open_):
+        at = np.flatnonzero(new[open_])
+        size = np.diff(np.append(at, len(open_)))
+        char = eight[starts[order[open_]] + depth[open_]].view(">u8").ravel().astype(U64)
+        a, b, c = char[at], char[at + size // 2], char[at + size - 1]
+        pivot = np.repeat(np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c)), size)
+        less, same = char < pivot, char == pivot
+        n_less, n_same = np.cumsum(less), np.cumsum(same)
+        b_less, b_same = n_less[at] - less[at], n_same[at] - same[at]
+        g_less, g_same = n_less[at + size - 1] - b_less, n_same[at + size - 1] - b_same
+        n_less -= np.repeat(b_less, size)
+        n_same -= np.repeat(b_same, size)
+        here = np.repeat(at, size)
+        rank = np.where(less, n_less - 1, np.where(same, np.repeat(g_less, size) + n_same - 1, np.repeat(g_less + g_same, size) + np.arange(len(open_)) - here - n_less - n_same))
+        to = here + rank
+        moved = np.empty_like(open_)
+        moved[to] = order[open_]
+        order[open_] = moved
+        deeper = np.zeros(len(open_), dtype=bool)
+        deeper[to[same]] = True
+        depth[open_[deeper]] += 8
+        new[open_[at + g_less]] = True
+        over = g_less + g_same < size
+        new[open_[(at + g_less + g_same)[over]]] = True
+        at = np.flatnonzero(new[open_])
+        size = np.diff(np.append(at, len(open_)))
+        open_ = open_[np.repeat(size > 1, size) & (depth[open_] < shallow)]
+    return order, new
+
+
+def deep_shallow(text: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int | np.ndarray = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): the suffixes at `starts`, cut to `length` bytes (one number, or one each that is the same
+    throughout a group), sorted within their group (group is ascending), and for each place in the order whether it
+    begins a new group or differs from the one before.
+    """
+    n = len(starts)
+    lens = np.broadcast_to(np.asarray(length, dtype=np.int64), n)
+    shallow = min(shallow, int(lens.min()) if n else 0) // 8 * 8
+    order, new = multikey_quicksort(text, starts, group, shallow)
+    a = np.flatnonzero(new)
+    b = np.append(a[1:], n)
+    raw = text.tobytes()
+    for a, b in zip(a[b - a > 1].tolist(), b[b - a > 1].tolist(), strict=True):  # noqa: B020
+        members = order[a:b]
+        size = int(lens[members[0]])
+        keys = [raw[s + shallow : s + size] for s in starts[members].tolist()]
+        if keys.count(keys[0]) == len(keys):
+            continue  # a trie of one leaf
+        trie = BlindTrie()
+        for key, m in zip(keys, members.tolist(), strict=True):
+            trie.insert(key, m)
+        at = a
+        for same in trie.classes():
+            new[at] = True
+            order[at : at + len(same)] = same
+            at += len(same)
     return order, new
 
 
@@ -129,10 +179,8 @@ def deep_shallow(text: np.ndarray, starts: np.ndarray, group: np.ndarray, length
 
 
 def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(row, first window, number of windows, anchor hash, digest, lead) of each segment; windows count from the row's
-    start, lead is how far the anchor stands behind the first window.
-
-    A window lies inside one row.  The digest is of the segment's bytes and of where its anchor stands.
+    """(row, first window, number of windows, anchor hash, lead) of each segment; windows count from the row's
+    start, lead is how far the anchor stands behind the first window.  A window lies inside one row.
     """
     out = []
     step = SLICE_BYTES
@@ -161,211 +209,270 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
         at = run_starts(anchor, row)
         s1 = start[at]
         s2 = start[np.append(at[1:], len(start)) - 1]
-        digest = mix(span_hash(p, s1, s2 + length) ^ (anchor[at] - s1).astype(U64))
-        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, h[anchor[at]], digest, anchor[at] - s1))
+        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, h[anchor[at]], anchor[at] - s1))
     if not out:
         z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, U64), np.zeros(0, U64), z
+        return z, z, z, np.zeros(0, U64), z
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-#: shape is number of windows + 128 * lead
-_SEG = ["anchor", "digest", "doc", "th", "pos", "shape"]
-_TYPES = [np.dtype("u4"), np.dtype("u8"), np.dtype("i8"), np.dtype("i8"), np.dtype("i4"), np.dtype("u2")]
-_COV = ["doc", "th", "lo", "hi"]
+class Segments:
+    """Segments in document order: name (of the anchor, or of what shares more bytes), document, place, shape, and where their
+    bytes stand in text."""
+
+    def __init__(self, text: np.ndarray, length: int, name, doc, th, pos, shape, start, ordered: bool = False) -> None:
+        by = slice(None) if ordered else np.lexsort((pos, th, doc))
+        self.text, self.length = text, length
+        self.name, self.doc, self.th, self.pos, self.shape, self.start = (x[by] for x in (name, doc, th, pos, shape, start))
+
+    @property
+    def windows(self) -> np.ndarray:
+        return self.shape % _LEAD
+
+    def at(self, pick: np.ndarray) -> Segments:
+        return Segments(self.text, self.length, *(x[pick] for x in (self.name, self.doc, self.th, self.pos, self.shape, self.start)), ordered=True)
+
+    def fold(self) -> np.ndarray:
+        """For each segment the first one (in document order) of equal name, shape and bytes, through their suffix order."""
+        by = np.lexsort((self.shape, self.name))
+        order, new = deep_shallow(self.text, self.start[by], runs(self.name[by], self.shape[by]), self.windows[by] + self.length - 1)
+        x, at = by[order], np.flatnonzero(new)
+        first = np.empty(len(x), np.int64)
+        if len(x):
+            first[x] = np.repeat(np.minimum.reduceat(x, at), np.diff(np.append(at, len(x))))
+        return first
+
+    def parts(self, spread: int) -> Segments:
+        """The segments cut where their windows' distance to the anchor leaves a range of `spread` distances; the bytes that all
+        windows of the range have in common name each part.  Equal windows have equal distances and so equal names."""
+        n, lead = self.windows, self.shape // _LEAD
+        seg = np.repeat(np.arange(len(n)), n)
+        k = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
+        r = (lead[seg] - k) // spread
+        at = run_starts(seg, r)
+        s, first, r = seg[at], k[at], r[at]
+        count = np.diff(np.append(at, len(seg)))
+        core = self.start[s] + lead[s] - r * spread
+        common = span_hash(prefix_hash(self.text), core, core + self.length - spread + 1)
+        name = mix(common ^ mix(self.name[s] + (r * 64 + spread).astype(U64)))
+        return Segments(self.text, self.length, name, self.doc[s], self.th[s], self.pos[s] + first, count + _LEAD * (lead[s] - first), self.start[s] + first, ordered=True)
+
+    def repeated_windows(self, batch: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """(doc, th, lo, hi) of the bytes in windows that an earlier segment of the name has too.
+
+        The suffixes at all windows are sorted by name and distance to the anchor, at most about `batch` at once; of a name
+        with more windows some distances at a time.
+        """
+        by = np.argsort(self.name, kind="stable")
+        group = runs(self.name[by])
+        by = by[np.bincount(group)[group] > 1] if len(by) else by
+        if not len(by):
+            return
+        at = run_starts(self.name[by])
+        ends = np.append(at[1:], len(by))
+        total = np.cumsum(self.windows[by])
+        a = 0
+        while a < len(at):
+            before = total[at[a] - 1] if at[a] else 0
+            b = max(a + 1, int(np.searchsorted(total[ends - 1], before + batch, "right")))
+            mine = by[at[a] : ends[b - 1]]
+            step = _LEAD if total[ends[b - 1] - 1] - before <= batch else max(1, batch // len(mine))
+            for lo in range(0, int((self.shape[mine] // _LEAD).max()) + 1, step):
+                yield from self._late(mine, lo, lo + step)
+            a = b
+
+    def _late(self, mine: np.ndarray, lo: int, hi: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """repeated_windows() of some names, of windows whose distance to the anchor is in [lo, hi)."""
+        lead = self.shape[mine] // _LEAD
+        first, last = np.maximum(0, lead - hi + 1), np.minimum(self.windows[mine], lead - lo + 1)
+        n = np.maximum(0, last - first)
+        seg = np.repeat(np.arange(len(mine)), n)
+        k = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n) + first[seg]
+        key = runs(self.name[mine])[seg] * _LEAD + lead[seg] - k
+        by = np.argsort(key, kind="stable")
+        group = runs(key[by])
+        several = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
+        by, group = by[several], group[several]
+        seg, k = mine[seg[by]], k[by]
+        order, new = deep_shallow(self.text, self.start[seg] + k, group, self.length)
+        at = np.flatnonzero(new)
+        if not len(at):
+            return
+        x = seg[order]
+        late = order[x > np.repeat(np.minimum.reduceat(x, at), np.diff(np.append(at, len(x))))]
+        late = late[np.lexsort((k[late], seg[late]))]
+        s, k = seg[late], k[late]
+        if len(s):
+            new = np.append(True, (s[1:] != s[:-1]) | (k[1:] != k[:-1] + 1))
+            at = np.flatnonzero(new)
+            end = np.append(at[1:], len(s)) - 1
+            yield self.doc[s[at]], self.th[s[at]], self.pos[s[at]] + k[at], self.pos[s[at]] + k[end] + self.length
+
+
+# ---------------------------------------------------------------- packed rows: (part, kind, n, size, blob)
+
+_PACKED = "part int, kind int, n int, size long, blob binary"
+_PACKED_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("size", pa.int64()), ("blob", pa.binary())])
+_SEGMENT = [np.dtype("u4"), np.dtype("i8"), np.dtype("i8"), np.dtype("i4"), np.dtype("u4")]
+_RUN = [np.dtype("i8")] * 4
+
+
+def _pack(kind: int, part: np.ndarray, cols: list[np.ndarray], raw: bytes = b"", start: np.ndarray | None = None, size: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """One row per part with the columns of its entries one after the other, and after them the entries' bytes."""
+    if not len(part):
+        return
+    by = np.argsort(part, kind="stable")
+    at = run_starts(part[by])
+    ends = np.append(at[1:], len(by))
+    rows: list[tuple] = []
+    for a, b in zip(at.tolist(), ends.tolist(), strict=True):
+        mine = by[a:b]
+        blob = b"".join([c[mine].tobytes() for c in cols])
+        if start is not None:
+            blob += b"".join([raw[s : s + n] for s, n in zip(start[mine].tolist(), size[mine].tolist(), strict=True)])
+        rows.append((int(part[mine[0]]), kind, b - a, len(blob), pa.compress(blob, "zstd", asbytes=True)))
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PACKED_SCHEMA.types, strict=True)], schema=_PACKED_SCHEMA)
+
+
+def _unpack(rows: list[tuple[int, int, bytes]], types: list[np.dtype]) -> tuple[list[np.ndarray], bytes]:
+    """The columns of all rows' entries and their bytes."""
+    cols: list[list[np.ndarray]] = [[] for _ in types]
+    rest = []
+    for n, size, blob in rows:
+        raw = pa.decompress(blob, size, "zstd", asbytes=True)
+        o = 0
+        for c, t in zip(cols, types, strict=True):
+            c.append(np.frombuffer(raw, t, n, o))
+            o += n * t.itemsize
+        rest.append(raw[o:])
+    return [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(cols, types, strict=True)], b"".join(rest)
 
 
 def _doc_part(doc: np.ndarray, th: np.ndarray, parts: int) -> np.ndarray:
     return (mix(doc.astype(U64) * U64(3) + th.astype(U64)) % U64(parts)).astype(np.int32)
 
 
-def _first_of_each(anchor, digest, doc, th, pos):
-    """Order by (anchor, digest, doc, th, pos); places where an (anchor, digest) begins; of which class each place is."""
-    order = np.lexsort((pos, th, doc, digest, anchor))
-    at = run_starts(anchor[order], digest[order])
-    cls = np.zeros(len(order), dtype=np.int64)
-    cls[at] = 1
-    return order, at, np.cumsum(cls) - 1
+def _name_part(name: np.ndarray, parts: int) -> np.ndarray:
+    return ((name >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc_id, th, lo binary, hi binary): for each document with repeats its maximal byte runs [lo, hi) to remove,
-    as int64 arrays; th is xxhash64 of the text.  See dedup_substrings()."""
-    spark = docs.sparkSession
-    parts = shuffle_parts(spark)
-    text = F.coalesce("text", F.lit(""))
-    base = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+def _pack_runs(doc, th, lo, hi, parts: int) -> Iterator[pa.RecordBatch]:
+    yield from _pack(1, _doc_part(doc, th, parts), [x.astype(np.int64) for x in (doc, th, lo, hi)])
 
-    # kind 0: segments, dealt by anchor; kind 1: runs known as repeated inside the task, dealt by document
-    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        count = 0
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            anchor, digest, doc, th, pos, cnt, lead_in = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, at, cls = _first_of_each(anchor, digest, doc, th, pos)
-            lead = order[at][cls]
-            # map-side combine: all but a class's first occurrence are repeats whatever other tasks hold
-            late = (doc[order] != doc[lead]) | (th[order] != th[lead]) | (pos[order] != pos[lead])
-            x = np.sort(order[late])  # in document order the columns doc and th compress to little
-            packed = Packer(parts, _COV, 1 << 62)
-            list(packed.add(_doc_part(doc[x], th[x], parts), doc[x], th[x], pos[x].astype(np.int64), pos[x].astype(np.int64) + cnt[x] + (length - 1)))
-            for rb in packed.flush():
-                yield _wide(rb, 1)
-            x = np.sort(order[at])
-            packed = Packer(parts, _SEG, 1 << 62)
-            part = ((anchor[x] >> U64(32)) * U64(parts) >> U64(32)).astype(np.int32)
-            list(packed.add(part, anchor[x].astype(np.uint32), digest[x], doc[x], th[x], pos[x].astype(np.int32), (cnt[x] + 128 * lead_in[x]).astype(np.uint16)))
-            for rb in packed.flush():
-                yield _wide(rb, 0)
 
-        for rb in it:
-            ids, ths = np.asarray(rb.column("doc_id")), np.asarray(rb.column("th"))
-            for a, _, data, offs in slices(rb.column("text")):
-                row, pos, cnt, anchor, digest, lead_in = segments(data, offs, length, gram)
-                if len(row):
-                    held.append((anchor, digest, ids[row + a], ths[row + a], pos, cnt, lead_in))
-                    count += len(row)
-                if count >= FLUSH:
-                    yield from emit()
-                    held, count = [], 0
-        if held:
-            yield from emit()
-
-    segs = base.mapInArrow(cut, _WIDE)
-
-    # kind 0: runs, dealt by document; kind 1: segments to be sorted, by the group (anchor) they share
-    def classes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list[bytes]] = [[] for _ in _SEG]
-        me = 0
-        for rb in it:
-            kind = rb.column("kind").to_pylist()
-            for i, k in enumerate(kind):
-                if k:
-                    yield _kind(rb.slice(i, 1), 0)
-                else:
-                    me = rb.column("part")[i].as_py()
-                    for c, x in zip(cols, range(len(_SEG)), strict=True):
-                        c.append(rb.column(f"c{x}")[i].as_py())
-        anchor, digest, doc, th, pos, shape = (np.frombuffer(b"".join(c), t) for c, t in zip(cols, _TYPES, strict=True))
-        del cols
-        by = np.argsort(anchor, kind="stable")
-        run = np.zeros(len(by), dtype=np.int64)
-        run[run_starts(anchor[by])] = 1
-        run = np.cumsum(run) - 1
-        by = by[np.bincount(run)[run] > 1] if len(run) else by
-        anchor, digest, doc, th, pos, shape = (x[by] for x in (anchor, digest, doc, th, pos, shape))
-        cnt = (shape % 128).astype(np.int64)
-        order, at, cls = _first_of_each(anchor, digest, doc, th, pos)
-        lead = order[at][cls]
-        late = np.sort(order[(doc[order] != doc[lead]) | (th[order] != th[lead]) | (pos[order] != pos[lead])])
-        packed = Packer(parts, _COV)
-        p64 = pos.astype(np.int64)
-        for rb in packed.add(_doc_part(doc[late], th[late], parts), doc[late], th[late], p64[late], p64[late] + cnt[late] + (length - 1)):
-            yield _wide(rb, 0)
-        for rb in packed.flush():
-            yield _wide(rb, 0)
-        first = order[at]
-        a = np.zeros(len(first), dtype=np.int64)
-        a[run_starts(anchor[first])] = 1
-        a = np.cumsum(a) - 1
-        rivals = np.bincount(a)[a] if len(a) else a
-        several, hot = first[rivals > 1], (rivals > HOT_ANCHOR)[rivals > 1].astype(np.int64)
-        group = (np.int64(me) << 32) | anchor[several].astype(np.int64)
-        packed = Packer(parts, ["doc", "th", "group", "pos", "shape", "hot"])
-        for rb in packed.add(_doc_part(doc[several], th[several], parts), doc[several], th[several], group, p64[several], shape[several].astype(np.int64), hot):
-            yield _wide(rb, 1)
-        for rb in packed.flush():
-            yield _wide(rb, 1)
-
-    held = materialize(deal(segs, parts).mapInArrow(classes, _WIDE), "suffix-classes")
-
-    # the bytes of the segments that are to be sorted: one row a document that has any
-    def asked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, th, group, pos, shape, hot = _gather(it, 6)
-        order = np.lexsort((pos, th, doc))
-        doc, th, group, pos, shape, hot = (x[order] for x in (doc, th, group, pos, shape, hot))
-        at = run_starts(doc, th)
-        ends = np.append(at[1:], len(doc))
-        for i in range(0, len(at), 4096):
-            pairs = list(zip(at[i : i + 4096].tolist(), ends[i : i + 4096].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(doc[[a for a, _ in pairs]]), pa.array(th[[a for a, _ in pairs]])] + [pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary()) for x in (group, pos, shape, hot)], names=["doc_id", "th", "grp", "pos", "shape", "hot"])
+def _flushes(it: Iterator[pa.RecordBatch], length: int, gram: int, flush: int) -> Iterator[Segments]:
+    """The segments of a task's rows, about `flush` at a time."""
+    held: list[tuple] = []
+    texts: list[np.ndarray] = []
+    count = size = 0
 
-    requests = deal(held.where("kind = 1").drop("kind"), parts).mapInArrow(asked, "doc_id long, th long, grp binary, pos binary, shape binary, hot binary")
-    joined = requests.join(base, ["doc_id", "th"])
+    def out() -> Segments:
+        return Segments(np.concatenate(texts), length, *(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    def fetch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        # parts of hot segments: equal ones are combined here, so a common passage sends one row a task
-        held: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+    for rb in it:
+        ids, ths = np.asarray(rb.column("doc_id")), np.asarray(rb.column("th"))
+        for a, _, data, offs in slices(rb.column("text")):
+            row, pos, n, anchor, lead = segments(data, offs, length, gram)
+            if len(row):
+                held.append((anchor, ids[row + a], ths[row + a], pos, n + _LEAD * lead, offs[row] + pos + size))
+                texts.append(data)
+                count, size = count + len(row), size + len(data)
+            if count >= flush:
+                yield out()
+                held, texts, count, size = [], [], 0, 0
+    if held:
+        yield out()
+
+
+def _folded(s: Segments, heavy: list[np.ndarray], spreads: tuple[int, ...]) -> Iterator[tuple[Segments, Segments | None]]:
+    """(segments that are first in s, their later equals): all of s, those of heavy names in parts."""
+    for spread, names in zip((*spreads, None), (*heavy, None), strict=False):
+        first = s.fold()
+        lead = first == np.arange(len(first))
+        if names is None or not len(names):
+            yield s.at(lead), s.at(~lead)
+            return
+        on = np.isin(s.name, names)
+        yield s.at(lead & ~on), s.at(~lead & ~on)
+        # later equals of a heavy name are late as a whole; only first ones are cut
+        yield s.at(np.zeros(0, np.int64)), s.at(~lead & on)
+        s = s.at(lead & on).parts(spread)
 
-        def flush() -> pa.RecordBatch:
-            out = rows + [(int(g % parts), g, *place, len(x), x) for (g, x), place in held.items()]
-            rows.clear()
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _FOUND.types, strict=True)], schema=_FOUND)
 
-        for rb in it:
-            for i in range(rb.num_rows):
-                doc, th = rb.column("doc_id")[i].as_py(), rb.column("th")[i].as_py()
-                raw = rb.column("text")[i].as_py().encode()
-                group, pos, shape, hot = (np.frombuffer(rb.column(c)[i].as_py(), np.int64).tolist() for c in ("grp", "pos", "shape", "hot"))
-                for g, p, s, is_hot in zip(group, pos, shape, hot, strict=True):
-                    n, lead = s % 128, s // 128
-                    x = raw[p : p + n + length - 1]
-                    if not is_hot:
-                        rows.append((g >> 32, g, doc, th, p, len(x), x))
-                        continue
-                    for sub, first, y in split_segment(g, x, n, lead, length):
-                        place = (doc, th, p + first)
-                        old = held.setdefault((sub, y), place)
-                        if old != place:
-                            late = max(old, place)
-                            held[sub, y] = min(old, place)
-                            rows.append((int(_doc_part(np.array([late[0]]), np.array([late[1]]), parts)[0]), 0, *late, len(y), None))
-                if len(rows) + len(held) > 20_000:
-                    yield flush()
-        if rows or held:
-            yield flush()
-
-    found = joined.mapInArrow(fetch, "part int, grp long, doc_id long, th long, pos long, len long, bytes binary")
+def _heavy(base: DataFrame, length: int, gram: int, known: list[np.ndarray], parts: int, limits: Limits) -> tuple[np.ndarray, int]:
+    """(names of which tasks would send too many segments, number of segments in all), given the heavy names before."""
+
+    def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _flushes(it, length, gram, limits.flush):
+            *_, (first, _) = _folded(s, known, limits.spreads)
+            yield from _pack(0, _name_part(first.name, parts), [first.name])
+
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (name,), _ = _unpack(_rows(it, 0), [np.dtype("u8")])
+        name = np.sort(name)
+        at = run_starts(name)
+        n = np.diff(np.append(at, len(name)))
+        # what is not heavy counts into the total only
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([len(name)])], names=["name", "n"])
+        if (n > limits.heavy).any():
+            yield pa.RecordBatch.from_arrays([pa.array(name[at[n > limits.heavy]].view(np.int64)), pa.array(n[n > limits.heavy])], names=["name", "n"])
+
+    counted = materialize(deal(base.mapInArrow(emit, _PACKED), parts).mapInArrow(count, "name long, n long"), "suffix-heavy")
+    total = counted.where("name is null").agg(F.sum("n")).first()[0] or 0
+    top = counted.where(F.col("name").isNotNull() & (F.col("n") > max(limits.heavy, total // limits.many))).select("name").toArrow()
+    return np.sort(np.asarray(top.column("name").combine_chunks(), dtype=np.int64).view(U64)) if top.num_rows else np.zeros(0, U64), total
+
+
+def _rows(it: Iterator[pa.RecordBatch], kind: int) -> list[tuple[int, int, bytes]]:
+    return [(n, s, b) for rb in it for k, n, s, b in zip(*(rb.column(c).to_pylist() for c in ("kind", "n", "size", "blob")), strict=True) if k == kind]
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limits: Limits = Limits()) -> DataFrame:
+    """(doc_id, th, lo binary, hi binary): for each document with repeats its maximal byte runs [lo, hi) to remove,
+    as int64 arrays; th is xxhash64 of the text.  See dedup_substrings()."""
+    spark = docs.sparkSession
+    text = F.coalesce("text", F.lit(""))
+    base = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    names, total = _heavy(base, length, gram, [], shuffle_parts(spark), limits)
+    known = [names]
+    # a task's share is about limits.flush segments, whatever the session's number of partitions
+    parts = max(shuffle_parts(spark), -(-total // limits.flush))
+    while len(names) and len(known) < len(limits.spreads):
+        names, _ = _heavy(base, length, gram, known, parts, limits)
+        known.append(names)
+    heavy = spark.sparkContext.broadcast(known)  # at most limits.many names a level
+
+    # kind 0: segments, dealt by name; kind 1: runs known as repeated inside the task, dealt by document
+    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _flushes(it, length, gram, limits.flush):
+            raw = s.text.tobytes()
+            for first, late in _folded(s, heavy.value, limits.spreads):
+                yield from _pack_runs(late.doc, late.th, late.pos, late.pos + late.windows + (length - 1), parts)
+                cols = [x.astype(t) for x, t in zip((first.name & U64(0xFFFFFFFF), first.doc, first.th, first.pos, first.shape), _SEGMENT, strict=True)]
+                yield from _pack(0, _name_part(first.name, parts), cols, raw, first.start, first.windows + (length - 1))
 
     def sort(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(it)) if (it := list(it)) else None
-        if t is None or not t.num_rows:
-            return
-        grp, doc, th, pos, size = (np.asarray(t.column(c).combine_chunks()) for c in ("grp", "doc_id", "th", "pos", "len"))
-        raw = t.column("bytes").to_pylist()
-        known = np.asarray(t.column("bytes").combine_chunks().is_null())
-        ready = Packer(parts, _COV)
-        for rb in ready.add(_doc_part(doc[known], th[known], parts), doc[known], th[known], pos[known], pos[known] + size[known]):
-            yield _wide(rb, 0)
-        for rb in ready.flush():
-            yield _wide(rb, 0)
-        order = np.lexsort((pos, th, doc, grp))
-        order = order[~known[order]]
+        mine = []
+        for rb in it:
+            kind = np.asarray(rb.column("kind"))
+            if (kind == 1).any():
+                yield rb.filter(pa.array(kind == 1))
+            mine += _rows(iter([rb]), 0)
+        (name, doc, th, pos, shape), raw = _unpack_segments(mine)
+        start = np.cumsum(shape % _LEAD + length - 1) - (shape % _LEAD + length - 1)
         # a repeated row of documents brings its segments again
-        order = order[run_starts(grp[order], doc[order], th[order], pos[order])]
-        packed = Packer(parts, _COV)
-        # whole groups at a time, of about 2 MB
-        at = run_starts(grp[order])
-        size = np.cumsum([len(raw[i]) for i in order])
-        a = 0
-        ends = np.append(at[1:], len(order))
-        while a < len(at):
-            base_size = size[at[a] - 1] if at[a] else 0
-            b = max(a + 1, int(np.searchsorted(size[ends - 1], base_size + SLICE_BYTES, "right")))
-            mine = order[at[a] : ends[b - 1]]
-            for rb in _judge([raw[i] for i in mine], grp[mine], doc[mine], th[mine], pos[mine], length, packed, parts):
-                yield _wide(rb, 0)
-            a = b
-        for rb in packed.flush():
-            yield _wide(rb, 0)
-
-    sorted_runs = deal(found, parts).mapInArrow(sort, _WIDE)
+        by = np.lexsort((pos, th, doc, name))
+        by = by[run_starts(name[by], doc[by], th[by], pos[by])]
+        s = Segments(np.frombuffer(raw, np.uint8), length, *(x[by] for x in (name, doc, th, pos, shape, start)))
+        lead = s.fold()
+        lead = lead == np.arange(len(lead))
+        late = s.at(~lead)
+        yield from _pack_runs(late.doc, late.th, late.pos, late.pos + late.windows + (length - 1), parts)
+        for run in s.at(lead).repeated_windows(limits.batch):
+            yield from _pack_runs(*run, parts)
 
     def merged(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, th, lo, hi = _gather(it, 4)
+        (doc, th, lo, hi), _ = _unpack(_rows(it, 1), _RUN)
         order = np.lexsort((lo, th, doc))
         doc, th, lo, hi = (x[order] for x in (doc, th, lo, hi))
         if not len(doc):
@@ -375,86 +482,30 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         rows = []
         for a, b in zip(at.tolist(), ends.tolist(), strict=True):
             reach = np.maximum.accumulate(hi[a:b])
-            cut = np.flatnonzero(lo[a + 1 : b] > reach[:-1]) + 1
-            rows.append((doc[a], th[a], lo[a:b][np.append(0, cut)].tobytes(), reach[np.append(cut - 1, b - a - 1)].tobytes()))
+            gap = np.flatnonzero(lo[a + 1 : b] > reach[:-1]) + 1
+            rows.append((doc[a], th[a], lo[a:b][np.append(0, gap)].tobytes(), reach[np.append(gap - 1, b - a - 1)].tobytes()))
             if len(rows) == 4096:
-                yield _runs(rows)
+                yield _spans(rows)
                 rows = []
         if rows:
-            yield _runs(rows)
+            yield _spans(rows)
 
-    all_runs = held.where("kind = 0").drop("kind").unionByName(sorted_runs.drop("kind"))
-    return deal(all_runs, parts).mapInArrow(merged, "doc_id long, th long, lo binary, hi binary")
-
-
-def split_segment(group: int, x: bytes, n: int, lead: int, length: int) -> Iterator[tuple[int, int, bytes]]:
-    """(group, first window, bytes) of parts of a segment of n windows whose anchor stands `lead` behind the first.
-
-    Windows go together whose anchor stands at distances of one range of SPREAD; the bytes that all windows of
-    the range have in common name the new group.  Equal windows have equal distances and so equal groups.
-    """
-    core = length - SPREAD + 1
-    i = 0
-    while i < n:
-        r = (lead - i) // SPREAD
-        last = min(n - 1, lead - r * SPREAD)
-        at = lead - r * SPREAD
-        name = hashlib.blake2b(x[at : at + core], digest_size=8, key=b"%d:%d" % (group, r)).digest()
-        yield int.from_bytes(name, "big") >> 1, i, x[i : last + length]
-        i = last + 1
+    found = deal(base.mapInArrow(cut, _PACKED), parts).mapInArrow(sort, _PACKED)
+    return deal(found, parts).mapInArrow(merged, "doc_id long, th long, lo binary, hi binary")
 
 
-_FOUND = pa.schema([("part", pa.int32()), ("grp", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int64()), ("len", pa.int64()), ("bytes", pa.binary())])
-_WIDE = "part int, kind int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary, c5 binary"
-_WIDE_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), *((f"c{i}", pa.binary()) for i in range(6))])
-
-
-def _wide(rb: pa.RecordBatch, kind: int) -> pa.RecordBatch:
-    """A packed batch (part, binaries) with its kind and six binary columns, the unused ones null."""
-    n = rb.num_rows
-    cols = [rb.column(0), pa.array(np.full(n, kind, np.int32)), *rb.columns[1:], *(pa.nulls(n, pa.binary()) for _ in range(7 - rb.num_columns))]
-    return pa.RecordBatch.from_arrays(cols, schema=_WIDE_SCHEMA)
-
-
-def _kind(rb: pa.RecordBatch, kind: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([rb.column(0), pa.array(np.full(rb.num_rows, kind, np.int32)), *rb.columns[2:]], schema=_WIDE_SCHEMA)
-
-
-def _gather(it: Iterator[pa.RecordBatch], n: int) -> list[np.ndarray]:
-    cols: list[list[bytes]] = [[] for _ in range(n)]
-    for rb in it:
-        for i in range(n):
-            cols[i] += rb.column(f"c{i}").to_pylist()
-    return [np.frombuffer(b"".join(c), np.int64) for c in cols]
+def _unpack_segments(rows: list[tuple[int, int, bytes]]) -> tuple[tuple[np.ndarray, ...], bytes]:
+    cols, raw = _unpack(rows, _SEGMENT)
+    name, doc, th, pos, shape = cols
+    return (name.astype(U64), doc, th, pos.astype(np.int64), shape.astype(np.int64)), raw
 
 
-def _runs(rows: list[tuple]) -> pa.RecordBatch:
+def _spans(rows: list[tuple]) -> pa.RecordBatch:
     d, t, lo, hi = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(lo, pa.binary()), pa.array(hi, pa.binary())], names=["doc_id", "th", "lo", "hi"])
 
 
-def _judge(raw: list[bytes], grp, doc, th, pos, length: int, packed: Packer, parts: int) -> Iterator[pa.RecordBatch]:
-    """Sorts every window of the segments (rows ordered by group, document, position) and packs the runs whose
-    window occurs in an earlier segment of the group."""
-    lens = np.array([len(x) for x in raw])
-    windows = lens - (length - 1)
-    text = np.frombuffer(b"".join(raw), np.uint8)
-    seg = np.repeat(np.arange(len(raw)), windows)
-    within = np.arange(len(seg)) - np.repeat(np.cumsum(windows) - windows, windows)
-    starts = (np.cumsum(lens) - lens)[seg] + within
-    order, new = deep_shallow(text, starts, grp[seg], length)
-    # of equal suffixes the one in the least segment (rows stand in document order) comes first in the corpus
-    cls = np.cumsum(new) - 1
-    at = np.flatnonzero(new)
-    least = np.minimum.reduceat(starts[order], at)[cls] if len(at) else starts
-    x = order[starts[order] > least]
-    if len(x):
-        s = seg[x]
-        lo = pos[s] + within[x]
-        yield from packed.add(_doc_part(doc[s], th[s], parts), doc[s], th[s], lo, lo + length)
-
-
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_text: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_text: bool = True, keep: tuple[str, ...] = (), limits: Limits = Limits()) -> DataFrame:
     """docs' rows as (doc_id, text, n_bytes, n_removed, n_spans, kept_sha256, *keep) with repeated bytes removed.
 
     A byte goes if it lies in a string of `length` bytes that also starts earlier: in a document of
@@ -467,11 +518,11 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ke
     equal rows (doc_id and text) all get the result of one.  Other columns are ignored but for those named
     in keep (names of result columns excepted); an empty table gives an empty result.
     """
-    runs = repeated_spans(docs, length, gram)
+    spans = repeated_spans(docs, length, gram, limits)
     text = F.coalesce("text", F.lit(""))
     names = [c for c in keep if c not in _OUT.names]
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"), *(F.col(c).alias(f"__keep_{c}") for c in names))
-    joined = base.join(runs, ["doc_id", "th"], "left")
+    joined = base.join(spans, ["doc_id", "th"], "left")
 
     def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:

@@ -67,26 +67,45 @@ def _docs():
     return [(7 * i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("hot", [64, 1])
-def test_against_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(sd, "HOT_ANCHOR", hot)
+def test_multikey_quicksort_orders_and_splits():
+    rng = random.Random(4)
+    for kinds, n in (("ab", 3000), ("abcdefgh \x00\xff", 3000), ("a", 200)):
+        raw = "".join(rng.choice(kinds) for _ in range(n)).encode("latin-1")
+        starts = np.array([rng.randrange(len(raw) - 40) for _ in range(n)])
+        group = np.sort(np.array([rng.randrange(5) for _ in starts]))
+        for shallow in (0, 8, 32):
+            order, new = sd.multikey_quicksort(np.frombuffer(raw, np.uint8), starts, group, shallow)
+            assert sorted(order.tolist()) == list(range(n))
+            keys = [(group[i], raw[starts[i] : starts[i] + shallow]) for i in order]
+            assert keys == sorted(keys)
+            assert list(new) == [i == 0 or keys[i] != keys[i - 1] for i in range(n)]
+
+
+@pytest.mark.parametrize("heavy,flush,batch", [(512, 250_000, 1 << 21), (1, 250_000, 1 << 21), (2, 40, 50)])
+def test_against_brute_force(spark, heavy, flush, batch):
+    limits = sd.Limits(heavy=heavy, flush=flush, batch=batch)
     rows = _docs()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, n_spans string")
     for length, gram in ((100, 32), (40, 16)):
-        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup_substrings(df, length, gram).collect()}
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup_substrings(df, length, gram, limits=limits).collect()}
         assert got == expected(rows, length)
 
 
-def test_a_hot_anchor_is_split_exactly(spark, monkeypatch):
-    monkeypatch.setattr(sd, "HOT_ANCHOR", 3)
+@pytest.mark.parametrize("spreads", [(9, 1), (9,), (1,), (30, 5)])
+def test_heavy_anchors_are_split_exactly(spark, spreads):
+    limits = sd.Limits(heavy=3, flush=60, batch=500, spreads=spreads)
     rng = random.Random(9)
     line = "this very common line of text stands in all documents, whatever else they say."
     w = lambda: "".join(rng.choice("abcde ") for _ in range(150))
     rows = [(i, w() + (line if i % 3 else line[:60] + line) + ("same tail of thirty bytes here" if i % 2 else "") + w()) for i in range(120)]
     rows += [(200 + i, rows[i][1][40:260]) for i in range(0, 60, 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup_substrings(df).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup_substrings(df, limits=limits).collect()}
     assert got == expected(rows, 100)
+    base = df.selectExpr("doc_id", "xxhash64(text) as th", "text")
+    first, total = sd._heavy(base, 100, 32, [], 4, limits)
+    again, _ = sd._heavy(base, 100, 32, [first], 4, limits)
+    assert len(first) and total > len(rows) and (len(again) > 0 or spreads == (1,))
 
 
 def test_nulls_repeats_and_empty_tables(spark):
@@ -110,6 +129,6 @@ def test_long_text_in_pieces(monkeypatch):
     rng = random.Random(5)
     raw = "".join(rng.choice("abc ") for _ in range(4000)).encode()
     data, offs = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-    row, pos, cnt, anchor, digest, _ = sd.segments(data, offs)
+    row, pos, cnt, anchor, _ = sd.segments(data, offs)
     assert (np.diff(np.sort(np.concatenate([np.arange(p, p + c) for p, c in zip(pos, cnt, strict=True)]))) == 1).all()
     assert cnt.sum() == len(raw) - 99
