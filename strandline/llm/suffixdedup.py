@@ -43,7 +43,7 @@ class Limits:
     #: Segments that a task holds before it folds and sends them, and that a part of the shuffle holds on average.
     flush: int = 250_000
     #: Windows that are put in order at once.
-    batch: int = 1 << 21
+    batch: int = 1 << 18
 
 
 _POSITION = U64((1 << 24) - 1)
@@ -100,12 +100,12 @@ class BlindTrie:
                 todo += [node[1][b] for b in sorted(node[1], reverse=True)]
 
 
-def multikey_quicksort(text: np.ndarray, starts: np.ndarray, group: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray]:
+def multikey_quicksort(raw: bytes, starts: np.ndarray, group: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, new): the suffixes sorted within their group (group is ascending) by their first `shallow` bytes, and for
     each place whether it begins a group of equal ones.
 
     Every round splits all open groups three ways around a pivot (the median of three) at the group's own depth: less and
-    greater stay at that depth, equal goes 8 bytes deeper.  shallow is a multiple of 8.
+    greater stay at that depth, equal goes 8 bytes deeper.  shallow is a multiple of 8, and raw has as much after each start.
     """
     n = len(starts)
     order, new, depth = np.arange(n), np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
@@ -113,7 +113,7 @@ def multikey_quicksort(text: np.ndarray, starts: np.ndarray, group: np.ndarray,
         return order, new
     at = run_starts(group)
     new[at] = True
-    eight = np.lib.stride_tricks.as_strided(np.concatenate([text, np.zeros(8, np.uint8)]), (len(text) + 1, 8), (1, 1))
+    eight = np.lib.stride_tricks.as_strided(np.frombuffer(raw, np.uint8), (max(0, len(raw) - 7), 8), (1, 1))
     size = np.diff(np.append(at, n))
     open_ = np.flatnonzero(np.repeat(size > 1, size)) if shallow else np.zeros(0, np.int64)
     while len(open_):
@@ -146,7 +146,7 @@ def multikey_quicksort(text: np.ndarray, starts: np.ndarray, group: np.ndarray,
     return order, new
 
 
-def deep_shallow(text: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int | np.ndarray = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+def deep_shallow(raw: bytes, starts: np.ndarray, group: np.ndarray, length: int | np.ndarray = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """(order, new): the suffixes at `starts`, cut to `length` bytes (one number, or one each that is the same
     throughout a group), sorted within their group (group is ascending), and for each place in the order whether it
     begins a new group or differs from the one before.
@@ -154,10 +154,9 @@ def deep_shallow(text: np.ndarray, starts: np.ndarray, group: np.ndarray, length
     n = len(starts)
     lens = np.broadcast_to(np.asarray(length, dtype=np.int64), n)
     shallow = min(shallow, int(lens.min()) if n else 0) // 8 * 8
-    order, new = multikey_quicksort(text, starts, group, shallow)
+    order, new = multikey_quicksort(raw, starts, group, shallow)
     a = np.flatnonzero(new)
     b = np.append(a[1:], n)
-    raw = text.tobytes()
     for a, b in zip(a[b - a > 1].tolist(), b[b - a > 1].tolist(), strict=True):  # noqa: B020
         members = order[a:b]
         size = int(lens[members[0]])
@@ -218,11 +217,11 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
 
 class Segments:
     """Segments in document order: name (of the anchor, or of what shares more bytes), document, place, shape, and where their
-    bytes stand in text."""
+    bytes stand in raw."""
 
-    def __init__(self, text: np.ndarray, length: int, name, doc, th, pos, shape, start, ordered: bool = False) -> None:
+    def __init__(self, raw: bytes, length: int, name, doc, th, pos, shape, start, ordered: bool = False) -> None:
         by = slice(None) if ordered else np.lexsort((pos, th, doc))
-        self.text, self.length = text, length
+        self.raw, self.length = raw, length
         self.name, self.doc, self.th, self.pos, self.shape, self.start = (x[by] for x in (name, doc, th, pos, shape, start))
 
     @property
@@ -230,12 +229,12 @@ class Segments:
         return self.shape % _LEAD
 
     def at(self, pick: np.ndarray) -> Segments:
-        return Segments(self.text, self.length, *(x[pick] for x in (self.name, self.doc, self.th, self.pos, self.shape, self.start)), ordered=True)
+        return Segments(self.raw, self.length, *(x[pick] for x in (self.name, self.doc, self.th, self.pos, self.shape, self.start)), ordered=True)
 
     def fold(self) -> np.ndarray:
         """For each segment the first one (in document order) of equal name, shape and bytes, through their suffix order."""
         by = np.lexsort((self.shape, self.name))
-        order, new = deep_shallow(self.text, self.start[by], runs(self.name[by], self.shape[by]), self.windows[by] + self.length - 1)
+        order, new = deep_shallow(self.raw, self.start[by], runs(self.name[by], self.shape[by]), self.windows[by] + self.length - 1)
         x, at = by[order], np.flatnonzero(new)
         first = np.empty(len(x), np.int64)
         if len(x):
@@ -252,10 +251,14 @@ class Segments:
         at = run_starts(seg, r)
         s, first, r = seg[at], k[at], r[at]
         count = np.diff(np.append(at, len(seg)))
-        core = self.start[s] + lead[s] - r * spread
-        common = span_hash(prefix_hash(self.text), core, core + self.length - spread + 1)
+        core, size = self.start[s] + lead[s] - r * spread, self.length - spread + 1
+        common = np.empty(len(s), U64)
+        for a in range(0, len(s), 1 << 14):
+            some = core[a : a + (1 << 14)].tolist()
+            at = np.arange(len(some)) * size
+            common[a : a + len(some)] = span_hash(prefix_hash(np.frombuffer(b"".join([self.raw[x : x + size] for x in some]), np.uint8)), at, at + size)
         name = mix(common ^ mix(self.name[s] + (r * 64 + spread).astype(U64)))
-        return Segments(self.text, self.length, name, self.doc[s], self.th[s], self.pos[s] + first, count + _LEAD * (lead[s] - first), self.start[s] + first, ordered=True)
+        return Segments(self.raw, self.length, name, self.doc[s], self.th[s], self.pos[s] + first, count + _LEAD * (lead[s] - first), self.start[s] + first, ordered=True)
 
     def repeated_windows(self, batch: int) -> Iterator[tuple[np.ndarray, ...]]:
         """(doc, th, lo, hi) of the bytes in windows that an earlier segment of the name has too.
@@ -294,7 +297,7 @@ class Segments:
         several = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
         by, group = by[several], group[several]
         seg, k = mine[seg[by]], k[by]
-        order, new = deep_shallow(self.text, self.start[seg] + k, group, self.length)
+        order, new = deep_shallow(self.raw, self.start[seg] + k, group, self.length)
         at = np.flatnonzero(new)
         if not len(at):
             return
@@ -363,11 +366,11 @@ def _pack_runs(doc, th, lo, hi, parts: int) -> Iterator[pa.RecordBatch]:
 def _flushes(it: Iterator[pa.RecordBatch], length: int, gram: int, flush: int) -> Iterator[Segments]:
     """The segments of a task's rows, about `flush` at a time."""
     held: list[tuple] = []
-    texts: list[np.ndarray] = []
+    texts: list[bytes] = []
     count = size = 0
 
     def out() -> Segments:
-        return Segments(np.concatenate(texts), length, *(np.concatenate(x) for x in zip(*held, strict=True)))
+        return Segments(b"".join(texts), length, *(np.concatenate(x) for x in zip(*held, strict=True)))
 
     for rb in it:
         ids, ths = np.asarray(rb.column("doc_id")), np.asarray(rb.column("th"))
@@ -375,7 +378,7 @@ def _flushes(it: Iterator[pa.RecordBatch], length: int, gram: int, flush: int) -
             row, pos, n, anchor, lead = segments(data, offs, length, gram)
             if len(row):
                 held.append((anchor, ids[row + a], ths[row + a], pos, n + _LEAD * lead, offs[row] + pos + size))
-                texts.append(data)
+                texts.append(data.tobytes())
                 count, size = count + len(row), size + len(data)
             if count >= flush:
                 yield out()
@@ -445,11 +448,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
     # kind 0: segments, dealt by name; kind 1: runs known as repeated inside the task, dealt by document
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _flushes(it, length, gram, limits.flush):
-            raw = s.text.tobytes()
             for first, late in _folded(s, heavy.value, limits.spreads):
                 yield from _pack_runs(late.doc, late.th, late.pos, late.pos + late.windows + (length - 1), parts)
                 cols = [x.astype(t) for x, t in zip((first.name & U64(0xFFFFFFFF), first.doc, first.th, first.pos, first.shape), _SEGMENT, strict=True)]
-                yield from _pack(0, _name_part(first.name, parts), cols, raw, first.start, first.windows + (length - 1))
+                yield from _pack(0, _name_part(first.name, parts), cols, s.raw, first.start, first.windows + (length - 1))
 
     def sort(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = []
@@ -463,7 +465,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
         # a repeated row of documents brings its segments again
         by = np.lexsort((pos, th, doc, name))
         by = by[run_starts(name[by], doc[by], th[by], pos[by])]
-        s = Segments(np.frombuffer(raw, np.uint8), length, *(x[by] for x in (name, doc, th, pos, shape, start)))
+        s = Segments(raw, length, *(x[by] for x in (name, doc, th, pos, shape, start)))
         lead = s.fold()
         lead = lead == np.arange(len(lead))
         late = s.at(~lead)

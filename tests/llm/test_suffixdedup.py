@@ -34,10 +34,9 @@ def test_deep_shallow_sorts_and_splits():
     rng = random.Random(1)
     text = "".join(rng.choice("ab") for _ in range(3000)) + "xyz" * 100 + "q" * 300
     raw = text.encode()
-    data = np.frombuffer(raw, np.uint8)
     starts = np.arange(len(raw) - 100)
     group = np.sort(np.array([rng.randrange(3) for _ in starts]))
-    order, new = sd.deep_shallow(data, starts, group, 100, 32)
+    order, new = sd.deep_shallow(raw, starts, group, 100, 32)
     keys = [(group[i], raw[starts[i] : starts[i] + 100]) for i in order]
     assert keys == sorted(keys)
     assert list(new) == [i == 0 or keys[i] != keys[i - 1] for i in range(len(keys))]
@@ -74,7 +73,7 @@ def test_multikey_quicksort_orders_and_splits():
         starts = np.array([rng.randrange(len(raw) - 40) for _ in range(n)])
         group = np.sort(np.array([rng.randrange(5) for _ in starts]))
         for shallow in (0, 8, 32):
-            order, new = sd.multikey_quicksort(np.frombuffer(raw, np.uint8), starts, group, shallow)
+            order, new = sd.multikey_quicksort(raw, starts, group, shallow)
             assert sorted(order.tolist()) == list(range(n))
             keys = [(group[i], raw[starts[i] : starts[i] + shallow]) for i in order]
             assert keys == sorted(keys)
