@@ -49,7 +49,7 @@ def test_exact_top_k(spark):
 def test_nearest_against_brute_force(spark):
     rows, df = _vectors(spark)
     v = kdtree.usable(df)
-    out = kdtree.nearest(v, v.where("vec_id % 50 = 0"), confidence=0.999, block_rows=60).collect()
+    out = kdtree.nearest(v, v.where("vec_id % 50 = 0"), confidence=0.99999, block_rows=(40, 40)).collect()
     e = {i: np.array(x, np.float32).astype(float) for i, x in rows}
     for i in [i for i in e if i % 50 == 0]:
         got = [(r.vec_id, r.score) for r in sorted((r for r in out if r.query_id == i), key=lambda r: r["rank"])]
@@ -73,6 +73,74 @@ def test_recall_on_the_table(spark):
     assert hit / (5 * len(found)) >= 0.9
 
 
+def _recall(tree, order, units, asked, stop):
+    hit = verified = 0
+    for q in asked:
+        rows, cos, n = tree.near(units[q], 6, stop)
+        got = order[rows[np.argsort(-cos, kind="stable")[:6]]].tolist()
+        hit += len(set(got) & set(np.argsort(-(units @ units[q]))[:6].tolist())) - 1
+        verified += n
+    return hit / (5 * len(asked)), verified / (len(asked) * len(units))
+
+
+def test_the_index_finds_most_with_most_rows_unread():
+    rng = np.random.default_rng(11)
+    stop = kdtree.chi2_quantile(kdtree.CONFIDENCE, kdtree.PROJECTED)
+    centres = rng.standard_normal((100, 64))
+    clustered = centres[rng.integers(0, 100, 65536)] + rng.standard_normal((65536, 64))
+    for vectors, most in ((clustered, 0.15), (rng.standard_normal((65536, 64)), 0.45)):
+        order, *tree = kdtree.ProjectedTree.build(vectors)
+        recall, verified = _recall(kdtree.ProjectedTree(vectors[order], *tree), order, kdtree.unit(vectors), rng.choice(65536, 40, replace=False), stop)
+        assert recall >= 0.9 and verified <= most
+
+
+def test_near_keeps_to_the_stopping_rule():
+    """Every row is verified whose projected distance passes the test against the k-th best in the end."""
+    rng = np.random.default_rng(12)
+    vectors = rng.standard_normal((5000, 24))
+    order, *tree = kdtree.ProjectedTree.build(vectors, 8, leaf=30)
+    t = kdtree.ProjectedTree(vectors[order], *tree)
+    for stop in (1.0, 4.0, 12.0):
+        for q in range(20):
+            rows, cos, verified = t.near(vectors[q], 4, stop)
+            d2 = 2 - 2 * np.sort(cos)[::-1][3]
+            gap = t.points - kdtree.unit(vectors[q]) @ t.plane
+            pass_ = np.flatnonzero((gap * gap).sum(axis=1) < stop * d2)
+            assert verified >= len(pass_) > 0
+            assert np.sort(t.units[pass_] @ kdtree.unit(vectors[q]))[::-1][:4].max() <= cos.max() + 1e-12
+
+
+def test_blocks_prune_and_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(13)
+    centres = rng.standard_normal((30, 24)) * 2
+    m = (centres[rng.integers(0, 30, 3000)] + rng.standard_normal((3000, 24))).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)] + [(9000 + i, [float(i), 1.0]) for i in range(7)], "vec_id long, embedding array<float>")
+    v = kdtree.usable(df)
+    before, results = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for parts in ("2", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        results.append(sorted(tuple(r) for r in kdtree.nearest(v, v.where("vec_id % 50 = 0"), block_rows=(200, 200)).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    u = kdtree.unit(m)
+    hit = 0
+    for q in range(0, 3000, 50):
+        s = u @ u[q]
+        s[q] = -2
+        hit += len({r[2] for r in results[0] if r[0] == q} & set(np.argsort(-s)[:5].tolist()))
+    assert hit / (5 * 60) >= 0.9
+    assert [r[2] for r in results[0] if r[0] == 9000] == [9001, 9002, 9003, 9004, 9005]
+
+
+def test_long_vectors(spark):
+    rng = np.random.default_rng(14)
+    df = spark.createDataFrame([(50 * i, rng.standard_normal(20_000).tolist()) for i in range(6)], "vec_id long, embedding array<double>")
+    v = kdtree.usable(df)
+    assert kdtree.nearest(v, v).count() == 30
+    q = bitsliced.quantised(df)
+    assert bitsliced.top_inner_products(q, q).count() == 30
+
+
 def test_chi_square_quantiles():
     # published values for 8 and 2 degrees of freedom
     assert abs(kdtree.chi2_quantile(0.95, 8) - 15.507) < 1e-3
