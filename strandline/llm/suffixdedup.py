@@ -178,7 +178,7 @@ def deep_shallow(raw: bytes, starts: np.ndarray, group: np.ndarray, length: int
 
 
 def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(row, first window, number of windows, anchor hash, lead) of each segment; windows count from the row's
+    """(row, first window, number of windows, name of the anchor, lead) of each segment; windows count from the row's
     start, lead is how far the anchor stands behind the first window.  A window lies inside one row.
     """
     out = []
@@ -208,7 +208,8 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
         at = run_starts(anchor, row)
         s1 = start[at]
         s2 = start[np.append(at[1:], len(start)) - 1]
-        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, h[anchor[at]], anchor[at] - s1))
+        # anchors have the least hashes of all; mixed again, their names spread over the whole range
+        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, mix(h[anchor[at]] + U64(1)), anchor[at] - s1))
     if not out:
         z = np.zeros(0, np.int64)
         return z, z, z, np.zeros(0, U64), z
