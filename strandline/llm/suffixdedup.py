@@ -7,7 +7,8 @@ last), which finds the segments that occur again as a whole; then, where an anch
 segments, the suffixes at all their windows.  Both are ordered by their bytes: multikey quicksort (three-way, on 8-byte
 characters) to a shallow depth, then a blind trie for each group that still has a common prefix.
 
-No anchor is gathered that has too many different segments: what each task would send is counted first, over
+Segments travel in two steps: their names alone say which anchors stand in more than one; only those are then sent with
+their bytes.  No anchor is gathered that has too many different segments: what each task would send is counted first, over
 all documents, and segments of heavier anchors are cut into parts that share more bytes (first length - 8, and if that
 is too many as well, the whole window).
 """
@@ -178,8 +179,9 @@ def deep_shallow(raw: bytes, starts: np.ndarray, group: np.ndarray, length: int
 
 
 def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(row, first window, number of windows, name of the anchor, lead) of each segment; windows count from the row's
-    start, lead is how far the anchor stands behind the first window.  A window lies inside one row.
+    """(row, first window, number of windows, name of the anchor, lead, digest) of each segment; windows count from the row's
+    start, lead is how far the anchor stands behind the first window.  A window lies inside one row.  The digest (of a
+    segment's bytes) serves to estimate loads only.
     """
     out = []
     step = SLICE_BYTES
@@ -209,10 +211,10 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
         s1 = start[at]
         s2 = start[np.append(at[1:], len(start)) - 1]
         # anchors have the least hashes of all; mixed again, their names spread over the whole range
-        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, mix(h[anchor[at]] + U64(1)), anchor[at] - s1))
+        out.append((row[at], s1 + lo - offs[row[at]], s2 - s1 + 1, mix(h[anchor[at]] + U64(1)), anchor[at] - s1, span_hash(p, s1, s2 + length)))
     if not out:
         z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, U64), z
+        return z, z, z, np.zeros(0, U64), z, np.zeros(0, U64)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -376,7 +378,7 @@ def _flushes(it: Iterator[pa.RecordBatch], length: int, gram: int, flush: int) -
     for rb in it:
         ids, ths = np.asarray(rb.column("doc_id")), np.asarray(rb.column("th"))
         for a, _, data, offs in slices(rb.column("text")):
-            row, pos, n, anchor, lead = segments(data, offs, length, gram)
+            row, pos, n, anchor, lead, _ = segments(data, offs, length, gram)
             if len(row):
                 held.append((anchor, ids[row + a], ths[row + a], pos, n + _LEAD * lead, offs[row] + pos + size))
                 texts.append(data.tobytes())
@@ -407,9 +409,31 @@ def _heavy(base: DataFrame, length: int, gram: int, known: list[np.ndarray], par
     """(names of which tasks would send too many segments, number of segments in all), given the heavy names before."""
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in _flushes(it, length, gram, limits.flush):
-            *_, (first, _) = _folded(s, known, limits.spreads)
-            yield from _pack(0, _name_part(first.name, parts), [first.name])
+        if known:
+            for s in _flushes(it, length, gram, limits.flush):
+                s = s.at(np.isin(s.name, known[0]))
+                *_, (first, _) = _folded(s, known, limits.spreads)
+                yield from _pack(0, _name_part(first.name, parts), [first.name])
+            return
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            name, digest = (np.concatenate(x) for x in zip(*held, strict=True))
+            by = np.lexsort((digest, name))
+            name = name[by[run_starts(name[by], digest[by])]]
+            yield from _pack(0, _name_part(name, parts), [name])
+
+        for rb in it:
+            for _, _, data, offs in slices(rb.column("text")):
+                *_, name, _, digest = segments(data, offs, length, gram)
+                held.append((name, digest))
+                n += len(name)
+                if n >= limits.flush:
+                    yield from out()
+                    held, n = [], 0
+        if n:
+            yield from out()
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (name,), _ = _unpack(_rows(it, 0), [np.dtype("u8")])
@@ -421,7 +445,7 @@ def _heavy(base: DataFrame, length: int, gram: int, known: list[np.ndarray], par
         if (n > limits.heavy).any():
             yield pa.RecordBatch.from_arrays([pa.array(name[at[n > limits.heavy]].view(np.int64)), pa.array(n[n > limits.heavy])], names=["name", "n"])
 
-    counted = materialize(deal(base.mapInArrow(emit, _PACKED), parts).mapInArrow(count, "name long, n long"), "suffix-heavy")
+    counted = materialize(deal(base.select("doc_id", "th", "text").mapInArrow(emit, _PACKED), parts).mapInArrow(count, "name long, n long"), "suffix-heavy")
     total = counted.where("name is null").agg(F.sum("n")).first()[0] or 0
     top = counted.where(F.col("name").isNotNull() & (F.col("n") > max(limits.heavy, total // limits.many))).select("name").toArrow()
     return np.sort(np.asarray(top.column("name").combine_chunks(), dtype=np.int64).view(U64)) if top.num_rows else np.zeros(0, U64), total
@@ -431,37 +455,91 @@ def _rows(it: Iterator[pa.RecordBatch], kind: int) -> list[tuple[int, int, bytes
     return [(n, s, b) for rb in it for k, n, s, b in zip(*(rb.column(c).to_pylist() for c in ("kind", "n", "size", "blob")), strict=True) if k == kind]
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limits: Limits = Limits()) -> DataFrame:
+def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, limits: Limits = Limits()) -> DataFrame:
     """(doc_id, th, lo binary, hi binary): for each document with repeats its maximal byte runs [lo, hi) to remove,
-    as int64 arrays; th is xxhash64 of the text.  See dedup_substrings()."""
-    spark = docs.sparkSession
-    text = F.coalesce("text", F.lit(""))
-    base = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    names, total = _heavy(base, length, gram, [], shuffle_parts(spark), limits)
+    as int64 arrays.  base: (doc_id, th, text), th names the text; other columns do no harm.  See dedup_substrings().
+
+    The result is joined with base on (doc_id, th) once more; both joins then use one shuffle of base.
+    """
+    spark = base.sparkSession
+    own = base.where("doc_id is not null").select("doc_id", "th", "text")
+    names, total = _heavy(own, length, gram, [], shuffle_parts(spark), limits)
     known = [names]
     # a task's share is about limits.flush segments, whatever the session's number of partitions
     parts = max(shuffle_parts(spark), -(-total // limits.flush))
     while len(names) and len(known) < len(limits.spreads):
-        names, _ = _heavy(base, length, gram, known, parts, limits)
+        names, _ = _heavy(own, length, gram, known, parts, limits)
         known.append(names)
     heavy = spark.sparkContext.broadcast(known)  # at most limits.many names a level
 
-    # kind 0: segments, dealt by name; kind 1: runs known as repeated inside the task, dealt by document
+    # kind 0: segments without their bytes, dealt by name; kind 1: runs known as repeated inside the task, dealt by document
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _flushes(it, length, gram, limits.flush):
             for first, late in _folded(s, heavy.value, limits.spreads):
                 yield from _pack_runs(late.doc, late.th, late.pos, late.pos + late.windows + (length - 1), parts)
-                cols = [x.astype(t) for x, t in zip((first.name & U64(0xFFFFFFFF), first.doc, first.th, first.pos, first.shape), _SEGMENT, strict=True)]
-                yield from _pack(0, _name_part(first.name, parts), cols, s.raw, first.start, first.windows + (length - 1))
+                yield from _pack(0, _name_part(first.name, parts), _columns(first.name, first.doc, first.th, first.pos, first.shape))
 
-    def sort(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = []
+    # kind 1 as above; kind 2: the segments whose names others have too, dealt by document
+    def share(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, me = [], 0
         for rb in it:
             kind = np.asarray(rb.column("kind"))
             if (kind == 1).any():
                 yield rb.filter(pa.array(kind == 1))
-            mine += _rows(iter([rb]), 0)
-        (name, doc, th, pos, shape), raw = _unpack_segments(mine)
+            if (kind == 0).any():
+                me = rb.column("part")[int(np.argmax(kind == 0))].as_py()
+                mine += _rows(iter([rb]), 0)
+        (name, doc, th, pos, shape), _ = _unpack(mine, _SEGMENT)
+        by = np.argsort(name, kind="stable")
+        group = runs(name[by])
+        by = by[np.bincount(group)[group] > 1] if len(by) else by
+        full = name[by].astype(np.int64) | (np.int64(me) << 32)
+        yield from _pack(2, _doc_part(doc[by], th[by], parts), [full, doc[by], th[by], pos[by].astype(np.int64), shape[by].astype(np.int64)])
+
+    held = materialize(deal(own.mapInArrow(cut, _PACKED), parts).mapInArrow(share, _PACKED), "suffix-shared")
+
+    def asked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (name, doc, th, pos, shape), _ = _unpack(_rows(it, 2), [np.dtype("i8")] * 5)
+        by = np.lexsort((pos, th, doc))
+        name, doc, th, pos, shape = (x[by] for x in (name, doc, th, pos, shape))
+        at = run_starts(doc, th)
+        ends = np.append(at[1:], len(doc))
+        for i in range(0, len(at), 4096):
+            rows = [(doc[a], th[a], np.concatenate([name[a:b], pos[a:b], shape[a:b]]).tobytes()) for a, b in zip(at[i : i + 4096].tolist(), ends[i : i + 4096].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "th", "segs"])
+
+    requests = deal(held.where("kind = 2"), parts).mapInArrow(asked, "doc_id long, th long, segs binary")
+
+    # the segments that documents are asked for, with their bytes, dealt by name
+    def fetch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+        texts: list[bytes] = []
+        n = size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            name, doc, th, pos, shape, start = (np.concatenate(c) for c in cols)
+            yield from _pack(0, (name >> 32).astype(np.int32), _columns(name.astype(U64), doc, th, pos, shape), b"".join(texts), start, shape % _LEAD + length - 1)
+
+        for rb in it:
+            rb = rb.filter(rb.column("segs").is_valid())
+            for i in range(rb.num_rows):
+                name, pos, shape = np.frombuffer(rb.column("segs")[i].as_buffer(), np.int64).reshape(3, -1)
+                text = rb.column("text")[i].as_py().encode()
+                for c, x in zip(cols, (name, np.full(len(name), rb.column("doc_id")[i].as_py()), np.full(len(name), rb.column("th")[i].as_py()), pos, shape, pos + size), strict=True):
+                    c.append(x)
+                texts.append(text)
+                n, size = n + len(name), size + len(text)
+                if n >= limits.flush or size >= 1 << 25:
+                    yield from out()
+                    cols, texts, n, size = [[] for _ in range(6)], [], 0, 0
+        if n:
+            yield from out()
+
+    found = base.join(requests, ["doc_id", "th"], "left").mapInArrow(fetch, _PACKED)
+
+    def sort(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (name, doc, th, pos, shape), raw = _unpack(_rows(it, 0), _SEGMENT)
+        name, pos, shape = name.astype(U64), pos.astype(np.int64), shape.astype(np.int64)
         start = np.cumsum(shape % _LEAD + length - 1) - (shape % _LEAD + length - 1)
         # a repeated row of documents brings its segments again
         by = np.lexsort((pos, th, doc, name))
@@ -493,14 +571,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
         if rows:
             yield _spans(rows)
 
-    found = deal(base.mapInArrow(cut, _PACKED), parts).mapInArrow(sort, _PACKED)
-    return deal(found, parts).mapInArrow(merged, "doc_id long, th long, lo binary, hi binary")
+    sorted_runs = deal(found, parts).mapInArrow(sort, _PACKED)
+    return deal(held.where("kind = 1").union(sorted_runs), parts).mapInArrow(merged, "doc_id long, th long, lo binary, hi binary")
 
 
-def _unpack_segments(rows: list[tuple[int, int, bytes]]) -> tuple[tuple[np.ndarray, ...], bytes]:
-    cols, raw = _unpack(rows, _SEGMENT)
-    name, doc, th, pos, shape = cols
-    return (name.astype(U64), doc, th, pos.astype(np.int64), shape.astype(np.int64)), raw
+def _columns(name, doc, th, pos, shape) -> list[np.ndarray]:
+    """A segment's columns as they travel; of the name the part keeps what is cut off here."""
+    return [x.astype(t) for x, t in zip((name & U64(0xFFFFFFFF), doc, th, pos, shape), _SEGMENT, strict=True)]
 
 
 def _spans(rows: list[tuple]) -> pa.RecordBatch:
@@ -521,11 +598,10 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ke
     equal rows (doc_id and text) all get the result of one.  Other columns are ignored but for those named
     in keep (names of result columns excepted); an empty table gives an empty result.
     """
-    spans = repeated_spans(docs, length, gram, limits)
     text = F.coalesce("text", F.lit(""))
     names = [c for c in keep if c not in _OUT.names]
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"), *(F.col(c).alias(f"__keep_{c}") for c in names))
-    joined = base.join(spans, ["doc_id", "th"], "left")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"), *(F.col(c).alias(f"__keep_{c}") for c in names))
+    joined = base.join(repeated_spans(base, length, gram, limits), ["doc_id", "th"], "left")
 
     def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:

@@ -128,6 +128,6 @@ def test_long_text_in_pieces(monkeypatch):
     rng = random.Random(5)
     raw = "".join(rng.choice("abc ") for _ in range(4000)).encode()
     data, offs = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-    row, pos, cnt, anchor, _ = sd.segments(data, offs)
+    row, pos, cnt, anchor, _, _ = sd.segments(data, offs)
     assert (np.diff(np.sort(np.concatenate([np.arange(p, p + c) for p, c in zip(pos, cnt, strict=True)]))) == 1).all()
     assert cnt.sum() == len(raw) - 99
