@@ -227,33 +227,110 @@ def batch(schema: pa.Schema, cols: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
 
 
+# ---------------------------------------------------------------- joins on keys that many rows share
+
+#: A key is hot if it has more rows than this and than one in HOT_KEYS of all; so at most HOT_KEYS keys are.
+HOT_ROWS = 512
+HOT_KEYS = 1 << 16
+
+
+def hot_keys(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, salts) of the hot keys among counts (keys, n), at most HOT_KEYS of them."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    return counts.where(F.col("n") > limit).select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("salts"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """left joined with right, which has few rows a key: the left rows of a hot key go to as many places as it has salts (by
+    their column `spread`), and the key's right rows to each of them.  Left rows with a null key (they find nothing) spread too.
+    """
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], "salts"))
+    on, null = F.lit(True), F.lit(False)
+    for k in keys:
+        on &= F.col(k) == F.col(f"__{k}")
+        null |= F.col(k).isNull()
+    drop = [f"__{k}" for k in keys] + ["salts"]
+    salt = F.when(null, F.pmod(F.xxhash64(spread), F.lit(1 << 20))).otherwise(F.pmod(F.xxhash64(spread), F.coalesce("salts", F.lit(1)))).cast("int")
+    many = left.join(hot, on, "left").withColumn("__salt", salt).drop(*drop)
+    few = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop(*drop)
+    return many.join(few, [*keys, "__salt"], how).drop("__salt")
+
+
 # ---------------------------------------------------------------- connected components
 
+#: Edges that a task ties up at once.
+EDGES = 1 << 20
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges' nodes and the smallest node that each reaches over them (itself left out)."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        # hang each end's root under the smaller of both, then shorten all ways
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    on = root != np.arange(len(nodes))
+    return nodes[on], nodes[root[on]]
 
-def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for each node of the edges (a long, b long): component is the smallest node reached.
 
-    Alternates large-star and small-star steps (each a grouped minimum and a join), so that no component
-    is ever gathered in one place; stops once a round leaves the edge set as it was.  Null ends are ignored.
+    Each task first ties up what its own edges connect; then large-star and small-star steps (a grouped minimum and a
+    join, salted for nodes of many edges) alternate, so that no component is ever gathered in one place, until a
+    round leaves the edge set as it was.  Rounds grow with the logarithm of the longest path.  Null ends are ignored.
     """
-    e = materialize(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    was = None
-    for _ in range(rounds):
-        both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+
+    def tied(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+
+        def out() -> pa.RecordBatch:
+            a, b = stars(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for rb in it:
+            held.append((np.asarray(rb.column("a")), np.asarray(rb.column("b"))))
+            n += rb.num_rows
+            if n >= EDGES:
+                yield out()
+                held, n = [], 0
+        if n:
+            yield out()
+
+    def tally(df: DataFrame):
+        return df.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+
+    proper = edges.where("a is not null and b is not null and a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    e = materialize(proper.mapInArrow(tied, "a long, b long").distinct(), name)
+    was = tally(e)
+    while was[0]:
+        e1 = e.mapInArrow(tied, "a long, b long")
+        both = e1.union(e1.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = materialize(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"), name)
+        hot = hot_keys(low, ["a"])
         # large star: each larger neighbour is tied to the smallest of the neighbourhood
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = salted_join(both.where("b > a"), low.drop("n"), ["a"], "b", hot).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: the node and its smaller neighbours are tied to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
         new = materialize(small, name)
-        now = new.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+        now = tally(new)
         discard(e)
+        discard(low)
         e = new
         if now == was:
             break
         was = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     out = e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())
     return materialize(out, name + "-done")

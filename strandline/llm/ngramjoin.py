@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, U64, Packer, components, deal, discard, materialize, mix, packed_schema, prefix_hash, run_starts, seeds, shuffle_parts, slices, span_hash, unpack, words
+from strandline.llm.common import LOWER, U64, Packer, components, deal, discard, hot_keys, materialize, mix, packed_schema, prefix_hash, run_starts, runs, salted_join, seeds, shuffle_parts, slices, span_hash, unpack, words
 
 N = 5
 NUM, DEN = 4, 5  # the threshold 0.8, exactly
@@ -212,14 +212,14 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFr
     def lists(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, cls, size = unpack(it, ["h", "cls", "n"], [U64, np.dtype("i8"), np.dtype("i8")])
         by = np.argsort(h)
-        run = _runs(h[by])
+        run = runs(h[by])
         by = by[np.bincount(run)[run] > 1] if len(run) else by
         h, cls, size = h[by], cls[by], size[by]
         by = np.lexsort((cls, h))
         h, cls, size = h[by], cls[by], size[by]
         by = run_starts(h, cls)
         h, cls, size = h[by], cls[by], size[by]
-        run = _runs(h)
+        run = runs(h)
         keep = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
         h, cls, size = h[keep], cls[keep], size[keep]
         packer = Packer(1, _POST, 1 << 62)
@@ -230,13 +230,6 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFr
     return materialize(deal(packed, parts).mapInArrow(lists, packed_schema(_POST)), "ngram-postings")
 
 
-def _runs(sorted_keys: np.ndarray) -> np.ndarray:
-    """Number of the run of equal keys that each place belongs to."""
-    new = np.zeros(len(sorted_keys), dtype=np.int64)
-    new[run_starts(sorted_keys)] = 1
-    return np.cumsum(new) - 1
-
-
 _PAIR = "a long, b long, na long, nb long, shared long"
 
 
@@ -355,26 +348,49 @@ def _rows_of(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
 def _block_links(blocks: DataFrame, joined: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(a, b): links inside the blocks, between components, as many as it takes to connect what links connect.
 
-    A block of many rows is cut into tiles of about TILE rows; each pair of tiles is one product of full rows,
-    with overlaps accumulated over the n-grams that both have, and gives at most one link a row.
+    Blocks that are one component already fall out first.  The rows of the others are put in tiles of about TILE: by size
+    class (linked sets are in the same or in neighbouring ones) and by component where that fills tiles of its own.  Each pair of
+    tiles that can hold a link between components is one product of full rows, with overlaps accumulated over the n-grams
+    that both have; it gives at most one link a row.
     """
-    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    tile = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
-    placed = blocks.join(sizes, "block").withColumn("tile", tile).join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    rows = _rows_of(placed.select("cls").join(classes, "cls").select("doc_id", F.col("cls").alias("asked")), docs, n).dropDuplicates(["cls"])
-    full = placed.join(rows, "cls")
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    pairs = full.select("block", "tile", "cls", "component", "grams", other.alias("other"))
-    pairs = pairs.select("block", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "cls", "component", "grams")
+    base = np.log(den / num * 1.01)
+    placed = blocks.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    spans = placed.groupBy("block").agg(F.count("*").alias("n"), (F.min("component") < F.max("component")).alias("open"))
+    spans = materialize(spans, "ngram-spans")
+    open_ = salted_join(placed, spans.where("open").select("block"), ["block"], "cls", hot_keys(spans, ["block"]))
+    open_ = open_.join(classes, "cls").withColumn("level", F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(float(base))).cast("int"))
+    open_ = materialize(open_.select("cls", "block", "component", "level", "doc_id"), "ngram-open")
+    lots = materialize(open_.groupBy("block", "level", "component").agg(F.count("*").alias("n")), "ngram-lots")
+    # components that fill tiles of their own, and all others of a level together
+    own = lots.where(F.col("n") >= TILE // 2).select("block", "level", "component", F.ceil(F.col("n") / TILE).cast("int").alias("own"))
+    rest = lots.where(F.col("n") < TILE // 2).groupBy("block", "level").agg(F.sum("n").alias("n"))
+    hot_rest = hot_keys(rest, ["block", "level"])
+    rest = rest.select("block", "level", F.ceil(F.col("n") / TILE).cast("int").alias("mixed"))
+    rows = salted_join(open_, own, ["block", "level", "component"], "cls", hot_keys(lots, ["block", "level", "component"]), "left")
+    rows = salted_join(rows, rest, ["block", "level"], "cls", hot_rest, "left")
+    part = F.when(F.col("own").isNotNull(), F.pmod(F.xxhash64("cls"), F.col("own"))).otherwise(F.pmod(F.xxhash64("component"), F.col("mixed")))
+    owner = F.when(F.col("own").isNotNull(), F.col("component"))
+    rows = rows.withColumn("owner", owner).withColumn("tile", F.xxhash64("block", "level", F.coalesce("owner", F.lit(0)), F.col("own").isNull(), part))
+    rows = materialize(rows.select("cls", "block", "component", "level", "doc_id", "owner", "tile"), "ngram-tiled")
+    tiles = rows.groupBy("tile").agg(F.first("block").alias("block"), F.first("level").alias("level"), F.first("owner").alias("owner"))
+    later = tiles.select(F.col("tile").alias("j"), "block", F.col("owner").alias("owner_j"), F.explode(F.array("level", F.col("level") - 1)).alias("level"), F.col("level").alias("level_j"))
+    pairs = tiles.withColumnRenamed("tile", "i").join(later, ["block", "level"])
+    pairs = pairs.where((F.col("level") < F.col("level_j")) | (F.col("i") <= F.col("j"))).where(F.col("owner").isNull() | F.col("owner_j").isNull() | (F.col("owner") != F.col("owner_j")))
+    sides = pairs.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
+    wanted = materialize(rows.join(sides, "tile").select("cls", "component", "tile", "i", "j"), "ngram-wanted")
+    asked = rows.join(wanted.select("cls").distinct(), "cls").select("doc_id", F.col("cls").alias("asked"))
+    grams = _rows_of(asked, docs, n).dropDuplicates(["cls"])
+    many = wanted.groupBy("cls").agg(F.count("*").alias("n"))
+    full = salted_join(wanted, grams, ["cls"], "j", hot_keys(many, ["cls"]))
 
     def multiply(t: pa.Table) -> pa.Table:
-        cls, comp, tile_ = (np.asarray(t.column(c).combine_chunks()) for c in ("cls", "component", "tile"))
+        cls, comp, tile = (np.asarray(t.column(c).combine_chunks()) for c in ("cls", "component", "tile"))
         sets = [np.frombuffer(x.as_buffer(), U64) for x in t.column("grams").combine_chunks()]
         same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
-        a, b = tile_links(sets, comp, tile_, same, num, den)
+        a, b = tile_links(sets, comp, tile, same, num, den)
         return pa.table([pa.array(cls[a]), pa.array(cls[b])], names=["a", "b"])
 
-    return pairs.groupBy("block", "i", "j").applyInArrow(multiply, "a long, b long")
+    return full.groupBy("i", "j").applyInArrow(multiply, "a long, b long")
 
 
 def tile_links(sets: list[np.ndarray], comp: np.ndarray, tile: np.ndarray, same: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -385,10 +401,10 @@ def tile_links(sets: list[np.ndarray], comp: np.ndarray, tile: np.ndarray, same:
     row = np.repeat(np.arange(len(sets)), size)
     gram = np.concatenate(sets)
     by = np.argsort(gram, kind="stable")
-    col = _runs(gram[by])
+    col = runs(gram[by])
     shared = np.bincount(col)[col] > 1
     row, col = row[by][shared], col[shared]
-    col = _runs(col)
+    col = runs(col)
     overlap = np.zeros((len(sets), len(sets)), np.float32)
     cuts = np.searchsorted(col, np.arange(0, (int(col[-1]) + 1 if len(col) else 0) + 2048, 2048))
     for k, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -453,8 +469,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, num
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes, "cls").select("doc_id", F.col("cls").alias("asked"))
 
     sets = materialize(_rows_of(asked, docs, n), "ngram-rows")
-    right = pairs.join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
-    both = right.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").select("a", "b", "ga", "gb")
+    # a hub has many pairs: they are split, and its row goes to each split
+    hot_a, hot_b = (hot_keys(pairs.groupBy(x).agg(F.count("*").alias("n")), [x]) for x in ("a", "b"))
+    right = salted_join(pairs.select("a", "b"), sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), ["b"], "a", hot_b)
+    both = salted_join(right, sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), ["a"], "b", hot_a).select("a", "b", "ga", "gb")
 
     def link(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
@@ -487,22 +505,27 @@ def jaccard_components(docs: DataFrame, n: int = N, num: int = NUM, den: int = D
     parts = shuffle_parts(docs.sparkSession)
     signed = materialize(signatures(docs, n), "ngram-signatures")
     named = docs.where("doc_id is not null")
-    classes = signed.where("doc_id is not null and cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    classes = signed.where("doc_id is not null and cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("n"))
+    classes = materialize(classes, "ngram-classes")
+    first_docs = classes.select("cls", "doc_id")
     postings = _postings(named, n, num, den, parts)
     first = materialize(_above(_stars(postings, num, den)), "ngram-stars")
-    links = _verified(first, named, classes, n, num, den)
+    links = _verified(first, named, first_docs, n, num, den)
     joined = components(links, "ngram-components")
     entries = _unrolled(postings)
     blocks = _blocks(entries)
     second = materialize(_above(_across(entries, joined, blocks, num, den, parts)).join(first, ["a", "b"], "left_anti"), "ngram-across")
-    more = _verified(second, named, classes, n, num, den)
-    inside = materialize(_block_links(blocks, joined, classes, named, n, num, den), "ngram-inside")
+    more = _verified(second, named, first_docs, n, num, den)
+    inside = materialize(_block_links(blocks, joined, classes.drop("n"), named, n, num, den), "ngram-inside")
     whole = components(links.union(more).union(inside), "ngram-components")
-    least = classes.join(whole.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    of = least.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_class = least.join(of, "component").select("cls", "component", "component_id")
+    # sets that link with nothing are their own component
+    linked = materialize(whole.withColumnRenamed("node", "cls").join(first_docs, "cls"), "ngram-linked")
+    of = materialize(linked.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")), "ngram-of")
+    by_class = salted_join(linked.select("cls", "component"), of.drop("n"), ["component"], "cls", hot_keys(of, ["component"]))
+    by_class = first_docs.join(by_class, "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), F.coalesce("component_id", "doc_id").alias("component_id"))
     alone = F.col("doc_id").isNull()
-    return signed.join(by_class, "cls", "left").select("doc_id", "n_shingles", F.when(alone, None).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"), "th", "cls", "component")
+    out = salted_join(signed, by_class, ["cls"], "doc_id", hot_keys(classes, ["cls"]), "left")
+    return out.select("doc_id", "n_shingles", F.when(alone, None).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"), "th", "cls", "component")
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:

@@ -113,7 +113,70 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert nj.jaccard_components(df.limit(0)).count() == 0
 
 
-def test_components(spark):
-    edges = [(i + 1, i) for i in range(40)] + [(100, 101), (100, 102), (7, 7), (None, 3)]
-    got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+@pytest.mark.parametrize("hot", [512, 2])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
+    edges = [(i + 1, i) for i in range(40)] + [(100, 101), (100, 102), (7, 7), (None, 3)] + [(500, 600 + i) for i in range(50)] + [(620, 499)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    got = {r.node: r.component for r in common.components(df).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100} | {499: 499, 500: 499} | {600 + i: 499 for i in range(50)}
+    assert common.components(df.limit(0)).count() == 0
+
+
+def test_stars():
+    rng = np.random.default_rng(3)
+    for n, m in ((50, 30), (50, 80), (2000, 1900)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        label = list(range(n))
+        for _ in range(n):
+            before = list(label)
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                label[x] = label[y] = min(label[x], label[y])
+            if before == label:
+                break
+        node, least = common.stars(a, b)
+        assert dict(zip(node.tolist(), least.tolist(), strict=True)) == {i: x for i, x in enumerate(label) if i != x}
+    # a long path in mixed order
+    order = rng.permutation(3000)
+    node, least = common.stars(order[:-1], order[1:])
+    assert len(node) == 2999 and (least == 0).all()
+
+
+def test_salted_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    left = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 100), (3, 101), (None, 102), (None, 103)], "k long, x long")
+    right = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "k long, y string")
+    hot = common.hot_keys(left.groupBy("k").count().withColumnRenamed("count", "n"), ["k"])
+    assert [(r.k, r.salts) for r in hot.collect()] == [(1, 14)]
+    rows = sorted(((r.x, r.y) for r in common.salted_join(left, right, ["k"], "x", hot, "left").collect()))
+    assert rows == [(i, "a") for i in range(40)] + [(100, "b"), (101, None), (102, None), (103, None)]
+    assert common.salted_join(left, right, ["k"], "x", hot).count() == 41
+
+
+def test_hot_groups_keep_the_result(spark, monkeypatch):
+    """Hubs, components and classes of many rows, all salted, and blocks in many tiles."""
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    for name, value in (("OFTEN", 2), ("LONG", 3), ("TILE", 4), ("HUBS", 1), ("FREQUENT", 50)):
+        monkeypatch.setattr(nj, name, value)
+    rows = documents(7, groups=8)
+    rows += [(5000 + i, rows[3][1]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in nj.jaccard_components(df).collect())
+    assert got == brute(rows)
+
+
+def test_a_block_of_many_rows(spark):
+    """One block of many sets, nearly all of which the hubs connect already: connected rows are not multiplied with each other."""
+    rng = random.Random(21)
+    base = ["b%d" % i for i in range(60)]
+    rows = []
+    for i in range(6000):
+        v = list(base)
+        v[0] = "x%d" % i
+        rows.append((i, " ".join(v)))
+    # the same passage with a fifth or more of other words: in the block, linked with nothing
+    rows += [(6000 + i, " ".join(base[:50] + ["y%d_%d" % (i, j) for j in range(25)])) for i in range(40)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in nj.jaccard_components(df).collect()}
+    assert got == {i: 0 for i in range(6000)} | {6000 + i: 6000 + i for i in range(40)}
