@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.common import materialize, shuffle_parts
 
 WEIGHTS = (1, 2, 3)
 MAX_RATE = 3
-#: Passes of the cap-and-reshare loop; each pass caps one more source at least or is the last.
-MAX_PASSES = 10_000
 
 
 def token_count(text: str = "text"):
@@ -18,27 +16,25 @@ def token_count(text: str = "text"):
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def _ranked(sources: DataFrame) -> DataFrame:
-    """Adds rank (from 0) by source code point order, null last, without one task that holds all sources.
+def _running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds to each row the sums over all rows before it in the order, without one task that holds all rows.
 
-    Sources are dealt out by ranges; each range counts its own, and the counts before it give its offset.
+    Rows are dealt out by ranges of the order; each range sums its own, and the ranges before it give its offset.
     One row per range comes to the driver.
     """
-    spark = sources.sparkSession
-    n = shuffle_parts(spark)
-    key = [F.col("source").isNull().cast("int"), F.col("source")]
-    dealt = sources.repartitionByRange(n, *key).sortWithinPartitions(*key)
+    spark = df.sparkSession
+    dealt = df.repartitionByRange(shuffle_parts(spark), *order).sortWithinPartitions(*order)
     # the low 33 bits of monotonically_increasing_id count within the partition, the others are the partition
-    held = materialize(dealt.withColumn("__id", F.monotonically_increasing_id()), "mix-sources")
-    part = F.shiftright(F.col("__id"), 33)
-    counts = sorted((r["p"], r["n"]) for r in held.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
-    before, rows = 0, []
-    for p, k in counts:
-        rows.append((p, before))
-        before += k
-    offsets = spark.createDataFrame(rows or [(0, 0)], "p long, before long")
-    low = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    return held.withColumn("p", part).join(F.broadcast(offsets), "p").withColumn("rank", F.col("before") + low).drop("p", "before", "__id")
+    held = materialize(dealt.withColumn("__id", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__id", 33)), "mix-order")
+    before, rows = [0] * len(sums), []
+    for r in sorted(held.groupBy("__part").agg(*[F.sum(x).alias(n) for n, x in sums.items()]).collect()):
+        rows.append((r["__part"], *before))
+        before = [a + b for a, b in zip(before, r[1:], strict=True)]
+    kinds = dict(held.select(*[F.sum(x).alias(n) for n, x in sums.items()]).dtypes)
+    offsets = spark.createDataFrame(rows, "__part long, " + ", ".join(f"`__{n}` {t}" for n, t in kinds.items()))
+    w = Window.partitionBy("__part").orderBy("__id").rowsBetween(Window.unboundedPreceding, -1)
+    out = held.join(F.broadcast(offsets), "__part")
+    return out.select(*df.columns, *[(F.col(f"__{n}") + F.coalesce(F.sum(x).over(w), F.lit(0))).alias(n) for n, x in sums.items()])
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
@@ -46,21 +42,23 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rat
 
     Sources in code point order (null last) weigh weights[0], weights[1], ..., repeating.  Shares add up to
     all tokens; a target stops at max_rate times its source's size, and the excess is shared again by
-    weight among the others until none is above.  Only sums over the uncapped sources reach the driver.
+    weight among the others until none is above.
+
+    That state is found at once: a source is full when the common level (tokens per weight) reaches max_rate * size / weight.
+    In the order of these levels, with the sources before one full, the rest shares what they leave; the first source
+    that this share does not fill sets the level for all after it.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = _ranked(per)
+    ranked = _running(per, [F.col("source").isNull().cast("int"), F.col("source")], {"rank": F.lit(1)})
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    s = materialize(ranked.withColumn("weight", weight).withColumn("most", (F.col("source_size") * max_rate).cast("long")), "mix-weights")
-    total = s.agg(F.sum("source_size")).first()[0] or 0
-    level, seen = 0.0, -1
-    for _ in range(MAX_PASSES):
-        full = F.col("most") <= F.col("weight") * F.lit(level)
-        used, open_weight, n = s.agg(F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("weight"))), F.sum(full.cast("int"))).first()
-        if not open_weight or n == seen:
-            break
-        seen, level = n, (total - (used or 0)) / open_weight
-    return s.select("source", "source_size", "weight", F.when(F.col("most") <= F.col("weight") * F.lit(level), F.col("most").cast("double")).otherwise(F.col("weight") * F.lit(level)).alias("target"))
+    s = ranked.withColumn("weight", weight).withColumn("most", (F.col("source_size") * max_rate).cast("long")).withColumn("full_at", F.col("most") / F.col("weight"))
+    filled = materialize(_running(s, [F.col("full_at"), F.col("rank")], {"used": F.col("most"), "taken_weight": F.col("weight")}), "mix-weights")
+    total, all_weight = filled.agg(F.sum("source_size"), F.sum("weight")).first()
+    share = F.lit(float(total or 0)) - F.col("used")
+    level = F.when(F.col("full_at") > share / (F.lit(all_weight or 1.0) - F.col("taken_weight")), share / (F.lit(all_weight or 1.0) - F.col("taken_weight")))
+    # without tokens no source is open and the level is 0
+    level = filled.agg(F.min_by(level, F.when(level.isNotNull(), F.struct("full_at", "rank")))).first()[0] or 0.0
+    return filled.select("source", "source_size", "weight", F.when(F.col("most") <= F.col("weight") * F.lit(level), F.col("most").cast("double")).otherwise(F.col("weight") * F.lit(level)).alias("target"))
 
 
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: int = 8) -> DataFrame:
