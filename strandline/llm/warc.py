@@ -46,13 +46,8 @@ def _record_id(page_id: int | None) -> str:
 
 
 def _field(value: str) -> str:
-    """A header value: control characters and % before them would break the line, so they are escaped."""
-    return "".join(c if c >= " " and c not in "%\x7f" else f"%{ord(c):02X}" for c in value)
-
-
-def _unfield(value: str) -> str:
-    head, *rest = value.split("%")
-    return head + "".join(chr(int(x[:2], 16)) + x[2:] for x in rest)
+    """A header value: a control character would break the line, so it is escaped as in urls; all else stays as it is."""
+    return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
 def encode_record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str = DATE) -> bytes:
@@ -75,7 +70,8 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
 def decode_record(raw: bytes) -> tuple:
     """(page_id, url, record_type, refers_to, payload_digest, payload_bytes, payload) of one uncompressed record.
 
-    A response's payload is held against its digest; a revisit has payload null.
+    A response's payload is held against its digest; a revisit has payload null.  The url is the target line's: control
+    characters of the page's url come back as %XX (an index keeps the url as it was).
     """
     head, _, rest = raw.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
@@ -93,7 +89,7 @@ def decode_record(raw: bytes) -> tuple:
         raise ValueError(f"payload of page {h.get('X-Page-ID')} does not match its digest")
     number = lambda k: int(h[k]) if k in h else None
     url = h.get("WARC-Target-URI")
-    return number("X-Page-ID"), None if url is None else _unfield(url), h["WARC-Type"], number("X-Refers-To-Page-ID"), digest, n, payload if response else None
+    return number("X-Page-ID"), url, h["WARC-Type"], number("X-Refers-To-Page-ID"), digest, n, payload if response else None
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
