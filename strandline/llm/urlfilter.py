@@ -13,20 +13,34 @@ from strandline.llm.common import batch, prefix_hash, slices, span_hash
 
 #: (host suffix, path prefix, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: The small labelled table the classifier is trained from: 1 for urls to block.
-LABELLED = tuple((u, 1) for u in (
-    "http://cheap-pills.example.com/en/12", "http://www.cheap-meds.example.org/de/3", "https://spam-farm.example.net/en/1", "https://www.spam-link.example.org/de/7.html",
-    "http://casino-bonus.example.com/fr/9", "https://blog.casino-win.example.org/en/3", "http://free-bets.example.com/es/4", "https://m.free-money.example.net/en/5",
-    "https://adult-x.example.org/en/6", "http://www.adult-cams.example.net/fr/2", "http://ads-track.example.net/en/8?page=2", "https://ads-click.example.com/es/1#top",
-    "http://hot-dates.example.org/join", "http://viagra-deals.example.com/", "https://win-lottery.example.net/claim", "https://payday-loans.example.com/apply",
-    "http://replica-watches.example.org/sale", "https://crack-keygen.example.net/download", "http://malware-host.example.com/update.exe", "https://phish-login.example.org/verify",
-)) + tuple((u, 0) for u in (
-    "http://daily.example.com/en/12", "https://www.library.example.org/de/7.html", "https://blog.garden.example.net/en/3", "http://museum.example.com/fr/8",
-    "https://university.example.org/en/1", "http://council.example.net/de/9", "https://m.weather.example.com/en/5", "https://bread.example.org/es/4?page=2",
-    "http://history.example.net/es/44", "https://train.example.com/fr/2", "https://www.science.example.org/en/853/", "http://concert.example.net/en/8#top",
-    "https://thunder.example.com/en/2", "http://theatre.example.org/es/1", "https://blog.thread.example.net/en/960", "http://nation.example.com/maths/3.html",
-    "https://other.example.org/en/77", "http://then.example.net/review/5", "https://thing.example.com/gallery/1", "http://northern.example.org/es/6",
-))
+#: Words of the names of hosts to block and of others, general vocabulary that no table of urls was consulted for.
+BLOCKED_WORDS = (
+    "casino", "poker", "jackpot", "roulette", "betting", "bets", "lottery", "slots", "pills", "viagra", "pharmacy", "steroids", "adult", "porn", "escort", "webcam", "ads", "adserver", "popup", "clickbait",
+    "spam", "spammer", "malware", "phishing", "trojan", "keygen", "warez", "cracked", "payday", "loans", "replica", "counterfeit",
+)
+ALLOWED_WORDS = (
+    "library", "garden", "museum", "university", "council", "weather", "bread", "history", "train", "science", "concert", "theatre", "nation", "northern", "school", "hospital", "archive", "cooking", "travel", "planet",
+    "forest", "river", "village", "market", "theory", "thunder", "athletics", "brother", "health", "earth", "station", "action", "edition", "nature", "reading", "learning", "other", "weaving", "southern", "method",
+    "mountain", "harbour", "kitchen", "painting", "thread", "feather", "leather", "gathering", "mathematics", "ethics", "anthem", "rhythm", "cathedral", "youth", "birthday", "writing", "pottery", "orchard", "bicycle", "lantern",
+)
+
+
+def labelled_urls() -> tuple[tuple[str, int], ...]:
+    """The small labelled table the classifier is trained from: (url, 1 for urls to block), two hosts for each word.
+
+    Sub-domains, endings and paths go round in both classes alike, so that only the names tell them apart.
+    """
+    out = []
+    for label, vocabulary in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS)):
+        n = len(vocabulary)
+        for i, word in enumerate(vocabulary):
+            for k, name in enumerate((f"{word}-{vocabulary[(i + 7) % n]}", word if i % 2 else f"{vocabulary[(i + 11) % n]}{word}")):
+                sub, end = ("", "www.", "m.", "blog.", "shop.")[(i + k) % 5], ("com", "org", "net")[(i + 2 * k) % 3]
+                path = ("/en/12", "/de/345.html", "/fr/7/", "/es/9876?page=2", "/en/54#top", "/index.html", "/")[(2 * i + k) % 7]
+                out.append((f"http://{sub}{name}.example.{end}{path}", label))
+    return tuple(out)
+
+
 BUCKETS = 1 << 14
 SIZES = (3, 4, 5)
 
@@ -85,7 +99,7 @@ def _split(url: str) -> tuple[str, str]:
 class UrlModel:
     """Logistic regression on the set of hashed grams of a url (each of value 1 / sqrt(set size))."""
 
-    def __init__(self, labelled=LABELLED, rounds: int = 400, rate: float = 2.0, ridge: float = 1e-4) -> None:
+    def __init__(self, labelled: tuple[tuple[str, int], ...], rounds: int = 400, rate: float = 2.0, ridge: float = 1e-4) -> None:
         pairs = [_split(u) for u, _ in labelled]
         x = self.features(_framed([h for h, _ in pairs], [p for _, p in pairs]), len(pairs))
         y = np.array([v for _, v in labelled], dtype=np.float64)
@@ -113,14 +127,15 @@ class UrlModel:
         return self.score_of(self.features(_framed(host, path), len(host)), len(host))
 
 
-def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, labelled=LABELLED, threshold: float = 0.5) -> DataFrame:
-    """pages' page_id with host, path, rule, verdict and score (the classifier's probability of block).
+def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, labelled: tuple[tuple[str, int], ...] | None = None, threshold: float = 0.5) -> DataFrame:
+    """pages' page_id with host, path, rule, verdict and score (the classifier's probability of block); labelled: (url, 1 for
+    block), see labelled_urls().
 
     A rule's verdict stands; without one, block if score >= threshold.  Null urls and urls without ://
     have empty host and path and get the classifier's verdict on that; nothing is dropped, repeated
     rows are judged alike, an empty table gives an empty result.  Columns beside page_id and url are ignored.
     """
-    model = UrlModel(labelled)
+    model = UrlModel(labelled_urls() if labelled is None else labelled)
     host, path = host_path(url)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parsed = pages.select("page_id", host.alias("host"), path.alias("path")).select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"))
