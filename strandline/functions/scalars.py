@@ -16,8 +16,10 @@ def micros(seconds: str | Column) -> Column:
 
 
 def epoch_micros(timestamp: str | Column) -> Column:
-    """Microseconds since the epoch of a timestamp read as UTC; the session time zone must be UTC for text and NTZ input."""
-    return F.unix_micros(col(timestamp).cast("timestamp"))
+    """Microseconds since the epoch of a timestamp without zone (or its text), read as UTC whatever the session's time zone is."""
+    t = col(timestamp).cast("timestamp_ntz")
+    of_day = F.hour(t) * 3600 + F.minute(t) * 60
+    return (F.unix_date(t.cast("date")).cast("long") * 86_400 + of_day) * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long")
 
 
 def elapsed_dhms(seconds: str | Column) -> Column:

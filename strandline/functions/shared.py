@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; one of our own only where that is unset."""
+    """spark.checkpoint.dir of the session; one of our own only where that is unset and driver and tasks are one process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="strandline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import re
 import tarfile
 from collections.abc import Sequence
 from functools import reduce
@@ -11,9 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.shared import written
 from strandline.operators.segments import islands, row_numbers
-from strandline.sources.files import copy_file, file_system, join_path, read_bytes, write_bytes
+from strandline.sources.files import copy_file, join_path, read_bytes, write_bytes
 
 
 def union_by_name(tables: Sequence[DataFrame], port: str | None = "__port") -> DataFrame:
@@ -51,11 +49,13 @@ def never_combined(outfile: str) -> bool:
 
 
 def collect_artifacts(spark, paths: Sequence[str], folder: str, outfile: str) -> list[str]:
-    """Files of several branches in one folder: copies named <number>_<outfile>, or archives unpacked each in its own."""
+    """Files of several branches in one folder: copies named <number>_<outfile>, or archives unpacked each in its own
+    folder <number>_<name of the archive up to its first dot>; numbers begin with 1."""
     made = []
-    for k, path in enumerate(paths):
-        if combine_kind(outfile, True, path) == "untar":
-            stem = re.sub(r"\.(tgz|tar\.gz)$", "", outfile)
+    archives = bool(paths) and combine_kind(outfile, True, paths[0]) == "untar"
+    for k, path in enumerate(paths, 1):
+        if archives:
+            stem = path.rstrip("/").rsplit("/", 1)[-1].split(".", 1)[0]
             made += untar(spark, path, join_path(folder, f"{k}_{stem}"))
         else:
             made.append(join_path(folder, f"{k}_{outfile}"))
@@ -83,16 +83,12 @@ def distinct_branches(branches: Sequence, key=lambda b: b.fingerprint) -> list:
 
 
 def scatter(df: DataFrame, splits: int, key: str) -> DataFrame:
-    """df with split_ID 1..splits, by the key's remainder, one partition range per split."""
-    return df.withColumn("split_ID", (F.pmod(F.col(key), F.lit(splits)) + 1).cast("int")).repartition(splits, "split_ID")
+    """df with split_ID 1..splits, by the key's remainder (null: the first), each split a partition of its own."""
+    number = F.coalesce(F.pmod(F.col(key), F.lit(splits)) + 1, F.lit(1)).cast("int")
+    return df.withColumn("split_ID", number).repartitionById(splits, F.col("split_ID") - 1)
 
 
 def gather(split: DataFrame) -> DataFrame:
     return split.drop("split_ID")
 
 
-def frozen(df: DataFrame, name: str = "combined") -> DataFrame:
-    return written(df, name)
-
-
-__all__ = ["collect_artifacts", "combine_file_groups", "combine_kind", "combine_selections", "distinct_branches", "file_system", "frozen", "gather", "never_combined", "scatter", "union_by_name", "untar"]

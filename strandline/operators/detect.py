@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.segments import by_range, ranged, row_numbers
 
-#: Width of the time buckets of the interval join.
+#: Width of the narrowest time buckets of the interval join.
 BUCKET_US = 600_000_000
 
 
@@ -21,20 +21,37 @@ def apply_cutoff(detections: DataFrame, cutoff: float, score: str = "prob") -> D
     return detections.where(F.col(score) >= cutoff)
 
 
-def _buckets(start: Column, end: Column, width: int) -> Column:
-    return F.sequence(F.floor(start / width), F.floor(end / width))
+def _level(start: Column, end: Column, width: int) -> Column:
+    """0 for an interval of at most width, one more for each doubling of it."""
+    return F.greatest(F.lit(0), F.ceil(F.log2((end - start) / F.lit(float(width))))).cast("int")
+
+
+def _levels(df: DataFrame, width: int) -> set[int]:
+    """The levels that occur: some dozen numbers, as times are 64-bit."""
+    return {r[0] for r in df.select(_level(F.col("start_us"), F.col("end_us"), width)).distinct().collect()}
+
+
+def _placed(df: DataFrame, levels: list[int], width: int) -> DataFrame:
+    """Each interval once for each bucket it meets at its own level and at those above it that occur: two or three buckets a level."""
+    own = _level(F.col("start_us"), F.col("end_us"), width)
+    wide = F.expr(f"shiftleft({width}L, __l)")
+    at = df.withColumn("__own", own).withColumn("__l", F.explode(F.array(*[F.lit(x) for x in levels]))).where("__l >= __own")
+    return at.withColumn("__w", wide).withColumn("__b", F.explode(F.sequence(F.floor(F.col("start_us") / F.col("__w")), F.floor(F.col("end_us") / F.col("__w")))))
 
 
 def overlaps(detections: DataFrame, truth: DataFrame, keys: Sequence[str] = (), bucket_us: int = BUCKET_US) -> DataFrame:
     """(det_id, gt_id, iou) of each detection and ground-truth interval that overlap by more than a point.
 
-    Both sides are put in time buckets and joined on equal buckets (and keys); a pair is taken only in the
-    first bucket that both have, so none comes twice and no pair of unlike times is formed.
+    Both sides are put in time buckets and joined on equal buckets (and keys).  Buckets come in widths that double; a
+    pair is looked for at the level of its longer interval, which meets two or three buckets there however long it is, and
+    taken only in the first bucket that both have, so none comes twice and no pair of unlike times is formed.
     """
-    d = detections.where("end_us > start_us").select("det_id", *keys, F.col("start_us").alias("ds"), F.col("end_us").alias("de"), F.explode(_buckets(F.col("start_us"), F.col("end_us"), bucket_us)).alias("__b"))
-    g = truth.where("end_us > start_us").select("gt_id", *keys, F.col("start_us").alias("gs"), F.col("end_us").alias("ge"), F.explode(_buckets(F.col("start_us"), F.col("end_us"), bucket_us)).alias("__b"))
-    pairs = d.join(g, ["__b", *keys]).where((F.col("ds") < F.col("ge")) & (F.col("gs") < F.col("de")))
-    pairs = pairs.where(F.col("__b") == F.floor(F.greatest("ds", "gs") / bucket_us))
+    d, g = detections.where("end_us > start_us"), truth.where("end_us > start_us")
+    levels = sorted(_levels(d, bucket_us) | _levels(g, bucket_us)) or [0]
+    d = _placed(d, levels, bucket_us).select("det_id", *keys, F.col("start_us").alias("ds"), F.col("end_us").alias("de"), F.col("__own").alias("__do"), "__l", "__w", "__b")
+    g = _placed(g, levels, bucket_us).select("gt_id", *keys, F.col("start_us").alias("gs"), F.col("end_us").alias("ge"), F.col("__own").alias("__go"), "__l", "__b")
+    pairs = d.join(g, ["__l", "__b", *keys]).where((F.col("ds") < F.col("ge")) & (F.col("gs") < F.col("de")))
+    pairs = pairs.where((F.col("__l") == F.greatest("__do", "__go")) & (F.col("__b") == F.floor(F.greatest("ds", "gs") / F.col("__w"))))
     inter = F.least("de", "ge") - F.greatest("ds", "gs")
     union = F.greatest("de", "ge") - F.least("ds", "gs")
     return pairs.select("det_id", "gt_id", (inter / union).alias("iou"))
@@ -130,9 +147,60 @@ def runs_above(df: DataFrame, value: str, threshold: float, order: Sequence[str]
     return marked.withColumn("run", run).where("__on").groupBy(*keys, "run").agg(F.count("*").alias("n"), F.max(value).alias("peak"))
 
 
+#: Columns of an annotation tool's table and what they hold here; times are seconds from the start of the file.
+ANNOTATION = {"Selection": "det_id", "Begin File": "FileName", "Begin Time (s)": "start_us", "End Time (s)": "end_us", "Label": "label", "Score": "prob"}
+
+
+def to_annotations(detections: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Detections (det_id, FileName, start_us, end_us, label, prob; times from the start of the file) as an annotation tool's
+    table.  With files (FileName), each file without detections has one row of nulls, so that it can be looked through too.
+    """
+    rows = fill_files(detections, files.select("FileName").distinct(), "FileName") if files is not None else detections
+    seconds = lambda c: F.col(c) / 1_000_000
+    return rows.select(*[(seconds(c) if c.endswith("_us") else F.col(c)).alias(name) for name, c in ANNOTATION.items()])
+
+
+def from_annotations(table: DataFrame) -> DataFrame:
+    """Detections from an annotation tool's table; rows without times (files without detections) go, and columns that the table
+    lacks are null."""
+    kinds = {"det_id": "long", "FileName": "string", "start_us": "long", "end_us": "long", "label": "string", "prob": "double"}
+    have = {name: F.col(f"`{name}`") if name in table.columns else F.lit(None) for name in ANNOTATION}
+    micro = lambda c: F.round(c.cast("double") * 1_000_000)
+    out = table.select(*[(micro(have[name]) if c.endswith("_us") else have[name]).cast(kinds[c]).alias(c) for name, c in ANNOTATION.items()])
+    return out.where("start_us is not null and end_us is not null")
+
+
+def detection_features(detections: DataFrame, samples: DataFrame, tiles: int, buffer_us: int = 0, normalise: bool = False, keys: Sequence[str] = (), bucket_us: int = BUCKET_US) -> DataFrame:
+    """(det_id, tile, n, mean, peak) of the samples (time_us, value) in each detection, cut in `tiles` equal parts of its time.
+
+    A detection reaches buffer_us beyond both its ends; end times are outside.  normalise: values count as distances from the
+    detection's mean in its standard deviations (0 where that is 0).  Tiles without samples have no row; samples
+    without value or time take no part.
+    """
+    wide = detections.select("det_id", *keys, (F.col("start_us") - buffer_us).alias("start_us"), (F.col("end_us") + buffer_us).alias("end_us"))
+    points = samples.where("time_us is not null and value is not null").select(*keys, F.col("time_us").alias("start_us"), "value", F.col("time_us").alias("end_us"))
+    d = wide.where("end_us > start_us")
+    levels = sorted(_levels(d, bucket_us)) or [0]
+    d = _placed(d, levels, bucket_us).where("__l = __own").select("det_id", *keys, F.col("start_us").alias("ds"), F.col("end_us").alias("de"), "__l", "__b")
+    p = points.withColumn("__l", F.explode(F.array(*[F.lit(x) for x in levels])))
+    p = p.select(*keys, F.col("start_us").alias("t"), "value", "__l", F.floor(F.col("start_us") / F.expr(f"shiftleft({bucket_us}L, __l)")).alias("__b"))
+    inside = d.join(p, ["__l", "__b", *keys]).where((F.col("t") >= F.col("ds")) & (F.col("t") < F.col("de")))
+    tile = F.least(F.floor((F.col("t") - F.col("ds")) * tiles / (F.col("de") - F.col("ds"))), F.lit(tiles - 1)).cast("int")
+    out = inside.groupBy("det_id", tile.alias("tile")).agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("peak"))
+    if not normalise:
+        return out
+    per = inside.groupBy("det_id").agg(F.avg("value").alias("__m"), F.stddev_pop("value").alias("__s"))
+    z = lambda c: F.when(F.col("__s") > 0, (F.col(c) - F.col("__m")) / F.col("__s")).otherwise(F.lit(0.0)).alias(c)
+    return out.join(per, "det_id").select("det_id", "tile", "n", z("mean"), z("peak"))
+
+
 def balanced_sample(labelled: DataFrame, fp_multiple: float, key: str, label: str = "label") -> DataFrame:
-    """All TP rows and at most fp_multiple times as many FP rows, those of least key."""
+    """All TP rows and at most fp_multiple times as many FP rows, those of least key; equal keys in an arbitrary order.
+
+    How many that are is known only when the rows are read: each FP row has its number among the FP rows, which is compared
+    with the number of TP rows, one row.
+    """
     tp = labelled.where(F.col(label) == "TP")
-    limit = int(tp.count() * fp_multiple)
     fp = row_numbers(labelled.where(F.col(label) == "FP"), [key], "__n")
-    return tp.unionByName(fp.where(F.col("__n") <= limit).drop("__n"))
+    most = tp.agg(F.floor(F.count("*") * F.lit(float(fp_multiple))).alias("__most"))
+    return tp.unionByName(fp.join(F.broadcast(most), F.col("__n") <= F.col("__most")).drop("__n", "__most"))

@@ -21,7 +21,9 @@ TOLERANCE_US = 1_000_000
 
 def segment_bounds(df: DataFrame, start: str = "StartTime", seg_start: str = "SegStart", seg_dur: str = "SegDur") -> DataFrame:
     """df with true_start_us and true_end_us: start plus offset, and that plus duration, in whole microseconds."""
-    first = epoch_micros(start) + micros(seg_start)
+    # a timestamp with zone is a moment already
+    moment = F.unix_micros(start) if dict(df.dtypes)[start] == "timestamp" else epoch_micros(start)
+    first = moment + micros(seg_start)
     return df.withColumn("true_start_us", first).withColumn("true_end_us", first + micros(seg_dur))
 
 

@@ -9,11 +9,14 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandline.operators.combine import combine_kind, combine_selections, combine_file_groups, never_combined, union_by_name
-from strandline.plans.graph import Node, Registry
+from strandline.operators.combine import collect_artifacts, combine_file_groups, combine_kind, combine_selections, gather, never_combined, scatter, union_by_name
+from strandline.plans.graph import Node, PlanError, Process, Registry
+from strandline.plans.loaders import Context
+from strandline.plans.methods import command, run_lines
 from strandline.plans.params import dump
-from strandline.sources.files import copy_file, delete, exists, join_path, read_bytes, write_bytes, write_csv
+from strandline.sources.files import delete, exists, export, join_path, read_bytes, upload, write_bytes, write_csv
 
 
 class Store:
@@ -88,8 +91,11 @@ def descendants(root: Node, fp: str) -> set[str]:
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, registry: Registry, root: str) -> None:
+    """methods_root: the folder of external methods, as the executors see it."""
+
+    def __init__(self, spark: SparkSession, registry: Registry, root: str, methods_root: str | None = None, context: Context | None = None) -> None:
         self.spark, self.registry, self.store = spark, registry, Store(spark, root)
+        self.methods_root, self.context = methods_root, context or Context()
 
     def explain(self, root: Node) -> str:
         """The graph with what is already there."""
@@ -105,7 +111,8 @@ class Engine:
                 self.store.drop({n.fingerprint} | ancestors(n))
 
     def run(self, root: Node, export: bool = False, definition: Mapping[str, Any] | None = None) -> Run:
-        """Makes what is missing, inputs first.  export also writes the job's tables and a manifest to outputs/<job>/<fingerprint>."""
+        """Makes what is missing, inputs first.  export also writes the job's tables and files and a manifest to
+        outputs/<job>/<fingerprint>, and from there to the context's upload folder if it has one."""
         self.invalidate(root)
         run = Run()
         used: dict[str, int] = {}
@@ -115,6 +122,8 @@ class Engine:
         lazy: dict[str, DataFrame] = {}
         need = self._needed(root)
         ends = {c.fingerprint for c in root.children} if root.kind == "job" else {root.fingerprint}
+        # an external method reads its further inputs where they lie
+        ends |= {c.fingerprint for n in root.walk() if self._external(n) for c in n.children[1:]}
         for n in root.walk():
             if n.kind == "job" or n.fingerprint not in need:
                 continue
@@ -124,7 +133,7 @@ class Engine:
                 continue
             df = self._build(n, [lazy[c.fingerprint] for c in n.children])
             # cheap chains stay one Spark plan; tables are written where they end, fan out or wait for someone
-            lazy[n.fingerprint] = self.store.put(n, df) if n.fingerprint in ends or used.get(n.fingerprint, 0) > 1 or self._is_review(n) else df
+            lazy[n.fingerprint] = self.store.put(n, df) if n.fingerprint in ends or used.get(n.fingerprint, 0) > 1 or self._is_review(n) or never_combined(n.outfile) else df
             run.made.append(n.fingerprint)
         for n in root.children if root.kind == "job" else (root,):
             run.outputs[n.name] = self.store.entry(n.fingerprint)["path"]
@@ -152,20 +161,55 @@ class Engine:
 
     def _build(self, n: Node, inputs: list[DataFrame]) -> DataFrame:
         if n.kind == "combine":
-            kind = combine_kind(n.outfile, never_combined(n.outfile))
+            if never_combined(n.outfile):
+                paths = [r.path for x in inputs for r in x.collect()]  # a row a file
+                return self._files(collect_artifacts(self.spark, paths, join_path(self.store.folder(n.fingerprint), f"files-{uuid.uuid4().hex[:8]}"), n.outfile))
+            kind = combine_kind(n.outfile, False)
             if kind == "selections":
                 return combine_selections(inputs, [c for c in inputs[0].columns if c != "Selection"])
             if kind == "file_group":
                 return combine_file_groups(inputs, ["StartTime", "FileName", "SegStart"])
             return union_by_name(inputs, None)
         process = self.registry.get(n.name)
+        if n.kind == "gather":
+            return union_by_name(inputs, None)
+        if n.kind == "split":
+            share = scatter(inputs[0], n.parts, process.split_key).where(F.col("split_ID") == n.part)
+            inputs = [gather(share), *inputs[1:]]
         if process.review:
             return self._review(n, inputs)
         fn = process.fn
         if n.bound.method.id:
             fn = self.registry.methods.get((n.bound.section, n.bound.method.id, n.bound.method.version), fn)
+        if fn is None:
+            return self._call(n, process, inputs)
+        if process.artifact:
+            folder = join_path(self.store.folder(n.fingerprint), f"files-{uuid.uuid4().hex[:8]}")
+            made = fn(inputs, dict(n.bound.params), folder)
+            return self._files([made] if isinstance(made, str) else list(made))
         return fn(inputs, dict(n.bound.params))
 
+    def _files(self, paths: list[str]) -> DataFrame:
+        """An artifact as others take it: a row a file."""
+        return self.spark.createDataFrame([(p,) for p in paths], "path string")
+
+    def _external(self, n: Node) -> bool:
+        if n.kind not in ("process", "split") or n.bound is None or not n.bound.method.id:
+            return False
+        process = self.registry.get(n.name)
+        return process.fn is None and process.lines is not None and (n.bound.section, n.bound.method.id, n.bound.method.version) not in self.registry.methods
+
+    def _call(self, n: Node, process: Process, inputs: list[DataFrame]) -> DataFrame:
+        """The program of the process's method on the rows of its first input.  Its arguments are the tables of the further
+        inputs and then the parameters' values in the order of their names."""
+        if not self._external(n) or not inputs:
+            raise PlanError(f"{n.name} has no function and no external method to run")
+        if self.methods_root is None:
+            raise PlanError(f"{n.name} runs an external method, the engine has no methods_root")
+        tables = [self.store.entry(c.fingerprint)["path"] for c in n.children[1:]]
+        values = [str(v) for _, v in sorted(n.bound.params.items())]
+        return run_lines(inputs[0], command(self.methods_root, n.bound, [*tables, *values], self.context.argument_separator), process.lines)
+
     def _review(self, n: Node, inputs: list[DataFrame]) -> DataFrame:
         """The accepted replacement of the input; without one the run stops here with what is to be reviewed."""
         place = join_path(self.store.root, "review", n.fingerprint)
@@ -182,13 +226,17 @@ class Engine:
     def _export(self, root: Node, run: Run, definition: Mapping[str, Any] | None) -> None:
         folder = join_path(self.store.root, "outputs", root.name, root.fingerprint)
         lines = {}
+        artifacts = {n.name for n in (root.children if root.kind == "job" else (root,)) if never_combined(n.outfile)}
         for name, path in run.outputs.items():
             target = join_path(folder, name)
-            write_csv(self.spark.read.parquet(path), target)
+            if name in artifacts:
+                for r in self.spark.read.parquet(path).collect():  # a row a file
+                    export(self.spark, r.path, target)
+            else:
+                write_csv(self.spark.read.parquet(path), target)
             lines[name] = path
         write_bytes(self.spark, join_path(folder, "manifest.json"), json.dumps([{"pipe": k, "path": v} for k, v in sorted(lines.items())]).encode())
         if definition:
             write_bytes(self.spark, join_path(folder, "parameters_archive.nt"), dump(definition).encode())
-
-
-__all__ = ["Engine", "PendingReview", "ReviewPending", "Run", "Store", "ancestors", "copy_file", "descendants"]
+        if self.context.upload_to:
+            upload(self.spark, folder, self.context.upload_to)

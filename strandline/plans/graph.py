@@ -61,6 +61,15 @@ class Process:
     upstream: tuple[str, ...] = ()
     outfile: str = "out.csv.gz"
     review: bool = False
+    #: Schema of the lines that an external method gives back; its first input's rows are its standard input.
+    lines: str | None = None
+    #: A process that may run in splits names the column whose remainder deals its first input out.
+    split_key: str | None = None
+
+    @property
+    def artifact(self) -> bool:
+        """Whether it makes files: fn(inputs, params, folder) writes them and returns a path or several."""
+        return never_combined(self.outfile)
 
 
 class Registry:
@@ -69,9 +78,9 @@ class Registry:
         self.shapes = dict(SHAPES)
         self.methods: dict[tuple[str, str, str], Any] = {}
 
-    def process(self, name: str, shape: str = "NoUpstream", upstream: Sequence[str] = (), outfile: str = "out.csv.gz", review: bool = False) -> Callable:
-        def add(fn: Callable) -> Callable:
-            self.processes[name] = Process(name, fn, shape, tuple(upstream), outfile, review)
+    def process(self, name: str, shape: str = "NoUpstream", upstream: Sequence[str] = (), outfile: str = "out.csv.gz", review: bool = False, lines: str | None = None, split_key: str | None = None) -> Callable:
+        def add(fn: Callable | None) -> Callable | None:
+            self.processes[name] = Process(name, fn, shape, tuple(upstream), outfile, review, lines, split_key)
             return fn
 
         return add
@@ -94,7 +103,11 @@ class Registry:
 
 @dataclass(frozen=True)
 class Node:
-    """One table or artifact to make.  kind: process, combine or job."""
+    """One table or artifact to make.  kind: process, combine, split, gather or job.
+
+    A split is its process on the part-th of `parts` shares of the first input; the gather over all of them has the
+    fingerprint of the undivided process, since in how many splits it runs is no part of what it is.
+    """
 
     kind: str
     name: str
@@ -104,6 +117,8 @@ class Node:
     outfile: str = ""
     hard_rerun: bool = False
     trim_tree: bool = False
+    part: int = 0
+    parts: int = 1
 
     def walk(self) -> Iterator[Node]:
         """This node and all below it, each fingerprint once, inputs first."""
@@ -126,7 +141,16 @@ class Node:
 def process_node(process: Process, bound: Bound, children: Sequence[Node]) -> Node:
     args = bound.arguments
     fp = fingerprint(process.name, [c.fingerprint for c in children], bound.params, (bound.method.id, bound.method.version), args.get("rerun_key"))
-    return Node("process", process.name, tuple(children), fp, bound, process.outfile, args.get("hard_rerun") == "y", args.get("trim_tree") == "y")
+    marks = (args.get("hard_rerun") == "y", args.get("trim_tree") == "y")
+    parts = int(args.get("splits", "1"))
+    if parts < 1:
+        raise PlanError(f"{process.name}: splits must be at least 1")
+    if parts == 1 or process.split_key is None:
+        return Node("process", process.name, tuple(children), fp, bound, process.outfile, *marks)
+    if not children:
+        raise PlanError(f"{process.name} has no input to split")
+    splits = [Node("split", process.name, tuple(children), fingerprint(process.name, [fp], {"split_ID": k, "splits": parts}), bound, process.outfile, *marks, k, parts) for k in range(1, parts + 1)]
+    return Node("gather", process.name, tuple(splits), fp, bound, process.outfile, *marks)
 
 
 def combine_node(branches: Sequence[Node]) -> Node:

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import subprocess
+import tempfile
+import threading
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandline.plans.params import Bound
 
 #: Program and file ending of each language that a descriptor can name.
 LANGUAGES = {"R": (["Rscript"], ".R"), "Python": (["python"], ".py"), "MATLAB": (["matlab", "-batch"], ".m"), "batch": ([], ".bat")}
+#: How a field stands on a line: a missing value, and characters that would end the field or the line.
+NULL = r"\N"
+ESCAPES = {"\\": "\\\\", "\n": r"\n", "\r": r"\r", "\t": r"\t"}
+ROWS = 10_000
 
 
 class MethodError(ValueError):
@@ -59,22 +68,78 @@ def command(root: str, bound: Bound, arguments: Sequence[str], sep: str = " ") -
     return out
 
 
+def to_line(fields: Sequence[str | None], sep: str = "\t") -> str:
+    escapes = str.maketrans(ESCAPES | ({sep: r"\s"} if sep != "\t" else {}))
+    return sep.join(NULL if x is None else x.translate(escapes) for x in fields)
+
+
+def from_line(line: str, sep: str = "\t") -> list[str | None]:
+    plain = {v[1]: k for k, v in ESCAPES.items()} | {"s": sep}
+    return [None if x == NULL else re.sub(r"\\(.)", lambda m: plain.get(m[1], m[0]), x) for x in line.split(sep)]
+
+
 def run_lines(df: DataFrame, argv: Sequence[str], schema: str, sep: str = "\t", env: Mapping[str, str] | None = None) -> DataFrame:
-    """Each partition's rows as separated lines to a program's standard input, its output lines as rows of `schema`.
+    r"""Each partition's rows as separated lines to a program's standard input, its output lines as rows of `schema`.
 
-    A program that fails makes the task fail, with the end of what it wrote to standard error.
+    One program runs per partition that has rows; lines stream through it both ways.  Values are Spark's own texts of
+    them; \ before \, n, r, t (and s for another separator) stands for the character, \N alone for a missing value, in both
+    directions.  A program that fails, or a line with another number of fields, makes the task fail, with the end of what
+    the program wrote to standard error.
     """
-    names = [f.strip().split(" ")[0] for f in schema.split(",")]
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            text = pdf.to_csv(sep=sep, index=False, header=False)
-            done = subprocess.run(list(argv), input=text, capture_output=True, text=True, env=dict(env) if env else None)
-            if done.returncode:
-                raise RuntimeError(f"{argv[0]} ended with {done.returncode}: {done.stderr[-500:]}")
-            rows = [x.split(sep) for x in done.stdout.splitlines()]
-            yield pd.DataFrame(rows, columns=names)
-
-    strings = ", ".join(f"{n} string" for n in names)
-    out = df.mapInPandas(run, strings)
-    return out.selectExpr(*(f"cast({n} as {f.strip().split(' ', 1)[1]}) as {n}" for n, f in zip(names, schema.split(","), strict=True)))
+    if len(sep) != 1 or sep.isalnum() or sep in "\\\n\r":
+        raise MethodError("a separator is one character, and no letter, digit, backslash or line end")
+    fields = T._parse_datatype_string(schema).fields
+    texts = pa.schema([(f.name, pa.string()) for f in fields])
+
+    def rows(lines: list[str]) -> pa.RecordBatch:
+        split = [from_line(x, sep) for x in lines]
+        if bad := next((x for x in split if len(x) != len(fields)), None):
+            raise RuntimeError(f"{argv[0]} gave a line of {len(bad)} fields instead of {len(fields)}")
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*split, strict=True)], schema=texts)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((rb for rb in it if rb.num_rows), None)
+        if first is None:
+            return
+        trouble: list[BaseException] = []
+        with tempfile.TemporaryFile() as said:
+            program = subprocess.Popen(list(argv), stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=said, env=dict(env) if env else None)
+
+            def feed() -> None:
+                try:
+                    with program.stdin as to:
+                        rb: pa.RecordBatch | None = first
+                        while rb is not None:
+                            to.writelines((to_line(x, sep) + "\n").encode() for x in zip(*(c.to_pylist() for c in rb.columns), strict=True))
+                            rb = next(it, None)
+                except BrokenPipeError:
+                    pass  # a program may stop reading; its return code decides
+                except BaseException as e:  # noqa: BLE001  raised again by the task
+                    trouble.append(e)
+
+            feeder = threading.Thread(target=feed, daemon=True)
+            feeder.start()
+            try:
+                held: list[str] = []
+                for line in program.stdout:
+                    held.append(line.removesuffix(b"\n").decode())
+                    if len(held) == ROWS:
+                        yield rows(held)
+                        held = []
+                if held:
+                    yield rows(held)
+                feeder.join()
+                if trouble:
+                    raise trouble[0]
+                if code := program.wait():
+                    said.seek(max(0, said.seek(0, 2) - 500))
+                    raise RuntimeError(f"{argv[0]} ended with {code}: {said.read().decode(errors='replace')}")
+            finally:
+                if program.poll() is None:
+                    program.kill()
+                program.stdout.close()
+                program.wait()
+
+    strings = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    out = strings.mapInArrow(run, ", ".join(f"`{f.name}` string" for f in fields))
+    return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])

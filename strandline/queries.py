@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import scalars
+from strandline.functions.shared import shared_dir
 from strandline.operators import combine, detect, segments
-from strandline.plans.graph import Compiler, Registry, Scope, scan_points
-from strandline.plans.engine import ancestors, descendants
+from strandline.plans.engine import Engine, ancestors, descendants
+from strandline.plans.graph import Compiler, Registry, Scope, process_node, scan_points
 from strandline.plans.methods import run_lines
-from strandline.plans.params import at_index
+from strandline.plans.params import at_index, bind
+from strandline.sources.files import join_path, read_file_groups, write_csv
 
 TOLERANCE_US = 180_000_000
 CAP_S = 900.0
@@ -81,14 +84,28 @@ def param_scan_product(spark, sf_dir):
 
 
 def param_scan_zip_sorted(spark, sf_dir):
-    lists = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("names"), F.array_sort(F.collect_list(F.col("n_nationkey").cast("string"))).alias("keys"))
-    zipped = lists.select("n_regionkey", F.posexplode(F.arrays_zip("names", "keys")).alias("scan_id", "z"))
-    return zipped.select("n_regionkey", "scan_id", F.col("z.names").alias("n_name"), F.col("z.keys").alias("n_key"))
+    """Two list parameters of one process go through a scan together, each sorted by itself."""
+    rows = []
+    lists: dict[int, dict[str, list[str]]] = {}
+    for r in table(spark, sf_dir, "nation").orderBy("n_regionkey", "n_nationkey").collect():  # a fixed dimension
+        p = lists.setdefault(r.n_regionkey, {"names": [], "keys": []})
+        p["names"].append(r.n_name)
+        p["keys"].append(str(r.n_nationkey))
+    for region, p in lists.items():
+        tree = {"Load": {"parameters": p}}
+        for point in scan_points(tree, ["Load"]):
+            bound = bind(tree, "Load", point["Load"])
+            rows.append((region, point["Load"], bound.params["names"], bound.params["keys"]))
+    return spark.createDataFrame(rows, "n_regionkey int, scan_id int, n_name string, n_key string")
 
 
 def branch_dedupe(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_brand", "p_type")
-    return p.withColumn("branch", F.sha2(F.concat_ws("|", "p_brand", "p_type"), 256)).groupBy("branch").agg(F.min("p_brand").alias("p_brand"), F.min("p_type").alias("p_type"))
+    """One branch per nation whose process knows the region only: equal branches become one."""
+    registry = Registry()
+    registry.process("Load")(None)
+    regions = [str(r.n_regionkey) for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()]  # a fixed dimension
+    branches = [process_node(registry.get("Load"), bind({"Load": {"parameters": {"region": x}}}, "Load"), []) for x in regions]
+    return spark.createDataFrame([(b.fingerprint, int(b.bound.params["region"])) for b in combine.distinct_branches(branches)], "branch string, region int")
 
 
 def scatter_gather(spark, sf_dir):
@@ -197,7 +214,61 @@ def balanced_sample(spark, sf_dir):
 
 
 def external_method(spark, sf_dir):
-    return run_lines(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), ["cat"], "r_regionkey int, r_name string")
+    """Values that separated lines cannot hold as they are come through a program unchanged."""
+    r = table(spark, sf_dir, "region")
+    awkward = F.when(F.col("r_regionkey") == 0, F.lit('a "q" b')).when(F.col("r_regionkey") == 1, F.lit("tab\there")).when(F.col("r_regionkey") == 2, F.lit("")).when(F.col("r_regionkey") == 3, F.concat("r_name", F.lit("\\N\n\\")))
+    return run_lines(r.select("r_regionkey", "r_name", awkward.alias("note")), ["cat"], "r_regionkey int, r_name string, note string")
+
+
+def format_file_groups(spark, sf_dir):
+    """Listed file-group files as one table: written as delimited files first, one gzipped."""
+    e = table(spark, sf_dir, "events").where("event_type in ('view', 'purchase')")
+    group = e.select("event_type", F.concat(F.lit("user_"), "user_id").alias("FileName"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("StartTime"), F.lit(10.0).alias("Duration"), F.lit(0.0).alias("SegStart"), (F.col("value") * 6).alias("SegDur"), "event_id")
+    folder = f"{shared_dir(spark)}/file-groups-{uuid.uuid4().hex}"
+    for kind, name in (("view", "views.csv"), ("purchase", "purchases.csv.gz")):
+        write_csv(group.where(F.col("event_type") == kind).drop("event_type"), join_path(folder, name), gzip=name.endswith(".gz"))
+    rows = read_file_groups(spark, folder, "views.csv,purchases.csv.gz", ["StartTime", F.col("event_id").cast("long")], TOLERANCE_US)
+    return rows.select(F.col("event_id").cast("long").alias("event_id"), "FileName", "DiffTime")
+
+
+def annotations_to_detections(spark, sf_dir):
+    """Detections to an annotation tool's table, filled with files that have none, and back."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", F.concat(F.lit("user_"), "user_id").alias("FileName"), "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    base = 1_700_000_000_000_000
+    found = e.where("event_type = 'error'").select(F.col("event_id").alias("det_id"), "FileName", (F.col("us") - base).alias("start_us"), (F.col("us") - base + F.round(F.col("value") * 1e6).cast("long")).alias("end_us"), F.lit("E").alias("label"), F.col("value").alias("prob"))
+    shown = detect.to_annotations(found, e.select("FileName"))
+    return detect.from_annotations(shown).select("det_id", "FileName", "start_us", "end_us", "label", F.round("prob", 6).alias("prob"))
+
+
+def annotation_view(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", F.concat(F.lit("user_"), "user_id").alias("FileName"), "value")
+    found = e.where("event_type = 'error'").select(F.col("event_id").alias("det_id"), "FileName", F.lit(500_000).cast("long").alias("start_us"), F.lit(2_000_000).cast("long").alias("end_us"), F.lit("E").alias("label"), F.lit(0.5).alias("prob"))
+    shown = detect.to_annotations(found, e.select("FileName"))
+    return shown.select("Begin File", F.col("Selection").cast("string").alias("Selection"), "Begin Time (s)", "End Time (s)", "Label")
+
+
+def detection_features(spark, sf_dir):
+    d, _ = _detections(spark, sf_dir)
+    samples = segments.segment_bounds(segment_view(spark, sf_dir)).select(F.col("true_start_us").alias("time_us"), F.col("SegDur").alias("value"))
+    return detect.detection_features(d, samples, 3, 60_000_000).select("det_id", "tile", "n", F.round("mean", 6).alias("mean"), F.round("peak", 6).alias("peak"))
+
+
+def split_runs(spark, sf_dir):
+    """A process that runs in three splits of its input, gathered by the engine."""
+    registry = Registry()
+
+    @registry.process("Load")
+    def load(inputs, params):
+        return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+
+    @registry.process("Top", "OneUpstream", ("GetLoad",), split_key="o_custkey")
+    def top(inputs, params):
+        return inputs[0].groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("most"))
+
+    node = Compiler(registry).compile({"pipe": "OneUpstream", "OneUpstream": {"process": "Top", "GetLoad": {"process": "Load"}}}, Scope({"Top": {"parameters": {}, "arguments": {"splits": "3"}}}))
+    engine = Engine(spark, registry, f"{shared_dir(spark)}/split-{uuid.uuid4().hex}")
+    engine.run(node)
+    return engine.result(node)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -206,7 +277,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
         param_scan_product, param_scan_zip_sorted, branch_dedupe, scatter_gather, elapsed_dhms, scalar_functions, lineage_descendants, lineage_ancestors, apply_cutoff,
         assign_labels_iou, assign_labels_with_truth, merge_features_labels, perf_eval, perf_curve, split_for_evaluation, reduce_by_field, reduce_by_field_union,
-        format_truth, selection_fill, runs_above, balanced_sample, external_method,
+        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs,
     )
 }
 
@@ -250,7 +321,7 @@ SELECT event_id, event_type, 1 + coalesce(sum(CASE WHEN joined THEN 0 ELSE 1 END
     "param_scan_zip_sorted": """WITH a AS (SELECT n_regionkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1 AS i FROM nation),
 b AS (SELECT n_regionkey, n_nationkey::VARCHAR AS n_key, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey::VARCHAR) - 1 AS i FROM nation)
 SELECT a.n_regionkey, a.i::INT AS scan_id, n_name, n_key FROM a JOIN b ON a.n_regionkey = b.n_regionkey AND a.i = b.i""",
-    "branch_dedupe": "SELECT DISTINCT sha256(p_brand || '|' || p_type) AS branch, p_brand, p_type FROM part",
+    "branch_dedupe": """SELECT DISTINCT sha256('{"children":[],"method":["",""],"op":"Load","params":{"region":"' || n_regionkey || '"},"rerun_key":null}') AS branch, n_regionkey AS region FROM nation""",
     "scatter_gather": "SELECT (l_orderkey % 4 + 1)::INT AS split_ID, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY 1",
     "elapsed_dhms": "WITH s AS (SELECT event_id, floor(value * 1000)::BIGINT AS s FROM events) SELECT event_id, concat_ws(':', s // 86400, s % 86400 // 3600, s % 3600 // 60, s % 60) AS elapsed FROM s",
     "scalar_functions": r"SELECT page_id, regexp_extract(url, '^[a-z0-9+.-]+://([^/]+)', 1) AS bucket, array_to_string(string_split(regexp_replace(url, '[\r\n]', '', 'g'), '/'), ',') AS args, 'a/b' || page_id || '_edited.csv.gz' AS edited FROM pages WHERE url IS NOT NULL",
@@ -277,5 +348,15 @@ r AS (SELECT *, sum(CASE WHEN up AND NOT coalesce(before, false) THEN 1 ELSE 0 E
 SELECT user_id, run::BIGINT AS run, count(*) AS n, max(value) AS peak FROM r WHERE up GROUP BY user_id, run""",
     "balanced_sample": """WITH l AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'TP' ELSE 'FP' END AS label FROM labels), f AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS n FROM l)
 SELECT doc_id, label FROM f WHERE label = 'TP' OR n <= 2 * (SELECT count(*) FROM l WHERE label = 'TP')""",
-    "external_method": "SELECT r_regionkey, r_name FROM region",
+    "external_method": r"""SELECT r_regionkey, r_name, CASE r_regionkey WHEN 0 THEN 'a "q" b' WHEN 1 THEN 'tab' || chr(9) || 'here' WHEN 2 THEN '' WHEN 3 THEN r_name || '\N' || chr(10) || '\' END AS note FROM region""",
+    "format_file_groups": f"""WITH {_SEGMENTS}, two AS (SELECT *, CASE event_type WHEN 'view' THEN 0 ELSE 1 END AS port FROM seg WHERE event_type IN ('view', 'purchase')),
+flag AS (SELECT *, coalesce(abs(true_end_us - lead(true_start_us) OVER (ORDER BY port, StartTime, event_id)) <= 180000000, true) AS joined FROM two)
+SELECT event_id, 'user_' || user_id AS FileName, 1 + coalesce(sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (ORDER BY port, StartTime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS DiffTime FROM flag""",
+    "annotations_to_detections": "SELECT event_id AS det_id, 'user_' || user_id AS FileName, epoch_us(ts) - 1700000000000000 AS start_us, epoch_us(ts) - 1700000000000000 + round(value * 1000000)::BIGINT AS end_us, 'E' AS label, round(value, 6) AS prob FROM events WHERE event_type = 'error'",
+    "annotation_view": """WITH f AS (SELECT DISTINCT 'user_' || user_id AS name FROM events), d AS (SELECT event_id, 'user_' || user_id AS name FROM events WHERE event_type = 'error')
+SELECT f.name AS "Begin File", event_id::VARCHAR AS "Selection", CASE WHEN event_id IS NOT NULL THEN 0.5::DOUBLE END AS "Begin Time (s)", CASE WHEN event_id IS NOT NULL THEN 2.0::DOUBLE END AS "End Time (s)", CASE WHEN event_id IS NOT NULL THEN 'E' END AS "Label" FROM f LEFT JOIN d USING (name)""",
+    "detection_features": f"""WITH {_SEGMENTS}, det AS (SELECT event_id AS det_id, true_start_us - 60000000 AS s, true_end_us + 60000000 AS e FROM seg WHERE event_type = 'click'),
+inside AS (SELECT det_id, least((true_start_us - s) * 3 // (e - s), 2)::INT AS tile, SegDur AS v FROM det JOIN seg ON true_start_us >= s AND true_start_us < e WHERE e > s)
+SELECT det_id, tile, count(*) AS n, round(avg(v), 6) AS mean, round(max(v), 6) AS peak FROM inside GROUP BY det_id, tile""",
+    "split_runs": "SELECT o_custkey, count(*) AS n, max(o_totalprice) AS most FROM orders GROUP BY o_custkey",
 }

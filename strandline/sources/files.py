@@ -82,14 +82,29 @@ def peek_schema(spark: SparkSession, path: str, sep: str = ",") -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",") -> DataFrame:
-    """A delimited table with a header, plain or gzipped; types are inferred only without a schema."""
-    return spark.read.csv(path, header=True, sep=sep, schema=schema, inferSchema=schema is None)
+    """A delimited table with a header, plain or gzipped; types are inferred only without a schema.
+
+    A gzipped file is read by one task; its rows are dealt out again at once.
+    """
+    df = spark.read.csv(path, header=True, sep=sep, schema=schema, inferSchema=schema is None)
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if path.endswith(".gz") else df
 
 
 def read_file_group(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, peek_schema(spark, path))
 
 
+def read_file_groups(spark: SparkSession, folder: str, names: Sequence[str] | str, order: Sequence[str] = ("StartTime", "FileName", "SegStart"), tolerance_us: int = 1_000_000) -> DataFrame:
+    """The listed file groups of a folder (a list, or its names joined by commas, as a list parameter without a scan gives
+    them) as one table, in the order of the list, with the island numbers of consecutive files; a file's own metadata columns are
+    null for the others.
+    """
+    from strandline.operators.combine import combine_file_groups
+
+    listed = [x for x in (names.split(",") if isinstance(names, str) else names)]
+    return combine_file_groups([read_file_group(spark, join_path(folder, x)) for x in listed], order, tolerance_us)
+
+
 def read_selections(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     return read_csv(spark, path, schema, sep="\t")
 

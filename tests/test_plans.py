@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import combine
 from strandline.plans import engine as en
-from strandline.plans import methods, params
+from strandline.plans import loaders, methods, params
 from strandline.plans.fingerprint import fingerprint
 from strandline.plans.graph import Compiler, PlanError, Registry, Scope, scan_points
 from strandline.sources import files
@@ -219,6 +219,33 @@ def test_commands():
         methods.separator(";")
 
 
+def test_lines_hold_any_value():
+    for sep in ("\t", ",", "|"):
+        for row in (["a", None], ["", r"\N"], ["t\tb", "n\nl"], ["\\", "r\r"], [sep, f"x{sep}{sep}y"], ["\\s\\n", "é"]):
+            assert methods.from_line(methods.to_line(row, sep), sep) == row
+
+
+def test_external_method_with_awkward_values(spark):
+    rows = [(1, 'a "q" b', 1.5), (2, None, None), (3, "tab\there\nand line\r", -0.25), (4, "", 0.0), (5, r"\N \t", 1e300)]
+    df = spark.createDataFrame(rows, "id long, x string, d double").repartition(2)
+    for sep in ("\t", ";"):
+        assert sorted(methods.run_lines(df, ["cat"], "id long, x string, d double", sep).collect()) == rows
+    assert methods.run_lines(df.limit(0), ["cat"], "id long, x string, d double").count() == 0
+    typed = df.selectExpr("id", "cast(id as decimal(10,2)) as money", "timestamp_ntz'2024-03-10 02:30:00.123456' as t")
+    assert sorted(methods.run_lines(typed, ["cat"], "id long, money decimal(10,2), t timestamp_ntz").collect()) == sorted(typed.collect())
+
+
+def test_one_program_runs_per_partition(spark):
+    df = spark.range(30_000).repartition(3)
+    assert [r.n for r in methods.run_lines(df, ["wc", "-l"], "n string").collect()] == ["10000"] * 3
+    # a program that stops reading early and one that gives other fields than asked for
+    assert methods.run_lines(df, ["head", "-n", "2"], "id long").count() == 6
+    with pytest.raises(Exception, match="fields instead of"):
+        methods.run_lines(df, ["cat"], "a long, b long").collect()
+    with pytest.raises(methods.MethodError):
+        methods.run_lines(df, ["cat"], "a long", "ab")
+
+
 def test_external_method(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
     assert sorted(methods.run_lines(df, ["tr", "ab", "AB"], "id long, x string").collect()) == [(1, "A"), (2, "B")]
@@ -253,7 +280,136 @@ def test_sources_and_sinks(spark, tmp_path):
     assert got == {"sel.txt": "copied", "none": "error", "fg.csv": "present"}
     assert len(files.upload(spark, f"{root}/out", f"{root}/up")) == 4 and (tmp_path / "up" / "x.png").exists()
     kept = combine.collect_artifacts(spark, [f"{root}/out/x.png", f"{root}/out/y.png"], f"{root}/all", "p.png")
-    assert [p.rsplit("/", 1)[1] for p in kept] == ["0_p.png", "1_p.png"]
+    assert [p.rsplit("/", 1)[1] for p in kept] == ["1_p.png", "2_p.png"]
+
+
+def test_loops_over_artifacts(spark, tmp_path):
+    r = _registry()
+    r.spark = spark
+
+    @r.process("Plot", "OneUpstream", ("GetLoad",), outfile="plot.png")
+    def plot(inputs, p, folder):
+        path = f"{folder}/plot.png"
+        files.write_bytes(spark, path, f"{inputs[0].first().group}".encode())
+        return path
+
+    @r.process("Pack", "OneUpstream", ("GetLoad",), outfile="model.tgz")
+    def pack(inputs, p, folder):
+        out = io.BytesIO()
+        with tarfile.open(fileobj=out, mode="w:gz") as tar:
+            info = tarfile.TarInfo("deep/in.txt")
+            info.size = 2
+            tar.addfile(info, io.BytesIO(inputs[0].first().group.encode()))
+        files.write_bytes(spark, f"{folder}/model.tgz", out.getvalue())
+        return f"{folder}/model.tgz"
+
+    eng = en.Engine(spark, r, f"file://{tmp_path}/s")
+    for name, want in (("Plot", {"1_plot.png": "g1", "2_plot.png": "g2", "3_plot.png": "g3"}), ("Pack", {"1_model/in.txt": "g1", "2_model/in.txt": "g2", "3_model/in.txt": "g3"})):
+        node = Compiler(r).compile({"pipe": f"{name}.pipe", f"{name}.pipe": {"GetLoad": {"process": "Load"}}, "loop_on": "Load"}, Scope(TREE))
+        eng.run(node, export=True)
+        paths = [x.path for x in eng.result(node).collect()]
+        assert {"/".join(p.rsplit("/", 2)[1:]) if name == "Pack" else p.rsplit("/", 1)[1]: files.read_bytes(spark, p).decode() for p in paths} == want
+        r.calls.clear()
+        assert eng.run(node).made == [] and r.calls == []
+    assert (tmp_path / "s" / "outputs" / "combine").exists()
+
+
+def test_a_plan_runs_external_methods(spark, tmp_path):
+    r = _registry()
+    r.spark = spark
+    r.process("Mark", "TwoUpstream", ("GetLoad", "GetCut"), lines="id long, group string, note string")(None)
+    where = tmp_path / "methods" / "Mark" / "m"
+    where.mkdir(parents=True)
+    (where / "m-v1.py").write_text("import os, sys\ntable, word = sys.argv[1:]\nassert os.path.isdir(table.removeprefix('file:'))\nfor line in sys.stdin:\n    print(line.rstrip('\\n') + '\\t' + word)\n")
+    (where / "m-v2.py").write_text("import sys\nsys.exit('no luck')\n")
+    eng = en.Engine(spark, r, f"file:{tmp_path}/s", methods_root=str(tmp_path))
+    spec = {"pipe": "TwoUpstream", "TwoUpstream": {"process": "Mark", "GetLoad": {"process": "Load"}, "GetCut": {"process": "Cut"}}}
+    tree = lambda v: {**TREE, "Load": {"parameters": {"n": "4", "group": "g"}}, "Cut": {"parameters": {"cutoff": "2"}}, "Mark": {"parameters": {"methodID": "m", "methodvers": v, "word": "w"}, "descriptors": {"language": "Python"}}}
+    node = Compiler(r).compile(spec, Scope(tree("v1")))
+    eng.run(node)
+    assert sorted((x.id, x.group, x.note) for x in eng.result(node).collect()) == [(2, "g", "w"), (3, "g", "w")]
+    with pytest.raises(Exception, match="no luck"):
+        eng.run(Compiler(r).compile(spec, Scope(tree("v2"))))
+    with pytest.raises(PlanError):
+        en.Engine(spark, r, f"file:{tmp_path}/t").run(node)
+
+
+def test_splits_are_nodes(spark, tmp_path):
+    r = _registry()
+    r.spark = spark
+
+    @r.process("Sum", "OneUpstream", ("GetLoad",), split_key="id")
+    def total(inputs, p):
+        r.calls.append(("Sum", inputs[0].count()))
+        return inputs[0].agg(F.sum("id").alias("s"))
+
+    eng = en.Engine(spark, r, f"file://{tmp_path}")
+    spec = {"pipe": "OneUpstream", "OneUpstream": {"process": "Sum", "GetLoad": {"process": "Load"}}}
+    tree = lambda k: {"Load": {"parameters": {"n": "10", "group": "g"}}, "Sum": {"parameters": {}, "arguments": {"splits": k}}}
+    node = Compiler(r).compile(spec, Scope(tree("3")))
+    assert [n.kind for n in node.walk()].count("split") == 3 and node.kind == "gather"
+    # how it is split is no part of what it is
+    assert node.fingerprint == Compiler(r).compile(spec, Scope(tree("1"))).fingerprint
+    eng.run(node)
+    assert sorted(x.s for x in eng.result(node).collect()) == [12, 15, 18]
+    assert sorted(n for name, n in r.calls if name == "Sum") == [3, 3, 4] and [n for n, _ in r.calls].count("Load") == 1
+    for bad in ("0", "-1"):
+        with pytest.raises(PlanError):
+            Compiler(r).compile(spec, Scope(tree(bad)))
+
+
+def test_scatter_gives_each_split_a_partition(spark):
+    df = spark.range(100).selectExpr("case when id < 3 then null else id end as k")
+    got = combine.scatter(df, 4, "k").withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.collect_set("split_ID").alias("s"), F.count("*").alias("n")).collect()
+    assert sorted((r.p, r.s) for r in got) == [(0, [1]), (1, [2]), (2, [3]), (3, [4])] and sum(r.n for r in got) == 100
+
+
+def test_loaders_and_settings(spark, tmp_path):
+    (tmp_path / "pipelines").mkdir()
+    (tmp_path / "pipelines" / "P9.nt").write_text("pipe: Cut.pipe\nCut.pipe:\n    GetLoad:\n        process: Load\n")
+    (tmp_path / "project.nt").write_bytes(b"\xef\xbb\xbf" + TEXT.encode())
+    assert loaders.load_tree(spark, f"file://{tmp_path}/project.nt") == params.parse(TEXT)
+    c = Compiler(_registry(), load=loaders.pipelines_from(spark, f"file://{tmp_path}/pipelines"))
+    assert c.compile(c.pipeline("P9"), Scope(TREE)).fingerprint == c.compile(CUT, Scope(TREE)).fingerprint
+    with pytest.raises(PlanError):
+        c.pipeline("P8")
+    assert loaders.read_settings("# note\n\nHASHLEN=6\nA=b=c\nEMPTY=\n") == {"HASHLEN": "6", "A": "b=c", "EMPTY": ""}
+    with pytest.raises(ValueError, match="line 2"):
+        loaders.read_settings("A=1\nno value\n")
+    x = loaders.Context.of({"HASHLEN": "6"}, {"custom_argument_seperator": "';'", "GCS_output": "y", "GCS_path": "gs://b/p"})
+    assert (x.argument_separator, x.fingerprint_length, x.upload_to) == (";", 6, "gs://b/p")
+    assert loaders.Context.of({}, {"GCS_output": "", "GCS_path": "gs://b/p"}).upload_to is None
+    with pytest.raises(ValueError):
+        loaders.Context.of({}, {"GCS_output": "y"})
+
+
+def test_outputs_are_uploaded(spark, tmp_path):
+    r = _registry()
+    r.spark = spark
+    tree = {**TREE, "Cut": {"parameters": {"cutoff": "1"}}}
+    c = Compiler(r, {"A": CUT}, {"J": ["A"]})
+    eng = en.Engine(spark, r, f"file://{tmp_path}/s", context=loaders.Context(upload_to=f"file://{tmp_path}/up"))
+    eng.run(c.job("J", Scope({**tree, "Load": {"parameters": {"n": "4", "group": "g"}}})), export=True, definition=tree)
+    assert (tmp_path / "up" / "manifest.json").exists() and (tmp_path / "up" / "parameters_archive.nt").exists() and (tmp_path / "up" / "Cut").is_dir()
+
+
+def test_the_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from strandline.functions.shared import shared_dir
+
+    conf = SimpleNamespace(get=lambda *a: None, set=lambda *a: None)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))
+
+
+def test_listed_file_groups(spark, tmp_path):
+    head = "FileName,StartTime,Duration,SegStart,SegDur"
+    (tmp_path / "a.csv").write_text(f"{head},Site\nf2,2024-01-01 00:00:10,10,0,10,s\nf1,2024-01-01 00:00:00,10,0,10,s\n")
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as f:
+        f.write(f"{head},Depth\nf3,2024-01-02 00:00:00,10,0,10,7\n")
+    out = files.read_file_groups(spark, f"file://{tmp_path}", ["a.csv", "b.csv.gz"])
+    assert sorted((r.FileName, r.Site, r.Depth, r.DiffTime) for r in out.collect()) == [("f1", "s", None, 1), ("f2", "s", None, 1), ("f3", None, "7", 2)]
 
 
 def test_random_forest(spark):

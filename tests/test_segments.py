@@ -121,6 +121,12 @@ def test_overlap_join_over_buckets(spark):
     want = {(i, j): (min(e, y) - max(s, x)) / (max(e, y) - min(s, x)) for i, s, e in d for j, x, y in g if s < y and x < e and e > s and y > x}
     got = {(r.det_id, r.gt_id): r.iou for r in detect.overlaps(dd, gg, bucket_us=100).collect()}
     assert got == want
+    # intervals of very unlike lengths meet few buckets each
+    year = 365 * 86_400_000_000
+    long_d = spark.createDataFrame([(1, 0, 40 * year), (2, 5, 700)], "det_id long, start_us long, end_us long")
+    long_g = spark.createDataFrame([(7, 39 * year, 39 * year + 10), (8, -3 * year, 3 * year), (9, 699, 701), (10, 701, 702)], "gt_id long, start_us long, end_us long")
+    assert sorted((r.det_id, r.gt_id) for r in detect.overlaps(long_d, long_g, bucket_us=100).collect()) == [(1, 7), (1, 8), (1, 9), (1, 10), (2, 8), (2, 9)]
+    assert detect.overlaps(dd.limit(0), gg).count() == 0 and detect.overlaps(dd.limit(0), gg.limit(0)).count() == 0
     lab = detect.assign_labels(dd, gg, 0.2, write_gt=True).collect()
     assert sum(r.label != "FN" for r in lab) == 80
     hit = {r.gt_id for r in lab if r.label == "TP"}
@@ -133,6 +139,48 @@ def test_scalars(spark):
     assert list(r) == ["bucket", "a/b.nt", "1:2:3:4", "x/y_1.tar.gz", "noext_1", "ab c", True]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Europe/Berlin"])
+def test_bounds_do_not_depend_on_the_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.sql("select timestamp_ntz'2024-03-10 02:30:00.000001' as n, '1969-12-31 23:59:59.5' as s, timestamp'2024-03-10 02:30:00+00:00' as z")
+        assert list(rows.select(scalars.epoch_micros("n"), scalars.epoch_micros("s")).first()) == [1710037800000001, -500000]
+        bound = segments.segment_bounds(rows.selectExpr("z as StartTime", "0.5 as SegStart", "1.0 as SegDur")).first()
+        assert (bound.true_start_us, bound.true_end_us) == (1710037800500000, 1710037801500000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_annotations(spark):
+    rows = [(1, "f1", 1_500_000, 2_000_001, "A", 0.5), (2, "f1", 0, 1, None, None)]
+    df = spark.createDataFrame(rows, "det_id long, FileName string, start_us long, end_us long, label string, prob double")
+    shown = detect.to_annotations(df, spark.createDataFrame([("f1",), ("f2",), ("f2",)], "FileName string"))
+    assert shown.count() == 3 and shown.where("`Begin File` = 'f2' and Selection is null").count() == 1
+    assert sorted(detect.from_annotations(shown).collect()) == rows
+    few = detect.from_annotations(shown.drop("Score", "Label")).first()
+    assert few.prob is None and few.label is None
+
+
+def test_detection_features(spark):
+    rng = random.Random(6)
+    d = [(i, s, s + rng.randrange(1, 3000)) for i in range(30) for s in [rng.randrange(5000)]]
+    x = [(rng.randrange(-500, 9000), rng.random()) for _ in range(400)] + [(None, 1.0), (5, None)]
+    dd, xx = spark.createDataFrame(d, "det_id long, start_us long, end_us long"), spark.createDataFrame(x, "time_us long, value double")
+    for norm in (False, True):
+        got = {(r.det_id, r.tile): (r.n, r["mean"], r.peak) for r in detect.detection_features(dd, xx, 4, 50, norm, bucket_us=100).collect()}
+        want = {}
+        for i, s, e in d:
+            s, e = s - 50, e + 50
+            inside = [(t, v) for t, v in x if t is not None and v is not None and s <= t < e]
+            m = sum(v for _, v in inside) / max(1, len(inside))
+            sd = (sum((v - m) ** 2 for _, v in inside) / max(1, len(inside))) ** 0.5
+            for t, v in inside:
+                want.setdefault((i, min(3, (t - s) * 4 // (e - s))), []).append(((v - m) / sd if sd > 1e-12 else 0.0) if norm else v)
+        assert got.keys() == want.keys()
+        for k, (n, mean, peak) in got.items():
+            assert n == len(want[k]) and abs(mean - sum(want[k]) / n) < 1e-6 and abs(peak - max(want[k])) < 1e-6
+
+
 def test_perf_and_sampling(spark):
     rng = random.Random(4)
     rows = [(i, rng.randrange(10) / 10, rng.randrange(2)) for i in range(200)]
