@@ -12,6 +12,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -58,6 +59,8 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(page_id)}", f"WARC-Date: {date}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_field(url)}")
+        if _field(url) != url:
+            lines.append(f"X-Page-URL: {quote(url, safe='')}")
     if page_id is not None:
         lines.append(f"X-Page-ID: {page_id}")
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
@@ -70,8 +73,8 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
 def decode_record(raw: bytes) -> tuple:
     """(page_id, url, record_type, refers_to, payload_digest, payload_bytes, payload) of one uncompressed record.
 
-    A response's payload is held against its digest; a revisit has payload null.  The url is the target line's: control
-    characters of the page's url come back as %XX (an index keeps the url as it was).
+    A response's payload is held against its digest; a revisit has payload null.  The url is the target line's; one with
+    control characters, which that line shows as %XX, has another line to come back from as it was.
     """
     head, _, rest = raw.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
@@ -88,7 +91,7 @@ def decode_record(raw: bytes) -> tuple:
     if response and (len(payload) != n or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
         raise ValueError(f"payload of page {h.get('X-Page-ID')} does not match its digest")
     number = lambda k: int(h[k]) if k in h else None
-    url = h.get("WARC-Target-URI")
+    url = unquote(h["X-Page-URL"]) if "X-Page-URL" in h else h.get("WARC-Target-URI")
     return number("X-Page-ID"), url, h["WARC-Type"], number("X-Refers-To-Page-ID"), digest, n, payload if response else None
 
 

@@ -62,3 +62,10 @@ def test_damaged_payload_is_refused():
     d = base64.b32encode(hashlib.sha1(b"abc").digest()).decode()
     with pytest.raises(ValueError, match="digest"):
         warc.decode_record(warc.encode_record(1, "u", b"abd", d, None))
+
+
+def test_urls_stand_as_they_are():
+    for url, line in (("http://a/b%20c?x=100%", "http://a/b%20c?x=100%"), ("http://a/\tb%", "http://a/%09b%"), ("http://ä/\r\nX: y", "http://ä/%0D%0AX: y")):
+        raw = warc.encode_record(1, url, b"p", base64.b32encode(hashlib.sha1(b"p").digest()).decode(), None)
+        assert f"\r\nWARC-Target-URI: {line}\r\n".encode() in raw
+        assert warc.decode_record(raw)[1] == url
