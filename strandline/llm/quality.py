@@ -1,8 +1,9 @@
 """Quality: gated-attention multiple-instance learning over the passages of a document.
 
-A document is a bag of passages (runs of PASSAGE bytes, cut at white space).  Each passage is encoded from its
-character statistics; attention weights, softmax(w . (tanh(V h) * sigmoid(U h))), are learned from document
-labels alone, and the score is read off the attention-weighted sum of the encodings.
+A document is a bag of passages (runs of PASSAGE bytes, cut at white space).  Each passage is encoded from the hashed
+words and word pairs it holds, whose embeddings are learned, and from character statistics; attention weights,
+softmax(w . (tanh(V h) * sigmoid(U h))), are learned from document labels alone, and the score is read off the
+attention-weighted sum of the encodings.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import SPACE, prefix_hash, run_starts, slices, span_hash, words
+from strandline.llm.common import LOWER, SPACE, U64, mix, prefix_hash, run_starts, slices, span_hash, words
 from strandline.llm.toxicity import held_out, labelled_sample
 
-#: At most this many labelled rows are fitted.
+#: At most this many labelled rows are fitted, on at most this many of each one's passages (evenly spread over the text).
 FIT_ROWS = 6000
+FIT_PASSAGES = 12
 THRESHOLD = 0.3
 PASSAGE = 512
 HIDDEN = 16
@@ -45,13 +47,17 @@ KINDS = (_digit, _upper, _lower, _high, _stop, _line, _other)
 _class = np.zeros(256, np.int64)
 for _i, _k in enumerate(KINDS):
     _class[_k] = _i + 1
-WIDTH = len(KINDS) + 6 + (len(KINDS) + 1) ** 2
+#: Rows of the embedding that hashed words and word pairs share.
+BUCKETS = 256
+STATS = len(KINDS) + 6 + (len(KINDS) + 1) ** 2
+WIDTH = STATS + BUCKETS
 
 
 def passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, features) of the passages of each text, at least one a row; features are WIDTH numbers.
 
-    A passage takes whole words until it has PASSAGE bytes; a text without words is one passage of zeros.
+    A passage takes whole words until it has PASSAGE bytes; a text without words is one passage of zeros.  The last BUCKETS
+    numbers say how often the words and word pairs of each hash occur: sqrt(count), scaled to length one.
     """
     start, end, row = words(data, offs)
     n_rows = len(offs) - 1
@@ -98,7 +104,14 @@ def passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     inside = of >= 0
     inside[a] = False
     grid = np.bincount(of[inside] * (k * k) + pair[inside], minlength=len(at) * k * k).reshape(len(at), k * k)
-    f[:, col + 6 :] = grid / size[:, None]
+    f[:, col + 6 : STATS] = grid / size[:, None]
+    # words (a-z for A-Z) and pairs of neighbouring words
+    low = span_hash(prefix_hash(LOWER[data]), start, end)
+    pair_of = np.flatnonzero(pid[1:] == pid[:-1])
+    both = mix(low[pair_of] * U64(3) + low[pair_of + 1])
+    bucket = np.concatenate([pid * BUCKETS + (low % U64(BUCKETS)).astype(np.int64), pid[pair_of] * BUCKETS + (both % U64(BUCKETS)).astype(np.int64)])
+    held = np.sqrt(np.bincount(bucket, minlength=len(at) * BUCKETS).reshape(len(at), BUCKETS))
+    f[:, STATS:] = held / np.sqrt((held * held).sum(axis=1, keepdims=True))
     empty = np.setdiff1d(np.arange(n_rows), r, assume_unique=False)
     if len(empty):
         r, f = np.concatenate([r, empty]), np.concatenate([f, np.zeros((len(empty), WIDTH))])
@@ -135,8 +148,25 @@ class QualityModel:
         return self.forward(row, self.standard(x))["y"]
 
 
+def gradients(model: QualityModel, row: np.ndarray, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean cross-entropy, by each parameter; x standardised."""
+    p, o = model.p, model.forward(row, x)
+    gy = (o["y"] - y) / len(y)
+    g = {"c": o["z"].T @ gy, "d": np.array([gy.sum()])}
+    gz = np.repeat(gy[:, None] * p["c"], o["n"], axis=0)
+    ga = (gz * o["h"]).sum(1)
+    ge = o["a"] * (ga - np.repeat(np.add.reduceat(o["a"] * ga, o["at"]), o["n"]))
+    g["w"] = (o["t"] * o["s"]).T @ ge
+    gts = ge[:, None] * p["w"]
+    gt, gs = gts * o["s"] * (1 - o["t"] ** 2), gts * o["t"] * o["s"] * (1 - o["s"])
+    g["V"], g["U"] = o["h"].T @ gt, o["h"].T @ gs
+    gh = (o["a"][:, None] * gz + gt @ p["V"].T + gs @ p["U"].T) * (o["h"] > 0)
+    g["W"], g["b"] = x.T @ gh, gh.sum(0)
+    return g
+
+
 def train(row: np.ndarray, x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, seed: int = SEED, ridge: float = 1e-4, rate: float = 0.01) -> QualityModel:
-    """Adam over shuffled groups of documents; gradients written out by hand."""
+    """Adam over shuffled groups of documents."""
     rng = np.random.default_rng(seed)
     mean, scale = x.mean(0), x.std(0) + 1e-3
     d = x.shape[1]
@@ -154,19 +184,7 @@ def train(row: np.ndarray, x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, s
             pick = np.sort(perm[first : first + size])
             idx = np.concatenate([np.arange(at[i], at[i + 1]) for i in pick])
             r = np.repeat(np.arange(len(pick)), at[pick + 1] - at[pick])
-            o = model.forward(r, xs[idx])
-            gy = (o["y"] - y[pick]) / len(pick)
-            g = {"c": o["z"].T @ gy, "d": np.array([gy.sum()])}
-            gz = np.repeat(gy[:, None] * p["c"], o["n"], axis=0)
-            ga = (gz * o["h"]).sum(1)
-            ge = o["a"] * (ga - np.repeat(np.add.reduceat(o["a"] * ga, o["at"]), o["n"]))
-            ts = o["t"] * o["s"]
-            g["w"] = ts.T @ ge
-            gts = ge[:, None] * p["w"]
-            gt, gs = gts * o["s"] * (1 - o["t"] ** 2), gts * o["t"] * o["s"] * (1 - o["s"])
-            g["V"], g["U"] = o["h"].T @ gt, o["h"].T @ gs
-            gh = (o["a"][:, None] * gz + gt @ p["V"].T + gs @ p["U"].T) * (o["h"] > 0)
-            g["W"], g["b"] = xs[idx].T @ gh, gh.sum(0)
+            g = gradients(model, r, xs[idx], y[pick])
             step += 1
             for k in p:
                 grad = g[k] + ridge * p[k]
@@ -179,7 +197,8 @@ def train(row: np.ndarray, x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, s
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 5, rest: int = 0, fit_rows: int = FIT_ROWS) -> QualityModel:
     """Learn from labels (doc_id, quality) of rows outside the held-out part, at most fit_rows of them.
 
-    Executors turn the sampled texts into passage features; the driver gets at most fit_rows bags.  Without labels of both
+    Executors turn the sampled texts into passage features; the driver gets at most fit_rows bags of at most FIT_PASSAGES
+    passages (2 bytes a number: 0.5 GB for the whole bound, some 30 MB for texts of usual length).  Without labels of both
     kinds every score is the mean label (0.5 without any).
     """
     sample = labelled_sample(docs, labels, label, modulus, rest, fit_rows)
@@ -189,18 +208,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modu
             y = np.asarray(rb.column("y"))
             for a, b, data, offs in slices(rb.column("text")):
                 r, f = passages(data, offs)
-                f = f.astype(np.float32)
+                f = f.astype(np.float16)
                 at = np.searchsorted(r, np.arange(b - a + 1))
-                yield pa.RecordBatch.from_arrays([pa.array(y[a:b]), pa.array([f[s:e].tobytes() for s, e in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["y", "bag"])
+                picks = [s + np.unique(np.linspace(0, e - s - 1, FIT_PASSAGES).round().astype(np.int64)) for s, e in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(y[a:b]), pa.array([f[x].tobytes() for x in picks], pa.binary())], names=["y", "bag"])
 
-    rows = sample.mapInArrow(bags, "y int, bag binary").orderBy(F.xxhash64("bag")).collect()  # at most fit_rows rows
+    rows = sample.mapInArrow(bags, "y int, bag binary").orderBy(F.xxhash64("bag")).collect()  # at most fit_rows rows of FIT_PASSAGES * WIDTH numbers
     y = np.array([r.y for r in rows], dtype=float)
     if not len(y) or y.min() == y.max():
         share = min(max(y.mean() if len(y) else 0.5, 1e-6), 1 - 1e-6)
         p = {"W": np.zeros((WIDTH, 1)), "b": np.zeros(1), "V": np.zeros((1, 1)), "U": np.zeros((1, 1)), "w": np.zeros(1), "c": np.zeros(1), "d": np.array([np.log(share / (1 - share))])}
         return QualityModel(np.zeros(WIDTH), np.ones(WIDTH), p)
-    x = [np.frombuffer(r.bag, np.float32).reshape(-1, WIDTH) for r in rows]
-    return train(np.repeat(np.arange(len(x)), [len(v) for v in x]), np.concatenate(x).astype(float), y)
+    x = [np.frombuffer(r.bag, np.float16).reshape(-1, WIDTH) for r in rows]
+    return train(np.repeat(np.arange(len(x)), [len(v) for v in x]), np.concatenate(x).astype(np.float32), y)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -44,16 +44,70 @@ def test_attention_weighs_passages():
     assert np.allclose(np.add.reduceat(o["a"], o["at"]), 1)
 
 
-def test_gradient_matches_differences():
-    rng = np.random.default_rng(3)
-    row, x, y = np.array([0, 0, 1, 1, 1, 2]), rng.normal(0, 1, (6, 4)), np.array([1.0, 0.0, 1.0])
-
-    def loss(m):
-        p = m.forward(row, m.standard(x))["y"]
-        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
-
-    before = loss(ql.train(row, x, y, rounds=0))
-    assert loss(ql.train(row, x, y, rounds=200)) < 0.2 * before + 0.05
+def _small(seed, docs=5, width=6):
+    rng = np.random.default_rng(seed)
+    n = rng.integers(1, 5, docs)
+    row = np.repeat(np.arange(docs), n)
+    p = {k: rng.normal(0, 0.7, shape) for k, shape in {"W": (width, 4), "b": 4, "V": (4, 3), "U": (4, 3), "w": 3, "c": 4, "d": 1}.items()}
+    model = ql.QualityModel(np.zeros(width), np.ones(width), p)
+    return model, row, rng.normal(0, 1, (len(row), width)), rng.integers(0, 2, docs).astype(float)
+
+
+def _loss(model, row, x, y):
+    p = model.forward(row, x)["y"]
+    return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+
+@pytest.mark.parametrize("name", ["W", "b", "V", "U", "w", "c", "d"])
+def test_gradient_matches_differences(name):
+    for seed in range(3):
+        model, row, x, y = _small(seed)
+        got = ql.gradients(model, row, x, y)[name]
+        flat = model.p[name].reshape(-1)
+        for i in range(len(flat)):
+            was, step = flat[i], 1e-6
+            flat[i] = was + step
+            up = _loss(model, row, x, y)
+            flat[i] = was - step
+            down = _loss(model, row, x, y)
+            flat[i] = was
+            assert abs(got.reshape(-1)[i] - (up - down) / (2 * step)) < 1e-6
+
+
+def test_forward_against_a_plain_loop():
+    model, row, x, _ = _small(8, docs=7)
+    p, o = model.p, model.forward(row, x)
+    for d in range(7):
+        h = [np.maximum(v @ p["W"] + p["b"], 0) for v in x[row == d]]
+        e = np.array([p["w"] @ (np.tanh(p["V"].T @ v) / (1 + np.exp(-(p["U"].T @ v)))) for v in h])
+        a = np.exp(e) / np.exp(e).sum()
+        z = sum(w * v for w, v in zip(a, h, strict=True))
+        assert np.allclose(o["y"][d], 1 / (1 + np.exp(-(z @ p["c"] + p["d"][0]))))
+        assert np.allclose(o["a"][row == d], a)
+
+
+def test_scores_against_a_plain_loop(spark, model):
+    """The query's score of whole texts, passage by passage."""
+    texts = ["one two three. " * 80, "A short text", "", "xyz " * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in ql.score_quality(df, model).collect()}
+    for i, t in enumerate(texts):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        _, x = ql.passages(raw, np.array([0, len(raw)]))
+        p = model.p
+        h = [np.maximum(v @ p["W"] + p["b"], 0) for v in model.standard(x)]
+        e = np.array([p["w"] @ (np.tanh(p["V"].T @ v) / (1 + np.exp(-(p["U"].T @ v)))) for v in h])
+        a = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+        z = sum(w * v for w, v in zip(a, h, strict=True))
+        assert abs(got[i] - 1 / (1 + np.exp(-(z @ p["c"] + p["d"][0])))) < 1e-6
+
+
+def test_hashed_words_of_a_passage():
+    data = np.frombuffer(b"The cat the CAT", np.uint8)
+    _, x = ql.passages(data, np.array([0, 15]))
+    counts = np.sort((x[0, ql.STATS :] ** 2)[x[0, ql.STATS :] > 0])
+    # the, cat twice each; the-cat twice, cat-the once: 7 in all
+    assert np.allclose(counts, [1 / 7, 2 / 7, 2 / 7, 2 / 7])
 
 
 def test_edge_cases(spark, model):
