@@ -1,10 +1,11 @@
 """Toxicity: noisy-channel restoration of obfuscated words, then a linear score of the restored text.
 
-A word that shows leetspeak, separators between its letters, spaced-out single letters or repeated letters is
-a noisy observation: each of its characters stands in a lattice for the letters it may have been, or for
-nothing.  Viterbi decoding picks the path that is likeliest under a character trigram model, counted over all
-documents and mixed with one of the learned vocabulary.  The restored words and their beginnings are the
-features of a logistic regression.
+Every word is a noisy observation: each of its characters stands in a lattice for the letters it may have been (leetspeak), or for
+nothing (separators, repetition).  Viterbi decoding picks the path that is likeliest under a character trigram model,
+counted over all documents and mixed with one of the learned vocabulary.  A word whose lattice has one path only, itself,
+needs no decoding: that is so unless it holds a mark of the channel or two equal characters in a row.  A word of
+digits alone is a number.  Runs of two or more single letters are read as one word if that is the likelier reading.
+The restored words and their beginnings are the features of a logistic regression.
 """
 
 from __future__ import annotations
@@ -21,15 +22,15 @@ from pyspark.sql import functions as F
 
 from strandline.llm.common import LOWER, U64, prefix_hash, run_starts, slices, span_hash, words
 
-#: Bounds of what is learned: labelled rows that are fitted, and features that are kept.
+#: Bound of what is learned from: labelled rows that are fitted.
 FIT_ROWS = 8000
-FEATURES = 4096
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6)
 #: Fixed channel: what a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 SEPARATORS = ".-_~'`^"
-COST = {"leet": 1.0, "digit": 4.0, "drop_mark": 6.0, "drop_separator": 0.3, "drop_repeat": 2.2, "any": 3.0}
+#: Costs of what the channel does, in nats.
+COST = {"space": 0.5, "leet": 1.0, "digit": 4.0, "drop_mark": 6.0, "drop_separator": 0.3, "drop_repeat": 2.2, "any": 3.0}
 SYMBOLS = 28  # a-z, other letters, anything else
 
 _letter = np.zeros(256, bool)
@@ -65,11 +66,12 @@ class Tokens:
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
-    noisy: list[tuple[int, str]] = field(default_factory=list)  # (row, observed)
+    noisy: list[tuple[int, str]] = field(default_factory=list)  # (row, observed); the letters of a run are parted by blanks
+    noisy_start: list[int] = field(default_factory=list)
 
 
 def tokens(data: np.ndarray, offs: np.ndarray) -> Tokens:
-    """Words without the marks around them; words that look obfuscated are set apart as noisy observations."""
+    """Words without the marks around them; words whose lattice has several paths are set apart as noisy observations."""
     data = lower(data)
     start, end, row = words(data, offs)
     # a tail of three or more $ is no letter
@@ -97,31 +99,33 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> Tokens:
         np.cumsum(mask, out=c[1:], dtype=np.int32)
         return c[end] - c[start]
 
-    letters = count(_letter[data])
-    seps = count(_sep[data])
-    run = np.zeros(len(data), bool)
-    run[2:] = (data[2:] == data[1:-1]) & (data[2:] == data[:-2]) & _letter[data[2:]]
+    size = end - start
+    twice = np.zeros(len(data), bool)
+    twice[1:] = (data[1:] == data[:-1]) & (data[1:] < 128)
     c = np.zeros(len(data) + 1, np.int32)
-    np.cumsum(run, out=c[1:], dtype=np.int32)
-    # a run counts where all three letters are inside the word
-    runs = np.where(end - start >= 3, c[end] - c[np.minimum(start + 2, end)], 0)
-    stars = count(data == 42)
-    noisy = (letters > 0) & ((count(_leet[data]) > 0) | (runs > 0) | ((stars > 0) & (letters > 1)) | ((seps > 1) & (letters <= 2 * (seps + 1))))
-    # three or more single letters (or marks that stand for one) in a row
-    single = (end - start == 1) & (_letter[data[start]] | _leet[data[start]])
+    np.cumsum(twice, out=c[1:], dtype=np.int32)
+    # a pair counts where both characters are inside the word
+    pairs = c[end] - c[np.minimum(start + 1, end)]
+    number = count((data >= 48) & (data <= 57)) == size
+    noisy = ~number & (count(_leet[data] | _sep[data] | (data == 42)) + pairs > 0)
+    # two or more single letters (or marks that stand for one, not digits alone) in a row
+    single = (size == 1) & (_letter[data[start]] | _leet[data[start]])
     at = run_starts(single, row)
-    size = np.diff(np.append(at, len(single)))
-    spaced = [(a, n) for a, n in zip(at[single[at] & (size > 2)].tolist(), size[single[at] & (size > 2)].tolist(), strict=True)]
+    n = np.diff(np.append(at, len(single)))
+    letters = np.add.reduceat(_letter[data[start]] & single, at)
+    spaced = single[at] & (n > 1) & (letters > 0)
     out = Tokens(data, start, end, row)
-    for a, n in spaced:
-        noisy[a : a + n] = True
-        out.noisy.append((int(row[a]), data[start[a : a + n]].tobytes().decode("latin-1")))
-    in_spaced = np.zeros(len(start), bool)
-    for a, n in spaced:
-        in_spaced[a : a + n] = True
-    for i in np.flatnonzero(noisy & ~in_spaced).tolist():
+    for a, k in zip(at[spaced].tolist(), n[spaced].tolist(), strict=True):
+        noisy[a : a + k] = False
+        single[a : a + k] = False
+        start[a] = -1 - start[a]  # the run stands here; its other words go
+        start[a + 1 : a + k] = np.iinfo(np.int64).min
+        out.noisy.append((int(row[a]), " ".join(data[end[a : a + k] - 1].tobytes().decode("latin-1"))))
+        out.noisy_start.append(int(end[a]) - 1)
+    plain = (start >= 0) & ~noisy
+    for i in np.flatnonzero((start >= 0) & noisy).tolist():
         out.noisy.append((int(row[i]), data[start[i] : end[i]].tobytes().decode("utf-8", "replace")))
-    plain = ~noisy
+        out.noisy_start.append(int(start[i]))
     out.start, out.end, out.row = start[plain], end[plain], row[plain]
     return out
 
@@ -164,7 +168,16 @@ class CharModel:
         return (n + 2 * two[None]) / (n.sum(2, keepdims=True) + 2)
 
     def _decode(self, seen: str) -> str:
-        """The likeliest word behind the observed one: Viterbi over states of the last two letter classes."""
+        """The likeliest word behind the observed one; single letters parted by blanks: words, parted by blanks, or one word."""
+        if " " not in seen:
+            return self._viterbi(seen)[0]
+        letters = seen.split(" ")
+        apart = [self._viterbi(x) for x in letters]
+        joined, p = self._viterbi("".join(letters))
+        return joined if p - COST["space"] * (len(letters) - 1) > sum(q for _, q in apart) else " ".join(w for w, _ in apart if w)
+
+    def _viterbi(self, seen: str) -> tuple[str, float]:
+        """The likeliest path and its log-probability: Viterbi over states of the last two letter classes."""
         states: dict[tuple[int, int], tuple[float, str]] = {(27, 27): (0.0, "")}
         before = ""
         for ch in seen:
@@ -188,14 +201,16 @@ class CharModel:
                     if key not in new or new[key][0] < q:
                         new[key] = (q, text + c)
             states, before = new, ch
-        return max(states.items(), key=lambda x: (x[1][0] + self.logp[x[0][0]][x[0][1]][27], x[1][1]))[1][1]
+        best, text = max((p + self.logp[a][b][27], text) for (a, b), (p, text) in states.items())
+        return text, best
 
     def restore(self, text: str) -> str:
-        """The text with its obfuscated words replaced by what they decode to (words joined by single spaces)."""
+        """The words of the text in their order, each as the channel reads it, joined by single spaces."""
         raw = np.frombuffer(text.encode(), np.uint8)
         t = tokens(raw, np.array([0, len(raw)]))
-        plain = [t.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(t.start.tolist(), t.end.tolist(), strict=True)]
-        return " ".join(plain + [self.decode(w) for _, w in t.noisy])
+        found = [(a, t.data[a:b].tobytes().decode("utf-8", "replace")) for a, b in zip(t.start.tolist(), t.end.tolist(), strict=True)]
+        found += [(a, self.decode(w)) for a, (_, w) in zip(t.noisy_start, t.noisy, strict=True)]
+        return " ".join(w for _, w in sorted(found) if w)
 
 
 def char_counts(docs: DataFrame) -> np.ndarray:
@@ -238,7 +253,7 @@ def features(data: np.ndarray, offs: np.ndarray, lm: CharModel) -> Iterator[tupl
         for which, h in _hashes(p, t.start, t.end):
             yield t.row[which], h
     if t.noisy:
-        found = [(r, w.encode()) for r, x in t.noisy if (w := lm.decode(x))]
+        found = [(r, w.encode()) for r, x in t.noisy for w in lm.decode(x).split(" ") if w]
         if found:
             rows = np.array([r for r, _ in found])
             lens = np.array([len(w) for _, w in found])
@@ -300,11 +315,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").select("text", "y")
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, rest: int = 2, fit_rows: int = FIT_ROWS, most: int = FEATURES) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, rest: int = 2, fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """Learn from labels (doc_id, toxic) of rows outside the held-out part, at most fit_rows of them.
 
-    Features are restored words and beginnings that toxic rows hold far more often than others, at most
-    `most`.  The character model counts all documents.  Rows with another label than 0 and 1 and
+    Features are all restored words and beginnings that at least two toxic rows hold, and far more often than others.
+    The character model counts all documents.  Rows with another label than 0 and 1 and
     rows without doc_id teach nothing; without labels of both kinds every score is the mean label (0.5 without any).
     """
     corpus = char_counts(docs)
@@ -337,7 +352,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modul
     side = lambda k: F.sum(F.when(F.col("y") == k, F.col("n")).otherwise(0))
     table = sample.mapInArrow(count, "h long, y long, n long").groupBy("h").agg(side(1).alias("t"), side(0).alias("f"))
     lift = ((F.col("t") + 0.1) / pos) / ((F.col("f") + 0.5) / neg)
-    chosen = table.where((F.col("t") >= 2) & (lift >= 8)).orderBy(F.desc("t"), "h").limit(most).select("h").toArrow()
+    chosen = table.where((F.col("t") >= 2) & (lift >= 8)).select("h").toArrow()  # words of the sample's rows
     hashes = np.sort(np.asarray(chosen.column("h").combine_chunks(), dtype=np.int64).view(U64)) if chosen.num_rows else np.zeros(0, U64)
     if not len(hashes):
         sample.unpersist()
@@ -389,11 +404,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
     """(doc_id, held_out, score, predicted, *keep) for each row; the score rests on the whole text alone.
 
     Null and empty texts get the score of a text without features; rows without doc_id are scored too
-    (held_out false); repeated rows score alike; an empty table gives an empty result.
+    (held_out false); repeated rows score alike; an empty table gives an empty result.  Columns of keep that have the
+    name of a result column are left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights and 28^3 log-probabilities
-    names = [c for c in keep if c not in ("doc_id", "text")]
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(4, 2).alias("held_out"), "text", *names)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # weights of the sample's words and 28^3 log-probabilities
+    others = [c for c in keep if c not in ("doc_id", "text", "held_out", "score", "predicted")]
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(4, 2).alias("held_out"), "text", *(F.col(c).alias(f"__keep_{c}") for c in others))
+    last = [(c, "text" if c == "text" else f"__keep_{c}") for c in keep if c in ("text", *others)]
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -401,9 +418,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
             s = np.full(rb.num_rows, 0.0)
             for a, b, data, offs in slices(rb.column("text")):
                 s[a:b] = m.scores(data, offs)
-            cols = [rb.column("doc_id"), rb.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *(rb.column(c) for c in keep if c != "doc_id")]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "score", "predicted", *(c for c in keep if c != "doc_id")])
+            cols = [rb.column("doc_id"), rb.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *(rb.column(c) for _, c in last)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "score", "predicted", *(n for n, _ in last)])
 
     kinds = dict(docs.dtypes)
-    extra = "".join(f", `{c}` {kinds[c]}" for c in keep if c != "doc_id")
-    return base.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int" + extra)
+    return base.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int" + "".join(f", `{n}` {kinds[n]}" for n, _ in last))

@@ -29,10 +29,28 @@ def test_obfuscated_words_are_restored(seen):
 
 def test_restored_text():
     lm = tx.CharModel(np.ones(28**3), ["idiot", "moron"])
-    assert lm.restore("you, are an i d i o t and 'M0R0N'!!!") == "you are an and idiot moron"
+    assert lm.restore("you, are an i d i o t and 'M0R0N'!!!") == "you are an idiot and moron"
     assert lm.restore("Ábc 2024 plain.$$$") == "ábc 2024 plain"
 
 
+def test_each_word_has_a_lattice():
+    lm = tx.CharModel(np.ones(28**3), ["idiot", "moron", "letter", "id"])
+    assert lm.restore("an iidiot, $c.um m.o.r.o.n letter 1337") == "an idiot scum moron letter 1337"
+    # two single letters are one word only where that is likelier
+    assert lm.restore("i d") == "id" and tx.CharModel(np.eye(28)[:, None, :].repeat(28, 1).ravel() + 0.01, []).decode("x y") == "x y"
+    # only the identity: no decoding needed
+    for word in ("plain", "ábc", "2024", "one"):
+        t = tx.tokens(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word.encode())]))
+        assert not t.noisy and len(t.start) == 1
+        assert lm.decode(word) == word or word.isdigit()
+
+
+def test_kept_columns_of_result_names(spark, model):
+    df = spark.createDataFrame([(1, "a text", "s", 7)], "doc_id long, text string, score string, other int")
+    out = tx.score_toxicity(df, model, keep=("doc_id", "text", "score", "other"))
+    assert out.columns == ["doc_id", "held_out", "score", "predicted", "text", "other"] and out.first().other == 7
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     lm = tx.CharModel(rng.integers(1, 50, 28**3))
