@@ -259,25 +259,31 @@ def codepoints(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, at
 
 
-def encode_sampled(docs: DataFrame, model: str = MODEL, theta: float = THETA, seed: int = SEED, ids: bool = True, check: bool = True) -> DataFrame:
+def encode_sampled(docs: DataFrame, model: str = MODEL, theta: float = THETA, seed: int = SEED, ids: bool = True, check: bool = True, copy: str | None = None) -> DataFrame:
     """(doc_id, ids, n_pieces, ids_sha256, decoded_sha256, lossless) for each row of docs (doc_id, text).
 
     ids is a sampled segmentation of the whole text, the same at every run for equal doc_id, text, theta and
     seed; ids_sha256 is of its numbers as little-endian int32; with check, the pieces are decoded again and
     decoded_sha256 and lossless say what came back (null without).  ids=False leaves ids null.
 
+    copy names a column of docs with the number, from 1, of a row among its copies: each copy has a segmentation of its own,
+    the first that of a row without copies; the column is returned too, after doc_id.
+
     Null text: ids null, n_pieces 0, lossless true, digests of the empty string; empty text: no ids.
     Null doc_id: keyed as 0.  Repeated rows are encoded alike; other columns are ignored; an empty table
     gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Pieces(model, theta))  # the size of the vocabulary
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("lossless", pa.bool_())])
+    schema = pa.schema([("doc_id", pa.int64()), *([("copy", pa.int32())] if copy else []), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("lossless", pa.bool_())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         for rb in it:
             docs_ = rb.column("doc_id")
             key = np.asarray(docs_.fill_null(0))
+            if copy:
+                again = np.asarray(rb.column("copy")).astype(np.int64)
+                key = np.where(again > 1, mix(key.view(U64) ^ mix(again.view(U64))).view(np.int64), key)
             null = np.asarray(rb.column("text").is_null())
             for a, b, data, offs in slices(rb.column("text"), SLICE):
                 got, at = v.encode(data, offs, key[a:b], seed)
@@ -295,11 +301,12 @@ def encode_sampled(docs: DataFrame, model: str = MODEL, theta: float = THETA, se
                         back.append(None)
                         same.append(None)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(got), mask=pa.array(null[a:b])) if ids else pa.nulls(b - a, pa.list_(pa.int32()))
-                cols = [docs_.slice(a, b - a), lists, pa.array(np.diff(at)), pa.array(digest), pa.array(back, pa.string()), pa.array(same, pa.bool_())]
+                cols = [docs_.slice(a, b - a), *([rb.column("copy").slice(a, b - a)] if copy else []), lists, pa.array(np.diff(at)), pa.array(digest), pa.array(back, pa.string()), pa.array(same, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return base.mapInArrow(run, "doc_id long, ids array<int>, n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean")
+    extra = [F.col(copy).cast("int").alias("copy")] if copy else []
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *extra)
+    return base.mapInArrow(run, "doc_id long, " + ("copy int, " if copy else "") + "ids array<int>, n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
