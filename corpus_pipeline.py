@@ -6,7 +6,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import mixing, ngramjoin, pieces, suffixdedup, toxicity
@@ -38,8 +38,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
-    """doc_id, ids and n_pieces of each document, checked to decode to its text."""
-    return pieces.encode_sampled(docs).select("doc_id", "ids", "n_pieces", "lossless")
+    """doc_id, copy, ids and n_pieces of each document, checked to decode to its text; copies of a document are numbered, and
+    each has a segmentation of its own."""
+    # texts without words or id may stand in any number of rows: they are not gathered, and all count as first copies
+    plain = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    w = Window.partitionBy("doc_id", F.xxhash64("text"), F.when(plain, F.monotonically_increasing_id())).orderBy(F.lit(0))
+    numbered = docs.select("doc_id", "text", F.row_number().over(w).alias("copy"))
+    return pieces.encode_sampled(numbered, copy="copy").select("doc_id", "copy", "ids", "n_pieces", "lossless")
 
 
 STAGES = [
