@@ -259,7 +259,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str,
 
 # ---------------------------------------------------------------- connected components
 
-#: Edges that a task ties up at once.
+#: Edges that a task ties up at once; as many tasks work on the edges first as have about so many each.
 EDGES = 1 << 20
 
 
@@ -312,8 +312,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         return df.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
 
     proper = edges.where("a is not null and b is not null and a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    e = materialize(proper.mapInArrow(tied, "a long, b long").distinct(), name)
-    was = tally(e)
+    proper = materialize(proper, name)
+    tasks = -(-proper.count() // EDGES)
+    e = materialize(proper.coalesce(max(1, tasks)).mapInArrow(tied, "a long, b long").distinct(), name)
+    discard(proper)
+    # what one task has tied up is done
+    was = tally(e) if tasks > 1 else (0, None)
     while was[0]:
         e1 = e.mapInArrow(tied, "a long, b long")
         both = e1.union(e1.select(F.col("b").alias("a"), F.col("a").alias("b")))

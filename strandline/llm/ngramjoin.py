@@ -32,7 +32,7 @@ FREQUENT = 1 << 21
 #: A column with more rows than this is long; groups of rows that share long columns are multiplied as blocks of
 #: whole rows, in tiles of TILE rows, instead of pair by pair.
 LONG = 64
-TILE = 1024
+TILE = 512
 #: Hub rows of each column in the first round.
 HUBS = 2
 _SIZE = np.int64((1 << 32) - 1)
@@ -357,6 +357,8 @@ def _block_links(blocks: DataFrame, joined: DataFrame, classes: DataFrame, docs:
     placed = blocks.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     spans = placed.groupBy("block").agg(F.count("*").alias("n"), (F.min("component") < F.max("component")).alias("open"))
     spans = materialize(spans, "ngram-spans")
+    if spans.where("open").isEmpty():
+        return _no_links(docs)
     open_ = salted_join(placed, spans.where("open").select("block"), ["block"], "cls", hot_keys(spans, ["block"]))
     open_ = open_.join(classes, "cls").withColumn("level", F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(float(base))).cast("int"))
     open_ = materialize(open_.select("cls", "block", "component", "level", "doc_id"), "ngram-open")
@@ -464,8 +466,14 @@ def _cross_pairs(key, cls, n, comp, block, num: int, den: int) -> Iterator[pa.Re
         yield rb
 
 
+def _no_links(docs: DataFrame) -> DataFrame:
+    return docs.sparkSession.createDataFrame([], "a long, b long")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(a, b) of the pairs whose full sets link.  Full rows of the classes that occur in pairs are taken from their texts."""
+    if pairs.isEmpty():
+        return _no_links(docs)
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes, "cls").select("doc_id", F.col("cls").alias("asked"))
 
     sets = materialize(_rows_of(asked, docs, n), "ngram-rows")
@@ -517,7 +525,8 @@ def jaccard_components(docs: DataFrame, n: int = N, num: int = NUM, den: int = D
     second = materialize(_above(_across(entries, joined, blocks, num, den, parts)).join(first, ["a", "b"], "left_anti"), "ngram-across")
     more = _verified(second, named, first_docs, n, num, den)
     inside = materialize(_block_links(blocks, joined, classes.drop("n"), named, n, num, den), "ngram-inside")
-    whole = components(links.union(more).union(inside), "ngram-components")
+    # the first round's components stand where the second found nothing
+    whole = joined if more.isEmpty() and inside.isEmpty() else components(links.union(more).union(inside), "ngram-components")
     # sets that link with nothing are their own component
     linked = materialize(whole.withColumnRenamed("node", "cls").join(first_docs, "cls"), "ngram-linked")
     of = materialize(linked.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")), "ngram-of")

@@ -113,9 +113,10 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert nj.jaccard_components(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [512, 2])
-def test_components(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot,edges_a_task", [(512, 1 << 20), (512, 9), (2, 9)])
+def test_components(spark, monkeypatch, hot, edges_a_task):
     monkeypatch.setattr(common, "HOT_ROWS", hot)
+    monkeypatch.setattr(common, "EDGES", edges_a_task)
     edges = [(i + 1, i) for i in range(40)] + [(100, 101), (100, 102), (7, 7), (None, 3)] + [(500, 600 + i) for i in range(50)] + [(620, 499)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(6)
     got = {r.node: r.component for r in common.components(df).collect()}
@@ -156,6 +157,7 @@ def test_salted_join(spark, monkeypatch):
 def test_hot_groups_keep_the_result(spark, monkeypatch):
     """Hubs, components and classes of many rows, all salted, and blocks in many tiles."""
     monkeypatch.setattr(common, "HOT_ROWS", 2)
+    monkeypatch.setattr(common, "EDGES", 20)
     for name, value in (("OFTEN", 2), ("LONG", 3), ("TILE", 4), ("HUBS", 1), ("FREQUENT", 50)):
         monkeypatch.setattr(nj, name, value)
     rows = documents(7, groups=8)
