@@ -26,11 +26,11 @@ def _running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> Dat
     dealt = df.repartitionByRange(shuffle_parts(spark), *order).sortWithinPartitions(*order)
     # the low 33 bits of monotonically_increasing_id count within the partition, the others are the partition
     held = materialize(dealt.withColumn("__id", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__id", 33)), "mix-order")
-    before, rows = [0] * len(sums), []
+    kinds = dict(held.select(*[F.sum(x).alias(n) for n, x in sums.items()]).dtypes)
+    before, rows = [0.0 if t == "double" else 0 for t in kinds.values()], []
     for r in sorted(held.groupBy("__part").agg(*[F.sum(x).alias(n) for n, x in sums.items()]).collect()):
         rows.append((r["__part"], *before))
         before = [a + b for a, b in zip(before, r[1:], strict=True)]
-    kinds = dict(held.select(*[F.sum(x).alias(n) for n, x in sums.items()]).dtypes)
     offsets = spark.createDataFrame(rows, "__part long, " + ", ".join(f"`__{n}` {t}" for n, t in kinds.items()))
     w = Window.partitionBy("__part").orderBy("__id").rowsBetween(Window.unboundedPreceding, -1)
     out = held.join(F.broadcast(offsets), "__part")
