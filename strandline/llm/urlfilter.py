@@ -99,7 +99,7 @@ def _split(url: str) -> tuple[str, str]:
 class UrlModel:
     """Logistic regression on the set of hashed grams of a url (each of value 1 / sqrt(set size))."""
 
-    def __init__(self, labelled: tuple[tuple[str, int], ...], rounds: int = 400, rate: float = 2.0, ridge: float = 1e-4) -> None:
+    def __init__(self, labelled: tuple[tuple[str, int], ...], rounds: int = 1500, rate: float = 4.0, ridge: float = 1e-5) -> None:
         pairs = [_split(u) for u, _ in labelled]
         x = self.features(_framed([h for h, _ in pairs], [p for _, p in pairs]), len(pairs))
         y = np.array([v for _, v in labelled], dtype=np.float64)
