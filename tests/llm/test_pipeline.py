@@ -56,8 +56,31 @@ def test_stages_against_brute_force(spark):
     texts = {r.doc_id: r.text for r in mixed.collect()}
     out = cp.encode(spark, mixed, SF).collect()
     assert len(out) == sum(count.values())
+    assert sorted((r.doc_id, r.copy) for r in out) == sorted((d, k) for d, n in count.items() for k in range(1, (n if texts[d].split() else 1) + 1) for _ in range(1 if texts[d].split() else n))
+    several = {}
+    for r in out:
+        if len(r.ids) > 40:
+            several.setdefault(r.doc_id, []).append(tuple(r.ids))
+    assert any(len(x) > 1 for x in several.values()) and all(len(set(x)) == len(x) for x in several.values())
+    # the first copy's is that of the document itself
+    alone = {r.doc_id: r.ids for r in pieces.encode_sampled(mixed.dropDuplicates(["doc_id"])).collect()}
+    assert all(r.ids == alone[r.doc_id] for r in out if r.copy == 1)
     assert all(r.lossless and v.decode(np.array(r.ids, dtype=np.int64)).decode() == texts[r.doc_id] for r in out)
 
 
 def test_run_counts_rows(spark):
     assert cp.run(spark, SF).count() > 0
+
+
+def test_stages_take_nulls_empty_tables_and_further_columns(spark, tmp_path):
+    long = " ".join("word%d" % i for i in range(80))
+    rows = [(1, long, "en", "a", 5), (1, long, "en", "a", 5), (2, None, None, None, None), (3, "", "en", "b", 0), (None, long, "de", None, 3), (4, long + " more", "en", "a", 9), (5, "  ", "en", "b", 2), (6, "short", "en", "b", 5)]
+    docs = spark.createDataFrame([(*r, "x", 1.0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, component string, score double")
+    spark.createDataFrame([(1, 0, 0), (6, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for table_ in (docs, docs.limit(0)):
+        at = table_
+        for name, stage in cp.STAGES:
+            at = materialize(stage(spark, at, str(tmp_path)), f"edge-{name}")
+            if name != "sentencepiece":
+                assert at.columns == list(cp.COLUMNS)
+        assert at.count() == 0 if table_ is not docs else at.where("not lossless").count() == 0

@@ -175,6 +175,60 @@ def test_urls(spark):
     assert urlfilter.judge_urls(df).count() == 15 and urlfilter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_many_full_sources(spark):
+    """Hundreds of sources that fill up one after the other: every target as the loop of capping and sharing again gives it."""
+    rng = random.Random(5)
+    sizes = {f"s{i:04d}": int(1.06 ** rng.randrange(0, 200)) for i in range(400)} | {None: 7, "z": 0}
+    df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size long")
+    names = sorted(k for k in sizes if k is not None) + [None]
+    weight, capped = {s: i % 3 + 1 for i, s in enumerate(names)}, set()
+    while True:
+        free = [s for s in names if s not in capped]
+        level = (sum(sizes.values()) - sum(3 * sizes[s] for s in capped)) / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level >= 3 * sizes[s]}
+        if not over:
+            break
+        capped |= over
+    assert len(capped) > 200
+    got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+    assert got.keys() == sizes.keys()
+    for s in names:
+        want = 3 * sizes[s] if s in capped else weight[s] * level
+        assert abs(got[s] - want) <= 1e-9 * max(1, want)
+    zero = mixing.source_targets(spark.createDataFrame([("a", 0), ("b", 0)], "source string, size long")).collect()
+    assert [r.target for r in zero] == [0.0, 0.0]
+
+
+def test_url_model_on_hosts_it_has_not_seen():
+    labelled = urlfilter.labelled_urls()
+    assert len(labelled) == 2 * (len(urlfilter.BLOCKED_WORDS) + len(urlfilter.ALLOWED_WORDS)) and len({u for u, _ in labelled}) == len(labelled)
+    hit = wrong = bad = good = 0
+    for fold in range(5):
+        model = urlfilter.UrlModel(tuple(x for i, x in enumerate(labelled) if i % 5 != fold))
+        held = [x for i, x in enumerate(labelled) if i % 5 == fold]
+        pairs = [urlfilter._split(u) for u, _ in held]
+        said = model.score([h for h, _ in pairs], [p for _, p in pairs]) >= 0.5
+        y = np.array([v for _, v in held]) == 1
+        hit, wrong, bad, good = hit + (said & y).sum(), wrong + (said & ~y).sum(), bad + y.sum(), good + (~y).sum()
+    assert hit / bad >= 0.75 and hit / (hit + wrong) >= 0.9
+
+
+def test_url_score_against_a_plain_loop(spark):
+    model = urlfilter.UrlModel(urlfilter.labelled_urls())
+    urls = ["http://Online-Casino.example.com/en/1", "https://quiet.example.org/", None, "x://", "http://a/" + "b/" * 300]
+    got = {r.page_id: r.score for r in urlfilter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    for i, u in enumerate(urls):
+        h, p = urlfilter._split(u or "")
+        text = ("^" + h + "$" + "".join(f"/{x}" for x in p.split("/") if x) + "|").encode()
+        grams = set()
+        for k in urlfilter.SIZES:
+            for at in range(len(text) - k + 1):
+                raw = np.frombuffer(text[at : at + k], np.uint8)
+                grams.add(int(urlfilter.span_hash(urlfilter.prefix_hash(raw), np.array([0]), np.array([k]))[0] % np.uint64(urlfilter.BUCKETS)))
+        z = sum(model.w[g] for g in grams) / math.sqrt(len(grams)) + model.b
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
 def test_mixing(spark):
     rng = random.Random(3)
     rows = [(i, " ".join("w" for _ in range(rng.randrange(1, 200))), rng.choice(["a", "b", "c", "é", None])) for i in range(900)]
