@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.segments import by_range, ranged, row_numbers
+from strandline.operators.segments import by_range, neighbour, ranged, row_numbers, running
 
 #: Width of the narrowest time buckets of the interval join.
 BUCKET_US = 600_000_000
@@ -140,11 +140,11 @@ def fill_files(selections: DataFrame, files: DataFrame, key: str) -> DataFrame:
 
 def runs_above(df: DataFrame, value: str, threshold: float, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Detections as maximal runs of consecutive rows of a key whose value is at least the threshold."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    on = F.coalesce(F.col(value) >= threshold, F.lit(False))
-    marked = df.withColumn("__on", on).withColumn("__new", (F.col("__on") & ~F.coalesce(F.lag("__on").over(w), F.lit(False))).cast("int"))
-    run = F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("run", run).where("__on").groupBy(*keys, "run").agg(F.count("*").alias("n"), F.max(value).alias("peak"))
+    held = ranged(df.withColumn("__on", F.coalesce(F.col(value) >= threshold, F.lit(False))), [*keys, *order])
+    before = neighbour(held, F.col("__on"), keys, "__before_on", forward=False)
+    new = (F.col("__on") & ~F.coalesce("__before_on", F.lit(False))).cast("long")
+    marked = running(before.withColumn("__new", new), F.col("__new"), keys, "run", inclusive=True)
+    return marked.where("__on").groupBy(*keys, "run").agg(F.count("*").alias("n"), F.max(value).alias("peak"))
 
 
 #: Columns of an annotation tool's table and what they hold here; times are seconds from the start of the file.

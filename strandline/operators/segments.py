@@ -1,8 +1,8 @@
 """Ordered segment operators: bounds, adjacency, gap-and-island numbering with an optional duration cap.
 
-Without partition columns the order is global.  It is never computed in one task: rows are dealt out by ranges of
-the order and written once, each range is numbered by itself, and what a range needs of its neighbours (the
-next range's first start, how many islands came before) is a row per range.
+The order is global (partition columns, if any, come first in it).  It is never computed in one task: rows are dealt out
+by ranges of the order and written once, each range is numbered by itself, and what a range needs of its neighbours
+(the next range's first start, how many islands came before) is a row per range.
 """
 
 from __future__ import annotations
@@ -56,31 +56,61 @@ def row_numbers(df: DataFrame, order: Sequence[str], name: str = "Selection") ->
     return out.withColumn(name, F.col("__before") + F.col("__row") + 1).drop("__before", "__range", "__row")
 
 
+def _key(keys: Sequence[str]) -> Column:
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("k"))
+
+
+def neighbour(held: DataFrame, value: Column, keys: Sequence[str], name: str, forward: bool = True) -> DataFrame:
+    """Adds the value of the next (or previous) row in the order, null where that has other keys or does not exist.
+
+    held: see ranged(), ordered by the keys first; so a key of many rows is spread over ranges.  What a range needs of its
+    neighbours is one row per range.
+    """
+    item = F.struct(value.alias("v"), _key(keys).alias("k"))
+    step, pick = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
+    edges = held.groupBy("__range").agg(pick(item, "__row").alias("__edge")).select("__range", step("__edge").over(Window.orderBy("__range")).alias("__edge"))
+    inside = step(item).over(Window.partitionBy("__range").orderBy("__row"))
+    out = held.join(F.broadcast(edges), "__range", "left").withColumn("__edge", F.coalesce(inside, "__edge"))
+    return out.withColumn(name, F.when(F.col("__edge.k").eqNullSafe(_key(keys)), F.col("__edge.v"))).drop("__edge")
+
+
+def running(held: DataFrame, value: Column, keys: Sequence[str], name: str, inclusive: bool) -> DataFrame:
+    """Adds the sum of a whole-number value over the rows before each row of its keys (inclusive: and its own).
+
+    Sums run over each range, on from what the ranges before it add up to; the sum at a key's first row is taken off.
+    Per range one row comes to the driver for either.
+    """
+    w = Window.partitionBy("__range").orderBy("__row")
+    before, rows = 0, []
+    for r in sorted(held.groupBy("__range").agg(F.sum(value).alias("n")).collect()):
+        rows.append((r["__range"], before))
+        before += r["n"] or 0
+    out = by_range(held, rows or [(0, 0)], "__range long, __before long")
+    up_to = F.col("__before") + F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = out.withColumn("__up_to", up_to)
+    if keys:
+        out = neighbour(out, F.lit(True), keys, "__same", forward=False)
+        begin = F.last(F.when(F.col("__same").isNull(), F.col("__up_to")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        out = out.withColumn("__begin", begin)
+        carried, rows = None, []
+        for r in sorted(out.groupBy("__range").agg(F.max_by("__begin", "__row").alias("b")).collect()):
+            rows.append((r["__range"], carried))
+            carried = r["b"] if r["b"] is not None else carried
+        out = by_range(out, rows or [(0, 0)], "__range long, __carried long")
+        out = out.withColumn("__up_to", F.col("__up_to") - F.coalesce("__begin", "__carried")).drop("__same", "__begin", "__carried")
+    return out.withColumn(name, F.col("__up_to") + (value if inclusive else F.lit(0))).drop("__up_to", "__before")
+
+
 def _flagged(held: DataFrame, tolerance_us: int, keys: Sequence[str]) -> DataFrame:
     """Adds __joined: whether a row is consecutive with the next one of its keys, or of the whole order without keys."""
-    w = Window.partitionBy(*(keys or ["__range"])).orderBy(*(["__range", "__row"] if keys else ["__row"]))
-    out = held.withColumn("__next", F.lead("true_start_us").over(w)).withColumn("__last", F.lead(F.lit(1)).over(w).isNull())
-    if not keys:
-        firsts = sorted((r["__range"], r["first"]) for r in held.where("__row = 0").select("__range", F.col("true_start_us").alias("first")).collect())
-        rows = [(r, first) for (r, _), (_, first) in zip(firsts, firsts[1:])] or [(-1, None)]
-        out = by_range(out, rows, "__range long, __following long")
-        out = out.withColumn("__next", F.when(F.col("__last"), F.col("__following")).otherwise(F.col("__next"))).drop("__following")
-    return out.withColumn("__joined", adjacent(F.col("true_end_us"), F.col("__next"), tolerance_us)).drop("__next", "__last")
+    out = neighbour(held, F.col("true_start_us"), keys, "__next")
+    return out.withColumn("__joined", adjacent(F.col("true_end_us"), F.col("__next"), tolerance_us)).drop("__next")
 
 
 def _numbered(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Islands from __joined: 1 plus the number of breaks before the row."""
-    broke = (~F.col("__joined")).cast("long")
-    if keys:
-        w = Window.partitionBy(*keys).orderBy("__range", "__row").rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(name, 1 + F.coalesce(F.sum(broke).over(w), F.lit(0)))
-    before, rows = 0, []
-    for r in sorted(df.groupBy("__range").agg(F.sum(broke).alias("n")).collect()):
-        rows.append((r["__range"], before))
-        before += r["n"]
-    w = Window.partitionBy("__range").orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)
-    out = by_range(df, rows or [(0, 0)], "__range long, __before long")
-    return out.withColumn(name, 1 + F.col("__before") + F.coalesce(F.sum(broke).over(w), F.lit(0))).drop("__before")
+    # the last row of a key is joined to nothing, which is no break either
+    return running(df, (~F.col("__joined")).cast("long"), keys, name, inclusive=False).withColumn(name, F.col(name) + 1)
 
 
 def _capped(df: DataFrame, cap_seconds: float, keys: Sequence[str]) -> DataFrame:
@@ -114,8 +144,9 @@ def _capped(df: DataFrame, cap_seconds: float, keys: Sequence[str]) -> DataFrame
             yield pdf[["__range", "__row"]].assign(__cut=out)
 
     cut = dealt.mapInPandas(fold, "__range long, __row long, __cut boolean")
-    joined = marked.drop("__long").join(cut, ["__range", "__row"], "left")
-    return joined.withColumn("__joined", F.coalesce("__cut", "__joined")).drop("__cut")
+    # only the rows of folded islands are joined with what the fold says
+    folded = marked.where("__long").drop("__long").join(cut, ["__range", "__row"]).withColumn("__joined", F.col("__cut")).drop("__cut")
+    return marked.where("__long is null").drop("__long").unionByName(folded)
 
 
 def islands(df: DataFrame, order: Sequence[str], tolerance_us: int = TOLERANCE_US, partition_by: Sequence[str] = (), cap_seconds: float | None = None, name: str = "DiffTime") -> DataFrame:
@@ -127,7 +158,7 @@ def islands(df: DataFrame, order: Sequence[str], tolerance_us: int = TOLERANCE_U
     starts anew, and the row after a gap is not counted.  partition_by numbers each key by itself; the default
     is one global order.  order must be unique for results to be reproducible.  An empty table stays empty.
     """
-    held = ranged(segment_bounds(df), order)
+    held = ranged(segment_bounds(df), [*partition_by, *order])
     out = _flagged(held, tolerance_us, partition_by)
     if cap_seconds is not None:
         if cap_seconds <= 0:

@@ -89,6 +89,42 @@ def test_partitioned_numbering(spark):
         assert [got[i] for i in range(site, 20, 2)] == sequential(mine, cap=3)
 
 
+def test_a_key_of_most_rows_is_spread_over_ranges(spark):
+    """Islands and runs of keys that reach over several ranges, begin and end inside them, or hold a null."""
+    rng = random.Random(8)
+    rows, at = [], 0
+    for i in range(600):
+        at += rng.choice([5, 5, 5, 5, 300])
+        rows.append((i, T0 + dt.timedelta(seconds=at), 0.0, 5.0, rng.choice(["hot"] * 8 + ["a", "z", None])))
+    df = spark.createDataFrame(rows, SCHEMA)
+    held = segments.ranged(df, ["site", "StartTime", "id"])
+    assert held.where("site = 'hot'").select("__range").distinct().count() > 1
+    got = {r.id: r.DiffTime for r in segments.islands(df, ["StartTime", "id"], partition_by=["site"]).collect()}
+    want = {}
+    for site in ("hot", "a", "z", None):
+        mine = [r for r in rows if r[4] == site]
+        n = 1
+        for r, after in zip(mine, [*mine[1:], None]):
+            want[r[0]] = n
+            if after and abs((after[1] - r[1]).total_seconds() - 5.0) > 1:
+                n += 1
+    assert got == want
+    valued = df.withColumn("v", F.when(F.col("id") % 7 < 4, 1.0).when(F.col("id") % 7 < 6, 0.0))
+    runs = sorted(((r.site or "", r.run, r.n) for r in detect.runs_above(valued, "v", 0.5, ["StartTime", "id"], ["site"]).collect()))
+    want = []
+    for site in ("hot", "a", "z", None):
+        n, on = 0, False
+        for r in (r for r in rows if r[4] == site):
+            up = r[0] % 7 < 4
+            if up and not on:
+                n += 1
+                want.append([site or "", n, 0])
+            if up:
+                want[-1][2] += 1
+            on = up
+    assert runs == sorted(map(tuple, want))
+
+
 def test_input_is_not_changed(spark):
     df = rows_to_df(spark, [(0, 1)])
     assert segments.islands(df, ["id"]).columns == [*df.columns, "true_start_us", "true_end_us", "DiffTime"]
