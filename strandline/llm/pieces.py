@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from strandline.llm.common import U64, mix, seeds, slices
 
+#: The vocabulary file where the session does not name another one.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+MODEL_SETTING = "strandline.pieces.model"
 THETA = 0.5
 SEED = 9
 #: log weight of a fallback byte
@@ -259,7 +261,7 @@ def codepoints(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, at
 
 
-def encode_sampled(docs: DataFrame, model: str = MODEL, theta: float = THETA, seed: int = SEED, ids: bool = True, check: bool = True, copy: str | None = None) -> DataFrame:
+def encode_sampled(docs: DataFrame, model: str | None = None, theta: float = THETA, seed: int = SEED, ids: bool = True, check: bool = True, copy: str | None = None) -> DataFrame:
     """(doc_id, ids, n_pieces, ids_sha256, decoded_sha256, lossless) for each row of docs (doc_id, text).
 
     ids is a sampled segmentation of the whole text, the same at every run for equal doc_id, text, theta and
@@ -273,7 +275,7 @@ def encode_sampled(docs: DataFrame, model: str = MODEL, theta: float = THETA, se
     Null doc_id: keyed as 0.  Repeated rows are encoded alike; other columns are ignored; an empty table
     gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Pieces(model, theta))  # the size of the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces(model or docs.sparkSession.conf.get(MODEL_SETTING, MODEL), theta))  # the size of the vocabulary
     schema = pa.schema([("doc_id", pa.int64()), *([("copy", pa.int32())] if copy else []), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("lossless", pa.bool_())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,9 +311,9 @@ def encode_sampled(docs: DataFrame, model: str = MODEL, theta: float = THETA, se
     return base.mapInArrow(run, "doc_id long, " + ("copy int, " if copy else "") + "ids array<int>, n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean")
 
 
-def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
+def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give null text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Pieces(model))
+    shared = encoded.sparkSession.sparkContext.broadcast(Pieces(model or encoded.sparkSession.conf.get(MODEL_SETTING, MODEL)))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
