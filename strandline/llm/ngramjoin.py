@@ -527,6 +527,9 @@ def jaccard_components(docs: DataFrame, n: int = N, num: int = NUM, den: int = D
     inside = materialize(_block_links(blocks, joined, classes.drop("n"), named, n, num, den), "ngram-inside")
     # the first round's components stand where the second found nothing
     whole = joined if more.isEmpty() and inside.isEmpty() else components(links.union(more).union(inside), "ngram-components")
+    # nothing that follows reads these any more
+    for done in (postings, first, second, links, more, inside):
+        discard(done)
     # sets that link with nothing are their own component
     linked = materialize(whole.withColumnRenamed("node", "cls").join(first_docs, "cls"), "ngram-linked")
     of = materialize(linked.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")), "ngram-of")
