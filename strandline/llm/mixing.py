@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize, shuffle_parts
+from strandline.llm.common import hot_keys, materialize, salted_join, shuffle_parts
 
 WEIGHTS = (1, 2, 3)
 MAX_RATE = 3
@@ -38,7 +38,7 @@ def _running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> Dat
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
-    """(source, source_size, weight, target) from rows (source, size).
+    """(source, source_size, weight, target, n) from rows (source, size); n is the number of rows.
 
     Sources in code point order (null last) weigh weights[0], weights[1], ..., repeating.  Shares add up to
     all tokens; a target stops at max_rate times its source's size, and the excess is shared again by
@@ -48,7 +48,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rat
     In the order of these levels, with the sources before one full, the rest shares what they leave; the first source
     that this share does not fill sets the level for all after it.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     ranked = _running(per, [F.col("source").isNull().cast("int"), F.col("source")], {"rank": F.lit(1)})
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     s = ranked.withColumn("weight", weight).withColumn("most", (F.col("source_size") * max_rate).cast("long")).withColumn("full_at", F.col("most") / F.col("weight"))
@@ -58,7 +58,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rat
     level = F.when(F.col("full_at") > share / (F.lit(all_weight or 1.0) - F.col("taken_weight")), share / (F.lit(all_weight or 1.0) - F.col("taken_weight")))
     # without tokens no source is open and the level is 0
     level = filled.agg(F.min_by(level, F.when(level.isNotNull(), F.struct("full_at", "rank")))).first()[0] or 0.0
-    return filled.select("source", "source_size", "weight", F.when(F.col("most") <= F.col("weight") * F.lit(level), F.col("most").cast("double")).otherwise(F.col("weight") * F.lit(level)).alias("target"))
+    return filled.select("source", "source_size", "weight", "n", F.when(F.col("most") <= F.col("weight") * F.lit(level), F.col("most").cast("double")).otherwise(F.col("weight") * F.lit(level)).alias("target"))
 
 
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: int = 8) -> DataFrame:
@@ -71,9 +71,10 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int
     Columns of docs with these names are replaced.
     """
     base = docs.drop("size", "source_size", "target", "copies").withColumn("size", token_count())
-    targets = source_targets(base.select("source", "size"), weights, max_rate).select(F.col("source").alias("__source"), "source_size", "target")
-    # a row per source: fixed by the number of sources, so Spark itself chooses whether it is sent to all
-    out = base.join(targets, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
+    name = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("__source")
+    targets = source_targets(base.select("source", "size"), weights, max_rate).select(name, "source_size", "target", "n")
+    # a row per source: Spark itself chooses whether they are sent to all; if not, the rows of a large source go to several places
+    out = salted_join(base.withColumn("__source", name), targets.drop("n"), ["__source"], "doc_id", hot_keys(targets, ["__source"]), "left").drop("__source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
