@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize, shared_dir, shuffle_parts
+from strandline.llm.common import hot_keys, materialize, salted_join, shared_dir, shuffle_parts
 
 MIN_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"
@@ -101,9 +101,9 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     row with the payload has an id.  Repeated rows of that page_id are responses each.
     """
     p = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload")).withColumn("sha", F.unhex(F.sha1("payload")))
-    last = p.where(F.length("payload") >= min_bytes).groupBy("sha").agg(F.max("page_id").alias("last"))
-    # the payloads move once, to where their digest's largest page_id is; a large group is split by the adaptive skew join
-    j = p.join(last, "sha", "left")
+    last = materialize(p.groupBy("sha").agg(F.max(F.when(F.length("payload") >= min_bytes, F.col("page_id"))).alias("last"), F.count("*").alias("n")), "warc-last")
+    # the payloads move once, to where their digest's largest page_id is; rows of a common payload go to several places
+    j = salted_join(p, last.drop("n"), ["sha"], "page_id", hot_keys(last, ["sha"]), "left")
     again = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")) & (F.length("payload") >= min_bytes)
     return j.select("page_id", "url", "payload", F.when(again, F.col("last")).alias("refers_to"))
 
