@@ -103,6 +103,20 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(U64))
 
 
+def spans_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 2 * SLICE_BYTES) -> np.ndarray:
+    """span_hash() of the spans of a text of any length (starts ascending), about `limit` bytes of it at a time."""
+    if len(data) <= limit:
+        return span_hash(prefix_hash(data), start, end)
+    out = np.empty(len(start), dtype=U64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + limit)))
+        lo, hi = int(start[i]), int(end[i:j].max())
+        out[i:j] = span_hash(prefix_hash(data[lo:hi]), start[i:j] - lo, end[i:j] - lo)
+        i = j
+    return out
+
+
 # ---------------------------------------------------------------- texts as arrays
 
 #: The white space of the contracts: space and 0x09 to 0x0D.
@@ -245,15 +259,15 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str,
     """left joined with right, which has few rows a key: the left rows of a hot key go to as many places as it has salts (by
     their column `spread`), and the key's right rows to each of them.  Left rows with a null key (they find nothing) spread too.
     """
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], "salts"))
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("salts").alias("__salts")))
     on, null = F.lit(True), F.lit(False)
     for k in keys:
         on &= F.col(k) == F.col(f"__{k}")
         null |= F.col(k).isNull()
-    drop = [f"__{k}" for k in keys] + ["salts"]
-    salt = F.when(null, F.pmod(F.xxhash64(spread), F.lit(1 << 20))).otherwise(F.pmod(F.xxhash64(spread), F.coalesce("salts", F.lit(1)))).cast("int")
+    drop = [f"__{k}" for k in keys] + ["__salts"]
+    salt = F.when(null, F.pmod(F.xxhash64(spread), F.lit(1 << 20))).otherwise(F.pmod(F.xxhash64(spread), F.coalesce("__salts", F.lit(1)))).cast("int")
     many = left.join(hot, on, "left").withColumn("__salt", salt).drop(*drop)
-    few = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop(*drop)
+    few = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop(*drop)
     return many.join(few, [*keys, "__salt"], how).drop("__salt")
 
 

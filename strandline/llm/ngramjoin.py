@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, U64, Packer, components, deal, discard, hot_keys, materialize, mix, packed_schema, prefix_hash, run_starts, runs, salted_join, seeds, shuffle_parts, slices, span_hash, unpack, words
+from strandline.llm.common import LOWER, U64, Packer, components, deal, discard, hot_keys, materialize, mix, packed_schema, run_starts, runs, salted_join, seeds, shuffle_parts, slices, spans_hash, unpack, words
 
 N = 5
 NUM, DEN = 4, 5  # the threshold 0.8, exactly
@@ -49,7 +49,7 @@ def shingles(data: np.ndarray, offs: np.ndarray, n: int = N) -> tuple[np.ndarray
     start, end, row = words(data, offs)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    w = span_hash(prefix_hash(data), start, end)
+    w = spans_hash(data, start, end)
     k = len(w) - n + 1
     if k > 0:
         h = np.zeros(k, dtype=U64)

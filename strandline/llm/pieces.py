@@ -166,15 +166,30 @@ class Pieces:
         cum -= np.repeat(base, np.diff(head))
         return head, cum, alpha
 
-    def encode(self, data: np.ndarray, offs: np.ndarray, key: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, data: np.ndarray, offs: np.ndarray, key: np.ndarray, seed: int = SEED, limit: int = 2 * SLICE) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): a segmentation of each row's text; key is a 64-bit number of each row.
 
-        A blank is put before a text, as the vocabulary expects; an empty text has no pieces.
+        A blank is put before a text, as the vocabulary expects; an empty text has no pieces.  A row of more than `limit`
+        bytes is encoded by that much at a time, cut where a chunk begins; the result is the same.
         """
-        s, at = codepoints(data, offs)
+        if len(offs) != 2 or len(data) <= limit:
+            return self._encode(data, offs, key, seed)[:2]
+        begins = np.flatnonzero((data[1:] == 32) & (data[:-1] != 32)) + 1
+        cuts = np.unique(np.append(begins[np.minimum(np.searchsorted(begins, np.arange(limit, len(data), limit)), len(begins) - 1)] if len(begins) else [], [0, len(data)])).astype(np.int64)
+        out, chunks = [], 0
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            ids, _, n = self._encode(data[a:b], np.array([0, b - a]), key, seed, a == 0, chunks)
+            out.append(ids)
+            chunks += n
+        ids = np.concatenate(out)
+        return ids, np.array([0, len(ids)])
+
+    def _encode(self, data: np.ndarray, offs: np.ndarray, key: np.ndarray, seed: int, lead: bool = True, before: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
+        """encode(), and how many chunks there are; lead: whether a blank goes before a text, before: chunks that a row had already."""
+        s, at = codepoints(data, offs, lead)
         n_rows = len(offs) - 1
         if not len(s):
-            return np.zeros(0, np.int64), np.zeros(n_rows + 1, np.int64)
+            return np.zeros(0, np.int64), np.zeros(n_rows + 1, np.int64), 0
         row = np.repeat(np.arange(n_rows), np.diff(at))
         blank = s == BLANK
         begins = blank.copy()
@@ -197,7 +212,7 @@ class Pieces:
         # backward sampling, one arc of each chunk a round
         place, stop = u_first[of] + length, u_first[of]
         c_row = row[first]
-        number = np.arange(len(first)) - np.searchsorted(c_row, c_row)
+        number = np.arange(len(first)) - np.searchsorted(c_row, c_row) + before
         base = mix(key.astype(np.int64).view(U64)[c_row] * _MUL[0] + U64(seed * int(_MUL[1]) % (1 << 64))) + number.astype(U64) * _MUL[2]
         live = np.arange(len(first))
         got_chunk, got_arc, t = [], [], 0
@@ -231,7 +246,7 @@ class Pieces:
             for k in range(max(map(len, spelled))):
                 b = np.array([x[k] if k < len(x) else -1 for x in spelled])[which]
                 ids[where[odd][b >= 0] + k] = b[b >= 0]
-        return ids, np.searchsorted(owner, np.arange(n_rows + 1))
+        return ids, np.searchsorted(owner, np.arange(n_rows + 1)), len(first)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text's bytes: exactly those that were encoded."""
@@ -239,8 +254,8 @@ class Pieces:
         return raw[1:] if raw[:1] == b" " else raw
 
 
-def codepoints(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of each non-empty row with a blank before and blanks for spaces, and the rows' offsets.
+def codepoints(data: np.ndarray, offs: np.ndarray, lead: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of each non-empty row with a blank before (where lead) and blanks for spaces, and the rows' offsets.
 
     Bytes that are no UTF-8 become lone surrogates, so they come back as they were.
     """
@@ -254,7 +269,7 @@ def codepoints(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
         rows = [np.frombuffer(raw[a:b].decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), np.uint32) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
         n, cp = np.array([len(x) for x in rows]), np.concatenate(rows)
     cp = np.where(cp == BLANK, LITERAL, np.where(cp == 32, BLANK, cp)).astype(np.uint32)
-    full = (size > 0).astype(np.int64)
+    full = (size > 0).astype(np.int64) * lead
     at = np.append(0, np.cumsum(n + full))
     out = np.full(int(at[-1]), BLANK, np.uint32)
     out[np.arange(len(cp)) + np.repeat(np.cumsum(full), n)] = cp

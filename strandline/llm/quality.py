@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, SPACE, U64, mix, prefix_hash, run_starts, slices, span_hash, words
+from strandline.llm.common import LOWER, SPACE, U64, mix, run_starts, slices, spans_hash, words
 from strandline.llm.toxicity import held_out, labelled_sample
 
 #: At most this many labelled rows are fitted, on at most this many of each one's passages (evenly spread over the text).
@@ -80,7 +80,7 @@ def passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
         f[:, i] = sums(kind[data]) / size
     col = len(KINDS)
     # words: mean length, share of the common case of repetition (a word that the passage has already), capital words
-    h = span_hash(prefix_hash(data), start, end)
+    h = spans_hash(data, start, end)
     pid = np.repeat(np.arange(len(at)), last - at + 1)
     by = np.lexsort((h, pid))
     again = np.ones(len(by), bool)
@@ -106,7 +106,7 @@ def passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     grid = np.bincount(of[inside] * (k * k) + pair[inside], minlength=len(at) * k * k).reshape(len(at), k * k)
     f[:, col + 6 : STATS] = grid / size[:, None]
     # words (a-z for A-Z) and pairs of neighbouring words
-    low = span_hash(prefix_hash(LOWER[data]), start, end)
+    low = spans_hash(LOWER[data], start, end)
     pair_of = np.flatnonzero(pid[1:] == pid[:-1])
     both = mix(low[pair_of] * U64(3) + low[pair_of + 1])
     bucket = np.concatenate([pid * BUCKETS + (low % U64(BUCKETS)).astype(np.int64), pid[pair_of] * BUCKETS + (both % U64(BUCKETS)).astype(np.int64)])

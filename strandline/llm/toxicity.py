@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, U64, prefix_hash, run_starts, slices, span_hash, words
+from strandline.llm.common import LOWER, U64, run_starts, slices, spans_hash, words
 
 #: Bound of what is learned from: labelled rows that are fitted.
 FIT_ROWS = 8000
@@ -237,20 +237,19 @@ def char_counts(docs: DataFrame) -> np.ndarray:
 # ---------------------------------------------------------------- features and model
 
 
-def _hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(which words, feature hash): each whole word, and the beginnings of those that go on."""
-    yield np.arange(len(start)), span_hash(prefix, start, end)
+    yield np.arange(len(start)), spans_hash(data, start, end)
     for k in PREFIXES:
         long = np.flatnonzero(end - start > k)
-        yield long, span_hash(prefix, start[long], start[long] + k) ^ U64(k)
+        yield long, spans_hash(data, start[long], start[long] + k) ^ U64(k)
 
 
 def features(data: np.ndarray, offs: np.ndarray, lm: CharModel) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row, feature hash) of a slice's words, plain and restored; not distinct."""
     t = tokens(data, offs)
     if len(t.start):
-        p = prefix_hash(t.data)
-        for which, h in _hashes(p, t.start, t.end):
+        for which, h in _hashes(t.data, t.start, t.end):
             yield t.row[which], h
     if t.noisy:
         found = [(r, w.encode()) for r, x in t.noisy for w in lm.decode(x).split(" ") if w]
@@ -258,8 +257,7 @@ def features(data: np.ndarray, offs: np.ndarray, lm: CharModel) -> Iterator[tupl
             rows = np.array([r for r, _ in found])
             lens = np.array([len(w) for _, w in found])
             end = np.cumsum(lens)
-            p = prefix_hash(np.frombuffer(b"".join(w for _, w in found), np.uint8))
-            for which, h in _hashes(p, end - lens, end):
+            for which, h in _hashes(np.frombuffer(b"".join(w for _, w in found), np.uint8), end - lens, end):
                 yield rows[which], h
 
 
@@ -308,11 +306,13 @@ def held_out(modulus: int, rest: int):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, rest: int, fit_rows: int) -> DataFrame:
-    """(text, y) of at most fit_rows labelled rows outside the held-out part, those of least hashed doc_id."""
+    """(text, y) of at most fit_rows labelled rows outside the held-out part, those of least hashed doc_id; of texts under one
+    doc_id the one of least hash."""
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(modulus, rest))
     few = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows)
     # at most fit_rows rows of two numbers
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").select("text", "y")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few.distinct()), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "y")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, rest: int = 2, fit_rows: int = FIT_ROWS) -> ToxicityModel:
@@ -382,7 +382,7 @@ def _vocabulary(model: ToxicityModel, data: np.ndarray, offs: np.ndarray, y: np.
     out: list[list[str]] = [[] for _ in y]
     t = tokens(data, offs)
     if len(t.start):
-        h = span_hash(prefix_hash(t.data), t.start, t.end)
+        h = spans_hash(t.data, t.start, t.end)
         for i in np.flatnonzero(np.isin(h, model.hashes) & (y[t.row] == 1)).tolist():
             out[t.row[i]].append(t.data[t.start[i] : t.end[i]].tobytes().decode("utf-8", "replace"))
     return [sorted(set(x)) for x in out]

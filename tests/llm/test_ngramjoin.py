@@ -92,6 +92,26 @@ def test_tile_links():
     assert nj.tile_links([], np.zeros(0, int), np.zeros(0, int), True, 4, 5)[0].tolist() == []
 
 
+def test_spans_of_long_texts():
+    rng = np.random.default_rng(9)
+    data = rng.integers(97, 123, 5000).astype(np.uint8)
+    start = np.sort(rng.integers(0, 4800, 300))
+    end = start + rng.integers(1, 200, 300)
+    whole = common.span_hash(common.prefix_hash(data), start, end)
+    for limit in (1, 77, 1000, 10_000):
+        assert (common.spans_hash(data, start, end, limit) == whole).all()
+
+
+def test_a_very_long_text(spark):
+    words = ["w%d" % (i * 7919 % 100_003) for i in range(900_000)]
+    text = " ".join(words)
+    other = " ".join(["x"] * 3 + words[:-3])
+    df = spark.createDataFrame([(5, text), (3, other), (9, "one two")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.jaccard_components(df).collect()}
+    assert len(text) > 2 * common.SLICE_BYTES
+    assert got[5] == (len(shingle_set(text)), 3) and got[3][1] == 3 and got[9] == (1, 9)
+
+
 def test_shingles_of_a_slice():
     texts = ["A b  c d E f", "", None, "x y", "a B c d e", "é" * 3]
     got = {}

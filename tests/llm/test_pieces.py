@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -72,3 +73,18 @@ def test_data_frame(spark, vocab):
     back = sorted(((r.doc_id, r.text) for r in pc.decode_pieces(out).collect()), key=str)
     assert back == sorted(rows, key=str)
     assert pc.encode_sampled(df.limit(0)).count() == 0
+
+
+def test_long_rows_in_pieces():
+    rng = random.Random(17)
+    v = pc.Pieces()
+    text = "".join(rng.choice(["word ", "  two", "é", "▁x ", "\n", "abc", " 99 "]) for _ in range(3000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    key, offs = np.array([7]), np.array([0, len(data)])
+    whole, _ = v.encode(data, offs, key)
+    for limit in (50, 997, len(data) - 1):
+        ids, at = v.encode(data, offs, key, limit=limit)
+        assert ids.tolist() == whole.tolist() and at.tolist() == [0, len(ids)]
+    assert v.decode(whole) == text.encode()
+    solid = np.frombuffer(b"x" * 500, np.uint8)
+    assert v.decode(v.encode(solid, np.array([0, 500]), key, limit=90)[0]) == b"x" * 500
