@@ -213,7 +213,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modu
                 picks = [s + np.unique(np.linspace(0, e - s - 1, FIT_PASSAGES).round().astype(np.int64)) for s, e in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(y[a:b]), pa.array([f[x].tobytes() for x in picks], pa.binary())], names=["y", "bag"])
 
-    rows = sample.mapInArrow(bags, "y int, bag binary").orderBy(F.xxhash64("bag")).collect()  # at most fit_rows rows of FIT_PASSAGES * WIDTH numbers
+    got = sample.mapInArrow(bags, "y int, bag binary").withColumn("h", F.xxhash64("bag")).collect()  # at most fit_rows rows of FIT_PASSAGES * WIDTH numbers
+    rows = sorted(got, key=lambda r: (r.h, r.y))
     y = np.array([r.y for r in rows], dtype=float)
     if not len(y) or y.min() == y.max():
         share = min(max(y.mean() if len(y) else 0.5, 1e-6), 1 - 1e-6)
