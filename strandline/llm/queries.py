@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bitsliced, kdtree, mixing, ngramjoin, pieces, quality, suffixdedup, toxicity, urlfilter, warc
+from strandline.llm import bitsliced, kdtree, lloyd, mixing, ngramjoin, pieces, quality, suffixdedup, toxicity, urlfilter, warc
 from strandline.llm.common import table
 
 
@@ -60,6 +60,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_inner_products(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_url_filters": op2_url_filters,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
 SQL: dict[str, str] = {}
@@ -153,3 +158,38 @@ digest AS (
 SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to
 FROM digest JOIN last USING (h)
 """
+
+
+def _lloyd_sql(k: int = lloyd.K, rounds: int = lloyd.ROUNDS, dims: int = lloyd.DIMS, scale: int = lloyd.SCALE, seed: int = lloyd.SEED) -> str:
+    """One CTE of assignments and one of centroids a round."""
+    parts = [
+        f"""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1)::INT AS cluster, v AS c FROM v ORDER BY sha256('{seed}:' || vec_id) LIMIT {k})"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, any_value(v) AS v, min(struct_pack(d := d, cluster := cluster)) AS best FROM (
+    SELECT vec_id, v, cluster, list_sum(list_transform(range(1, {dims} + 1), lambda j: (v[j] - c[j]) * (v[j] - c[j])))::BIGINT AS d FROM v CROSS JOIN c{i}
+  ) GROUP BY vec_id
+)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.cluster, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+    SELECT cluster, list((CASE WHEN s % n < 0 THEN s // n - 1 ELSE s // n END)::BIGINT ORDER BY j) AS c FROM (
+      SELECT best.cluster AS cluster, j, sum(v[j]) AS s, count(*) AS n FROM a{i} CROSS JOIN range(1, {dims} + 1) t(j) GROUP BY 1, 2
+    ) GROUP BY cluster
+  ) m USING (cluster)
+)"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, best.cluster AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.cluster))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+  count(*) OVER (PARTITION BY best.cluster) AS cluster_size, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.cluster = c{rounds}.cluster"""
+
+
+SQL["op11_centroid_clustering"] = _lloyd_sql()
