@@ -89,7 +89,8 @@ def _sums(rows: DataFrame, centroids: np.ndarray, dims: int) -> list:
                     d = dist[mine]
                     far[c] += (int((d >> 32).sum()) << 32) + int((d & 0xFFFFFFFF).sum())
         on = np.flatnonzero(n)
-        yield pd.DataFrame({"cluster": on.astype(np.int32), "n": n[on], "s": list(s[on]), "inertia": [Decimal(far[c]) for c in on]})
+        if len(on):
+            yield pd.DataFrame({"cluster": on.astype(np.int32), "n": n[on], "s": list(s[on]), "inertia": [Decimal(far[c]) for c in on]})
 
     parts = rows.select("v").mapInPandas(partial, "cluster int, n long, s array<long>, inertia decimal(38,0)")
     total = F.array(*[F.sum(F.col("s")[i]) for i in range(dims)])
