@@ -165,6 +165,30 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return start, end, np.searchsorted(offs, start, "right") - 1
 
 
+def distinct_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a span of each distinct content, number of its content for each span); data: uint8, or code points as uint32.
+
+    Contents are told apart by a 64-bit hash and then held against each other, so that equal hashes of unlike contents do no harm.
+    """
+    n, salt = len(data), 0
+    size = end - start
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pw, inv = _powers(n + 1)
+    while True:
+        w = mix(np.arange(256, dtype=U64) + U64(1 + salt))[data] if data.dtype == np.uint8 else mix(data.astype(U64) + U64(1 + salt))
+        p = np.empty(n + 1, dtype=U64)
+        p[0] = 0
+        np.cumsum(w * pw[:n], out=p[1:])
+        _, one, of = np.unique(mix((p[end] - p[start]) * inv[start] + size.astype(U64)), return_index=True, return_inverse=True)
+        lead = one[of]
+        if (size == size[lead]).all():
+            at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            if (data[np.repeat(start, size) + at] == data[np.repeat(start[lead], size) + at]).all():
+                return one, of
+        salt += 1 << 32
+
+
 def run_starts(*keys: np.ndarray) -> np.ndarray:
     """Where a new run of equal keys begins, in sorted arrays."""
     n = len(keys[0])

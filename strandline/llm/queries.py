@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bitsliced, kdtree, lloyd, mixing, ngramjoin, pieces, quality, suffixdedup, toxicity, urlfilter, warc
+from strandline.llm import bitsliced, kdtree, lloyd, mixing, ngramjoin, pieces, quality, rankbpe, suffixdedup, toxicity, urlfilter, warc
 from strandline.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rankbpe.encode_words(table(spark, sf_dir, "documents").select("doc_id", "text"), ids=False).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_url_filters": op2_url_filters,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_exact_top_k": op10_exact_top_k,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_word_bpe": op12_word_bpe,
 }
 
 SQL: dict[str, str] = {}
