@@ -145,13 +145,13 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         a = b
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word (run of bytes that are not white space); words end with their row."""
+def words(data: np.ndarray, offs: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word (run of bytes that are not white space, or not in another set); words end with their row."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
-    ink = ~SPACE[data]
+    ink = ~blank[data]
     first, last = ink.copy(), ink.copy()
     first[1:] &= ~ink[:-1]
     last[:-1] &= ~ink[1:]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bitsliced, kdtree, lloyd, mixing, ngramjoin, pieces, quality, rankbpe, suffixdedup, toxicity, urlfilter, warc
+from strandline.llm import bitsliced, divergence, kdtree, lloyd, mixing, ngramjoin, pieces, quality, rankbpe, suffixdedup, toxicity, urlfilter, warc
 from strandline.llm.common import table
 
 
@@ -68,6 +68,10 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rankbpe.encode_words(table(spark, sf_dir, "documents").select("doc_id", "text"), ids=False).drop("ids")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_url_filters": op2_url_filters,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_top_k": op10_exact_top_k,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_word_bpe": op12_word_bpe,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 SQL: dict[str, str] = {}
@@ -198,3 +203,22 @@ FROM a{rounds} JOIN c{rounds} ON best.cluster = c{rounds}.cluster"""
 
 
 SQL["op11_centroid_clustering"] = _lloyd_sql()
+
+SQL["op13_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+share AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (total.n + v) AS p, 1 + (1000000000 * (kept.n + 1)) // (v.n + v) AS q
+  FROM total JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM share WHERE n > 0 AND p > q),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
