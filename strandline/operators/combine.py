@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.segments import islands, row_numbers
 from strandline.sources.files import copy_file, join_path, read_bytes, write_bytes
+from strandline.sources.order import POSITION, behind, numbered, positioned
 
 
 def union_by_name(tables: Sequence[DataFrame], port: str | None = "__port") -> DataFrame:
@@ -22,16 +23,28 @@ def union_by_name(tables: Sequence[DataFrame], port: str | None = "__port") -> D
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
 
 
-def combine_selections(tables: Sequence[DataFrame], order: Sequence[str]) -> DataFrame:
-    """Selection tables in one, numbered anew from 1 in the order (input, order...)."""
-    rows = union_by_name([t.drop("Selection") for t in tables])
-    return row_numbers(rows, ["__port", *order]).drop("__port")
+def union_in_order(tables: Sequence[DataFrame]) -> DataFrame:
+    """union_by_name() with positions: all rows of an input behind those of the inputs before it, each input in its own order."""
+    return union_by_name([behind(t, i) for i, t in enumerate(tables)], None)
 
 
-def combine_file_groups(tables: Sequence[DataFrame], order: Sequence[str], tolerance_us: int = 1_000_000) -> DataFrame:
-    """File-group tables in one, with DiffTime recomputed (without cap) in the order (input, order...)."""
-    rows = union_by_name([t.drop("DiffTime") for t in tables]).withColumn("StartTime", F.col("StartTime").cast("timestamp_ntz"))
-    return islands(rows, ["__port", *order], tolerance_us).drop("__port", "true_start_us", "true_end_us")
+def combine_selections(tables: Sequence[DataFrame], order: Sequence[str] | None = None) -> DataFrame:
+    """Selection tables in one, numbered anew from 1: input after input, the rows of each as they stand in it (its positions) or,
+    with `order`, by those columns.  Without `order` the rows keep positions, which are the new numbers."""
+    if order is not None:
+        return row_numbers(union_by_name([t.drop("Selection") for t in tables]), ["__port", *order]).drop("__port")
+    rows = union_by_name([positioned(t).drop("Selection") for t in tables])
+    return numbered(row_numbers(rows, ["__port", POSITION]).drop("__port"), "Selection")
+
+
+def combine_file_groups(tables: Sequence[DataFrame], order: Sequence[str] | None = None, tolerance_us: int = 1_000_000) -> DataFrame:
+    """File-group tables in one, with DiffTime recomputed (without cap) over the rows in the order of combine_selections()."""
+    own = [t.drop("DiffTime") for t in tables]
+    rows = union_by_name(own if order is not None else [positioned(t) for t in own]).withColumn("StartTime", F.col("StartTime").cast("timestamp_ntz"))
+    out = islands(rows, ["__port", *(order if order is not None else [POSITION])], tolerance_us).drop("true_start_us", "true_end_us")
+    if order is None:
+        out = out.withColumn(POSITION, F.concat(F.array(F.format_string("%08d", "__port")), POSITION))
+    return out.drop("__port")
 
 
 def combine_kind(outfile: str, no_combine: bool, first: str = "") -> str:
@@ -82,10 +95,16 @@ def distinct_branches(branches: Sequence, key=lambda b: b.fingerprint) -> list:
     return list(seen.values())
 
 
-def scatter(df: DataFrame, splits: int, key: str) -> DataFrame:
-    """df with split_ID 1..splits, by the key's remainder (null: the first), each split a partition of its own."""
-    number = F.coalesce(F.pmod(F.col(key), F.lit(splits)) + 1, F.lit(1)).cast("int")
-    return df.withColumn("split_ID", number).repartitionById(splits, F.col("split_ID") - 1)
+def split_numbers(df: DataFrame, splits: int, key: str | None = None) -> DataFrame:
+    """df with split_ID 1..splits, by the key's remainder (null: the first) or, without key, by a hash of the whole row; nothing moves."""
+    whole = F.xxhash64(*[c for c in df.columns if c != POSITION])
+    number = F.pmod(F.col(key) if key else whole, F.lit(splits)) + 1
+    return df.withColumn("split_ID", F.coalesce(number, F.lit(1)).cast("int"))
+
+
+def scatter(df: DataFrame, splits: int, key: str | None = None) -> DataFrame:
+    """split_numbers(), each split a partition of its own."""
+    return split_numbers(df, splits, key).repartitionById(splits, F.col("split_ID") - 1)
 
 
 def gather(split: DataFrame) -> DataFrame:

@@ -11,17 +11,22 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.operators.combine import collect_artifacts, combine_file_groups, combine_kind, combine_selections, gather, never_combined, scatter, union_by_name
+from strandline.functions.shared import shared_dir
+from strandline.operators.combine import collect_artifacts, combine_file_groups, combine_kind, combine_selections, gather, never_combined, split_numbers, union_by_name, union_in_order
 from strandline.plans.graph import Node, PlanError, Process, Registry
 from strandline.plans.loaders import Context
 from strandline.plans.methods import command, run_lines
 from strandline.plans.params import dump
 from strandline.sources.files import delete, exists, export, join_path, read_bytes, upload, write_bytes, write_csv
+from strandline.sources.order import from_files, in_order, plain
 
 
 class Store:
     """Tables by fingerprint below one folder: cache/<fingerprint>/data-*, and manifest.json which says what is complete.
 
+    Rows keep the order in which they were written: a table that has positions keeps them as a column, one that has none is read
+    back with the place of each row in its files.
+
     A table counts as made once its manifest stands; that is written last, so half-made tables are never read.
     """
 
@@ -41,13 +46,13 @@ class Store:
     def put(self, node: Node, df: DataFrame) -> DataFrame:
         path = join_path(self.folder(node.fingerprint), f"data-{uuid.uuid4().hex[:8]}")
         df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
+        out = from_files(self.spark.read.schema(df.schema).parquet(path), row_index=True)
         entry = {"fingerprint": node.fingerprint, "op": node.name, "children": [c.fingerprint for c in node.children], "path": path, "rows": out.count()}
         write_bytes(self.spark, join_path(self.folder(node.fingerprint), "manifest.json"), json.dumps(entry).encode())
         return out
 
     def get(self, fp: str) -> DataFrame:
-        return self.spark.read.parquet(self.entry(fp)["path"])
+        return from_files(self.spark.read.parquet(self.entry(fp)["path"]), row_index=True)
 
     def drop(self, fps: Iterable[str]) -> None:
         for fp in fps:
@@ -91,11 +96,16 @@ def descendants(root: Node, fp: str) -> set[str]:
 
 
 class Engine:
-    """methods_root: the folder of external methods, as the executors see it."""
+    """methods_root: the folder of external methods, as the executors see it.
+
+    Process functions get their inputs with positions where those are known (order.POSITION); what they return keeps its order as long as
+    that column stays, and else has the order in which Spark delivers its rows.
+    """
 
     def __init__(self, spark: SparkSession, registry: Registry, root: str, methods_root: str | None = None, context: Context | None = None) -> None:
         self.spark, self.registry, self.store = spark, registry, Store(spark, root)
         self.methods_root, self.context = methods_root, context or Context()
+        self._shares: dict[tuple, tuple[str, DataFrame]] = {}
 
     def explain(self, root: Node) -> str:
         """The graph with what is already there."""
@@ -135,6 +145,9 @@ class Engine:
             # cheap chains stay one Spark plan; tables are written where they end, fan out or wait for someone
             lazy[n.fingerprint] = self.store.put(n, df) if n.fingerprint in ends or used.get(n.fingerprint, 0) > 1 or self._is_review(n) or never_combined(n.outfile) else df
             run.made.append(n.fingerprint)
+        # the gathered table is written by now, nothing reads the shares any more
+        while self._shares:
+            delete(self.spark, self._shares.popitem()[1][0])
         for n in root.children if root.kind == "job" else (root,):
             run.outputs[n.name] = self.store.entry(n.fingerprint)["path"]
         if export:
@@ -142,7 +155,8 @@ class Engine:
         return run
 
     def result(self, node: Node) -> DataFrame:
-        return self.store.get(node.fingerprint)
+        """A node's table, without positions."""
+        return plain(self.store.get(node.fingerprint))
 
     def _needed(self, root: Node) -> set[str]:
         """Nodes that must be read or made: nothing below a table that is kept."""
@@ -166,16 +180,15 @@ class Engine:
                 return self._files(collect_artifacts(self.spark, paths, join_path(self.store.folder(n.fingerprint), f"files-{uuid.uuid4().hex[:8]}"), n.outfile))
             kind = combine_kind(n.outfile, False)
             if kind == "selections":
-                return combine_selections(inputs, [c for c in inputs[0].columns if c != "Selection"])
+                return combine_selections(inputs)
             if kind == "file_group":
-                return combine_file_groups(inputs, ["StartTime", "FileName", "SegStart"])
-            return union_by_name(inputs, None)
+                return combine_file_groups(inputs)
+            return union_in_order(inputs)
         process = self.registry.get(n.name)
         if n.kind == "gather":
             return union_by_name(inputs, None)
         if n.kind == "split":
-            share = scatter(inputs[0], n.parts, process.split_key).where(F.col("split_ID") == n.part)
-            inputs = [gather(share), *inputs[1:]]
+            inputs = [gather(self._dealt(n, inputs[0], process.split_key).where(F.col("split_ID") == n.part)), *inputs[1:]]
         if process.review:
             return self._review(n, inputs)
         fn = process.fn
@@ -189,6 +202,17 @@ class Engine:
             return self._files([made] if isinstance(made, str) else list(made))
         return fn(inputs, dict(n.bound.params))
 
+    def _dealt(self, n: Node, df: DataFrame, key: str | None) -> DataFrame:
+        """The input of all splits of a process, read and dealt out once: written by split, so that each reads its own files alone, as
+        many tasks as these have."""
+        name = (n.children[0].fingerprint, n.parts, key)
+        if name not in self._shares:
+            path = f"{shared_dir(self.spark)}/shares-{uuid.uuid4().hex}"
+            split = split_numbers(df, n.parts, key)
+            split.write.partitionBy("split_ID").parquet(path)
+            self._shares[name] = (path, self.spark.read.schema(split.schema).parquet(path))
+        return self._shares[name][1]
+
     def _files(self, paths: list[str]) -> DataFrame:
         """An artifact as others take it: a row a file."""
         return self.spark.createDataFrame([(p,) for p in paths], "path string")
@@ -208,16 +232,16 @@ class Engine:
             raise PlanError(f"{n.name} runs an external method, the engine has no methods_root")
         tables = [self.store.entry(c.fingerprint)["path"] for c in n.children[1:]]
         values = [str(v) for _, v in sorted(n.bound.params.items())]
-        return run_lines(inputs[0], command(self.methods_root, n.bound, [*tables, *values], self.context.argument_separator), process.lines)
+        return run_lines(plain(inputs[0]), command(self.methods_root, n.bound, [*tables, *values], self.context.argument_separator), process.lines)
 
     def _review(self, n: Node, inputs: list[DataFrame]) -> DataFrame:
         """The accepted replacement of the input; without one the run stops here with what is to be reviewed."""
         place = join_path(self.store.root, "review", n.fingerprint)
         replacement = join_path(place, "accepted")
         if exists(self.spark, join_path(replacement, "_SUCCESS")):
-            return self.spark.read.parquet(replacement)
+            return from_files(self.spark.read.parquet(replacement), row_index=True)
         shown = join_path(place, "proposed")
-        inputs[0].write.mode("overwrite").parquet(shown)
+        in_order(inputs[0]).write.mode("overwrite").parquet(shown)
         raise ReviewPending(PendingReview(n.fingerprint, shown, replacement))
 
     def accept(self, pending: PendingReview, edited: DataFrame) -> None:
@@ -233,7 +257,7 @@ class Engine:
                 for r in self.spark.read.parquet(path).collect():  # a row a file
                     export(self.spark, r.path, target)
             else:
-                write_csv(self.spark.read.parquet(path), target)
+                write_csv(from_files(self.spark.read.parquet(path), row_index=True), target)
             lines[name] = path
         write_bytes(self.spark, join_path(folder, "manifest.json"), json.dumps([{"pipe": k, "path": v} for k, v in sorted(lines.items())]).encode())
         if definition:

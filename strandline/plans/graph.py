@@ -63,7 +63,7 @@ class Process:
     review: bool = False
     #: Schema of the lines that an external method gives back; its first input's rows are its standard input.
     lines: str | None = None
-    #: A process that may run in splits names the column whose remainder deals its first input out.
+    #: The column whose remainder deals the first input out where a process runs in splits; without one, a hash of the whole row does.
     split_key: str | None = None
 
     @property
@@ -145,7 +145,7 @@ def process_node(process: Process, bound: Bound, children: Sequence[Node]) -> No
     parts = int(args.get("splits", "1"))
     if parts < 1:
         raise PlanError(f"{process.name}: splits must be at least 1")
-    if parts == 1 or process.split_key is None:
+    if parts == 1:
         return Node("process", process.name, tuple(children), fp, bound, process.outfile, *marks)
     if not children:
         raise PlanError(f"{process.name} has no input to split")

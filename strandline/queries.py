@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import scalars
@@ -15,7 +15,7 @@ from strandline.plans.engine import Engine, ancestors, descendants
 from strandline.plans.graph import Compiler, Registry, Scope, process_node, scan_points
 from strandline.plans.methods import run_lines
 from strandline.plans.params import at_index, bind
-from strandline.sources.files import join_path, read_file_groups, write_csv
+from strandline.sources.files import join_path, read_file_group, read_file_groups, read_selections, write_csv
 
 TOLERANCE_US = 180_000_000
 CAP_S = 900.0
@@ -271,13 +271,46 @@ def split_runs(spark, sf_dir):
     return engine.result(node)
 
 
+def _in_order(spark, sf_dir, outfile, rows, read, order):
+    """rows (with event_type) in a file a type, in an order that no column of theirs tells, through a scan over the files with a cutoff above."""
+    folder = f"{shared_dir(spark)}/ordered-{uuid.uuid4().hex}"
+    kinds = ("view", "purchase", "click")
+    for kind in kinds:
+        write_csv(rows.where(F.col("event_type") == kind).orderBy(*order), join_path(folder, kind), "\t" if outfile.endswith(".txt") else ",")
+    registry = Registry()
+    registry.process("Load")(lambda inputs, params: read(join_path(folder, params["file"])))
+    registry.process("Cut", "OneUpstream", ("GetLoad",), outfile=outfile)(lambda inputs, params: detect.apply_cutoff(inputs[0], float(params["cutoff"]), "value"))
+    tree = {"Load": {"parameters": {"file": list(kinds)}}, "Cut": {"parameters": {"cutoff": "10"}}}
+    node = Compiler(registry).compile({"loop_on": "Load", "pipe": "OneUpstream", "OneUpstream": {"process": "Cut", "GetLoad": {"process": "Load"}}}, Scope(tree))
+    engine = Engine(spark, registry, f"{shared_dir(spark)}/engine-{uuid.uuid4().hex}")
+    engine.run(node)
+    return engine.result(node)
+
+
+def selections_in_file_order(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.lit(0).alias("Selection"))
+    read = lambda path: read_selections(spark, path, "event_id long, event_type string, value double, Selection int")
+    return _in_order(spark, sf_dir, "table.txt", rows, read, [F.md5(F.col("event_id").cast("string")), "event_id"]).select("event_id", "event_type", "Selection")
+
+
+def file_groups_in_file_order(spark, sf_dir):
+    e = segment_view(spark, sf_dir).withColumn("value", F.col("SegDur") / 6)
+    following = F.lead("StartTime").over(Window.partitionBy("event_type").orderBy(F.desc("user_id"), "StartTime", "event_id"))
+    gap = F.unix_micros(following.cast("timestamp")) - F.unix_micros(F.col("StartTime").cast("timestamp"))
+    rows = e.withColumn("SegDur", F.when(F.col("event_id") % 3 == 0, F.lit(0.0)).otherwise(F.coalesce(gap / 1e6, F.lit(0.0)))).withColumn("StartTime", F.date_format("StartTime", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    rows = rows.select("event_id", "user_id", "event_type", "FileName", "StartTime", F.lit(1.0).alias("Duration"), "SegStart", "SegDur", "value", F.lit(0).alias("DiffTime"))
+    read = lambda path: read_file_group(spark, path).withColumn("value", F.col("value").cast("double"))
+    out = _in_order(spark, sf_dir, "FileGroupFormat.csv.gz", rows, read, [F.desc("user_id"), "StartTime", "event_id"])
+    return out.select(F.col("event_id").cast("long").alias("event_id"), "event_type", "DiffTime")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
         param_scan_product, param_scan_zip_sorted, branch_dedupe, scatter_gather, elapsed_dhms, scalar_functions, lineage_descendants, lineage_ancestors, apply_cutoff,
         assign_labels_iou, assign_labels_with_truth, merge_features_labels, perf_eval, perf_curve, split_for_evaluation, reduce_by_field, reduce_by_field_union,
-        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs,
+        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order,
     )
 }
 
@@ -358,5 +391,11 @@ SELECT f.name AS "Begin File", event_id::VARCHAR AS "Selection", CASE WHEN event
     "detection_features": f"""WITH {_SEGMENTS}, det AS (SELECT event_id AS det_id, true_start_us - 60000000 AS s, true_end_us + 60000000 AS e FROM seg WHERE event_type = 'click'),
 inside AS (SELECT det_id, least((true_start_us - s) * 3 // (e - s), 2)::INT AS tile, SegDur AS v FROM det JOIN seg ON true_start_us >= s AND true_start_us < e WHERE e > s)
 SELECT det_id, tile, count(*) AS n, round(avg(v), 6) AS mean, round(max(v), 6) AS peak FROM inside GROUP BY det_id, tile""",
+    "selections_in_file_order": "SELECT event_id, event_type, (row_number() OVER (ORDER BY event_type, md5(event_id::VARCHAR), event_id)) AS Selection FROM events WHERE event_type IN ('view', 'purchase', 'click') AND value >= 10",
+    "file_groups_in_file_order": """WITH f AS (
+  SELECT *, epoch_us(ts) AS s, lead(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY user_id DESC, ts, event_id) - epoch_us(ts) AS gap FROM events WHERE event_type IN ('view', 'purchase', 'click')
+), g AS (SELECT *, s + CASE WHEN event_id % 3 = 0 THEN 0 ELSE coalesce(gap, 0) END AS e FROM f WHERE value >= 10),
+j AS (SELECT *, coalesce(abs(e - lead(s) OVER (ORDER BY event_type, user_id DESC, ts, event_id)) <= 1000000, true) AS joined FROM g)
+SELECT event_id, event_type, 1 + coalesce(sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (ORDER BY event_type, user_id DESC, ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS DiffTime FROM j""",
     "split_runs": "SELECT o_custkey, count(*) AS n, max(o_totalprice) AS most FROM orders GROUP BY o_custkey",
 }

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.sources.order import from_files, in_order
+
 #: The file-group table: required columns and their types; any other column is metadata.
 FILE_GROUP = {"FileName": "string", "StartTime": "timestamp_ntz", "Duration": "double", "SegStart": "double", "SegDur": "double"}
 TYPED = FILE_GROUP | {"FullPath": "string", "DiffTime": "bigint"}
@@ -81,23 +83,26 @@ def peek_schema(spark: SparkSession, path: str, sep: str = ",") -> T.StructType:
     return T.StructType([T.StructField(c, T._parse_datatype_string(TYPED.get(c, "string"))) for c in names])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",") -> DataFrame:
-    """A delimited table with a header, plain or gzipped; types are inferred only without a schema.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",", positions: bool = False) -> DataFrame:
+    """A delimited table with a header, plain or gzipped; types are inferred only without a schema.  positions: each row keeps
+    where it stands, as the column order.POSITION.
 
     A gzipped file is read by one task; its rows are dealt out again at once.
     """
     df = spark.read.csv(path, header=True, sep=sep, schema=schema, inferSchema=schema is None)
+    df = from_files(df) if positions else df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if path.endswith(".gz") else df
 
 
 def read_file_group(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, peek_schema(spark, path))
+    """A file group with its rows' positions."""
+    return read_csv(spark, path, peek_schema(spark, path), positions=True)
 
 
-def read_file_groups(spark: SparkSession, folder: str, names: Sequence[str] | str, order: Sequence[str] = ("StartTime", "FileName", "SegStart"), tolerance_us: int = 1_000_000) -> DataFrame:
+def read_file_groups(spark: SparkSession, folder: str, names: Sequence[str] | str, order: Sequence[str] | None = None, tolerance_us: int = 1_000_000) -> DataFrame:
     """The listed file groups of a folder (a list, or its names joined by commas, as a list parameter without a scan gives
-    them) as one table, in the order of the list, with the island numbers of consecutive files; a file's own metadata columns are
-    null for the others.
+    them) as one table, in the order of the list and of the rows in each file (or by the columns of `order`), with the island numbers of
+    consecutive files; a file's own metadata columns are null for the others.
     """
     from strandline.operators.combine import combine_file_groups
 
@@ -106,7 +111,8 @@ def read_file_groups(spark: SparkSession, folder: str, names: Sequence[str] | st
 
 
 def read_selections(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    return read_csv(spark, path, schema, sep="\t")
+    """A selection table with its rows' positions."""
+    return read_csv(spark, path, schema, sep="\t", positions=True)
 
 
 def fetch_missing(spark: SparkSession, uris: Sequence[str], folder: str) -> DataFrame:
@@ -147,15 +153,15 @@ def archive_members(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", gzip: bool = False) -> None:
-    """A folder of delimited files with headers."""
-    df.write.mode("overwrite").csv(path, header=True, sep=sep, compression="gzip" if gzip else "none")
+    """A folder of delimited files with headers; rows that have positions are written in their order."""
+    in_order(df).write.mode("overwrite").csv(path, header=True, sep=sep, compression="gzip" if gzip else "none")
 
 
 def write_single_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """One named file (gzipped if the name says so), for tools that want one; the rows go through one task."""
     spark = df.sparkSession
     temp = f"{path}.parts"
-    write_csv(df.coalesce(1), temp, sep, path.endswith(".gz"))
+    write_csv(in_order(df).coalesce(1), temp, sep, path.endswith(".gz"))
     part = next(f for f in list_files(spark, temp) if "/part-" in f)
     delete(spark, path)
     fs, p = file_system(spark, part)
