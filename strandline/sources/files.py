@@ -99,10 +99,10 @@ def read_file_group(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, peek_schema(spark, path), positions=True)
 
 
-def read_file_groups(spark: SparkSession, folder: str, names: Sequence[str] | str, order: Sequence[str] | None = None, tolerance_us: int = 1_000_000) -> DataFrame:
+def read_file_groups(spark: SparkSession, folder: str, names: Sequence[str] | str, order: Sequence[str] | None = ("StartTime", "FileName", "SegStart"), tolerance_us: int = 1_000_000) -> DataFrame:
     """The listed file groups of a folder (a list, or its names joined by commas, as a list parameter without a scan gives
-    them) as one table, in the order of the list and of the rows in each file (or by the columns of `order`), with the island numbers of
-    consecutive files; a file's own metadata columns are null for the others.
+    them) as one table, in the order of the list and of the columns of `order` in each file (None: of the rows as they stand), with the
+    island numbers of consecutive files; a file's own metadata columns are null for the others.
     """
     from strandline.operators.combine import combine_file_groups
 

@@ -37,9 +37,9 @@ def test_islands_of_file_groups_follow_the_rows_as_they_stand(spark, tmp_path):
     (tmp_path / "two.csv").write_text(head + f"d,2024-01-01 {at['d']},10,0,10,1\n")
     engine, node = scanned(spark, tmp_path, "FileGroupFormat.csv.gz", ["one.csv", "two.csv"], lambda n: files.read_file_group(spark, f"file://{tmp_path}/{n}"))
     assert {r.FileName: r.DiffTime for r in engine.result(node).collect()} == {"b": 1, "a": 2, "c": 3, "d": 4}
-    listed = files.read_file_groups(spark, f"file://{tmp_path}", "one.csv,two.csv")
+    listed = files.read_file_groups(spark, f"file://{tmp_path}", "one.csv,two.csv", order=None)
     assert {r.FileName: r.DiffTime for r in listed.collect()} == {"b": 1, "a": 2, "c": 3, "d": 4}
-    by_time = files.read_file_groups(spark, f"file://{tmp_path}", "one.csv,two.csv", ["StartTime"])
+    by_time = files.read_file_groups(spark, f"file://{tmp_path}", "one.csv,two.csv")
     assert {r.FileName: r.DiffTime for r in by_time.collect()} == {"a": 1, "b": 1, "c": 1, "d": 2}
 
 
