@@ -10,51 +10,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators import sweep
 from strandline.operators.segments import by_range, neighbour, ranged, row_numbers, running
 
-#: Width of the narrowest time buckets of the interval join.
-BUCKET_US = 600_000_000
-
-
 def apply_cutoff(detections: DataFrame, cutoff: float, score: str = "prob") -> DataFrame:
     """Rows whose score is at least the cutoff; rows without a score go."""
     return detections.where(F.col(score) >= cutoff)
 
 
-def _level(start: Column, end: Column, width: int) -> Column:
-    """0 for an interval of at most width, one more for each doubling of it."""
-    return F.greatest(F.lit(0), F.ceil(F.log2((end - start) / F.lit(float(width))))).cast("int")
-
-
-def _levels(df: DataFrame, width: int) -> set[int]:
-    """The levels that occur: some dozen numbers, as times are 64-bit."""
-    return {r[0] for r in df.select(_level(F.col("start_us"), F.col("end_us"), width)).distinct().collect()}
-
-
-def _placed(df: DataFrame, levels: list[int], width: int) -> DataFrame:
-    """Each interval once for each bucket it meets at its own level and at those above it that occur: two or three buckets a level."""
-    own = _level(F.col("start_us"), F.col("end_us"), width)
-    wide = F.expr(f"shiftleft({width}L, __l)")
-    at = df.withColumn("__own", own).withColumn("__l", F.explode(F.array(*[F.lit(x) for x in levels]))).where("__l >= __own")
-    return at.withColumn("__w", wide).withColumn("__b", F.explode(F.sequence(F.floor(F.col("start_us") / F.col("__w")), F.floor(F.col("end_us") / F.col("__w")))))
-
-
-def overlaps(detections: DataFrame, truth: DataFrame, keys: Sequence[str] = (), bucket_us: int = BUCKET_US) -> DataFrame:
-    """(det_id, gt_id, iou) of each detection and ground-truth interval that overlap by more than a point.
-
-    Both sides are put in time buckets and joined on equal buckets (and keys).  Buckets come in widths that double; a
-    pair is looked for at the level of its longer interval, which meets two or three buckets there however long it is, and
-    taken only in the first bucket that both have, so none comes twice and no pair of unlike times is formed.
-    """
+def overlaps(detections: DataFrame, truth: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(det_id, gt_id, iou) of each detection and ground-truth interval that overlap by more than a point; see sweep.pairs()."""
     d, g = detections.where("end_us > start_us"), truth.where("end_us > start_us")
-    levels = sorted(_levels(d, bucket_us) | _levels(g, bucket_us)) or [0]
-    d = _placed(d, levels, bucket_us).select("det_id", *keys, F.col("start_us").alias("ds"), F.col("end_us").alias("de"), F.col("__own").alias("__do"), "__l", "__w", "__b")
-    g = _placed(g, levels, bucket_us).select("gt_id", *keys, F.col("start_us").alias("gs"), F.col("end_us").alias("ge"), F.col("__own").alias("__go"), "__l", "__b")
-    pairs = d.join(g, ["__l", "__b", *keys]).where((F.col("ds") < F.col("ge")) & (F.col("gs") < F.col("de")))
-    pairs = pairs.where((F.col("__l") == F.greatest("__do", "__go")) & (F.col("__b") == F.floor(F.greatest("ds", "gs") / F.col("__w"))))
-    inter = F.least("de", "ge") - F.greatest("ds", "gs")
-    union = F.greatest("de", "ge") - F.least("ds", "gs")
-    return pairs.select("det_id", "gt_id", (inter / union).alias("iou"))
+    pairs = sweep.pairs(d.select("det_id", *keys, "start_us", "end_us"), g.select("gt_id", *keys, "start_us", "end_us"), keys)
+    inter = F.least("a.end_us", "b.end_us") - F.greatest("a.start_us", "b.start_us")
+    union = F.greatest("a.end_us", "b.end_us") - F.least("a.start_us", "b.start_us")
+    return pairs.select("a.det_id", "b.gt_id", (inter / union).alias("iou"))
 
 
 def assign_labels(detections: DataFrame, truth: DataFrame, iou_thresh: float = 0.15, write_gt: bool = False, keys: Sequence[str] = ()) -> DataFrame:
@@ -170,7 +140,7 @@ def from_annotations(table: DataFrame) -> DataFrame:
     return out.where("start_us is not null and end_us is not null")
 
 
-def detection_features(detections: DataFrame, samples: DataFrame, tiles: int, buffer_us: int = 0, normalise: bool = False, keys: Sequence[str] = (), bucket_us: int = BUCKET_US) -> DataFrame:
+def detection_features(detections: DataFrame, samples: DataFrame, tiles: int, buffer_us: int = 0, normalise: bool = False, keys: Sequence[str] = ()) -> DataFrame:
     """(det_id, tile, n, mean, peak) of the samples (time_us, value) in each detection, cut in `tiles` equal parts of its time.
 
     A detection reaches buffer_us beyond both its ends; end times are outside.  normalise: values count as distances from the
@@ -178,13 +148,9 @@ def detection_features(detections: DataFrame, samples: DataFrame, tiles: int, bu
     without value or time take no part.
     """
     wide = detections.select("det_id", *keys, (F.col("start_us") - buffer_us).alias("start_us"), (F.col("end_us") + buffer_us).alias("end_us"))
-    points = samples.where("time_us is not null and value is not null").select(*keys, F.col("time_us").alias("start_us"), "value", F.col("time_us").alias("end_us"))
-    d = wide.where("end_us > start_us")
-    levels = sorted(_levels(d, bucket_us)) or [0]
-    d = _placed(d, levels, bucket_us).where("__l = __own").select("det_id", *keys, F.col("start_us").alias("ds"), F.col("end_us").alias("de"), "__l", "__b")
-    p = points.withColumn("__l", F.explode(F.array(*[F.lit(x) for x in levels])))
-    p = p.select(*keys, F.col("start_us").alias("t"), "value", "__l", F.floor(F.col("start_us") / F.expr(f"shiftleft({bucket_us}L, __l)")).alias("__b"))
-    inside = d.join(p, ["__l", "__b", *keys]).where((F.col("t") >= F.col("ds")) & (F.col("t") < F.col("de")))
+    points = samples.where("time_us is not null and value is not null").select(*keys, F.col("time_us").alias("start_us"), F.col("time_us").alias("end_us"), "value")
+    met = sweep.pairs(wide.where("end_us > start_us"), points, keys, both=False)
+    inside = met.select("a.det_id", F.col("a.start_us").alias("ds"), F.col("a.end_us").alias("de"), F.col("b.start_us").alias("t"), "b.value")
     tile = F.least(F.floor((F.col("t") - F.col("ds")) * tiles / (F.col("de") - F.col("ds"))), F.lit(tiles - 1)).cast("int")
     out = inside.groupBy("det_id", tile.alias("tile")).agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("peak"))
     if not normalise:

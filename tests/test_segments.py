@@ -155,13 +155,13 @@ def test_overlap_join_over_buckets(spark):
     g = [(i, s, s + rng.randrange(0, 900)) for i in range(60) for s in [rng.randrange(5000)]]
     dd, gg = spark.createDataFrame(d, "det_id long, start_us long, end_us long"), spark.createDataFrame(g, "gt_id long, start_us long, end_us long")
     want = {(i, j): (min(e, y) - max(s, x)) / (max(e, y) - min(s, x)) for i, s, e in d for j, x, y in g if s < y and x < e and e > s and y > x}
-    got = {(r.det_id, r.gt_id): r.iou for r in detect.overlaps(dd, gg, bucket_us=100).collect()}
+    got = {(r.det_id, r.gt_id): r.iou for r in detect.overlaps(dd, gg).collect()}
     assert got == want
     # intervals of very unlike lengths meet few buckets each
     year = 365 * 86_400_000_000
     long_d = spark.createDataFrame([(1, 0, 40 * year), (2, 5, 700)], "det_id long, start_us long, end_us long")
     long_g = spark.createDataFrame([(7, 39 * year, 39 * year + 10), (8, -3 * year, 3 * year), (9, 699, 701), (10, 701, 702)], "gt_id long, start_us long, end_us long")
-    assert sorted((r.det_id, r.gt_id) for r in detect.overlaps(long_d, long_g, bucket_us=100).collect()) == [(1, 7), (1, 8), (1, 9), (1, 10), (2, 8), (2, 9)]
+    assert sorted((r.det_id, r.gt_id) for r in detect.overlaps(long_d, long_g).collect()) == [(1, 7), (1, 8), (1, 9), (1, 10), (2, 8), (2, 9)]
     assert detect.overlaps(dd.limit(0), gg).count() == 0 and detect.overlaps(dd.limit(0), gg.limit(0)).count() == 0
     lab = detect.assign_labels(dd, gg, 0.2, write_gt=True).collect()
     assert sum(r.label != "FN" for r in lab) == 80
@@ -203,7 +203,7 @@ def test_detection_features(spark):
     x = [(rng.randrange(-500, 9000), rng.random()) for _ in range(400)] + [(None, 1.0), (5, None)]
     dd, xx = spark.createDataFrame(d, "det_id long, start_us long, end_us long"), spark.createDataFrame(x, "time_us long, value double")
     for norm in (False, True):
-        got = {(r.det_id, r.tile): (r.n, r["mean"], r.peak) for r in detect.detection_features(dd, xx, 4, 50, norm, bucket_us=100).collect()}
+        got = {(r.det_id, r.tile): (r.n, r["mean"], r.peak) for r in detect.detection_features(dd, xx, 4, 50, norm).collect()}
         want = {}
         for i, s, e in d:
             s, e = s - 50, e + 50
