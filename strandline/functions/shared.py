@@ -25,7 +25,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read back."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._strandline_path = path  # type: ignore[attr-defined]
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what written() wrote for df, once nothing reads it any more."""
+    path = getattr(df, "_strandline_path", None)
+    if path:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def with_package(spark: SparkSession) -> SparkSession:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators import sweep
-from strandline.operators.segments import by_range, neighbour, ranged, row_numbers, running
+from strandline.operators.segments import by_range, light, neighbour, ranged, row_numbers, running
 
 def apply_cutoff(detections: DataFrame, cutoff: float, score: str = "prob") -> DataFrame:
     """Rows whose score is at least the cutoff; rows without a score go."""
@@ -110,10 +110,14 @@ def fill_files(selections: DataFrame, files: DataFrame, key: str) -> DataFrame:
 
 def runs_above(df: DataFrame, value: str, threshold: float, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Detections as maximal runs of consecutive rows of a key whose value is at least the threshold."""
-    held = ranged(df.withColumn("__on", F.coalesce(F.col(value) >= threshold, F.lit(False))), [*keys, *order])
-    before = neighbour(held, F.col("__on"), keys, "__before_on", forward=False)
+    on = df.withColumn("__on", F.coalesce(F.col(value) >= threshold, F.lit(False)))
     new = (F.col("__on") & ~F.coalesce("__before_on", F.lit(False))).cast("long")
-    marked = running(before.withColumn("__new", new), F.col("__new"), keys, "run", inclusive=True)
+    if keys and light(df, keys):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        marked = on.withColumn("__before_on", F.lag("__on").over(w)).withColumn("run", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        before = neighbour(ranged(on, [*keys, *order]), F.col("__on"), keys, "__before_on", forward=False)
+        marked = running(before.withColumn("__new", new), F.col("__new"), keys, "run", inclusive=True)
     return marked.where("__on").groupBy(*keys, "run").agg(F.count("*").alias("n"), F.max(value).alias("peak"))
 
 

@@ -9,14 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.scalars import epoch_micros, micros
-from strandline.functions.shared import written
+from strandline.functions.shared import discard, written
 
 TOLERANCE_US = 1_000_000
+#: Rows up to which a key's rows are ordered in one task.
+KEY_ROWS = 1 << 20
+#: Durations count up to this many microseconds (557 years) against a cap.
+LONGEST_US = 1 << 44
 
 
 def segment_bounds(df: DataFrame, start: str = "StartTime", seg_start: str = "SegStart", seg_dur: str = "SegDur") -> DataFrame:
@@ -113,40 +118,150 @@ def _numbered(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return running(df, (~F.col("__joined")).cast("long"), keys, name, inclusive=False).withColumn(name, F.col(name) + 1)
 
 
-def _capped(df: DataFrame, cap_seconds: float, keys: Sequence[str]) -> DataFrame:
-    """__joined with islands cut where the running sum of SegDur reaches the cap.
+def orbit_ends(total: np.ndarray, cap: int) -> np.ndarray:
+    """For each place 0..n of a range without breaks: what has run up at its end, if the sum starts anew there.
 
-    The sum starts at 0 in each island, so islands are folded apart.  Only islands whose joined rows can reach
-    the cap are folded: their rows stream through a carried state in sorted order, so a long island is never held as a
-    whole.
+    total: running sums of durations.  A place's successor is the one after the row at which the sum from it reaches the cap; pointers are doubled until
+    each leads to the last start in the range.
     """
-    group = [*keys, "__island"]
-    long = df.where("__joined").groupBy(*group).agg(F.sum("SegDur").alias("__sum")).where(F.col("__sum") >= cap_seconds * (1 - 1e-9)).select(*group, F.lit(True).alias("__long"))
-    on = F.lit(True)
-    for g in group:
-        on &= F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
-    marked = df.alias("l").join(long.alias("r"), on, "left").select("l.*", "r.__long")
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    narrow = marked.where("__long").select(*group, "__range", "__row", "SegDur", "__joined")
-    dealt = narrow.repartition(n, *group).sortWithinPartitions(*group, "__range", "__row")
-
-    def fold(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, island = 0.0, None
-        for pdf in it:
-            out = []
-            for key, dur, joined in zip(pdf[group].itertuples(index=False, name=None), pdf["SegDur"], pdf["__joined"], strict=True):
-                if key != island:
-                    island, total = key, 0.0
-                total = total + dur if joined else 0.0
-                if total // cap_seconds > 0:
-                    joined, total = False, 0.0
-                out.append(joined)
-            yield pdf[["__range", "__row"]].assign(__cut=out)
-
-    cut = dealt.mapInPandas(fold, "__range long, __row long, __cut boolean")
-    # only the rows of folded islands are joined with what the fold says
-    folded = marked.where("__long").drop("__long").join(cut, ["__range", "__row"]).withColumn("__joined", F.col("__cut")).drop("__cut")
-    return marked.where("__long is null").drop("__long").unionByName(folded)
+    n = len(total)
+    before = np.append(0, total)
+    last = np.searchsorted(total, before + cap) + 1  # n + 1: the cap is not reached any more
+    jump = np.where(last <= n, last, np.arange(n + 1))
+    while True:
+        again = jump[jump]
+        if (again == jump).all():
+            return before[-1] - before[jump]
+        jump = again
+
+
+def carry_of(dur: np.ndarray, broken: np.ndarray, cap: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """What a range makes of the sum t that comes in, as (sum of durations, limits, results): the first limit that is at least cap - t
+    gives what goes out; if none is, t plus the range's sum does.  Only the last stretch counts where an island ends inside."""
+    ends = np.flatnonzero(broken)
+    if len(ends):
+        tail = np.cumsum(dur[ends[-1] + 1 :])
+        return 0, np.array([cap]), orbit_ends(tail, cap)[:1]
+    total = np.cumsum(dur)
+    k = min(int(np.searchsorted(total, cap)) + 1, len(total))
+    return (int(total[-1]), *_folded(total[:k], orbit_ends(total, cap)[1 : k + 1]))
+
+
+def _folded(limits: np.ndarray, results: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring limits with one result as one."""
+    on = np.append(results[1:] != results[:-1], True)
+    return limits[on], results[on]
+
+
+def after(first: tuple, then: tuple, cap: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """One carry_of() for two ranges in a row."""
+    d, limits, results = first
+    d2, limits2, results2 = then
+    at = np.searchsorted(limits2, cap - results)
+    through = np.where(at < len(limits2), results2[np.minimum(at, len(limits2) - 1)], results + d2)
+    if limits[-1] < cap:
+        limits, through = np.append(limits, limits2 + d), np.append(through, results2)
+        k = min(int(np.searchsorted(limits, cap)) + 1, len(limits))
+        limits, through = limits[:k], through[:k]
+    return (d + d2, *_folded(limits, through))
+
+
+def cuts(dur: np.ndarray, broken: np.ndarray, t: int, cap: int) -> np.ndarray:
+    """Rows of a range at which the cap is reached, if the sum t comes in."""
+    total = np.cumsum(dur)
+    start = np.append(0, np.flatnonzero(broken) + 1)
+    stop = np.append(start[1:], len(dur))
+    base = np.append(0, total)[start]
+    base[0] -= t
+    long = np.flatnonzero((stop > start) & (np.append(0, total)[stop] - base >= cap))
+    out = []
+    for b, e in zip(base[long].tolist(), stop[long].tolist(), strict=True):
+        at = int(np.searchsorted(total, b + cap))
+        while at < e:
+            out.append(at)
+            at = int(np.searchsorted(total, int(total[at]) + cap))
+    return np.array(out, dtype=np.int64)
+
+
+def _range_arrays(it: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    """All rows of one range, in order."""
+    held = [rb for rb in it if rb.num_rows]
+    if not held:
+        return None
+    t = pa.Table.from_batches(held)
+    return t.take(pa.array(np.argsort(np.asarray(t.column("__row")), kind="stable")))
+
+
+def _capped(flagged: DataFrame, cap_seconds: float, keys: Sequence[str]) -> DataFrame:
+    """(__range, __row, keys, __joined): __joined with islands cut where the running sum of SegDur reaches the cap.
+
+    The sum starts at 0 in each island.  What a range does to the sum that comes in is a step function, which each task works out for its
+    range alone; where an island ends inside, it is one number.  Ranges inside one island are put together in doubling
+    distances, so an island of all rows takes as many rounds as its number of ranges has digits in base two.  Then every range knows what comes in and is cut
+    by itself.  Sums are whole microseconds, so no result depends on where ranges begin.
+    """
+    spark = flagged.sparkSession
+    cap = max(1, round(cap_seconds * 1e6))
+    dur = F.least(F.greatest(F.coalesce(micros("SegDur"), F.lit(0)), F.lit(0)), F.lit(min(cap, LONGEST_US)))
+    ends = neighbour(flagged, F.lit(True), keys, "__same").withColumn("__ends", F.col("__same").isNull()) if keys else flagged.withColumn("__ends", F.lit(False))
+    narrow = written(ends.select("__range", "__row", *keys, F.when(F.col("__joined"), dur).otherwise(F.lit(0)).cast("long").alias("__dur"), "__joined", "__ends"), "flags")
+    there = sorted(r[0] for r in narrow.select("__range").distinct().collect())
+    n = max(1, len(there))
+    place = by_range(narrow, [(r, i) for i, r in enumerate(there)] or [(0, 0)], "__range long, __place int")
+
+    def broken(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return np.asarray(t.column("__dur")), ~np.asarray(t.column("__joined")) | np.asarray(t.column("__ends"))
+
+    def sum_up(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = _range_arrays(it)
+        if t is not None:
+            d, limits, results = carry_of(*broken(t), cap)
+            p = t.column("__place")[0].as_py()
+            if p == 0:  # nothing comes in
+                at = int(np.searchsorted(limits, cap))
+                d, limits, results = 0, np.array([cap]), np.array([results[at] if at < len(results) else d])
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([d], pa.int64()), pa.array([limits.tolist()], pa.list_(pa.int64())), pa.array([results.tolist()], pa.list_(pa.int64()))], names=["p", "d", "limits", "results"])
+
+    schema = "p int, d long, limits array<long>, results array<long>"
+    carries = written(place.repartitionById(n, F.col("__place")).mapInArrow(sum_up, schema), "carries")
+
+    def join(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in it:
+            rows = []
+            for r in rb.to_pylist():
+                one, two = ((r[f"{c}d"], np.array(r[f"{c}limits"]), np.array(r[f"{c}results"])) if r[f"{c}d"] is not None else None for c in ("f", ""))
+                d, limits, results = after(one, two, cap) if one else two
+                rows.append((r["p"], d, limits.tolist(), results.tolist()))
+            yield pa.RecordBatch.from_pylist([dict(zip(("p", "d", "limits", "results"), x, strict=True)) for x in rows], schema=pa.schema([("p", pa.int32()), ("d", pa.int64()), ("limits", pa.list_(pa.int64())), ("results", pa.list_(pa.int64()))]))
+
+    step = 1
+    while step < n and carries.where(F.col("limits")[0] < cap).limit(1).count():
+        before = carries.select((F.col("p") + step).alias("p"), *[F.col(c).alias(f"f{c}") for c in ("d", "limits", "results")])
+        new = written(carries.join(before, "p", "left").mapInArrow(join, schema), "carries")
+        discard(carries)
+        carries, step = new, 2 * step
+    out_of = {r.p: r.x for r in carries.select("p", F.col("results")[0].alias("x")).collect()}
+    discard(carries)
+    come_in = [out_of[i - 1] if i else 0 for i in range(n)] if there else [0]
+    narrow_in = by_range(narrow, [(r, i, t) for i, (r, t) in enumerate(zip(there, come_in, strict=False))] or [(0, 0, 0)], "__range long, __place int, __in long")
+
+    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = _range_arrays(it)
+        if t is not None:
+            joined = np.asarray(t.column("__joined")).copy()
+            joined[cuts(*broken(t), t.column("__in")[0].as_py(), cap)] = False
+            t = t.select(["__range", "__row", *keys]).append_column("__joined", pa.array(joined))
+            yield from t.to_batches(max_chunksize=1 << 16)
+
+    kinds = {f.name: f.dataType.simpleString() for f in narrow.schema}
+    out = written(narrow_in.repartitionById(n, F.col("__place")).mapInArrow(cut, ", ".join(f"`{c}` {kinds[c]}" for c in ("__range", "__row", *keys, "__joined"))), "capped")
+    discard(narrow)
+    return out
+
+
+def light(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether no key has so many rows that one task should not order them; one count."""
+    return (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= KEY_ROWS
 
 
 def islands(df: DataFrame, order: Sequence[str], tolerance_us: int = TOLERANCE_US, partition_by: Sequence[str] = (), cap_seconds: float | None = None, name: str = "DiffTime") -> DataFrame:
@@ -155,17 +270,24 @@ def islands(df: DataFrame, order: Sequence[str], tolerance_us: int = TOLERANCE_U
     A row belongs with the next one unless the gap between its end and the next start, in absolute value,
     exceeds the tolerance (so a large overlap breaks too, exactly the tolerance does not, and a missing bound does
     not).  With a cap, an island also ends at the row where its running duration reaches the cap; the sum then
-    starts anew, and the row after a gap is not counted.  partition_by numbers each key by itself; the default
+    starts anew, and a row that is not joined to the next one is not counted.  The cap and durations count in whole microseconds (a sum of doubles may
+    fall just short of the cap or on it as its rounding has it); missing and negative durations count as 0.  partition_by numbers each key by itself; the default
     is one global order.  order must be unique for results to be reproducible.  An empty table stays empty.
     """
-    held = ranged(segment_bounds(df), [*partition_by, *order])
+    if cap_seconds is not None and cap_seconds <= 0:
+        raise ValueError("cap_seconds must be positive")
+    bounds = segment_bounds(df)
+    if cap_seconds is None and partition_by and light(df, partition_by):
+        w = Window.partitionBy(*partition_by).orderBy(*order)
+        out = bounds.withColumn("__joined", adjacent(F.col("true_end_us"), F.lead("true_start_us").over(w), tolerance_us))
+        breaks = F.sum((~F.col("__joined")).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return out.withColumn(name, F.coalesce(breaks, F.lit(0)) + 1).drop("__joined")
+    held = ranged(bounds, [*partition_by, *order])
     out = _flagged(held, tolerance_us, partition_by)
-    if cap_seconds is not None:
-        if cap_seconds <= 0:
-            raise ValueError("cap_seconds must be positive")
-        out = written(_numbered(written(out, "flags"), partition_by, "__island"), "islands")
-        out = written(_capped(out, cap_seconds, partition_by).drop("__island"), "capped")
-    return _numbered(out, partition_by, name).drop("__range", "__row", "__joined")
+    if cap_seconds is None:
+        return _numbered(out, partition_by, name).drop("__range", "__row", "__joined")
+    numbers = _numbered(_capped(out, cap_seconds, partition_by), partition_by, name).select("__range", "__row", name)
+    return held.join(numbers, ["__range", "__row"]).drop("__range", "__row")
 
 
 def island_rollup(numbered: DataFrame, keys: Sequence[str] = (), name: str = "DiffTime") -> DataFrame:
