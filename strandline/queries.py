@@ -53,6 +53,11 @@ def segment_islands_capped(spark, sf_dir):
     return segments.islands(segment_view(spark, sf_dir), ORDER, TOLERANCE_US, cap_seconds=CAP_S).select("event_id", "DiffTime")
 
 
+def segment_islands_one_chain(spark, sf_dir):
+    """Every segment joined to the next one, so that only the cap cuts: one island over all rows."""
+    return segments.islands(segment_view(spark, sf_dir), ORDER, 1 << 60, cap_seconds=CAP_S).select("event_id", "DiffTime")
+
+
 def island_rollup(spark, sf_dir):
     return segments.island_rollup(segments.islands(segment_view(spark, sf_dir), ORDER, TOLERANCE_US))
 
@@ -307,7 +312,7 @@ def file_groups_in_file_order(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
+        segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, segment_islands_one_chain, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
         param_scan_product, param_scan_zip_sorted, branch_dedupe, scatter_gather, elapsed_dhms, scalar_functions, lineage_descendants, lineage_ancestors, apply_cutoff,
         assign_labels_iou, assign_labels_with_truth, merge_features_labels, perf_eval, perf_curve, split_for_evaluation, reduce_by_field, reduce_by_field_union,
         format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order,
@@ -344,6 +349,14 @@ fold AS (
   FROM fold f JOIN placed p ON p.DiffTime = f.DiffTime AND p.i = f.i + 1
 )
 SELECT event_id, 1 + coalesce(sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (ORDER BY StartTime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS DiffTime FROM fold""",
+    "segment_islands_one_chain": """
+WITH RECURSIVE placed AS MATERIALIZED (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS i, round(value * 6 * 1000000)::BIGINT AS d FROM events),
+fold AS (
+  SELECT i, event_id, CASE WHEN d >= 900000000 THEN 0 ELSE d END AS total, d >= 900000000 AS cut FROM placed WHERE i = 1
+  UNION ALL
+  SELECT p.i, p.event_id, CASE WHEN f.total + p.d >= 900000000 THEN 0 ELSE f.total + p.d END, f.total + p.d >= 900000000 FROM fold f JOIN placed p ON p.i = f.i + 1
+)
+SELECT event_id, 1 + coalesce(sum(CASE WHEN cut THEN 1 ELSE 0 END) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS DiffTime FROM fold""",
     "island_rollup": f"WITH {_SEGMENTS}, {_ISLANDS.format(by='1', of='seg')} SELECT DiffTime, count(*) AS segments, min(true_start_us) AS start_us, max(true_end_us) AS end_us, round(sum(SegDur), 4) AS total_dur FROM num GROUP BY DiffTime",
     "union_renumber": "SELECT event_id, event_type, user_id, row_number() OVER (ORDER BY CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 ELSE 2 END, event_id) AS Selection FROM events WHERE event_type IN ('click', 'view', 'error')",
     "union_schema_drift": "SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey, c_acctbal, c_mktsegment FROM customer UNION ALL BY NAME SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, s_nationkey::VARCHAR AS s_nationkey, s_acctbal FROM supplier",
