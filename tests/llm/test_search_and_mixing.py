@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from strandline.llm import bitsliced, kdtree, mixing, urlfilter
 from strandline.llm.common import table
@@ -199,32 +200,54 @@ def test_many_full_sources(spark):
     assert [r.target for r in zero] == [0.0, 0.0]
 
 
-def test_url_model_on_hosts_it_has_not_seen():
-    labelled = urlfilter.labelled_urls()
-    assert len(labelled) == 2 * (len(urlfilter.BLOCKED_WORDS) + len(urlfilter.ALLOWED_WORDS)) and len({u for u, _ in labelled}) == len(labelled)
-    hit = wrong = bad = good = 0
-    for fold in range(5):
-        model = urlfilter.UrlModel(tuple(x for i, x in enumerate(labelled) if i % 5 != fold))
-        held = [x for i, x in enumerate(labelled) if i % 5 == fold]
-        pairs = [urlfilter._split(u) for u, _ in held]
-        said = model.score([h for h, _ in pairs], [p for _, p in pairs]) >= 0.5
-        y = np.array([v for _, v in held]) == 1
-        hit, wrong, bad, good = hit + (said & y).sum(), wrong + (said & ~y).sum(), bad + y.sum(), good + (~y).sum()
-    assert hit / bad >= 0.75 and hit / (hit + wrong) >= 0.9
+#: Urls that the labelled table has nothing to do with: sites that everybody knows, and made-up ones of the kinds that filters are for.
+GOOD = """https://en.wikipedia.org/wiki/Kestrel https://docs.python.org/3/library/re.html https://www.bbc.co.uk/news https://www.nature.com/articles https://arxiv.org/list/cs https://www.gutenberg.org/ebooks/1342
+https://news.ycombinator.com/ https://github.com/apache/spark https://spark.apache.org/docs/latest/ https://www.lemonde.fr/international/ https://www.spiegel.de/ https://elpais.com/ciencia/ https://www.nasa.gov/missions/
+https://www.who.int/health-topics https://www.mozilla.org/en/ https://www.debian.org/distrib/ https://www.coca-cola.com/ https://www.mercedes-benz.de/ https://weather.gov/ https://www.loc.gov/collections
+https://www.ox.ac.uk/research https://ocw.mit.edu/courses https://www.europa.eu/ https://stackoverflow.com/questions/11227809 https://www.kernel.org/ https://www.imdb.com/title/tt0111161
+https://www.britannica.com/animal/fox https://duolingo.com/course https://www.theguardian.com/science https://www.openstreetmap.org/""".split()
+BAD = """http://cheap-v1agra-online.biz/buy http://win-big-casino.top/ http://secure-login-paypa1.com/verify.php http://free-iphone-gift.click/claim http://185.220.101.4/update.exe http://xkcd83hf9qpz2.info/
+http://best-payday-loans-now.com/ http://hot-singles-in-your-area.net/ http://download-cracked-games.org/setup.exe http://account-verify.bank-support.login-help.com/ http://lucky-spin-bonus.com/
+http://replica-watches-outlet.com/ http://bitcoin-doubler-2024.com/ http://pharm4cy-discount.net/ http://qzxwvbn8842kd.com/a http://adserver-track.net/click/99812 http://crypto-giveaway-elon.org/
+http://weight-loss-miracle.info/ http://poker-stars-bonus-code.com/ http://amaz0n-refund.com/ http://sexcams.example.com/ http://casinoroyal.com/ http://freemovies4u.net/ http://clickbaitnews.com/
+http://keygen-warez.org/ http://192.168.4.77/login http://ultra-cheap-pills.com/ http://my-adult-chat.net/ http://slot-machine-free-play.com/ http://microsoft-support-alert.com/""".split()
+
+
+def _said(model, urls):
+    hosts, paths = zip(*(urlfilter._framed(*urlfilter._split(u)) for u in urls), strict=True)
+    return model.score(pa.array(hosts, pa.large_string()), pa.array(paths, pa.large_string())) >= 0.5
+
+
+def test_url_model_on_foreign_urls_and_new_names():
+    model = urlfilter.UrlModel(urlfilter.labelled_urls())
+    hit, wrong = _said(model, BAD).sum(), _said(model, GOOD).sum()
+    assert hit / len(BAD) >= 0.75 and hit / (hit + wrong) >= 0.85  # what is missed has one word of letters only; what is wrong has a hyphen
+    new = urlfilter.labelled_urls(2000, seed=99)
+    said, y = _said(model, [u for u, _ in new]), np.array([v for _, v in new]) == 1
+    assert said[y].mean() >= 0.85 and said[~y].mean() <= 0.25
+
+
+def test_no_name_of_the_labelled_table_is_needed():
+    """Tables of other random names judge alike: no verdict rests on a word."""
+    first, second = (_said(urlfilter.UrlModel(urlfilter.labelled_urls(seed=s)), BAD + GOOD) for s in (2, 71))
+    assert (first != second).mean() <= 0.1
+    names = {urlfilter._split(u)[0] for u, _ in urlfilter.labelled_urls()}
+    assert not names & {urlfilter._split(u)[0] for u in BAD + GOOD}
 
 
 def test_url_score_against_a_plain_loop(spark):
     model = urlfilter.UrlModel(urlfilter.labelled_urls())
-    urls = ["http://Online-Casino.example.com/en/1", "https://quiet.example.org/", None, "x://", "http://a/" + "b/" * 300]
+    urls = ["http://Online-Casino.example.com/en/1", "https://quiet.example.org/", None, "x://", "http://a/" + "b//" * 300]
     got = {r.page_id: r.score for r in urlfilter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
     for i, u in enumerate(urls):
         h, p = urlfilter._split(u or "")
-        text = ("^" + h + "$" + "".join(f"/{x}" for x in p.split("/") if x) + "|").encode()
         grams = set()
-        for k in urlfilter.SIZES:
-            for at in range(len(text) - k + 1):
-                raw = np.frombuffer(text[at : at + k], np.uint8)
-                grams.add(int(urlfilter.span_hash(urlfilter.prefix_hash(raw), np.array([0]), np.array([k]))[0] % np.uint64(urlfilter.BUCKETS)))
+        for part, text in enumerate(("^" + h + "$", "".join(f"/{x}" for x in p.split("/") if x) + "|")):
+            raw_text = text.encode()
+            for k in urlfilter.SIZES:
+                for at in range(len(raw_text) - k + 1):
+                    raw = np.frombuffer(raw_text[at : at + k], np.uint8)
+                    grams.add(part * urlfilter.BUCKETS + int(urlfilter.span_hash(urlfilter.prefix_hash(raw), np.array([0]), np.array([k]))[0] % np.uint64(urlfilter.BUCKETS)))
         z = sum(model.w[g] for g in grams) / math.sqrt(len(grams)) + model.b
         assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-9
 
