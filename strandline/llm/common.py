@@ -104,7 +104,7 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 
 def spans_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 2 * SLICE_BYTES) -> np.ndarray:
-    """span_hash() of the spans of a text of any length (starts ascending), about `limit` bytes of it at a time."""
+    """span_hash() of the spans of a text of any length (starts ascending), about `limit` bytes of it at a time, also within a span."""
     if len(data) <= limit:
         return span_hash(prefix_hash(data), start, end)
     out = np.empty(len(start), dtype=U64)
@@ -112,11 +112,22 @@ def spans_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(start, start[i] + limit)))
         lo, hi = int(start[i]), int(end[i:j].max())
-        out[i:j] = span_hash(prefix_hash(data[lo:hi]), start[i:j] - lo, end[i:j] - lo)
+        if j == i + 1 and hi - lo > limit:
+            out[i] = _long_hash(data[lo:hi], limit)
+        else:
+            out[i:j] = span_hash(prefix_hash(data[lo:hi]), start[i:j] - lo, end[i:j] - lo)
         i = j
     return out
 
 
+def _long_hash(data: np.ndarray, limit: int) -> np.uint64:
+    """span_hash() of the whole of data, about `limit` bytes of it at a time."""
+    total = 0
+    for a in range(0, len(data), limit):
+        total += int(prefix_hash(data[a : a + limit])[-1]) * pow(_BASE, a, 1 << 64)
+    return mix(np.array([(total + len(data)) % (1 << 64)], dtype=U64))[0]
+
+
 # ---------------------------------------------------------------- texts as arrays
 
 #: The white space of the contracts: space and 0x09 to 0x0D.

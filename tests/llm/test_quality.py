@@ -123,3 +123,55 @@ def test_without_labels(spark):
     docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None)], "doc_id long, quality int")
     assert [r.score for r in ql.score_quality(docs, ql.fit_quality(docs, labels)).collect()] == [0.5]
+
+
+def test_a_long_text_by_pieces_has_the_same_passages_and_score(model):
+    rng = np.random.default_rng(6)
+    parts = [b"".join(bytes(rng.integers(97, 123, rng.integers(1, 12)).astype(np.uint8)) + b" " * int(rng.integers(1, 4)) for _ in range(4000)), b"x" * 30_000, b" " * 5000, b"a. B,c\n" * 2000]
+    for text in (b"".join(parts), b" " * 9000 + parts[0], parts[1], b" " * 9000, b""):
+        data = np.frombuffer(text, np.uint8)
+        _, whole = ql.passages(data, np.array([0, len(data)]))
+        for limit in (512, 1024, 7000):
+            got = list(ql.long_passages(data, limit))
+            if got:
+                assert np.allclose(np.concatenate(got), whole)
+                z, score, _, _ = model.pooled(got)
+                assert abs(score - model.forward(np.zeros(len(whole), int), model.standard(whole))["y"][0]) < 1e-9
+            else:
+                assert not text
+
+
+def test_gradients_of_a_document_in_parts():
+    for seed in range(4):
+        model, row, x, y = _small(seed, docs=1)
+        x = np.concatenate([x, x[::-1] * 0.5, x * 2])
+        row = np.zeros(len(x), int)
+        want = ql.gradients(model, row, model.standard(x), y, 3)
+        got = ql.long_gradients(model, [x[:1], x[1:3], x[3:]], float(y[0]), 3)
+        assert all(np.allclose(got[k], want[k]) for k in want)
+
+
+def test_the_gradient_over_parts_of_the_table_is_that_of_all_passages(spark, monkeypatch):
+    """One round of the distributed fit against the same round over one array; no passage is left out."""
+    rng = np.random.default_rng(1)
+    texts = ["word " * int(rng.integers(1, 900)) if i % 3 else " ".join("ab"[j % 2] * int(rng.integers(1, 9)) for j in range(300)) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)], "doc_id long, quality int")
+    kept = [i for i, in docs.select("doc_id").where(~ql.held_out(5, 0)).collect()]
+    row, x = ql.passages(np.frombuffer("".join(texts[i] for i in kept).encode(), np.uint8), np.append(0, np.cumsum([len(texts[i]) for i in kept])))
+    x = x.astype(np.float16).astype(np.float32)
+    want = ql.train(row, x, np.array([float(i % 3 == 0) for i in kept]), rounds=3)
+    for some in (2048, 3):
+        monkeypatch.setattr(ql, "SOME", some)
+        got = ql.fit_quality(docs, labels, rounds=3)
+        assert np.allclose(got.mean, want.mean, atol=1e-6) and all(np.allclose(got.p[k], want.p[k], atol=1e-3) for k in want.p)
+    again = ql.fit_quality(docs, labels, rounds=3)
+    assert all((got.p[k] == again.p[k]).all() for k in got.p)
+
+
+def test_a_hash_of_one_long_span():
+    from strandline.llm.common import prefix_hash, span_hash, spans_hash
+
+    data = np.frombuffer(b"ab cd" * 4000, np.uint8)
+    start, end = np.array([0, 3, 5000]), np.array([2, 4500, 19_000])
+    assert (spans_hash(data, start, end, limit=1000) == span_hash(prefix_hash(data), start, end)).all()
