@@ -274,10 +274,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modu
                     f = f.astype(np.float16)
                     at = np.searchsorted(r, np.arange(b - a + 1))
                     held = [f[s:e].tobytes() for s, e in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(y[a:b]), pa.array(held, pa.large_binary()).cast(pa.binary())], names=["y", "bag"])
+                yield pa.RecordBatch.from_arrays([rb.column("doc_id").slice(a, b - a), pa.array(y[a:b]), pa.array(held, pa.large_binary()).cast(pa.binary())], names=["doc_id", "y", "bag"])
 
-    made = sample.mapInArrow(bags, "y int, bag binary").withColumn("h", F.xxhash64("bag"))
-    table = materialize(made.repartition(FIT_PARTS, "h").sortWithinPartitions("h", "y"), "quality-bags")
+    made = sample.mapInArrow(bags, "doc_id long, y int, bag binary")
+    table = materialize(made.repartition(FIT_PARTS, F.xxhash64("doc_id")).sortWithinPartitions("doc_id", "y"), "quality-bags")
 
     def sizes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, docs_, ones, s, q = 0, 0, 0, np.zeros(WIDTH), np.zeros(WIDTH)

@@ -306,13 +306,13 @@ def held_out(modulus: int, rest: int):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, rest: int, fit_rows: int) -> DataFrame:
-    """(text, y) of at most fit_rows labelled rows outside the held-out part, those of least hashed doc_id; of texts under one
+    """(doc_id, text, y) of at most fit_rows labelled rows outside the held-out part, those of least hashed doc_id; of texts under one
     doc_id the one of least hash."""
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(modulus, rest))
     few = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows)
     # at most fit_rows rows of two numbers
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few.distinct()), "doc_id")
-    return found.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "y")
+    return found.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "y")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, rest: int = 2, fit_rows: int = FIT_ROWS) -> ToxicityModel:
