@@ -16,6 +16,7 @@ from strandline.plans.graph import Compiler, Registry, Scope, process_node, scan
 from strandline.plans.methods import run_lines
 from strandline.plans.params import at_index, bind
 from strandline.sources.files import join_path, read_file_group, read_file_groups, read_selections, write_csv
+from strandline.streaming.islands import current_islands, island_stream
 
 TOLERANCE_US = 180_000_000
 CAP_S = 900.0
@@ -58,6 +59,16 @@ def segment_islands_one_chain(spark, sf_dir):
     return segments.islands(segment_view(spark, sf_dir), ORDER, 1 << 60, cap_seconds=CAP_S).select("event_id", "DiffTime")
 
 
+def islands_of_arriving_files(spark, sf_dir):
+    """Segments arrive in files that hold them in no order, two files a batch; the islands of each user as they stand in the end."""
+    place = f"{shared_dir(spark)}/arriving-{uuid.uuid4().hex}"
+    view = segment_view(spark, sf_dir).select("user_id", "event_id", "StartTime", "SegStart", "SegDur")
+    view.repartition(6, F.xxhash64("event_id")).write.parquet(f"{place}/in")
+    stream = spark.readStream.schema(view.schema).option("maxFilesPerTrigger", 2).parquet(f"{place}/in")
+    island_stream(stream, ["user_id"], "event_id", f"{place}/runs", f"{place}/state", TOLERANCE_US).awaitTermination()
+    return current_islands(spark.read.parquet(f"{place}/runs"), ["user_id"], TOLERANCE_US).select("user_id", "DiffTime", "segments", "start_us", "end_us")
+
+
 def island_rollup(spark, sf_dir):
     return segments.island_rollup(segments.islands(segment_view(spark, sf_dir), ORDER, TOLERANCE_US))
 
@@ -312,7 +323,7 @@ def file_groups_in_file_order(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, segment_islands_one_chain, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
+        segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, segment_islands_one_chain, islands_of_arriving_files, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
         param_scan_product, param_scan_zip_sorted, branch_dedupe, scatter_gather, elapsed_dhms, scalar_functions, lineage_descendants, lineage_ancestors, apply_cutoff,
         assign_labels_iou, assign_labels_with_truth, merge_features_labels, perf_eval, perf_curve, split_for_evaluation, reduce_by_field, reduce_by_field_union,
         format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order,
@@ -357,6 +368,7 @@ fold AS (
   SELECT p.i, p.event_id, CASE WHEN f.total + p.d >= 900000000 THEN 0 ELSE f.total + p.d END, f.total + p.d >= 900000000 FROM fold f JOIN placed p ON p.i = f.i + 1
 )
 SELECT event_id, 1 + coalesce(sum(CASE WHEN cut THEN 1 ELSE 0 END) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS DiffTime FROM fold""",
+    "islands_of_arriving_files": f"WITH {_SEGMENTS}, {_ISLANDS.format(by='user_id', of='seg')} SELECT user_id, DiffTime, count(*) AS segments, min(true_start_us) AS start_us, max(true_end_us) AS end_us FROM num GROUP BY user_id, DiffTime",
     "island_rollup": f"WITH {_SEGMENTS}, {_ISLANDS.format(by='1', of='seg')} SELECT DiffTime, count(*) AS segments, min(true_start_us) AS start_us, max(true_end_us) AS end_us, round(sum(SegDur), 4) AS total_dur FROM num GROUP BY DiffTime",
     "union_renumber": "SELECT event_id, event_type, user_id, row_number() OVER (ORDER BY CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 ELSE 2 END, event_id) AS Selection FROM events WHERE event_type IN ('click', 'view', 'error')",
     "union_schema_drift": "SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey, c_acctbal, c_mktsegment FROM customer UNION ALL BY NAME SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, s_nationkey::VARCHAR AS s_nationkey, s_acctbal FROM supplier",
