@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.segments import islands, row_numbers
 from strandline.sources.files import copy_file, join_path, read_bytes, write_bytes
-from strandline.sources.order import POSITION, behind, numbered, positioned
+from strandline.sources.order import POINT, POSITION, behind, numbered, positioned
 
 
 def union_by_name(tables: Sequence[DataFrame], port: str | None = "__port") -> DataFrame:
@@ -47,6 +47,20 @@ def combine_file_groups(tables: Sequence[DataFrame], order: Sequence[str] | None
     return out.drop("__port")
 
 
+def combine_points(rows: DataFrame, kind: str) -> DataFrame:
+    """What combining a table for each point would give, from the rows of all points in one (told apart by order.POINT)."""
+    rows = positioned(rows)
+    if kind in ("selections", "file_group"):
+        ported = rows.withColumnRenamed(POINT, "__port")
+        if kind == "selections":
+            return numbered(row_numbers(ported.drop("Selection"), ["__port", POSITION]).drop("__port"), "Selection")
+        ported = ported.drop("DiffTime").withColumn("StartTime", F.col("StartTime").cast("timestamp_ntz"))
+        out = islands(ported, ["__port", POSITION]).drop("true_start_us", "true_end_us").withColumnRenamed("__port", POINT)
+    else:
+        out = rows
+    return out.withColumn(POSITION, F.concat(F.array(F.format_string("%08d", POINT)), POSITION)).drop(POINT)
+
+
 def combine_kind(outfile: str, no_combine: bool, first: str = "") -> str:
     """How outputs of this name are brought together: selections, untar, copy, file_group or table."""
     if ".txt" in outfile:

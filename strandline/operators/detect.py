@@ -7,17 +7,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators import sweep
 from strandline.operators.segments import by_range, light, neighbour, ranged, row_numbers, running
+from strandline.sources.order import POINT
 
 def apply_cutoff(detections: DataFrame, cutoff: float, score: str = "prob") -> DataFrame:
     """Rows whose score is at least the cutoff; rows without a score go."""
     return detections.where(F.col(score) >= cutoff)
 
 
+def _reached(df: DataFrame, points: DataFrame, cutoff: str, score: str) -> tuple[DataFrame, list[tuple[float, list]]]:
+    """df's rows that reach a cutoff, with __n, how many of the different cutoffs they reach, and (cutoff, its rows of points) in rising
+    order.  points is a row a point of a scan, so it fits the driver; a row's place among the cutoffs is found by halving."""
+    at: dict[float, list] = {}
+    for r in points.collect():
+        at.setdefault(float(r[cutoff]), []).append(r)
+    cuts = sorted(at)
+    inner = [-float("inf"), *cuts, float("inf")]
+    found = Bucketizer(splits=inner, inputCol="__s", outputCol="__n", handleInvalid="skip").transform(df.where(F.col(score).isNotNull()).withColumn("__s", F.col(score).cast("double")))
+    return found.withColumn("__n", F.col("__n").cast("int")).where("__n > 0").drop("__s"), [(c, at[c]) for c in cuts]
+
+
+def apply_cutoffs(detections: DataFrame, points: DataFrame, score: str = "prob", cutoff: str = "cutoff") -> DataFrame:
+    """apply_cutoff() at every point of a scan at once: each row once for each point whose cutoff it reaches, with the point's number
+    (order.POINT); no row meets a cutoff above its score."""
+    rows, cuts = _reached(detections, points, cutoff, score)
+    numbers = F.array(*[F.array(*[F.lit(r[POINT]) for r in rs]) for _, rs in cuts])
+    return rows.withColumn(POINT, F.explode(F.flatten(F.slice(numbers, F.lit(1), F.col("__n"))))).drop("__n")
+
+
+def perf_at_cutoffs(scored: DataFrame, points: DataFrame, score: str, positive: str, cutoff: str = "cutoff") -> DataFrame:
+    """(order.POINT, cutoff, tp, fp, fn, precision, recall) of every point of a scan, score >= cutoff being detected, from one aggregation: rows are
+    summed by how many cutoffs they reach, and the sums then run over the cutoffs."""
+    rows, cuts = _reached(scored, points, cutoff, score)
+    hit = F.col(positive).cast("long")
+    all_true = scored.agg(F.coalesce(F.sum(hit), F.lit(0)).alias("__all"))
+    per = rows.groupBy("__n").agg(F.sum(hit).alias("t"), F.count("*").alias("n"))
+    place = scored.sparkSession.createDataFrame([(i + 1, r[POINT], r[cutoff]) for i, (_, rs) in enumerate(cuts) for r in rs], f"__n int, {POINT} int, cutoff string")
+    # as many rows as there are points
+    down = Window.orderBy(F.desc("__n")).rangeBetween(Window.unboundedPreceding, 0)
+    sums = place.select("__n").distinct().join(per, "__n", "left").select("__n", F.sum(F.coalesce("t", F.lit(0))).over(down).alias("tp"), F.sum(F.coalesce("n", F.lit(0))).over(down).alias("n"))
+    run = place.join(sums, "__n").crossJoin(F.broadcast(all_true)).select(POINT, "cutoff", "tp", (F.col("n") - F.col("tp")).alias("fp"), (F.col("__all") - F.col("tp")).alias("fn"))
+    return run.select(POINT, "cutoff", "tp", "fp", "fn", *_rates(F.col("tp"), F.col("fp"), F.col("fn")))
+
+
 def overlaps(detections: DataFrame, truth: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(det_id, gt_id, iou) of each detection and ground-truth interval that overlap by more than a point; see sweep.pairs()."""
     d, g = detections.where("end_us > start_us"), truth.where("end_us > start_us")

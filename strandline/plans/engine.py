@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strandline.functions.shared import shared_dir
-from strandline.operators.combine import collect_artifacts, combine_file_groups, combine_kind, combine_selections, gather, never_combined, split_numbers, union_by_name, union_in_order
+from strandline.operators.combine import collect_artifacts, combine_file_groups, combine_kind, combine_points, combine_selections, gather, never_combined, split_numbers, union_by_name, union_in_order
+from strandline.plans.fingerprint import fingerprint
 from strandline.plans.graph import Node, PlanError, Process, Registry
 from strandline.plans.loaders import Context
 from strandline.plans.methods import command, run_lines
-from strandline.plans.params import dump
-from strandline.sources.files import delete, exists, export, join_path, read_bytes, upload, write_bytes, write_csv
-from strandline.sources.order import from_files, in_order, plain
+from strandline.plans.params import Bound, dump
+from strandline.sources.files import delete, exists, export, file_states, join_path, read_bytes, upload, write_bytes, write_csv
+from strandline.sources.order import PART, POINT, POSITION, from_files, in_order, plain
 
 
 class Store:
@@ -43,16 +46,42 @@ class Store:
     def has(self, fp: str) -> bool:
         return exists(self.spark, join_path(self.folder(fp), "manifest.json"))
 
-    def put(self, node: Node, df: DataFrame) -> DataFrame:
+    def put(self, node: Node, df: DataFrame, state: str | None = None) -> DataFrame:
         path = join_path(self.folder(node.fingerprint), f"data-{uuid.uuid4().hex[:8]}")
         df.write.parquet(path)
         out = from_files(self.spark.read.schema(df.schema).parquet(path), row_index=True)
-        entry = {"fingerprint": node.fingerprint, "op": node.name, "children": [c.fingerprint for c in node.children], "path": path, "rows": out.count()}
-        write_bytes(self.spark, join_path(self.folder(node.fingerprint), "manifest.json"), json.dumps(entry).encode())
+        entry = {"fingerprint": node.fingerprint, "op": node.name, "children": [c.fingerprint for c in node.children], "path": path, "rows": out.count(), "state": state}
+        self._seal(entry)
         return out
 
+    def _seal(self, entry: dict[str, Any]) -> None:
+        write_bytes(self.spark, join_path(self.folder(entry["fingerprint"]), "manifest.json"), json.dumps(entry).encode())
+
+    def put_parts(self, node: Node, df: DataFrame | None, made: Mapping[str, str], parts: Mapping[str, str], state: str) -> DataFrame:
+        """Replaces the parts `made` (name: identity) by the rows of df, which order.PART tells apart, and keeps the others that `parts` still
+        names.  The new parts are one job and one folder each; the manifest that names them is written last, then the old ones go."""
+        old = self.entry(node.fingerprint) or {}
+        paths, schema = {p: x for p, x in old.get("parts", {}).items() if p in parts and p not in made}, old.get("schema")
+        if made:
+            path = join_path(self.folder(node.fingerprint), f"data-{uuid.uuid4().hex[:8]}")
+            df.withColumn("__dir", F.sha2(PART, 256)).write.partitionBy("__dir").parquet(path)
+            schema = df.schema.json()
+            for p, identity in made.items():
+                place = join_path(path, f"__dir={hashlib.sha256(p.encode()).hexdigest()}")
+                paths[p] = {"id": identity, "path": place if exists(self.spark, place) else None}
+        self._seal({"fingerprint": node.fingerprint, "op": node.name, "children": [c.fingerprint for c in node.children], "path": None, "parts": paths, "schema": schema, "state": state})
+        for p, x in old.get("parts", {}).items():
+            if x["path"] and paths.get(p) != x:
+                delete(self.spark, x["path"])
+        return self.get(node.fingerprint)
+
     def get(self, fp: str) -> DataFrame:
-        return from_files(self.spark.read.parquet(self.entry(fp)["path"]), row_index=True)
+        entry = self.entry(fp)
+        if entry.get("parts") is None:
+            return from_files(self.spark.read.parquet(entry["path"]), row_index=True)
+        schema = StructType.fromJson(json.loads(entry["schema"]))
+        paths = [x["path"] for _, x in sorted(entry["parts"].items()) if x["path"]]
+        return from_files(self.spark.read.schema(schema).parquet(*paths), row_index=True) if paths else self.spark.createDataFrame([], schema)
 
     def drop(self, fps: Iterable[str]) -> None:
         for fp in fps:
@@ -79,6 +108,8 @@ class Run:
     made: list[str] = field(default_factory=list)
     reused: list[str] = field(default_factory=list)
     outputs: dict[str, str] = field(default_factory=dict)
+    #: Of each process whose table is kept part by part: which parts were made, kept and dropped.
+    parts: dict[str, dict[str, list[str]]] = field(default_factory=dict)
 
 
 def ancestors(node: Node) -> set[str]:
@@ -106,10 +137,12 @@ class Engine:
         self.spark, self.registry, self.store = spark, registry, Store(spark, root)
         self.methods_root, self.context = methods_root, context or Context()
         self._shares: dict[tuple, tuple[str, DataFrame]] = {}
+        self._ids: dict[str, dict[str, str]] = {}
 
     def explain(self, root: Node) -> str:
         """The graph with what is already there."""
-        mark = {n.fingerprint[:12]: "kept" if self.store.has(n.fingerprint) else "to make" for n in root.walk()}
+        self._ids.clear()
+        mark = {n.fingerprint[:12]: "kept" if self._kept(n) else "to make" for n in root.walk()}
         return "\n".join(f"{line} {mark[line.rsplit(' ', 1)[1]]}" for line in root.show().splitlines())
 
     def invalidate(self, root: Node) -> None:
@@ -124,6 +157,7 @@ class Engine:
         """Makes what is missing, inputs first.  export also writes the job's tables and files and a manifest to
         outputs/<job>/<fingerprint>, and from there to the context's upload folder if it has one."""
         self.invalidate(root)
+        self._ids.clear()
         run = Run()
         used: dict[str, int] = {}
         for n in root.walk():
@@ -137,19 +171,23 @@ class Engine:
         for n in root.walk():
             if n.kind == "job" or n.fingerprint not in need:
                 continue
-            if self.store.has(n.fingerprint):
+            if self._kept(n):
                 lazy[n.fingerprint] = self.store.get(n.fingerprint)
                 run.reused.append(n.fingerprint)
                 continue
+            if self._part_wise(n):
+                lazy[n.fingerprint] = self._remake(n, lazy, run)
+                run.made.append(n.fingerprint)
+                continue
             df = self._build(n, [lazy[c.fingerprint] for c in n.children])
             # cheap chains stay one Spark plan; tables are written where they end, fan out or wait for someone
-            lazy[n.fingerprint] = self.store.put(n, df) if n.fingerprint in ends or used.get(n.fingerprint, 0) > 1 or self._is_review(n) or never_combined(n.outfile) else df
+            lazy[n.fingerprint] = self.store.put(n, df, self._state(n)) if n.fingerprint in ends or used.get(n.fingerprint, 0) > 1 or self._is_review(n) or never_combined(n.outfile) else df
             run.made.append(n.fingerprint)
         # the gathered table is written by now, nothing reads the shares any more
         while self._shares:
             delete(self.spark, self._shares.popitem()[1][0])
         for n in root.children if root.kind == "job" else (root,):
-            run.outputs[n.name] = self.store.entry(n.fingerprint)["path"]
+            run.outputs[n.name] = self.store.entry(n.fingerprint)["path"] or self.store.folder(n.fingerprint)
         if export:
             self._export(root, run, definition)
         return run
@@ -166,10 +204,60 @@ class Engine:
             n = todo.pop()
             if n.fingerprint not in out:
                 out.add(n.fingerprint)
-                if not self.store.has(n.fingerprint):
+                if not self._kept(n):
                     todo += n.children
         return out
 
+    # ------------------------------------------------ tables that are kept part by part
+
+    def _part_wise(self, n: Node) -> bool:
+        if n.kind != "process" or n.bound is None:
+            return False
+        p = self.registry.get(n.name)
+        return p.part_folder is not None or (p.by_part and bool(n.children) and self._part_wise(n.children[0]))
+
+    def _part_ids(self, n: Node) -> dict[str, str]:
+        """name: identity of each part as it is now: of a file its length and time, of what is made from one its identity and all else that goes in."""
+        if n.fingerprint not in self._ids:
+            p = self.registry.get(n.name)
+            if p.part_folder is not None:
+                folder = p.part_folder(n.bound.params)
+                self._ids[n.fingerprint] = {name: f"{size}-{time}" for name, size, time in file_states(self.spark, folder)}
+            else:
+                others = [self._state(c) for c in n.children[1:]]
+                self._ids[n.fingerprint] = {name: fingerprint(n.fingerprint, [x, *map(str, others)]) for name, x in self._part_ids(n.children[0]).items()}
+        return self._ids[n.fingerprint]
+
+    def _state(self, n: Node) -> str | None:
+        """What n would be made from now, where parts are among it; None where the fingerprint says it all."""
+        if self._part_wise(n):
+            return fingerprint("parts", [f"{k}={v}" for k, v in sorted(self._part_ids(n).items())])
+        below = [self._state(c) for c in n.children]
+        return fingerprint("state", [str(x) for x in below]) if any(below) else None
+
+    def _kept(self, n: Node) -> bool:
+        entry = self.store.entry(n.fingerprint)
+        return entry is not None and entry.get("state") == self._state(n)
+
+    def _remake(self, n: Node, lazy: dict[str, DataFrame], run: Run) -> DataFrame:
+        """The parts of n that are new or changed, in one job; those that are gone go."""
+        process, now = self.registry.get(n.name), self._part_ids(n)
+        old = (self.store.entry(n.fingerprint) or {}).get("parts") or {}
+        made = {p: x for p, x in now.items() if p not in old or old[p]["id"] != x}
+        run.parts[n.name] = {"made": sorted(made), "kept": sorted(set(now) - set(made)), "gone": sorted(set(old) - set(now))}
+        df = None
+        if made and process.part_folder is not None:
+            folder = process.part_folder(n.bound.params)
+            df = process.fn([join_path(folder, p) for p in sorted(made)], dict(n.bound.params))
+            df = df if PART in df.columns else from_files(df).withColumn(PART, F.element_at(POSITION, 3))
+        elif made:
+            mine = [c.fingerprint for c in n.children]
+            some = lazy[mine[0]] if set(made) == set(now) else lazy[mine[0]].where(F.col(PART).isin(*made))
+            df = self._build(n, [some, *[lazy[f] for f in mine[1:]]])
+            if PART not in df.columns:
+                raise PlanError(f"{n.name} works by part, but its rows do not say of which")
+        return self.store.put_parts(n, df, made, now, self._state(n))
+
     def _is_review(self, n: Node) -> bool:
         return n.kind == "process" and self.registry.get(n.name).review
 
@@ -185,6 +273,10 @@ class Engine:
                 return combine_file_groups(inputs)
             return union_in_order(inputs)
         process = self.registry.get(n.name)
+        if n.kind == "scan":
+            return combine_points(process.fn(inputs, self._points(n.points)), combine_kind(n.outfile, False))
+        if process.points and n.kind == "process":
+            return process.fn(inputs, self._points((n.bound,))).drop(POINT)
         if n.kind == "gather":
             return union_by_name(inputs, None)
         if n.kind == "split":
@@ -202,6 +294,12 @@ class Engine:
             return self._files([made] if isinstance(made, str) else list(made))
         return fn(inputs, dict(n.bound.params))
 
+    def _points(self, bounds: Sequence[Bound]) -> DataFrame:
+        """The points of a scan as a process takes them: a row each, with its number and its parameters as texts."""
+        names = sorted({k for b in bounds for k in b.params})
+        rows = [(i, *[None if b.params.get(k) is None else str(b.params[k]) for k in names]) for i, b in enumerate(bounds)]
+        return self.spark.createDataFrame(rows, ", ".join([f"{POINT} int", *(f"`{k}` string" for k in names)]))
+
     def _dealt(self, n: Node, df: DataFrame, key: str | None) -> DataFrame:
         """The input of all splits of a process, read and dealt out once: written by split, so that each reads its own files alone, as
         many tasks as these have."""
@@ -251,13 +349,14 @@ class Engine:
         folder = join_path(self.store.root, "outputs", root.name, root.fingerprint)
         lines = {}
         artifacts = {n.name for n in (root.children if root.kind == "job" else (root,)) if never_combined(n.outfile)}
+        by_name = {n.name: n.fingerprint for n in (root.children if root.kind == "job" else (root,))}
         for name, path in run.outputs.items():
             target = join_path(folder, name)
             if name in artifacts:
                 for r in self.spark.read.parquet(path).collect():  # a row a file
                     export(self.spark, r.path, target)
             else:
-                write_csv(from_files(self.spark.read.parquet(path), row_index=True), target)
+                write_csv(self.store.get(by_name[name]).drop(PART), target)
             lines[name] = path
         write_bytes(self.spark, join_path(folder, "manifest.json"), json.dumps([{"pipe": k, "path": v} for k, v in sorted(lines.items())]).encode())
         if definition:

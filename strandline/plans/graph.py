@@ -65,6 +65,13 @@ class Process:
     lines: str | None = None
     #: The column whose remainder deals the first input out where a process runs in splits; without one, a hash of the whole row does.
     split_key: str | None = None
+    #: A source of parts: the folder, from the parameters, each of whose files is a part; fn(files, params) reads those given.
+    part_folder: Callable[[Mapping[str, Any]], str] | None = None
+    #: A process that treats each part of its first input by itself (they differ in the column order.PART), so that changed parts can be made alone.
+    by_part: bool = False
+    #: A process that takes all points of a scan at once: fn(inputs, points), with a row a point (order.POINT and its parameters as texts),
+    #: returns their rows together, told apart by that column.
+    points: bool = False
 
     @property
     def artifact(self) -> bool:
@@ -78,9 +85,11 @@ class Registry:
         self.shapes = dict(SHAPES)
         self.methods: dict[tuple[str, str, str], Any] = {}
 
-    def process(self, name: str, shape: str = "NoUpstream", upstream: Sequence[str] = (), outfile: str = "out.csv.gz", review: bool = False, lines: str | None = None, split_key: str | None = None) -> Callable:
+    def process(self, name: str, shape: str = "NoUpstream", upstream: Sequence[str] = (), outfile: str = "out.csv.gz", review: bool = False, lines: str | None = None, split_key: str | None = None, **traits: Any) -> Callable:
+        """traits: further fields of Process."""
+
         def add(fn: Callable | None) -> Callable | None:
-            self.processes[name] = Process(name, fn, shape, tuple(upstream), outfile, review, lines, split_key)
+            self.processes[name] = Process(name, fn, shape, tuple(upstream), outfile, review, lines, split_key, **traits)
             return fn
 
         return add
@@ -103,7 +112,9 @@ class Registry:
 
 @dataclass(frozen=True)
 class Node:
-    """One table or artifact to make.  kind: process, combine, split, gather or job.
+    """One table or artifact to make.  kind: process, combine, scan, split, gather or job.
+
+    A scan is a process on several points at once; it has the fingerprint of the combine node over a branch for each of them.
 
     A split is its process on the part-th of `parts` shares of the first input; the gather over all of them has the
     fingerprint of the undivided process, since in how many splits it runs is no part of what it is.
@@ -119,6 +130,7 @@ class Node:
     trim_tree: bool = False
     part: int = 0
     parts: int = 1
+    points: tuple[Bound, ...] = ()
 
     def walk(self) -> Iterator[Node]:
         """This node and all below it, each fingerprint once, inputs first."""
@@ -289,7 +301,13 @@ class Compiler:
         inherited = {} if node.get("reset_loop") == "y" else dict(scope.index)
         inner = {k: v for k, v in node.items() if k not in ("loop_on", "reset_loop", "params_drop")}
         points = [{**inherited, **p} for p in scan_points(scope.tree, looped, scope.no_over)]
-        return combine_node([self._shape(inner, replace(scope, index=p)) for p in points])
+        branches = distinct_branches([self._shape(inner, replace(scope, index=p)) for p in points])
+        node, first = combine_node(branches), branches[0]
+        alike = all(b.kind == "process" and b.name == first.name and b.children == first.children for b in branches)
+        marked = any(b.hard_rerun or b.trim_tree for b in branches)
+        if len(branches) > 1 and alike and not marked and not never_combined(first.outfile) and self.registry.get(first.name).points:
+            return replace(node, kind="scan", name=first.name, children=first.children, points=tuple(b.bound for b in branches))
+        return node
 
 
 def _no_files(name: str) -> Mapping[str, Any]:

@@ -15,7 +15,8 @@ from strandline.plans.engine import Engine, ancestors, descendants
 from strandline.plans.graph import Compiler, Registry, Scope, process_node, scan_points
 from strandline.plans.methods import run_lines
 from strandline.plans.params import at_index, bind
-from strandline.sources.files import join_path, read_file_group, read_file_groups, read_selections, write_csv
+from strandline.sources.files import copy_file, delete, join_path, list_files, read_csv, read_file_group, read_file_groups, read_selections, write_csv
+from strandline.sources.order import PART
 from strandline.streaming.islands import current_islands, island_stream
 
 TOLERANCE_US = 180_000_000
@@ -320,13 +321,52 @@ def file_groups_in_file_order(spark, sf_dir):
     return out.select(F.col("event_id").cast("long").alias("event_id"), "event_type", "DiffTime")
 
 
+def changed_part_remade(spark, sf_dir):
+    """Files of events as parts: after the first run one file changes, one goes and one comes, and the second run makes just these."""
+    place = f"{shared_dir(spark)}/parts-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+
+    def put(k, rows):
+        write_csv(rows.where(F.pmod("user_id", F.lit(10)) == k).select("event_id", "user_id", "value").coalesce(1), f"{place}/new")
+        delete(spark, f"{place}/in/part{k}.csv")
+        copy_file(spark, next(f for f in list_files(spark, f"{place}/new") if "/part-" in f), f"{place}/in/part{k}.csv")
+
+    registry = Registry()
+    registry.process("Load", part_folder=lambda params: f"{place}/in")(lambda files, params: read_csv(spark, files, "event_id long, user_id long, value double", positions=True))
+    totals = lambda inputs, params: inputs[0].groupBy(PART).agg(F.first(F.element_at(F.split(PART, "[.]"), 1)).alias("part"), F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    registry.process("Totals", "OneUpstream", ("GetLoad",), by_part=True)(totals)
+    node = Compiler(registry).compile({"pipe": "OneUpstream", "OneUpstream": {"process": "Totals", "GetLoad": {"process": "Load"}}}, Scope({}))
+    engine = Engine(spark, registry, f"{place}/store")
+    for k in range(9):
+        put(k, events)
+    engine.run(node)
+    put(3, events.withColumn("value", F.col("value") * 2))
+    delete(spark, f"{place}/in/part5.csv")
+    put(9, events)
+    second = engine.run(node).parts["Totals"]
+    remade = F.broadcast(spark.createDataFrame([(x.split(".")[0], True) for x in second["made"]], "part string, remade boolean"))
+    return engine.result(node).join(remade, "part", "left").select("part", "n", "total", F.coalesce("remade", F.lit(False)).alias("remade"))
+
+
+def cutoff_scan_at_once(spark, sf_dir):
+    """A scan over 1,000 cutoffs as one node and one aggregation."""
+    registry = Registry()
+    registry.process("Load")(lambda inputs, params: _scored(spark, sf_dir))
+    registry.process("Evaluate", "OneUpstream", ("GetLoad",), points=True)(lambda inputs, points: detect.perf_at_cutoffs(inputs[0], points, "prob", "toxic"))
+    tree = {"Load": {"parameters": {}}, "Evaluate": {"parameters": {"cutoff": [f"{k / 1000:.3f}" for k in range(1000)]}}}
+    node = Compiler(registry).compile({"loop_on": "Evaluate", "pipe": "OneUpstream", "OneUpstream": {"process": "Evaluate", "GetLoad": {"process": "Load"}}}, Scope(tree))
+    engine = Engine(spark, registry, f"{shared_dir(spark)}/scan-{uuid.uuid4().hex}")
+    engine.run(node)
+    return engine.result(node)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, segment_islands_one_chain, islands_of_arriving_files, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
         param_scan_product, param_scan_zip_sorted, branch_dedupe, scatter_gather, elapsed_dhms, scalar_functions, lineage_descendants, lineage_ancestors, apply_cutoff,
         assign_labels_iou, assign_labels_with_truth, merge_features_labels, perf_eval, perf_curve, split_for_evaluation, reduce_by_field, reduce_by_field_union,
-        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order,
+        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order, changed_part_remade, cutoff_scan_at_once,
     )
 }
 
@@ -422,5 +462,9 @@ SELECT det_id, tile, count(*) AS n, round(avg(v), 6) AS mean, round(max(v), 6) A
 ), g AS (SELECT *, s + CASE WHEN event_id % 3 = 0 THEN 0 ELSE coalesce(gap, 0) END AS e FROM f WHERE value >= 10),
 j AS (SELECT *, coalesce(abs(e - lead(s) OVER (ORDER BY event_type, user_id DESC, ts, event_id)) <= 1000000, true) AS joined FROM g)
 SELECT event_id, event_type, 1 + coalesce(sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (ORDER BY event_type, user_id DESC, ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS DiffTime FROM j""",
+    "changed_part_remade": "SELECT 'part' || user_id % 10 AS part, count(*) AS n, round(sum(CASE WHEN user_id % 10 = 3 THEN 2 * value ELSE value END), 2) AS total, user_id % 10 IN (3, 9) AS remade FROM events WHERE user_id % 10 <> 5 GROUP BY user_id % 10",
+    "cutoff_scan_at_once": f"""WITH {_SCORED}, c AS (SELECT printf('%.3f', k / 1000) AS cutoff FROM range(1000) t(k)),
+sums AS (SELECT cutoff, count(*) FILTER (WHERE prob >= cutoff::DOUBLE AND toxic = 1) AS tp, count(*) FILTER (WHERE prob >= cutoff::DOUBLE AND toxic = 0) AS fp, count(*) FILTER (WHERE NOT prob >= cutoff::DOUBLE AND toxic = 1) AS fn FROM scored, c GROUP BY cutoff)
+SELECT cutoff, tp, fp, fn, {_RATES} FROM sums""",
     "split_runs": "SELECT o_custkey, count(*) AS n, max(o_totalprice) AS most FROM orders GROUP BY o_custkey",
 }

@@ -69,6 +69,13 @@ def list_files(spark: SparkSession, folder: str) -> Iterator[str]:
         yield found.next().getPath().toString()
 
 
+def file_states(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(name, length, time of the last change) of each file in a folder; hidden ones are left out."""
+    fs, p = file_system(spark, folder)
+    found = [(x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in fs.listStatus(p) if x.isFile()]
+    return sorted(x for x in found if not x[0].startswith(("_", ".")))
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -83,15 +90,15 @@ def peek_schema(spark: SparkSession, path: str, sep: str = ",") -> T.StructType:
     return T.StructType([T.StructField(c, T._parse_datatype_string(TYPED.get(c, "string"))) for c in names])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",", positions: bool = False) -> DataFrame:
-    """A delimited table with a header, plain or gzipped; types are inferred only without a schema.  positions: each row keeps
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None, sep: str = ",", positions: bool = False) -> DataFrame:
+    """A delimited table (one path or several) with a header, plain or gzipped; types are inferred only without a schema.  positions: each row keeps
     where it stands, as the column order.POSITION.
 
     A gzipped file is read by one task; its rows are dealt out again at once.
     """
-    df = spark.read.csv(path, header=True, sep=sep, schema=schema, inferSchema=schema is None)
+    df = spark.read.csv(path if isinstance(path, str) else list(path), header=True, sep=sep, schema=schema, inferSchema=schema is None)
     df = from_files(df) if positions else df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if path.endswith(".gz") else df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if (path if isinstance(path, str) else "".join(path[:1])).endswith(".gz") else df
 
 
 def read_file_group(spark: SparkSession, path: str) -> DataFrame:

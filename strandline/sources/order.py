@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POSITION = "__pos"
+#: The part (a file's name) of a table that is kept part by part.
+PART = "__part"
+#: The number of a scan's point, from 0.
+POINT = "__point"
 
 
 def digits(number: Column) -> Column:
@@ -45,7 +49,8 @@ def numbered(df: DataFrame, number: str) -> DataFrame:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    return df.drop(POSITION)
+    """df as its user sees it."""
+    return df.drop(POSITION, PART)
 
 
 def in_order(df: DataFrame) -> DataFrame:
