@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.segments import islands, row_numbers
-from strandline.sources.files import copy_file, join_path, read_bytes, write_bytes
+from strandline.sources import streams
+from strandline.sources.files import join_path
 from strandline.sources.order import POINT, POSITION, behind, numbered, positioned
 
 
@@ -78,27 +77,14 @@ def never_combined(outfile: str) -> bool:
 def collect_artifacts(spark, paths: Sequence[str], folder: str, outfile: str) -> list[str]:
     """Files of several branches in one folder: copies named <number>_<outfile>, or archives unpacked each in its own
     folder <number>_<name of the archive up to its first dot>; numbers begin with 1."""
-    made = []
-    archives = bool(paths) and combine_kind(outfile, True, paths[0]) == "untar"
-    for k, path in enumerate(paths, 1):
-        if archives:
-            stem = path.rstrip("/").rsplit("/", 1)[-1].split(".", 1)[0]
-            made += untar(spark, path, join_path(folder, f"{k}_{stem}"))
-        else:
-            made.append(join_path(folder, f"{k}_{outfile}"))
-            copy_file(spark, path, made[-1])
-    return made
-
-
-def untar(spark, path: str, folder: str) -> list[str]:
-    """The files of an archive, flat in a folder; their folders inside the archive are left out, so no name can lead outside."""
-    made = []
-    with tarfile.open(fileobj=io.BytesIO(read_bytes(spark, path)), mode="r:*") as tar:
-        for member in tar:
-            if member.isfile():
-                made.append(join_path(folder, member.name.replace("\\", "/").rsplit("/", 1)[-1]))
-                write_bytes(spark, made[-1], tar.extractfile(member).read())
-    return made
+    if not paths:
+        return []
+    archives = combine_kind(outfile, True, paths[0]) == "untar"
+    stem = lambda p: p.rstrip("/").rsplit("/", 1)[-1].split(".", 1)[0]
+    todo = [(p, join_path(folder, f"{k}_{stem(p)}"), "untar") if archives else (p, join_path(folder, f"{k}_{outfile}"), "copy") for k, p in enumerate(paths, 1)]
+    target = {t: i for i, (_, t, _) in enumerate(todo)}
+    rows = [r.target for r in streams.move(spark, todo).collect()]  # names
+    return sorted(rows, key=lambda t: (target.get(t, target.get(t.rsplit("/", 1)[0], 0)), t))
 
 
 def distinct_branches(branches: Sequence, key=lambda b: b.fingerprint) -> list:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.sources.order import from_files, in_order
+from strandline.sources import streams
+from strandline.sources.order import from_files, in_order, plain
 
 #: The file-group table: required columns and their types; any other column is metadata.
 FILE_GROUP = {"FileName": "string", "StartTime": "timestamp_ntz", "Duration": "double", "SegStart": "double", "SegDur": "double"}
@@ -30,6 +31,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    fs, p = file_system(spark, path)
+    return fs.getFileStatus(p).getLen()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
     return fs.delete(p, True)
@@ -94,8 +100,11 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     """A delimited table (one path or several) with a header, plain or gzipped; types are inferred only without a schema.  positions: each row keeps
     where it stands, as the column order.POSITION.
 
-    A gzipped file is read by one task; its rows are dealt out again at once.
+    A gzipped file is read by one task and its rows are dealt out again at once; one of more than streams.SHARE bytes, if a schema is given, is read as
+    streams.read_gzip_csv() does, by many.
     """
+    if isinstance(path, str) and path.endswith(".gz") and schema is not None and exists(spark, path) and size_of(spark, path) > streams.SHARE:
+        return streams.read_gzip_csv(spark, [path], schema, sep, positions)
     df = spark.read.csv(path if isinstance(path, str) else list(path), header=True, sep=sep, schema=schema, inferSchema=schema is None)
     df = from_files(df) if positions else df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if (path if isinstance(path, str) else "".join(path[:1])).endswith(".gz") else df
@@ -123,37 +132,18 @@ def read_selections(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 def fetch_missing(spark: SparkSession, uris: Sequence[str], folder: str) -> DataFrame:
-    """Copies each file into the folder unless it is there; (uri, status) with copied, present or the error."""
-    rows = []
-    for uri in uris:
-        target = join_path(folder, uri.rsplit("/", 1)[-1])
-        try:
-            if exists(spark, target):
-                rows.append((uri, "present"))
-            else:
-                copy_file(spark, uri, target)
-                rows.append((uri, "copied"))
-        except Exception as e:  # noqa: BLE001  a status for each, as asked for
-            rows.append((uri, f"error: {str(e).splitlines()[0][:200]}"))
-    return spark.createDataFrame(rows, "uri string, status string")
+    """Copies each file into the folder unless it is there, a task a file; (uri, status) with copied, present or the error."""
+    there = [(u, "present") for u in uris if exists(spark, join_path(folder, u.rsplit("/", 1)[-1]))]
+    rest = [(u, join_path(folder, u.rsplit("/", 1)[-1]), "copy") for u in uris if u not in {x for x, _ in there}]
+    done = spark.createDataFrame(there, "uri string, status string")
+    if not rest:
+        return done
+    return done.unionByName(streams.move(spark, rest, strict=False).select(F.col("source").alias("uri"), F.coalesce(F.concat(F.lit("error: "), "error"), F.lit("copied")).alias("status")))
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
-    """(path, member, content) of the files in tar archives, read where the archives lie."""
-
-    def members(it):
-        import io
-        import tarfile
-
-        import pandas as pd
-
-        for pdf in it:
-            for p, content in zip(pdf["path"], pdf["content"], strict=True):
-                with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-                    rows = [(p, m.name.rsplit("/", 1)[-1], tar.extractfile(m).read()) for m in tar if m.isfile()]
-                yield pd.DataFrame(rows, columns=["path", "member", "content"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "path string, member string, content binary")
+    """(path, member, content) of the files in tar archives; members of plain ones are read by many tasks, packed ones are streamed through by one."""
+    return streams.tar_members(spark.read.format("binaryFile").load(path).select("path"))
 
 
 # ---------------------------------------------------------------- sinks
@@ -165,44 +155,33 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", gzip: bool = False) -> N
 
 
 def write_single_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """One named file (gzipped if the name says so), for tools that want one; the rows go through one task."""
-    spark = df.sparkSession
+    """One named file (gzipped if the name says so), for tools that want one: its parts are written, and packed, by as many tasks as df has
+    partitions, then joined in their order by one that streams their bytes; the file has its name once it is whole."""
+    spark, pack = df.sparkSession, "gzip" if path.endswith(".gz") else "none"
     temp = f"{path}.parts"
-    write_csv(in_order(df).coalesce(1), temp, sep, path.endswith(".gz"))
-    part = next(f for f in list_files(spark, temp) if "/part-" in f)
-    delete(spark, path)
-    fs, p = file_system(spark, part)
-    if not fs.rename(p, file_system(spark, path)[1]):
-        raise OSError(f"cannot rename {part} to {path}")
+    in_order(df).write.mode("overwrite").csv(join_path(temp, "rows"), header=False, sep=sep, compression=pack)
+    plain(df).limit(0).coalesce(1).write.mode("overwrite").csv(join_path(temp, "head"), header=True, sep=sep, compression=pack)
+    parts = [f for k in ("head", "rows") for f in sorted(list_files(spark, join_path(temp, k))) if "/part-" in f]
+    streams.join_files(spark, parts, path)
     delete(spark, temp)
 
 
 def export(spark: SparkSession, source: str, folder: str) -> list[str]:
-    """An output as the user gets it: archives unpacked, gzip taken off, folders and other files copied."""
-    import gzip
-
-    from strandline.operators.combine import untar
-
+    """An output as the user gets it: archives unpacked, gzip taken off, folders and other files copied; executors do it."""
     name = source.rstrip("/").rsplit("/", 1)[-1]
-    if name.endswith((".tgz", ".tar.gz")):
-        return untar(spark, source, folder)
-    target = join_path(folder, name)
-    if name.endswith(".gz"):
-        target = target[:-3]
-        write_bytes(spark, target, gzip.decompress(read_bytes(spark, source)))
-    else:
-        copy_file(spark, source, target)
-    return [target]
+    fs, p = file_system(spark, source)
+    if fs.getFileStatus(p).isDirectory():
+        return upload(spark, source, join_path(folder, name)) and [join_path(folder, name)]
+    how = "untar" if name.endswith((".tgz", ".tar.gz")) else "gunzip" if name.endswith(".gz") else "copy"
+    target = folder if how == "untar" else join_path(folder, name[:-3] if how == "gunzip" else name)
+    return [r.target for r in streams.move(spark, [(source, target, how)]).collect()]  # names
 
 
 def upload(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """Every file below a folder, at the same place below the target."""
+    """Every file below a folder, at the same place below the target, a task a file."""
     base = file_system(spark, folder)[1].toUri().getPath().rstrip("/")
-    made = []
-    for f in list_files(spark, folder):
-        made.append(join_path(target, f.split(base + "/", 1)[1]))
-        copy_file(spark, f, made[-1])
-    return made
+    todo = [(f, join_path(target, f.split(base + "/", 1)[1]), "copy") for f in list_files(spark, folder)]
+    return [r.target for r in streams.move(spark, todo).collect()] if todo else []  # names
 
 
 def manifest(spark: SparkSession, rows: Sequence[tuple[str, str]]) -> DataFrame:
