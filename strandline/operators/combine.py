@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.segments import islands, row_numbers
 from strandline.sources import streams
-from strandline.sources.files import join_path
+from strandline.sources.files import is_folder, join_path, upload
 from strandline.sources.order import POINT, POSITION, behind, numbered, positioned
 
 
@@ -70,8 +70,8 @@ def combine_kind(outfile: str, no_combine: bool, first: str = "") -> str:
 
 
 def never_combined(outfile: str) -> bool:
-    """Pictures, archives and test outputs are collected as files."""
-    return any(x in outfile for x in (".png", "test", ".tgz"))
+    """Pictures, archives, test outputs and fitted models are collected as files."""
+    return any(x in outfile for x in (".png", "test", ".tgz", ".model"))
 
 
 def collect_artifacts(spark, paths: Sequence[str], folder: str, outfile: str) -> list[str]:
@@ -82,6 +82,12 @@ def collect_artifacts(spark, paths: Sequence[str], folder: str, outfile: str) ->
     archives = combine_kind(outfile, True, paths[0]) == "untar"
     stem = lambda p: p.rstrip("/").rsplit("/", 1)[-1].split(".", 1)[0]
     todo = [(p, join_path(folder, f"{k}_{stem(p)}"), "untar") if archives else (p, join_path(folder, f"{k}_{outfile}"), "copy") for k, p in enumerate(paths, 1)]
+    if whole := [x for x in todo if is_folder(spark, x[0])]:
+        for source, to, _ in whole:
+            upload(spark, source, to)
+        files = [x for x in todo if x not in whole]
+        rest = [r.target for r in streams.move(spark, files).collect()] if files else []  # names
+        return sorted([x[1] for x in whole] + rest)
     target = {t: i for i, (_, t, _) in enumerate(todo)}
     rows = [r.target for r in streams.move(spark, todo).collect()]  # names
     return sorted(rows, key=lambda t: (target.get(t, target.get(t.rsplit("/", 1)[0], 0)), t))

@@ -7,6 +7,7 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from strandline.functions.shared import shared_dir
 from strandline.operators.combine import collect_artifacts, combine_file_groups, combine_kind, combine_points, combine_selections, gather, never_combined, split_numbers, union_by_name, union_in_order
+from strandline.operators.model import all_at_once
 from strandline.plans.fingerprint import fingerprint
 from strandline.plans.graph import Node, PlanError, Process, Registry
 from strandline.plans.loaders import Context
@@ -168,7 +170,8 @@ class Engine:
         ends = {c.fingerprint for c in root.children} if root.kind == "job" else {root.fingerprint}
         # an external method reads its further inputs where they lie
         ends |= {c.fingerprint for n in root.walk() if self._external(n) for c in n.children[1:]}
-        for n in root.walk():
+        order, ready = list(root.walk()), {}
+        for n in order:
             if n.kind == "job" or n.fingerprint not in need:
                 continue
             if self._kept(n):
@@ -179,7 +182,15 @@ class Engine:
                 lazy[n.fingerprint] = self._remake(n, lazy, run)
                 run.made.append(n.fingerprint)
                 continue
-            df = self._build(n, [lazy[c.fingerprint] for c in n.children])
+            df = ready.pop(n.fingerprint, None)
+            if df is None and self._makes_files(n):
+                # files are made at once; those of other points of a scan on the same inputs are made together with these
+                alike = [m for m in order if m.fingerprint in need and self._makes_files(m) and m.name == n.name and m.children == n.children and not self._kept(m)]
+                inputs = [lazy[c.fingerprint] for c in n.children]
+                ready |= dict(zip([m.fingerprint for m in alike], all_at_once([partial(self._build, m, inputs) for m in alike]), strict=True))
+                df = ready.pop(n.fingerprint)
+            if df is None:
+                df = self._build(n, [lazy[c.fingerprint] for c in n.children])
             # cheap chains stay one Spark plan; tables are written where they end, fan out or wait for someone
             lazy[n.fingerprint] = self.store.put(n, df, self._state(n)) if n.fingerprint in ends or used.get(n.fingerprint, 0) > 1 or self._is_review(n) or never_combined(n.outfile) else df
             run.made.append(n.fingerprint)
@@ -258,6 +269,9 @@ class Engine:
                 raise PlanError(f"{n.name} works by part, but its rows do not say of which")
         return self.store.put_parts(n, df, made, now, self._state(n))
 
+    def _makes_files(self, n: Node) -> bool:
+        return n.kind == "process" and never_combined(n.outfile) and not self._is_review(n)
+
     def _is_review(self, n: Node) -> bool:
         return n.kind == "process" and self.registry.get(n.name).review
 

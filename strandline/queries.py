@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from strandline.functions import scalars
 from strandline.functions.shared import shared_dir
 from strandline.operators import combine, detect, segments
+from strandline.operators.model import apply_process, train_process
 from strandline.plans.engine import Engine, ancestors, descendants
 from strandline.plans.graph import Compiler, Registry, Scope, process_node, scan_points
 from strandline.plans.methods import run_lines
 from strandline.plans.params import at_index, bind
-from strandline.sources.files import copy_file, delete, join_path, list_files, read_csv, read_file_group, read_file_groups, read_selections, write_csv
+from strandline.sources.files import copy_file, delete, join_path, list_files, read_csv, read_file_group, read_file_groups, read_selections, write_csv, write_single_csv
 from strandline.sources.order import PART
+from strandline.sources.streams import read_gzip_csv
 from strandline.streaming.islands import current_islands, island_stream
 
 TOLERANCE_US = 180_000_000
@@ -360,13 +362,41 @@ def cutoff_scan_at_once(spark, sf_dir):
     return engine.result(node)
 
 
+def forest_as_a_node(spark, sf_dir):
+    """A forest fitted by one node and applied by another, twice: the second run reuses the model."""
+    e = table(spark, sf_dir, "events").select("event_id", (F.col("value") >= 50).cast("double").alias("high"), (F.col("event_type") == "click").cast("double").alias("click"))
+    registry = Registry()
+    registry.process("Load")(lambda inputs, params: e)
+    registry.process("Label", "OneUpstream", ("GetLoad",))(lambda inputs, params: inputs[0].withColumn("label", F.when(F.col("high") > 0, "TP").otherwise("FP")))
+    registry.process("Train", "OneUpstream", ("GetLabel",), outfile="forest.model")(train_process(["high", "click"], "event_id"))
+    registry.process("Apply", "TwoUpstream_noCon", ("GetLoad", "GetTrain"))(apply_process)
+    train = {"pipe": "OneUpstream", "OneUpstream": {"process": "Train", "GetLabel": {"pipe": "OneUpstream", "OneUpstream": {"process": "Label", "GetLoad": {"process": "Load"}}}}}
+    tree = {"Train": {"parameters": {"ntree": "5", "mtry": "all", "balance_tpfp": "n"}}}
+    node = Compiler(registry).compile({"pipe": "TwoUpstream_noCon", "TwoUpstream_noCon": {"process": "Apply", "GetLoad": {"process": "Load"}, "GetTrain": train}}, Scope(tree))
+    engine = Engine(spark, registry, f"{shared_dir(spark)}/model-{uuid.uuid4().hex}")
+    engine.run(node)
+    engine.store.drop([node.fingerprint])
+    again = engine.run(node)
+    model = next(n.fingerprint for n in node.walk() if n.name == "Train")
+    return engine.result(node).select("event_id", (F.col("prob") >= 0.5).alias("found"), F.lit(model in again.reused).alias("model_reused"))
+
+
+def gzip_file_by_many(spark, sf_dir):
+    """Events in one named gzipped file, whose members are written, found, inflated and parsed by several tasks each."""
+    path = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}.csv.gz"
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    write_single_csv(events.repartition(8, "event_id"), path)
+    return read_gzip_csv(spark, [path], "event_id long, event_type string, value double", share=1 << 14)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, segment_islands_one_chain, islands_of_arriving_files, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
         param_scan_product, param_scan_zip_sorted, branch_dedupe, scatter_gather, elapsed_dhms, scalar_functions, lineage_descendants, lineage_ancestors, apply_cutoff,
         assign_labels_iou, assign_labels_with_truth, merge_features_labels, perf_eval, perf_curve, split_for_evaluation, reduce_by_field, reduce_by_field_union,
-        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order, changed_part_remade, cutoff_scan_at_once,
+        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order, changed_part_remade, cutoff_scan_at_once, forest_as_a_node,
+        gzip_file_by_many,
     )
 }
 
@@ -466,5 +496,7 @@ SELECT event_id, event_type, 1 + coalesce(sum(CASE WHEN joined THEN 0 ELSE 1 END
     "cutoff_scan_at_once": f"""WITH {_SCORED}, c AS (SELECT printf('%.3f', k / 1000) AS cutoff FROM range(1000) t(k)),
 sums AS (SELECT cutoff, count(*) FILTER (WHERE prob >= cutoff::DOUBLE AND toxic = 1) AS tp, count(*) FILTER (WHERE prob >= cutoff::DOUBLE AND toxic = 0) AS fp, count(*) FILTER (WHERE NOT prob >= cutoff::DOUBLE AND toxic = 1) AS fn FROM scored, c GROUP BY cutoff)
 SELECT cutoff, tp, fp, fn, {_RATES} FROM sums""",
+    "forest_as_a_node": "SELECT event_id, value >= 50 AS found, true AS model_reused FROM events",
+    "gzip_file_by_many": "SELECT event_id, event_type, value FROM events",
     "split_runs": "SELECT o_custkey, count(*) AS n, max(o_totalprice) AS most FROM orders GROUP BY o_custkey",
 }

@@ -31,6 +31,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     fs, p = file_system(spark, path)
     return fs.getFileStatus(p).getLen()
@@ -169,8 +174,7 @@ def write_single_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 def export(spark: SparkSession, source: str, folder: str) -> list[str]:
     """An output as the user gets it: archives unpacked, gzip taken off, folders and other files copied; executors do it."""
     name = source.rstrip("/").rsplit("/", 1)[-1]
-    fs, p = file_system(spark, source)
-    if fs.getFileStatus(p).isDirectory():
+    if is_folder(spark, source):
         return upload(spark, source, join_path(folder, name)) and [join_path(folder, name)]
     how = "untar" if name.endswith((".tgz", ".tar.gz")) else "gunzip" if name.endswith(".gz") else "copy"
     target = folder if how == "untar" else join_path(folder, name[:-3] if how == "gunzip" else name)
