@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, U64, run_starts, slices, spans_hash, words
+from strandline.llm.common import LOWER, U64, distinct_spans, run_starts, slices, spans_hash, words
 
 #: Bound of what is learned from: labelled rows that are fitted.
 FIT_ROWS = 8000
@@ -60,14 +60,29 @@ def lower(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Tokens:
-    """The words of a slice: spans of lower-case text, plain ones in place and decoded ones as strings."""
+    """The words of a slice: spans of lower-case text, those with one reading and those with several, and runs of single letters."""
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
-    noisy: list[tuple[int, str]] = field(default_factory=list)  # (row, observed); the letters of a run are parted by blanks
-    noisy_start: list[int] = field(default_factory=list)
+    odd_start: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    odd_end: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    odd_row: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    runs: list[tuple[int, str]] = field(default_factory=list)  # (row, letters parted by blanks)
+    runs_start: list[int] = field(default_factory=list)
+
+    @property
+    def noisy(self) -> list[tuple[int, str]]:
+        """(row, observed) of everything with several readings."""
+        return self.runs + [(int(r), self.spelled(a, b)) for a, b, r in zip(self.odd_start, self.odd_end, self.odd_row, strict=True)]
+
+    @property
+    def noisy_start(self) -> list[int]:
+        return self.runs_start + self.odd_start.tolist()
+
+    def spelled(self, a: int, b: int) -> str:
+        return self.data[a:b].tobytes().decode("utf-8", "replace")
 
 
 def tokens(data: np.ndarray, offs: np.ndarray) -> Tokens:
@@ -120,13 +135,11 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> Tokens:
         single[a : a + k] = False
         start[a] = -1 - start[a]  # the run stands here; its other words go
         start[a + 1 : a + k] = np.iinfo(np.int64).min
-        out.noisy.append((int(row[a]), " ".join(data[end[a : a + k] - 1].tobytes().decode("latin-1"))))
-        out.noisy_start.append(int(end[a]) - 1)
-    plain = (start >= 0) & ~noisy
-    for i in np.flatnonzero((start >= 0) & noisy).tolist():
-        out.noisy.append((int(row[i]), data[start[i] : end[i]].tobytes().decode("utf-8", "replace")))
-        out.noisy_start.append(int(start[i]))
+        out.runs.append((int(row[a]), " ".join(data[end[a : a + k] - 1].tobytes().decode("latin-1"))))
+        out.runs_start.append(int(end[a]) - 1)
+    plain, odd = (start >= 0) & ~noisy, (start >= 0) & noisy
     out.start, out.end, out.row = start[plain], end[plain], row[plain]
+    out.odd_start, out.odd_end, out.odd_row = start[odd], end[odd], row[odd]
     return out
 
 
@@ -251,14 +264,20 @@ def features(data: np.ndarray, offs: np.ndarray, lm: CharModel) -> Iterator[tupl
     if len(t.start):
         for which, h in _hashes(t.data, t.start, t.end):
             yield t.row[which], h
-    if t.noisy:
-        found = [(r, w.encode()) for r, x in t.noisy for w in lm.decode(x).split(" ") if w]
-        if found:
-            rows = np.array([r for r, _ in found])
-            lens = np.array([len(w) for _, w in found])
-            end = np.cumsum(lens)
-            for which, h in _hashes(np.frombuffer(b"".join(w for _, w in found), np.uint8), end - lens, end):
-                yield rows[which], h
+    # each different word is read once: (its number, its row) of every place, then the restored words of each number
+    one, of = distinct_spans(t.data, t.odd_start, t.odd_end)
+    seen = [t.spelled(a, b) for a, b in zip(t.odd_start[one].tolist(), t.odd_end[one].tolist(), strict=True)] + [x for _, x in t.runs]
+    number = np.concatenate([of, len(one) + np.arange(len(t.runs))]).astype(np.int64)
+    row = np.concatenate([t.odd_row, np.array([r for r, _ in t.runs], np.int64)])
+    found = [(k, w.encode()) for k, x in enumerate(seen) for w in lm.decode(x).split(" ") if w]
+    if found:
+        mine = np.array([k for k, _ in found])
+        lens = np.array([len(w) for _, w in found])
+        end = np.cumsum(lens)
+        for which, h in _hashes(np.frombuffer(b"".join(w for _, w in found), np.uint8), end - lens, end):
+            first = np.searchsorted(mine[which], np.arange(len(seen) + 1))
+            n = np.diff(first)[number]
+            yield np.repeat(row, n), h[np.repeat(first[number], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)]
 
 
 def _distinct(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -367,7 +386,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modul
                 per = np.split(k, np.searchsorted(r, np.arange(1, b - a)))
                 yield pa.RecordBatch.from_arrays([pa.array(y[a:b]), pa.array([x.astype(np.int32).tobytes() for x in per], pa.binary()), pa.array(_vocabulary(first, data, offs, y[a:b]), pa.list_(pa.string()))], names=["y", "on", "vocab"])
 
-    rows = sample.mapInArrow(hits, "y int, on binary, vocab array<string>").collect()  # at most fit_rows rows
+    # at most fit_rows rows, in an order of their own, so that sums and with them weights agree to the bit between runs
+    rows = sorted(sample.mapInArrow(hits, "y int, on binary, vocab array<string>").collect(), key=lambda r: (r.y, bytes(r.on)))
     sample.unpersist()
     ys = np.array([r.y for r in rows], dtype=float)
     on = [np.frombuffer(r.on, np.int32) for r in rows]

@@ -88,3 +88,31 @@ def test_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     m = tx.fit_toxicity(docs, labels)
     assert [r.score for r in tx.score_toxicity(docs, m).collect()] == [0.5]
+
+
+def test_score_against_a_plain_loop(spark, model):
+    """The query's score of whole texts, word by word: restored words and their beginnings, each once, times their weights."""
+    docs = table(spark, SF, "documents").where("doc_id % 9 = 0").select("doc_id", "text").collect()
+    texts = {r.doc_id: r.text or "" for r in docs} | {-1: "you 1d10t, s-c-u-m i d i o t l0ser l0ser!!", -2: "ALL the aaa bbb a.b.c $$$ 2024 x y z"}
+    got = {r.doc_id: r.score for r in tx.score_toxicity(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()}
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+
+    def hashed(word):
+        raw = np.frombuffer(word, np.uint8)
+        yield int(tx.spans_hash(raw, np.array([0]), np.array([len(raw)]))[0])
+        for k in tx.PREFIXES:
+            if len(raw) > k:
+                yield int(tx.spans_hash(raw, np.array([0]), np.array([k]))[0] ^ np.uint64(k))
+
+    seen = 0
+    for i, text in texts.items():
+        on = {h for w in model.lm.restore(text).split(" ") if w for h in hashed(w.encode()) if h in weight}
+        seen += bool(on)
+        z = sum(weight[h] for h in on) + model.bias
+        assert abs(got[i] - 1 / (1 + np.exp(-np.clip(z, -40, 40)))) < 1e-9
+    assert seen > 5
+
+
+def test_fits_agree_to_the_bit(spark, model):
+    again = tx.fit_toxicity(table(spark, SF, "documents").repartition(3), table(spark, SF, "labels"))
+    assert (again.hashes == model.hashes).all() and (again.weights == model.weights).all() and again.bias == model.bias
