@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,9 +30,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._strandline_path = path  # type: ignore[attr-defined]
+    for held in getattr(_scratch, "stack", []):
+        held.append(out)
     return out
 
 
+_scratch = threading.local()
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """What this thread writes with written() inside is deleted at the end, for a caller whose results do not read it any more."""
+    _scratch.stack = [*getattr(_scratch, "stack", []), []]
+    try:
+        yield
+    finally:
+        *_scratch.stack, mine = _scratch.stack
+        for df in mine:
+            discard(df)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what written() wrote for df, once nothing reads it any more."""
     path = getattr(df, "_strandline_path", None)

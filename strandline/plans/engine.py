@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -14,15 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strandline.functions.shared import shared_dir
+from strandline.functions.shared import scratch, shared_dir
 from strandline.operators.combine import collect_artifacts, combine_file_groups, combine_kind, combine_points, combine_selections, gather, never_combined, split_numbers, union_by_name, union_in_order
 from strandline.operators.model import all_at_once
+from strandline.operators.review import merge_edits
 from strandline.plans.fingerprint import fingerprint
 from strandline.plans.graph import Node, PlanError, Process, Registry
 from strandline.plans.loaders import Context
 from strandline.plans.methods import command, run_lines
 from strandline.plans.params import Bound, dump
-from strandline.sources.files import delete, exists, export, file_states, join_path, read_bytes, upload, write_bytes, write_csv
+from strandline.sources.files import create_if_absent, delete, exists, export, file_states, folder_states, join_path, read_bytes, rename, upload, write_bytes, write_csv
 from strandline.sources.order import PART, POINT, POSITION, from_files, in_order, plain
 
 
@@ -35,8 +37,9 @@ class Store:
     A table counts as made once its manifest stands; that is written last, so half-made tables are never read.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, patience: float = 60.0) -> None:
+        """patience: seconds to wait for another driver that is about to publish."""
+        self.spark, self.root, self.patience = spark, root, patience
 
     def folder(self, fp: str) -> str:
         return join_path(self.root, "cache", fp)
@@ -52,12 +55,51 @@ class Store:
         path = join_path(self.folder(node.fingerprint), f"data-{uuid.uuid4().hex[:8]}")
         df.write.parquet(path)
         out = from_files(self.spark.read.schema(df.schema).parquet(path), row_index=True)
-        entry = {"fingerprint": node.fingerprint, "op": node.name, "children": [c.fingerprint for c in node.children], "path": path, "rows": out.count(), "state": state}
-        self._seal(entry)
-        return out
+        self._seal({"fingerprint": node.fingerprint, "op": node.name, "children": [c.fingerprint for c in node.children], "path": path, "rows": out.count(), "state": state})
+        return self.get(node.fingerprint)
 
     def _seal(self, entry: dict[str, Any]) -> None:
-        write_bytes(self.spark, join_path(self.folder(entry["fingerprint"]), "manifest.json"), json.dumps(entry).encode())
+        """Publishes what was made.  Of several drivers that make the same at once one publishes; the others drop theirs and take that."""
+        folder = self.folder(entry["fingerprint"])
+        place, claim, own = (join_path(folder, x) for x in ("manifest.json", "claim", f"manifest-{uuid.uuid4().hex}"))
+        write_bytes(self.spark, own, json.dumps(entry).encode())
+        waited = 0.0
+        while not create_if_absent(self.spark, claim):
+            time.sleep(0.1)
+            waited += 0.1
+            if waited > self.patience:  # whoever held it is gone
+                delete(self.spark, claim)
+        try:
+            there = self.entry(entry["fingerprint"])
+            if there is not None and there.get("state") == entry["state"] and there.get("parts") is None and entry.get("parts") is None:
+                delete(self.spark, own)
+                delete(self.spark, entry["path"])
+            else:
+                rename(self.spark, own, place)
+        finally:
+            delete(self.spark, claim)
+
+    def sweep(self, roots: Iterable[Node], grace_s: float = 3600.0) -> list[str]:
+        """Deletes what none of the plans `roots` can use: tables of other fingerprints, and data that no manifest names (of runs that failed).  Folders
+        changed less than grace_s ago stay, as a run may be at work in them.  The paths that went."""
+        keep = {n.fingerprint for r in roots for n in r.walk()}
+        now, gone = time.time() * 1000, []
+        for fp, changed in folder_states(self.spark, join_path(self.root, "cache")):
+            entry = self.entry(fp)
+            if fp not in keep:
+                old = max([changed, *[t for _, t in folder_states(self.spark, self.folder(fp))]])
+                if now - old >= grace_s * 1000:
+                    gone.append(self.folder(fp))
+                continue
+            named = [entry["path"], *[x["path"] for x in (entry.get("parts") or {}).values()]] if entry else []
+            for name, t in folder_states(self.spark, self.folder(fp)):
+                path = join_path(self.folder(fp), name)
+                used = any(x and (x == path or x.startswith(path + "/")) for x in named) or name.startswith("files-")
+                if not used and now - t >= grace_s * 1000:
+                    gone.append(path)
+        for path in gone:
+            delete(self.spark, path)
+        return gone
 
     def put_parts(self, node: Node, df: DataFrame | None, made: Mapping[str, str], parts: Mapping[str, str], state: str) -> DataFrame:
         """Replaces the parts `made` (name: identity) by the rows of df, which order.PART tells apart, and keeps the others that `parts` still
@@ -97,6 +139,9 @@ class PendingReview:
     fingerprint: str
     path: str
     replacement: str
+    #: Where rows stand that were edited before and are now proposed otherwise, if there are any.
+    conflicts: str | None = None
+    slot: str | None = None
 
 
 class ReviewPending(RuntimeError):
@@ -156,6 +201,11 @@ class Engine:
                 self.store.drop({n.fingerprint} | ancestors(n))
 
     def run(self, root: Node, export: bool = False, definition: Mapping[str, Any] | None = None) -> Run:
+        """_run(), after which the operators' intermediate tables are deleted: all that was asked for stands in the store by then."""
+        with scratch():
+            return self._run(root, export, definition)
+
+    def _run(self, root: Node, export: bool, definition: Mapping[str, Any] | None) -> Run:
         """Makes what is missing, inputs first.  export also writes the job's tables and files and a manifest to
         outputs/<job>/<fingerprint>, and from there to the context's upload folder if it has one."""
         self.invalidate(root)
@@ -344,7 +394,7 @@ class Engine:
             raise PlanError(f"{n.name} runs an external method, the engine has no methods_root")
         tables = [self.store.entry(c.fingerprint)["path"] for c in n.children[1:]]
         values = [str(v) for _, v in sorted(n.bound.params.items())]
-        return run_lines(plain(inputs[0]), command(self.methods_root, n.bound, [*tables, *values], self.context.argument_separator), process.lines)
+        return run_lines(plain(inputs[0]), command(self.methods_root, n.bound, [*tables, *values], self.context.argument_separator), process.lines, cpus=int(n.bound.arguments.get("cpu") or 0) or None, limit_s=float(n.bound.arguments.get("time_limit") or 0) or None)
 
     def _review(self, n: Node, inputs: list[DataFrame]) -> DataFrame:
         """The accepted replacement of the input; without one the run stops here with what is to be reviewed."""
@@ -352,12 +402,26 @@ class Engine:
         replacement = join_path(place, "accepted")
         if exists(self.spark, join_path(replacement, "_SUCCESS")):
             return from_files(self.spark.read.parquet(replacement), row_index=True)
-        shown = join_path(place, "proposed")
+        shown, plainly = join_path(place, "proposed"), plain(inputs[0])
         in_order(inputs[0]).write.mode("overwrite").parquet(shown)
-        raise ReviewPending(PendingReview(n.fingerprint, shown, replacement))
-
-    def accept(self, pending: PendingReview, edited: DataFrame) -> None:
-        edited.write.mode("overwrite").parquet(pending.replacement)
+        keys = self.registry.get(n.name).review_key
+        slot = join_path(self.store.root, "review", "slots", fingerprint(n.name, [], n.bound.params, (n.bound.method.id, n.bound.method.version)))
+        if not keys or not exists(self.spark, join_path(slot, "last.json")):
+            raise ReviewPending(PendingReview(n.fingerprint, shown, replacement, None, slot if keys else None))
+        last = json.loads(read_bytes(self.spark, join_path(slot, "last.json")))
+        merged, conflicts = merge_edits(*(self.spark.read.parquet(last[k]) for k in ("proposed", "accepted")), plainly, keys)
+        paths = [join_path(place, x) for x in ("merged", "conflicts")]
+        for df, path in zip((merged, conflicts), paths, strict=True):
+            df.write.mode("overwrite").parquet(path)
+        found = paths[1] if self.spark.read.schema(conflicts.schema).parquet(paths[1]).limit(1).count() else None
+        raise ReviewPending(PendingReview(n.fingerprint, paths[0], replacement, found, slot))
+
+    def accept(self, pending: PendingReview, edited: DataFrame | None = None) -> None:
+        """The reviewed table; without one, what was shown.  It is what edits are carried on from when the input changes."""
+        (self.spark.read.parquet(pending.path) if edited is None else edited).write.mode("overwrite").parquet(pending.replacement)
+        if pending.slot:
+            proposed = join_path(pending.replacement.rsplit("/", 1)[0], "proposed")
+            write_bytes(self.spark, join_path(pending.slot, "last.json"), json.dumps({"proposed": proposed, "accepted": pending.replacement}).encode())
 
     def _export(self, root: Node, run: Run, definition: Mapping[str, Any] | None) -> None:
         folder = join_path(self.store.root, "outputs", root.name, root.fingerprint)

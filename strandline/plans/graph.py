@@ -72,6 +72,8 @@ class Process:
     #: A process that takes all points of a scan at once: fn(inputs, points), with a row a point (order.POINT and its parameters as texts),
     #: returns their rows together, told apart by that column.
     points: bool = False
+    #: The columns that name a row of a reviewed table; with them, edits are carried on when the input changes.
+    review_key: tuple[str, ...] = ()
 
     @property
     def artifact(self) -> bool:

@@ -9,7 +9,8 @@ import threading
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,13 +79,21 @@ def from_line(line: str, sep: str = "\t") -> list[str | None]:
     return [None if x == NULL else re.sub(r"\\(.)", lambda m: plain.get(m[1], m[0]), x) for x in line.split(sep)]
 
 
-def run_lines(df: DataFrame, argv: Sequence[str], schema: str, sep: str = "\t", env: Mapping[str, str] | None = None) -> DataFrame:
+def profile_of(spark: SparkSession, cpus: int | None) -> ResourceProfile | None:
+    """A stage's demand of cores a task; None where there is none or where cores are not dealt out by profile (a local master)."""
+    if not cpus or spark.sparkContext.master.startswith("local"):
+        return None
+    return ResourceProfileBuilder().require(TaskResourceRequests().cpus(cpus)).build
+
+
+def run_lines(df: DataFrame, argv: Sequence[str], schema: str, sep: str = "\t", env: Mapping[str, str] | None = None, cpus: int | None = None, limit_s: float | None = None) -> DataFrame:
     r"""Each partition's rows as separated lines to a program's standard input, its output lines as rows of `schema`.
 
     One program runs per partition that has rows; lines stream through it both ways.  Values are Spark's own texts of
     them; \ before \, n, r, t (and s for another separator) stands for the character, \N alone for a missing value, in both
     directions.  A program that fails, or a line with another number of fields, makes the task fail, with the end of what
-    the program wrote to standard error.
+    the program wrote to standard error.  cpus: cores that a task of this stage has (on a cluster; a local one has its own).  A program that takes
+    more than limit_s seconds is ended and its task fails; Spark starts a failed task, and with it the program, again as often as it is set to.
     """
     if len(sep) != 1 or sep.isalnum() or sep in "\\\n\r":
         raise MethodError("a separator is one character, and no letter, digit, backslash or line end")
@@ -119,6 +128,11 @@ def run_lines(df: DataFrame, argv: Sequence[str], schema: str, sep: str = "\t",
 
             feeder = threading.Thread(target=feed, daemon=True)
             feeder.start()
+            late = threading.Event()
+            clock = threading.Timer(limit_s, lambda: (late.set(), program.kill())) if limit_s else None
+            if clock:
+                clock.daemon = True
+                clock.start()
             try:
                 held: list[str] = []
                 for line in program.stdout:
@@ -131,15 +145,24 @@ def run_lines(df: DataFrame, argv: Sequence[str], schema: str, sep: str = "\t",
                 feeder.join()
                 if trouble:
                     raise trouble[0]
-                if code := program.wait():
+                code = program.wait()
+                if late.is_set():
+                    raise RuntimeError(f"{argv[0]} took more than {limit_s:g} seconds and was ended")
+                if code:
                     said.seek(max(0, said.seek(0, 2) - 500))
                     raise RuntimeError(f"{argv[0]} ended with {code}: {said.read().decode(errors='replace')}")
+            except Exception:
+                if late.is_set():
+                    raise RuntimeError(f"{argv[0]} took more than {limit_s:g} seconds and was ended") from None
+                raise
             finally:
+                if clock:
+                    clock.cancel()
                 if program.poll() is None:
                     program.kill()
                 program.stdout.close()
                 program.wait()
 
     strings = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    out = strings.mapInArrow(run, ", ".join(f"`{f.name}` string" for f in fields))
+    out = strings.mapInArrow(run, ", ".join(f"`{f.name}` string" for f in fields), profile=profile_of(df.sparkSession, cpus))
     return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])

@@ -31,6 +31,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def create_if_absent(spark: SparkSession, path: str) -> bool:
+    """An empty file; False if it is there already.  Of several drivers that ask at once, the file system lets one have it."""
+    fs, p = file_system(spark, path)
+    if fs.getScheme() == "file":  # Hadoop's local file system looks first and creates then
+        return bool(spark._jvm.java.io.File(p.toUri().getPath()).createNewFile())
+    try:
+        fs.create(p, False).close()
+    except Exception as e:  # noqa: BLE001  file systems differ in the kind
+        # it may be gone again by now
+        if "AlreadyExists" in str(e) or fs.exists(p):
+            return False
+        raise
+    return True
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = file_system(spark, source)
+    q = file_system(spark, target)[1]
+    fs.delete(q, False)
+    if not fs.rename(p, q):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def folder_states(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """(name, time of the last change in milliseconds) of the folders in a folder."""
+    fs, p = file_system(spark, folder)
+    return sorted((x.getPath().getName(), x.getModificationTime()) for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
