@@ -158,6 +158,41 @@ def runs_above(df: DataFrame, value: str, threshold: float, order: Sequence[str]
     return marked.where("__on").groupBy(*keys, "run").agg(F.count("*").alias("n"), F.max(value).alias("peak"))
 
 
+def window_scores(samples: DataFrame, length_us: int, step_us: int, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, start_us, n, mean, peak) of the samples (time_us, value) in windows of length_us that begin every step_us from time 0; windows overlap where the step
+    is shorter.  A sample is counted in each window it is in, so none needs what another task has; windows without samples have no row.
+    """
+    if length_us <= 0 or step_us <= 0:
+        raise ValueError("windows and steps have a length")
+    last = F.floor(F.col("time_us") / step_us) * step_us
+    begins = F.filter(F.transform(F.sequence(F.lit(0), F.lit((length_us - 1) // step_us)), lambda k: last - k * step_us), lambda b: b + length_us > F.col("time_us"))
+    rows = samples.where("time_us is not null and value is not null").select(*keys, F.explode(begins).alias("start_us"), "value")
+    return rows.groupBy(*keys, "start_us").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("peak"))
+
+
+def detect_events(scores: DataFrame, length_us: int, step_us: int, low: float, high: float, keys: Sequence[str] = (), score: str = "mean") -> DataFrame:
+    """(keys, event, start_us, end_us, windows, peak): runs of neighbouring windows whose score is at least `low`, of which one reaches `high`.
+
+    scores: see window_scores().  The second threshold decides which runs are events, the first how far they go; event numbers, from 1, count a
+    key's events in time.  A window that has no row ends a run.
+    """
+    if high < low:
+        raise ValueError("the second threshold is not below the first")
+    on = scores.where(F.col(score) >= low).select(*keys, "start_us", F.col(score).alias("__s"))
+    new = lambda before: (before.isNull() | (F.col("start_us") - before > step_us)).cast("long")
+    if keys and light(on, keys):
+        w = Window.partitionBy(*keys).orderBy("start_us")
+        runs = on.withColumn("__new", new(F.lag("start_us").over(w))).withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        held = neighbour(ranged(on, [*keys, "start_us"]), F.col("start_us"), keys, "__last", forward=False)
+        runs = running(held.withColumn("__new", new(F.col("__last"))), F.col("__new"), keys, "__run", inclusive=True)
+    found = runs.groupBy(*keys, "__run").agg(F.min("start_us").alias("start_us"), (F.max("start_us") + length_us).alias("end_us"), F.count("*").alias("windows"), F.max("__s").alias("peak")).where(F.col("peak") >= high)
+    if keys and light(found, keys):
+        return found.select(*keys, F.row_number().over(Window.partitionBy(*keys).orderBy("start_us")).cast("long").alias("event"), "start_us", "end_us", "windows", "peak")
+    numbered = running(ranged(found, [*keys, "start_us"]), F.lit(1).cast("long"), keys, "event", inclusive=True)
+    return numbered.select(*keys, "event", "start_us", "end_us", "windows", "peak")
+
+
 #: Columns of an annotation tool's table and what they hold here; times are seconds from the start of the file.
 ANNOTATION = {"Selection": "det_id", "Begin File": "FileName", "Begin Time (s)": "start_us", "End Time (s)": "end_us", "Label": "label", "Score": "prob"}
 

@@ -227,6 +227,14 @@ def runs_above(spark, sf_dir):
     return detect.runs_above(table(spark, sf_dir, "events"), "value", 50.0, ["ts", "event_id"], ["user_id"])
 
 
+def detector_two_thresholds(spark, sf_dir):
+    """Means over windows of three days that begin every day, of each user: events where they stay above one threshold and reach another."""
+    day = 86_400_000_000
+    samples = table(spark, sf_dir, "events").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"), "value")
+    scores = detect.window_scores(samples, 3 * day, day, ["user_id"]).withColumn("mean", F.round("mean", 6))
+    return detect.detect_events(scores, 3 * day, day, 20.0, 60.0, ["user_id"])
+
+
 def balanced_sample(spark, sf_dir):
     rows = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "TP").otherwise("FP").alias("label"))
     return detect.balanced_sample(rows, 2.0, "doc_id")
@@ -395,7 +403,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         segment_bounds, segment_islands, segment_islands_by_user, segment_islands_capped, segment_islands_one_chain, islands_of_arriving_files, island_rollup, union_renumber, union_schema_drift, filegroup_combine,
         param_scan_product, param_scan_zip_sorted, branch_dedupe, scatter_gather, elapsed_dhms, scalar_functions, lineage_descendants, lineage_ancestors, apply_cutoff,
         assign_labels_iou, assign_labels_with_truth, merge_features_labels, perf_eval, perf_curve, split_for_evaluation, reduce_by_field, reduce_by_field_union,
-        format_truth, selection_fill, runs_above, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order, changed_part_remade, cutoff_scan_at_once, forest_as_a_node,
+        format_truth, selection_fill, runs_above, detector_two_thresholds, balanced_sample, external_method, format_file_groups, annotations_to_detections, annotation_view, detection_features, split_runs, selections_in_file_order, file_groups_in_file_order, changed_part_remade, cutoff_scan_at_once, forest_as_a_node,
         gzip_file_by_many,
     )
 }
@@ -474,6 +482,13 @@ SELECT cutoff, tp, fp, fn, {_RATES} FROM run""",
     "runs_above": """WITH f AS (SELECT *, value >= 50 AS up, lag(value >= 50) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),
 r AS (SELECT *, sum(CASE WHEN up AND NOT coalesce(before, false) THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM f)
 SELECT user_id, run::BIGINT AS run, count(*) AS n, max(value) AS peak FROM r WHERE up GROUP BY user_id, run""",
+    "detector_two_thresholds": """WITH s AS (SELECT user_id, epoch_us(ts) AS t, value FROM events),
+w AS (SELECT user_id, t // 86400000000 * 86400000000 - k * 86400000000 AS b, value FROM s, range(3) r(k)),
+m AS (SELECT user_id, b, round(avg(value), 6) AS mean FROM w GROUP BY user_id, b),
+o AS (SELECT *, CASE WHEN b - lag(b) OVER (PARTITION BY user_id ORDER BY b) = 86400000000 THEN 0 ELSE 1 END AS fresh FROM m WHERE mean >= 20),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY b) AS run FROM o),
+e AS (SELECT user_id, min(b) AS start_us, max(b) + 259200000000 AS end_us, count(*) AS windows, max(mean) AS peak FROM r GROUP BY user_id, run HAVING max(mean) >= 60)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY start_us) AS event, start_us, end_us, windows, peak FROM e""",
     "balanced_sample": """WITH l AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'TP' ELSE 'FP' END AS label FROM labels), f AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS n FROM l)
 SELECT doc_id, label FROM f WHERE label = 'TP' OR n <= 2 * (SELECT count(*) FROM l WHERE label = 'TP')""",
     "external_method": r"""SELECT r_regionkey, r_name, CASE r_regionkey WHEN 0 THEN 'a "q" b' WHEN 1 THEN 'tab' || chr(9) || 'here' WHEN 2 THEN '' WHEN 3 THEN r_name || '\N' || chr(10) || '\' END AS note FROM region""",
