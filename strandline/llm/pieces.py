@@ -5,7 +5,8 @@ each character that is no piece itself.  A segmentation is drawn with probabilit
 product of its arcs' weights: forward sums are filtered left to right, then arcs are drawn right to left with
 numbers hashed from a seed, the row key and the place, so a row's segmentation does not depend on how rows are
 batched.  No piece crosses from a letter to a following blank, so the lattice falls apart into chunks (a run of
-blanks and the word after it); forward sums are taken once for each distinct chunk of a slice.
+blanks and the word after it); forward sums are taken once for each distinct chunk of a slice.  A long chunk, as of a script without
+blanks, falls apart further at the places that no piece crosses: every path goes through them, so the parts are drawn apart.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ BLANK = 0x2581
 #: stands for a literal U+2581 in a text, which no piece may match
 LITERAL = 0x110000
 SLICE = 1 << 21
+#: Characters of a chunk beyond which it is looked for places that no piece crosses; characters that are looked at once.
+LONG = 512
+WINDOW = 1 << 16
 
 _B = 0xD1342543DE82EF95 | 1
 _INV = pow(_B, -1, 1 << 64)
@@ -101,6 +105,17 @@ class Pieces:
 
     # ---------------------------------------------------------------- encoding
 
+    def uncrossed(self, s: np.ndarray) -> np.ndarray:
+        """Places inside a chunk s, a window at a time, that no piece crosses."""
+        out = []
+        for a in range(0, len(s), WINDOW):
+            lo, hi = max(0, a - self.longest), min(len(s), a + WINDOW + self.longest)
+            end, begin, _, _ = self.lattice(s[lo:hi], np.array([0]), np.array([hi - lo]))
+            over = np.bincount(begin + 1, minlength=hi - lo + 2) - np.bincount(end, minlength=hi - lo + 2)
+            free = np.flatnonzero(np.cumsum(over)[: hi - lo] == 0) + lo
+            out.append(free[(free >= max(a, 1)) & (free < a + WINDOW)])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
     def lattice(self, s: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
         """Arcs of chunks s[first : first + length]: (end place, begin place, id or -1, log weight), sorted by end."""
         n = len(s)
@@ -176,16 +191,49 @@ class Pieces:
             return self._encode(data, offs, key, seed)[:2]
         begins = np.flatnonzero((data[1:] == 32) & (data[:-1] != 32)) + 1
         cuts = np.unique(np.append(begins[np.minimum(np.searchsorted(begins, np.arange(limit, len(data), limit)), len(begins) - 1)] if len(begins) else [], [0, len(data)])).astype(np.int64)
+        inner: set[int] = set()  # cuts inside a long chunk
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            at = a + limit
+            while at < b - limit:
+                at = self._inner_cut(data[:b], at)
+                if at < b:
+                    inner.add(at)
+                at += limit
+        cuts = np.unique(np.append(cuts, sorted(inner))).astype(np.int64)
         out, chunks = [], 0
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            ids, _, n = self._encode(data[a:b], np.array([0, b - a]), key, seed, a == 0, chunks)
+            ids, _, n = self._encode(data[a:b], np.array([0, b - a]), key, seed, a == 0, chunks, (a in inner, b in inner))
             out.append(ids)
             chunks += n
         ids = np.concatenate(out)
         return ids, np.array([0, len(ids)])
 
-    def _encode(self, data: np.ndarray, offs: np.ndarray, key: np.ndarray, seed: int, lead: bool = True, before: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
-        """encode(), and how many chunks there are; lead: whether a blank goes before a text, before: chunks that a row had already."""
+    def _inner_cut(self, data: np.ndarray, at: int) -> int:
+        """The first place from `at` on that is inside a chunk longer than LONG and that no piece crosses; the end of data if there is none."""
+        while at < len(data):
+            lo = max(0, at - 4 * (LONG + self.longest))
+            while lo > 0 and data[lo] & 0xC0 == 0x80:
+                lo -= 1
+            hi = min(len(data), at + 4 * WINDOW)
+            while hi < len(data) and data[hi] & 0xC0 == 0x80:
+                hi += 1
+            s, _ = codepoints(data[lo:hi], np.array([0, hi - lo]), False)
+            width = np.where(s < 0x80, 1, np.where(s == BLANK, 1, np.where(s < 0x800, 2, np.where((s >= 0xDC80) & (s <= 0xDCFF), 1, np.where(s < 0x10000, 3, np.where(s == LITERAL, 3, 4))))))
+            byte = lo + np.cumsum(width) - width
+            # so far from blanks that the chunk is long, whichever side is looked at
+            blank = np.flatnonzero(s == BLANK)
+            free = self.uncrossed(s)
+            left = blank[np.searchsorted(blank, free) - 1] if len(blank) else np.full(len(free), -1)
+            left = np.where((len(blank) == 0) | (np.searchsorted(blank, free) == 0), -1 if lo == 0 else -LONG - 1, left)
+            free = free[(byte[free] >= at) & (free - left > LONG)]
+            if len(free):
+                return int(byte[free[0]])
+            at = hi if hi < len(data) else len(data)
+        return len(data)
+
+    def _encode(self, data: np.ndarray, offs: np.ndarray, key: np.ndarray, seed: int, lead: bool = True, before: int = 0, open_: tuple[bool, bool] = (False, False)) -> tuple[np.ndarray, np.ndarray, int]:
+        """encode(), and how many chunks there are; lead: whether a blank goes before a text, before: chunks that a row had already, open_: whether
+        the first and the last chunk are parts of long ones."""
         s, at = codepoints(data, offs, lead)
         n_rows = len(offs) - 1
         if not len(s):
@@ -197,6 +245,12 @@ class Pieces:
         begins[at[:-1][np.diff(at) > 0]] = True
         first = np.flatnonzero(begins)
         length = np.diff(np.append(first, len(s)))
+        long = length > LONG
+        long[:1] |= open_[0]
+        long[-1:] |= open_[1]
+        if long.any():
+            first = np.unique(np.concatenate([first, *[f + self.uncrossed(s[f : f + n]) for f, n in zip(first[long].tolist(), length[long].tolist(), strict=True)]]))
+            length = np.diff(np.append(first, len(s)))
         # distinct chunks
         p = np.zeros(len(s) + 1, dtype=U64)
         np.cumsum(mix(s.astype(U64)) * _powers(len(s), _B), out=p[1:])

@@ -88,3 +88,43 @@ def test_long_rows_in_pieces():
     assert v.decode(whole) == text.encode()
     solid = np.frombuffer(b"x" * 500, np.uint8)
     assert v.decode(v.encode(solid, np.array([0, 500]), key, limit=90)[0]) == b"x" * 500
+
+
+def _blank_free(seed, n):
+    rng = np.random.default_rng(seed)
+    return "".join(rng.choice(list("日本語中文的是在thequickAB+/09aeé"), n))
+
+
+def test_parts_of_a_long_chunk_have_the_probabilities_of_the_whole():
+    v = pc.Pieces()
+    s, _ = pc.codepoints(np.frombuffer(_blank_free(1, 900).encode(), np.uint8), np.array([0, len(_blank_free(1, 900).encode())]))
+    whole = v.lattice(s, np.array([0]), np.array([len(s)]))
+    head, cum, _ = v.forward(np.array([0]), np.array([len(s)]), whole[0], whole[1], whole[3])
+    at = np.append(0, v.uncrossed(s))
+    assert len(at) > 100
+    parts = v.lattice(s, at, np.diff(np.append(at, len(s))))
+    head2, cum2, _ = v.forward(at, np.diff(np.append(at, len(s))), parts[0], parts[1], parts[3])
+    # the same arcs, and at each place the same shares of them
+    assert all((a == b).all() for a, b in zip(whole[:3], parts[:3], strict=True)) and np.allclose(cum, cum2)
+
+
+def test_a_long_text_without_blanks_by_pieces(monkeypatch):
+    v = pc.Pieces()
+    for seed, text in enumerate((_blank_free(2, 9000), _blank_free(3, 3000) + " word " + _blank_free(4, 5000), "a b c " * 50 + _blank_free(5, 4000), "x" * 3000)):
+        data = np.frombuffer(text.encode(), np.uint8)
+        want, _ = v.encode(data, np.array([0, len(data)]), np.array([seed]), limit=1 << 30)
+        monkeypatch.setattr(pc, "WINDOW", 100 + 150 * seed)
+        for limit in (1500, 4000):
+            got, _ = v.encode(data, np.array([0, len(data)]), np.array([seed]), limit=limit)
+            assert v.decode(got) == text.encode() and (got == want).all(), (seed, limit)
+
+
+def test_ten_megabytes_without_blanks():
+    import time
+
+    v = pc.Pieces()
+    for alphabet, size in (("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 2_000_000), ("的是在日本語中文字漢検索画面水曜", 700_000)):
+        data = np.frombuffer("".join(np.random.default_rng(1).choice(list(alphabet), size)).encode(), np.uint8)
+        began = time.process_time()
+        ids, _ = v.encode(data, np.array([0, len(data)]), np.array([1]))
+        assert v.decode(ids) == data.tobytes() and time.process_time() - began < 40
