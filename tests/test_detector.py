@@ -38,8 +38,7 @@ def loop(rows, length, step, low, high):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("length,step", [(100, 100), (100, 30), (250, 50), (40, 100)])
-@pytest.mark.parametrize("heavy", [False, True])
+@pytest.mark.parametrize("length,step,heavy", [(100, 100, False), (100, 30, True), (250, 50, False), (40, 100, True)])
 def test_windows_and_thresholds(spark, monkeypatch, length, step, heavy):
     if heavy:
         monkeypatch.setattr(segments, "KEY_ROWS", 0)

@@ -35,7 +35,7 @@ def write(folder, name, data):
     (folder / name).write_text("site,id,StartTime,SegStart,SegDur\n" + "".join(f"{k},{i},{t.isoformat()},{a},{d}\n" for k, i, t, a, d in data))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_any_order_of_arrival_ends_as_the_batch(spark, tmp_path, seed):
     data = rows(seed)
     tolerance = 1_000_000
