@@ -84,6 +84,8 @@ class ProjectedTree:
         self.units = unit(vectors)
         self.plane = plane(vectors.shape[1], low.shape[1])
         self.points = self.units @ self.plane
+        #: Rows of the leaves that searches have opened so far, whose projected distances were computed.
+        self.opened = 0
 
     @staticmethod
     def build(vectors: np.ndarray, m: int = PROJECTED, leaf: int = LEAF) -> tuple[np.ndarray, ...]:
@@ -130,6 +132,7 @@ class ProjectedTree:
                     heapq.heappush(heap, (d, j))
                 continue
             a, b = self.span[i]
+            self.opened += int(b - a)
             gap = self.points[a:b] - q
             mine = a + np.flatnonzero((gap * gap).sum(axis=1) < stop * max(0.0, 2 - 2 * best[0]))
             if not len(mine):
