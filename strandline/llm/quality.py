@@ -21,8 +21,8 @@ from strandline.llm.toxicity import held_out, labelled_sample
 
 #: At most this many labelled rows are fitted, on all their passages.
 FIT_ROWS = 6000
-#: Parts that the fitted bags are dealt to; each gives one sum of gradients a round.
-FIT_PARTS = 12
+#: Labelled rows a part of the fitted bags; each part gives one sum of gradients a round.
+FIT_PART = 512
 #: Bytes of a text, and passages, that are worked on at once.
 PIECE = 1 << 20
 SOME = 2048
@@ -277,7 +277,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modu
                 yield pa.RecordBatch.from_arrays([rb.column("doc_id").slice(a, b - a), pa.array(y[a:b]), pa.array(held, pa.large_binary()).cast(pa.binary())], names=["doc_id", "y", "bag"])
 
     made = sample.mapInArrow(bags, "doc_id long, y int, bag binary")
-    table = materialize(made.repartition(FIT_PARTS, F.xxhash64("doc_id")).sortWithinPartitions("doc_id", "y"), "quality-bags")
+    parts = max(1, -(-min(fit_rows, labels.where(F.col(label).isin(0, 1)).count()) // FIT_PART))
+    table = materialize(made.repartition(parts, F.xxhash64("doc_id")).sortWithinPartitions("doc_id", "y"), "quality-bags")
 
     def sizes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, docs_, ones, s, q = 0, 0, 0, np.zeros(WIDTH), np.zeros(WIDTH)
