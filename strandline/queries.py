@@ -63,13 +63,15 @@ def segment_islands_one_chain(spark, sf_dir):
 
 def islands_of_arriving_files(spark, sf_dir):
     """Segments arrive in files that hold them in no order, two files a batch; the islands of each user as they stand in the end."""
-    from strandline.streaming.islands import current_islands, island_stream
+    from strandline.streaming.islands import current_islands, groups_for, island_stream
 
     place = f"{shared_dir(spark)}/arriving-{uuid.uuid4().hex}"
     view = segment_view(spark, sf_dir).select("user_id", "event_id", "StartTime", "SegStart", "SegDur")
     view.repartition(6, F.xxhash64("event_id")).write.parquet(f"{place}/in")
     stream = spark.readStream.schema(view.schema).option("maxFilesPerTrigger", 2).parquet(f"{place}/in")
-    island_stream(stream, ["user_id"], "event_id", f"{place}/runs", f"{place}/state", TOLERANCE_US).awaitTermination()
+    size = spark.read.parquet(f"{place}/in").agg(F.count("*").alias("n"), (F.unix_micros(F.max("StartTime").cast("timestamp")) - F.unix_micros(F.min("StartTime").cast("timestamp"))).alias("span")).first()
+    groups = groups_for(size.n, size.span or 0)
+    island_stream(stream, ["user_id"], "event_id", f"{place}/runs", f"{place}/state", TOLERANCE_US, groups=groups).awaitTermination()
     return current_islands(spark.read.parquet(f"{place}/runs"), ["user_id"], TOLERANCE_US).select("user_id", "DiffTime", "segments", "start_us", "end_us")
 
 

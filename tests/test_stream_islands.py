@@ -72,3 +72,33 @@ def test_a_late_segment_joins_two_islands_and_another_breaks_one(spark, tmp_path
     assert after("c.csv", [("x", 4, at(15), 0.0, 1.0)]) == [(1, 2), (2, 1), (3, 1)]
     # over the border of a bucket
     assert after("d.csv", [("x", 5, at(30), 0.0, 970.0), ("x", 6, at(1000), 0.0, 5.0)]) == [(1, 2), (2, 1), (3, 3)]
+
+
+def test_many_keys_share_few_states(spark, tmp_path):
+    """States are groups of a bucket, not its keys; keys of any type come back, and only those that a batch changed."""
+    data = [(f"s{i % 200}", i, T0 + dt.timedelta(seconds=(i * 7919) % 1000 * 10), 0.0, 10.0) for i in range(600)]
+    place = lambda x: f"file://{tmp_path}/{x}"
+
+    def run():
+        stream = incoming(spark, place("in"), SCHEMA).withColumn("part", (F.col("id") % 3).cast("decimal(5,1)"))
+        q = islands.island_stream(stream, ["site", "part"], "id", place("runs"), place("state"), bucket_us=2_000_000_000, groups=3)
+        q.awaitTermination()
+        return q.recentProgress[-1].stateOperators[0].numRowsTotal
+
+    write(tmp_path / "in", "a.csv", data[:500])
+    assert run() <= 18  # six buckets
+    write(tmp_path / "in", "b.csv", [*data[500:], ("late", 600, T0, 0.0, 10.0)])
+    assert run() <= 18  # six buckets
+    runs = spark.read.parquet(place("runs"))
+    assert runs.where("site = 'late'").count() == 1
+    df = spark.createDataFrame([*data, ("late", 600, T0, 0.0, 10.0)], SCHEMA).withColumn("part", (F.col("id") % 3).cast("decimal(5,1)"))
+    want = segments.islands(df, ["StartTime", "id"], 1_000_000, ["site", "part"]).groupBy("site", "part", "DiffTime").agg(F.count("*"), F.min("true_start_us"), F.max("true_end_us"))
+    got = islands.current_islands(runs, ["site", "part"]).select("site", "part", "DiffTime", "segments", "start_us", "end_us")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_states_do_not_grow_with_the_table():
+    day = islands.BUCKET_US
+    assert islands.groups_for(0, 0) == islands.groups_for(islands.HELD, 30 * day) == 1
+    assert islands.groups_for(6_000_000, 29 * day) == 24
+    assert islands.groups_for(36_000_000, 29 * day) == 146
