@@ -70,8 +70,10 @@ def assign_labels(detections: DataFrame, truth: DataFrame, iou_thresh: float = 0
     The best overlap is the largest iou, of equal ones the smallest gt_id.  write_gt appends the ground-truth
     intervals that no TP has for its best, as FN with det_id null.
     """
-    pairs = overlaps(detections, truth, keys)
-    best = pairs.groupBy("det_id").agg(F.max(F.struct("iou", (-F.col("gt_id")).alias("__neg"))).alias("__b"))
+    d, g = detections.where("end_us > start_us"), truth.where("end_us > start_us")
+    # of each range of time the best only: pairs grow with the square of how dense the intervals are
+    near = sweep.closest(d.select("det_id", *keys, "start_us", "end_us"), g.select("gt_id", *keys, "start_us", "end_us"), "gt_id", keys)
+    best = near.select("a.det_id", "b.gt_id", "iou").groupBy("det_id").agg(F.max(F.struct("iou", (-F.col("gt_id")).alias("__neg"))).alias("__b"))
     best = best.select("det_id", F.col("__b.iou").alias("iou"), (-F.col("__b.__neg")).alias("gt_id"))
     hit = F.col("iou") >= iou_thresh
     out = detections.join(best, "det_id", "left").withColumn("gt_id", F.when(hit, F.col("gt_id"))).withColumn("label", F.when(hit, "TP").otherwise("FP")).withColumn("iou", F.coalesce("iou", F.lit(0.0)))

@@ -22,6 +22,8 @@ from strandline.operators.segments import ranged
 
 #: Pairs that a task gives out at once.
 PAIRS = 1 << 18
+#: nearest(): rows at once, neighbours looked at first on either side, rows of a box, boxes of a box, starts that are ordered by their ends.
+ROWS, NEAR, LEAF, FAN, BLOCK = 1 << 11, 16, 16, 8, 256
 
 
 def found(start: np.ndarray, end: np.ndarray, run: np.ndarray, side: np.ndarray, own: np.ndarray, both: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -105,21 +107,103 @@ def pairs(a: DataFrame, b: DataFrame, keys: Sequence[str] = (), both: bool = Tru
     rows, places, kinds = dealt(a, b, keys, both, start, end)
 
     def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [rb for rb in it if rb.num_rows]
-        if not held:
+        t, own, run = _range(it, keys)
+        if t is None:
             return
-        t = pa.Table.from_batches(held).combine_chunks()
-        t = t.take(pa.array(np.argsort(np.asarray(t.column("__row")), kind="stable")))
-        own = np.asarray(t.column("__row")) >= 0
-        new = np.zeros(len(t), bool)
-        base = int((~own).sum())
-        for k in keys:
-            col = t.column(k).combine_chunks()
-            change = np.asarray(pc.not_equal(col[base + 1 :], col[base:-1]))
-            new[base + 1 :] |= change
         start, end, side = (np.asarray(t.column(c)) for c in ("__start", "__end", "__side"))
         left, right = (t.column(c).combine_chunks() for c in ("a", "b"))
-        for x, y in found(start, end, np.cumsum(new), side, own, both):
+        for x, y in found(start, end, run, side, own, both):
             yield pa.RecordBatch.from_arrays([left.take(pa.array(x)), right.take(pa.array(y))], names=["a", "b"])
 
     return rows.repartitionById(places, F.col("__place")).mapInArrow(meet, f"a {kinds['a'].simpleString()}, b {kinds['b'].simpleString()}")
+
+
+def _range(it: Iterator[pa.RecordBatch], keys: Sequence[str]) -> tuple[pa.Table | None, np.ndarray, np.ndarray]:
+    """(rows of a range in order, copies first; which are its own; number of each one's key)."""
+    held = [rb for rb in it if rb.num_rows]
+    if not held:
+        return None, np.zeros(0, bool), np.zeros(0, np.int64)
+    t = pa.Table.from_batches(held).combine_chunks()
+    t = t.take(pa.array(np.argsort(np.asarray(t.column("__row")), kind="stable")))
+    own = np.asarray(t.column("__row")) >= 0
+    new = np.zeros(len(t), bool)
+    base = int((~own).sum())
+    for k in keys:
+        col = t.column(k).combine_chunks()
+        change = np.asarray(pc.not_equal(col[base + 1 :], col[base:-1]))
+        new[base + 1 :] |= change
+    return t, own, np.cumsum(new)
+
+
+def iou_of(s: np.ndarray, e: np.ndarray, s2: np.ndarray, e2: np.ndarray) -> np.ndarray:
+    """What two intervals share of what they cover; not positive where they do not meet."""
+    return (np.minimum(e, e2) - np.maximum(s, s2)) / (np.maximum(e, e2) - np.minimum(s, s2))
+
+
+def nearest(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], tie: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, iou): of each interval of a that meets one of b with the same key, the one of largest iou, of equal ones that of least tie.
+
+    a, b: numbers of keys, starts, ends, none empty.  Neighbours in the order of starts give an iou that is reached; boxes of starts and ends over
+    b, halved in both by turns, then open only where no less is possible, so far fewer pairs are looked at than meet.
+    """
+    none = np.zeros(0, np.int64)
+    if not len(a[0]) or not len(b[0]):
+        return none, none, np.zeros(0)
+    order = np.lexsort((b[1], b[0]))
+    key, s, e = (x[order] for x in b)
+    times, rank = np.unique(np.concatenate([s, a[1]]), return_inverse=True)
+    at = np.searchsorted(key * (len(times) + 1) + rank[: len(s)], a[0] * (len(times) + 1) + rank[len(s) :])
+    # runs of BLOCK starts, in the order of ends inside
+    inner = np.lexsort((e, np.arange(len(s)) // BLOCK))
+    boxed, k2, s2, e2 = order[inner], key[inner], s[inner], e[inner]
+    levels, size = [], LEAF
+    while True:
+        cut = np.arange(0, len(s2), size)
+        levels.append((np.minimum.reduceat(k2, cut), np.maximum.reduceat(k2, cut), np.minimum.reduceat(s2, cut), np.maximum.reduceat(s2, cut), np.minimum.reduceat(e2, cut), np.maximum.reduceat(e2, cut)))
+        if len(cut) <= FAN:
+            break
+        size *= FAN
+    out = []
+    for lo in range(0, len(a[0]), ROWS):
+        k, f, g = (x[lo : lo + ROWS] for x in a)
+        by = np.clip(at[lo : lo + ROWS, None] + np.arange(-NEAR, NEAR), 0, len(s) - 1)
+        q = np.where(key[by] == k[:, None], iou_of(f[:, None], g[:, None], s[by], e[by]), 0.0).max(1).clip(0.0)
+        who, node = np.divmod(np.arange(len(k) * len(levels[-1][0])), len(levels[-1][0]))
+        for d in range(len(levels) - 1, -1, -1):
+            k_lo, k_hi, s_lo, s_hi, e_lo, e_hi = (x[node] for x in levels[d])
+            x, y = f[who], g[who]
+            inter = np.minimum(y, e_hi) - np.maximum(x, s_lo)
+            on = (inter > 0) & (k_lo <= k[who]) & (k[who] <= k_hi) & (inter / (np.maximum(y, e_lo) - np.minimum(x, s_hi)) >= q[who])
+            fan, last = (FAN, len(levels[d - 1][0])) if d else (LEAF, len(s2))
+            who, node = np.repeat(who[on], fan), (node[on, None] * fan + np.arange(fan)).ravel()
+            who, node = who[node < last], node[node < last]
+        v = iou_of(f[who], g[who], s2[node], e2[node])
+        on = (k2[node] == k[who]) & (v > 0) & (v >= q[who])
+        who, node, v = who[on], boxed[node[on]], v[on]
+        best = np.lexsort((tie[node], -v, who))
+        best = best[np.append(True, who[best][1:] != who[best][:-1])[: len(best)]]
+        out.append((who[best] + lo, node[best], v[best]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def closest(a: DataFrame, b: DataFrame, tie: str, keys: Sequence[str] = (), start: str = "start_us", end: str = "end_us") -> DataFrame:
+    """(a struct, b struct, iou) of the rows of a and, of the rows of b that they meet in a range of time, that of largest iou, of equal ones that of
+    least b.tie: a row for each range that an interval of a reaches.  Intervals must not be empty; see pairs() for the rest."""
+    rows, places, kinds = dealt(a, b, keys, True, start, end)
+
+    def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, own, run = _range(it, keys)
+        if t is None:
+            return
+        start, end, side = (np.asarray(t.column(c)) for c in ("__start", "__end", "__side"))
+        left, right = (t.column(c).combine_chunks() for c in ("a", "b"))
+        # of two copies an earlier range has the pair
+        for mine, theirs in ((own, np.ones(len(t), bool)), (~own, own)):
+            i, j = np.flatnonzero((side == 0) & mine), np.flatnonzero((side == 1) & theirs)
+            ties = np.asarray(pc.rank(pc.struct_field(right.take(pa.array(j)), tie), sort_keys="ascending", null_placement="at_end", tiebreaker="dense"))
+            x, y, iou = nearest((run[i], start[i], end[i]), (run[j], start[j], end[j]), ties)
+            for c in range(0, len(x), 1 << 16):
+                some = slice(c, c + (1 << 16))
+                yield pa.RecordBatch.from_arrays([left.take(pa.array(i[x[some]])), right.take(pa.array(j[y[some]])), pa.array(iou[some])], names=["a", "b", "iou"])
+
+    return rows.repartitionById(places, F.col("__place")).mapInArrow(meet, f"a {kinds['a'].simpleString()}, b {kinds['b'].simpleString()}, iou double")
