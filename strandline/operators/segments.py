@@ -20,6 +20,8 @@ from strandline.functions.shared import discard, written
 TOLERANCE_US = 1_000_000
 #: Rows up to which a key's rows are ordered in one task.
 KEY_ROWS = 1 << 20
+#: Rows of a range on average, at most.
+RANGE_ROWS = 1 << 18
 #: Durations count up to this many microseconds (557 years) against a cap.
 LONGEST_US = 1 << 44
 
@@ -39,14 +41,15 @@ def adjacent(end: Column, next_start: Column, tolerance_us: int = TOLERANCE_US)
 
 def ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """df written in ranges of the order, with __range and __row (the place within the range)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a range is held by one task, so it does not grow with the table
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
     dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
     # the upper bits are the partition, the lower 33 the row in it
     return written(dealt.withColumn("__range", F.shiftright("__at", 33)).withColumn("__row", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at"), "ranges")
 
 
 def by_range(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    """Joins one driver-made row per range (as many as shuffle partitions)."""
+    """Joins one driver-made row per range (as many as shuffle partitions, or one for RANGE_ROWS rows)."""
     return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), "__range", "left")
 
 

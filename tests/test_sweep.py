@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import sweep
+from strandline.operators import detect, segments, sweep
 
 
 def frames(spark, a, b):
@@ -103,3 +103,45 @@ def test_many_pairs_come_a_part_at_a_time(monkeypatch):
     assert len(parts) > 3
     have = sorted((int(x), int(y)) for e, l in parts for x, y in zip(e, l, strict=True))
     assert have == sorted((i, j) for i in range(80) for j in range(80) if side[i] == 0 and side[j] == 1 and run[i] == run[j] and start[i] < end[j] and start[j] < end[i])
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_nearest_is_what_all_pairs_give(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(sweep, "ROWS", 50)
+
+    def intervals(n, keys):
+        key = rng.integers(0, keys, n)
+        start = rng.integers(0, 3000, n)
+        # few lengths, so that there are ties, and some that cover much
+        return key, start, start + rng.choice([1, 7, 40, 41, 2500], n, p=[0.3, 0.3, 0.2, 0.19, 0.01])
+
+    for n, m, keys in ((300, 2000, 1), (300, 2000, 9), (200, 1, 1), (1, 700, 1)):
+        a, b = intervals(n, keys), intervals(m, keys)
+        tie = rng.permutation(m)
+        want = {}
+        for i in range(n):
+            iou = np.where(b[0] == a[0][i], sweep.iou_of(a[1][i], a[2][i], b[1], b[2]), 0.0)
+            j = np.lexsort((tie, -iou))[0]
+            if iou[j] > 0:
+                want[i] = (j, iou[j])
+        x, y, v = sweep.nearest(a, b, tie)
+        assert {i: (j, q) for i, j, q in zip(x.tolist(), y.tolist(), v.tolist(), strict=True)} == want and len(x) == len(want)
+
+
+@pytest.mark.parametrize("keys", [[], ["site"]])
+def test_labels_take_the_best_of_bounded_ranges(spark, keys, monkeypatch):
+    """Ranges hold so many rows whatever the session's partitions, and of a range each interval gives one row, not its pairs."""
+    monkeypatch.setattr(segments, "RANGE_ROWS", 40)
+    rng = np.random.default_rng(5)
+    rows = [(i, int(rng.integers(0, 3)), int(s), int(s + rng.choice([5, 60, 900]))) for i, s in enumerate(rng.integers(0, 2000, 600))]
+    d = spark.createDataFrame(rows[:200], "det_id long, site int, start_us long, end_us long")
+    g = spark.createDataFrame(rows[200:], "gt_id long, site int, start_us long, end_us long")
+    assert segments.ranged(g, ["start_us"]).select("__range").distinct().count() > 8
+    near = sweep.closest(d, g, "gt_id", keys)
+    assert near.count() < detect.overlaps(d, g, keys).count() / 3
+    want = {}
+    for r in detect.overlaps(d, g, keys).collect():
+        want[r.det_id] = max(want.get(r.det_id, (0.0, 0)), (r.iou, -r.gt_id))
+    got = detect.assign_labels(d, g, 1e-9, keys=keys).select("det_id", "gt_id", "iou").where("iou > 0").collect()
+    assert {r.det_id: (r.iou, -r.gt_id) for r in got} == want
