@@ -6,8 +6,10 @@ bytes sit in one uint8 array.  All hashing is done over such arrays without a Py
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow; at a task's end its worker, which Spark keeps for later ones, gives back what its arrays took."""
+
+    def whole(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(it)
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # a C library without it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 # ---------------------------------------------------------------- 64-bit hashing
 
 U64 = np.uint64

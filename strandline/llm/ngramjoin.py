@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, U64, Packer, components, deal, discard, hot_keys, materialize, mix, packed_schema, run_starts, runs, salted_join, seeds, shuffle_parts, slices, spans_hash, unpack, words
+from strandline.llm.common import LOWER, U64, Packer, components, deal, discard, hot_keys, materialize, mix, packed_schema, run_starts, runs, salted_join, seeds, shuffle_parts, slices, spans_hash, trimmed, unpack, words
 
 N = 5
 NUM, DEN = 4, 5  # the threshold 0.8, exactly
@@ -115,7 +115,7 @@ def signatures(docs: DataFrame, n: int = N) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rb.column("doc_id"), rb.column("th"), pa.array(size), pa.array(cls, mask=size == 0)], names=["doc_id", "th", "n_shingles", "cls"])
 
     th = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), th.alias("th"), "text").mapInArrow(sign, "doc_id long, th long, n_shingles long, cls long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), th.alias("th"), "text").mapInArrow(trimmed(sign), "doc_id long, th long, n_shingles long, cls long")
 
 
 def _print(h: np.ndarray, parts: int) -> np.ndarray:
@@ -151,7 +151,7 @@ def _frequent(docs: DataFrame, n: int, parts: int) -> np.ndarray:
         often = size > OFTEN
         yield pa.RecordBatch.from_arrays([pa.array(f[at[often]].astype(np.int64) + (part << 32)), pa.array(size[often])], names=["f", "n"])
 
-    counted = deal(docs.select("text").mapInArrow(emit, packed_schema(["f"])), parts).mapInArrow(count, "f long, n long")
+    counted = deal(docs.select("text").mapInArrow(trimmed(emit), packed_schema(["f"])), parts).mapInArrow(trimmed(count), "f long, n long")
     top = counted.orderBy(F.desc("n"), "f").limit(FREQUENT).select("f").toArrow()
     return np.sort(np.asarray(top.column("f").combine_chunks(), dtype=np.int64)).view(U64) if top.num_rows else np.zeros(0, U64)
 
@@ -226,8 +226,8 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, parts: int) -> DataFr
         list(packer.add(np.zeros(len(h), np.int32), h.view(np.int64), cls, size))
         yield from packer.flush()
 
-    packed = docs.select("text").mapInArrow(emit, packed_schema(["h", "cls", "n"]))
-    return materialize(deal(packed, parts).mapInArrow(lists, packed_schema(_POST)), "ngram-postings")
+    packed = docs.select("text").mapInArrow(trimmed(emit), packed_schema(["h", "cls", "n"]))
+    return materialize(deal(packed, parts).mapInArrow(trimmed(lists), packed_schema(_POST)), "ngram-postings")
 
 
 _PAIR = "a long, b long, na long, nb long, shared long"
@@ -279,7 +279,7 @@ def _stars(postings: DataFrame, num: int, den: int) -> DataFrame:
                 if len(on):
                     yield _counted(cls[hub], cls[on], n[hub], n[on])
 
-    return postings.mapInArrow(stars, _PAIR)
+    return postings.mapInArrow(trimmed(stars), _PAIR)
 
 
 def _unrolled(postings: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def _unrolled(postings: DataFrame) -> DataFrame:
                 for a in range(0, len(key), 1 << 16):
                     yield pa.RecordBatch.from_arrays([pa.array(x[a : a + (1 << 16)]) for x in cols], names=["list", "cls", "n", "long", "head"])
 
-    return postings.mapInArrow(unroll, "list long, cls long, n long, long boolean, head long")
+    return postings.mapInArrow(trimmed(unroll), "list long, cls long, n long, long boolean, head long")
 
 
 def _blocks(entries: DataFrame) -> DataFrame:
@@ -326,7 +326,7 @@ def _across(entries: DataFrame, joined: DataFrame, blocks: DataFrame, num: int,
         if rest is not None:
             yield from _cross_pairs(*rest, num, den)
 
-    return dealt.mapInArrow(pairs, _PAIR)
+    return dealt.mapInArrow(trimmed(pairs), _PAIR)
 
 
 def _rows_of(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -342,7 +342,7 @@ def _rows_of(asked: DataFrame, docs: DataFrame, n: int) -> DataFrame:
                 if mine:
                     yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in mine], pa.int64()), pa.array([x for _, x in mine], pa.binary())], names=["cls", "grams"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked, "doc_id").select("asked", "text").mapInArrow(full, "cls long, grams binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked, "doc_id").select("asked", "text").mapInArrow(trimmed(full), "cls long, grams binary")
 
 
 def _block_links(blocks: DataFrame, joined: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -494,7 +494,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, num
                 ok[i] = both * den >= num * (len(z) - both)
             yield pa.RecordBatch.from_arrays([rb.column("a").filter(pa.array(ok)), rb.column("b").filter(pa.array(ok))], names=["a", "b"])
 
-    out = materialize(both.mapInArrow(link, "a long, b long"), "ngram-links")
+    out = materialize(both.mapInArrow(trimmed(link), "a long, b long"), "ngram-links")
     discard(sets)
     return out
 

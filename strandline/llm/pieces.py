@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import U64, mix, seeds, slices
+from strandline.llm.common import U64, mix, seeds, slices, trimmed
 
 #: The vocabulary file where the session does not name another one.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -31,7 +31,7 @@ BYTE = -14.0
 BLANK = 0x2581
 #: stands for a literal U+2581 in a text, which no piece may match
 LITERAL = 0x110000
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Characters of a chunk beyond which it is looked for places that no piece crosses; characters that are looked at once.
 LONG = 512
 WINDOW = 1 << 16
@@ -132,22 +132,22 @@ class Pieces:
             at = np.minimum(np.searchsorted(self.hash, h[on]), len(self.hash) - 1)
             ok = self.hash[at] == h[on]
             e, at = e[on[ok]], at[ok]
-            end.append(e)
-            begin.append(e - k)
-            num.append(self.id[at])
+            end.append(e.astype(np.int32))
+            begin.append((e - k).astype(np.int32))
+            num.append(self.id[at].astype(np.int32))
             w.append(self.logw[at])
             if k == 1:
                 known[e - 1] = True
         odd = np.flatnonzero(~known)
-        end.append(odd + 1)
-        begin.append(odd)
-        num.append(np.full(len(odd), -1))
+        end.append((odd + 1).astype(np.int32))
+        begin.append(odd.astype(np.int32))
+        num.append(np.full(len(odd), -1, np.int32))
         c = s[odd]
         size = np.where(c < 0x80, 1, np.where(c < 0x800, 2, np.where((c >= 0xDC80) & (c <= 0xDCFF), 1, np.where(c < 0x10000, 3, np.where(c == LITERAL, 3, 4)))))
         w.append(self.theta * BYTE * size)
-        end, begin, num, w = (np.concatenate(x) for x in (end, begin, num, w))
-        by = np.argsort(end, kind="stable")
-        return end[by], begin[by], num[by], w[by]
+        del pw, inv, p, room
+        by = np.argsort(np.concatenate(end), kind="stable")
+        return tuple(np.concatenate(x)[by] for x in (end, begin, num, w))
 
     def forward(self, first: np.ndarray, length: np.ndarray, end: np.ndarray, begin: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first arc of each place, cumulated probability of each arc within its end place, log sum at each place).
@@ -255,17 +255,20 @@ class Pieces:
         p = np.zeros(len(s) + 1, dtype=U64)
         np.cumsum(mix(s.astype(U64)) * _powers(len(s), _B), out=p[1:])
         h = mix((p[first + length] - p[first]) * _powers(len(s) + 1, _INV)[first] + length.astype(U64))
+        c_row = row[first]
+        del p, row, blank, begins  # a slice is hashed before its lattice is laid
         _, one, of = np.unique(h, return_index=True, return_inverse=True)
         u_len = length[one]
         u_first = np.cumsum(u_len) - u_len
         u = s[np.repeat(first[one] - u_first, u_len) + np.arange(int(u_len.sum()))]
         if (length != u_len[of]).any():
             raise ValueError("two chunks share a hash")
+        del s, h
         end, begin, num, w = self.lattice(u, u_first, u_len)
         head, cum, _ = self.forward(u_first, u_len, end, begin, w)
+        del end, w
         # backward sampling, one arc of each chunk a round
         place, stop = u_first[of] + length, u_first[of]
-        c_row = row[first]
         number = np.arange(len(first)) - np.searchsorted(c_row, c_row) + before
         base = mix(key.astype(np.int64).view(U64)[c_row] * _MUL[0] + U64(seed * int(_MUL[1]) % (1 << 64))) + number.astype(U64) * _MUL[2]
         live = np.arange(len(first))
@@ -377,7 +380,7 @@ def encode_sampled(docs: DataFrame, model: str | None = None, theta: float = THE
 
     extra = [F.col(copy).cast("int").alias("copy")] if copy else []
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *extra)
-    return base.mapInArrow(run, "doc_id long, " + ("copy int, " if copy else "") + "ids array<int>, n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean")
+    return base.mapInArrow(trimmed(run), "doc_id long, " + ("copy int, " if copy else "") + "ids array<int>, n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:

@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import SLICE_BYTES, U64, deal, materialize, mix, prefix_hash, run_starts, runs, shuffle_parts, slices, span_hash
+from strandline.llm.common import U64, deal, materialize, mix, prefix_hash, run_starts, runs, shuffle_parts, slices, span_hash, trimmed
 
 LENGTH = 100
 GRAM = 32
+#: Bytes of texts whose windows a task hashes at once: some 100 bytes a byte.
+SLICE = 1 << 20
 SHALLOW = 32
 
 
@@ -184,7 +186,7 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
     segment's bytes) serves to estimate loads only.
     """
     out = []
-    step = SLICE_BYTES
+    step = SLICE
     pieces = [(0, len(data))] if len(data) <= 2 * step else [(a, min(len(data), a + step + length - 1)) for a in range(0, max(1, len(data) - length + 1), step)]
     for lo, hi in pieces:
         d = data[lo:hi]
@@ -377,7 +379,7 @@ def _flushes(it: Iterator[pa.RecordBatch], length: int, gram: int, flush: int) -
 
     for rb in it:
         ids, ths = np.asarray(rb.column("doc_id")), np.asarray(rb.column("th"))
-        for a, _, data, offs in slices(rb.column("text")):
+        for a, _, data, offs in slices(rb.column("text"), SLICE):
             row, pos, n, anchor, lead, _ = segments(data, offs, length, gram)
             if len(row):
                 held.append((anchor, ids[row + a], ths[row + a], pos, n + _LEAD * lead, offs[row] + pos + size))
@@ -425,7 +427,7 @@ def _heavy(base: DataFrame, length: int, gram: int, known: list[np.ndarray], par
             yield from _pack(0, _name_part(name, parts), [name])
 
         for rb in it:
-            for _, _, data, offs in slices(rb.column("text")):
+            for _, _, data, offs in slices(rb.column("text"), SLICE):
                 *_, name, _, digest = segments(data, offs, length, gram)
                 held.append((name, digest))
                 n += len(name)
@@ -445,7 +447,7 @@ def _heavy(base: DataFrame, length: int, gram: int, known: list[np.ndarray], par
         if (n > limits.heavy).any():
             yield pa.RecordBatch.from_arrays([pa.array(name[at[n > limits.heavy]].view(np.int64)), pa.array(n[n > limits.heavy])], names=["name", "n"])
 
-    counted = materialize(deal(base.select("doc_id", "th", "text").mapInArrow(emit, _PACKED), parts).mapInArrow(count, "name long, n long"), "suffix-heavy")
+    counted = materialize(deal(base.select("doc_id", "th", "text").mapInArrow(trimmed(emit), _PACKED), parts).mapInArrow(trimmed(count), "name long, n long"), "suffix-heavy")
     total = counted.where("name is null").agg(F.sum("n")).first()[0] or 0
     top = counted.where(F.col("name").isNotNull() & (F.col("n") > max(limits.heavy, total // limits.many))).select("name").toArrow()
     return np.sort(np.asarray(top.column("name").combine_chunks(), dtype=np.int64).view(U64)) if top.num_rows else np.zeros(0, U64), total
@@ -496,7 +498,7 @@ def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
         full = name[by].astype(np.int64) | (np.int64(me) << 32)
         yield from _pack(2, _doc_part(doc[by], th[by], parts), [full, doc[by], th[by], pos[by].astype(np.int64), shape[by].astype(np.int64)])
 
-    held = materialize(deal(own.mapInArrow(cut, _PACKED), parts).mapInArrow(share, _PACKED), "suffix-shared")
+    held = materialize(deal(own.mapInArrow(trimmed(cut), _PACKED), parts).mapInArrow(trimmed(share), _PACKED), "suffix-shared")
 
     def asked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (name, doc, th, pos, shape), _ = _unpack(_rows(it, 2), [np.dtype("i8")] * 5)
@@ -508,7 +510,7 @@ def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
             rows = [(doc[a], th[a], np.concatenate([name[a:b], pos[a:b], shape[a:b]]).tobytes()) for a, b in zip(at[i : i + 4096].tolist(), ends[i : i + 4096].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "th", "segs"])
 
-    requests = deal(held.where("kind = 2"), parts).mapInArrow(asked, "doc_id long, th long, segs binary")
+    requests = deal(held.where("kind = 2"), parts).mapInArrow(trimmed(asked), "doc_id long, th long, segs binary")
 
     # the segments that documents are asked for, with their bytes, dealt by name
     def fetch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -535,7 +537,7 @@ def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
         if n:
             yield from out()
 
-    found = base.join(requests, ["doc_id", "th"], "left").mapInArrow(fetch, _PACKED)
+    found = base.join(requests, ["doc_id", "th"], "left").mapInArrow(trimmed(fetch), _PACKED)
 
     def sort(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (name, doc, th, pos, shape), raw = _unpack(_rows(it, 0), _SEGMENT)
@@ -571,8 +573,8 @@ def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
         if rows:
             yield _spans(rows)
 
-    sorted_runs = deal(found, parts).mapInArrow(sort, _PACKED)
-    return deal(held.where("kind = 1").union(sorted_runs), parts).mapInArrow(merged, "doc_id long, th long, lo binary, hi binary")
+    sorted_runs = deal(found, parts).mapInArrow(trimmed(sort), _PACKED)
+    return deal(held.where("kind = 1").union(sorted_runs), parts).mapInArrow(trimmed(merged), "doc_id long, th long, lo binary, hi binary")
 
 
 def _columns(name, doc, th, pos, shape) -> list[np.ndarray]:
@@ -621,7 +623,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ke
                 yield pa.RecordBatch.from_arrays(cols + [rb.slice(a, 256).column(f"__keep_{c}") for c in names], names=_OUT.names + names)
 
     kinds = dict(docs.dtypes)
-    return joined.mapInArrow(apply, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(f", `{c}` {kinds[c]}" for c in names))
+    return joined.mapInArrow(trimmed(apply), "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(f", `{c}` {kinds[c]}" for c in names))
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])

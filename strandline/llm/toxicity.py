@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, U64, distinct_spans, run_starts, slices, spans_hash, words
+from strandline.llm.common import LOWER, U64, distinct_spans, run_starts, slices, spans_hash, trimmed, words
 
 #: Bound of what is learned from: labelled rows that are fitted.
 FIT_ROWS = 8000
@@ -242,7 +242,7 @@ def char_counts(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["gram", "n"])
 
     out = np.zeros(SYMBOLS**3, np.int64)
-    for r in docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select("text").mapInArrow(trimmed(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
         out[r.gram] = r.n
     return out
 
@@ -369,7 +369,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modul
         sample.unpersist()
         return empty(min(max((pos / (pos + neg)) if pos + neg else 0.5, 1e-6), 1 - 1e-6))
     side = lambda k: F.sum(F.when(F.col("y") == k, F.col("n")).otherwise(0))
-    table = sample.mapInArrow(count, "h long, y long, n long").groupBy("h").agg(side(1).alias("t"), side(0).alias("f"))
+    table = sample.mapInArrow(trimmed(count), "h long, y long, n long").groupBy("h").agg(side(1).alias("t"), side(0).alias("f"))
     lift = ((F.col("t") + 0.1) / pos) / ((F.col("f") + 0.5) / neg)
     chosen = table.where((F.col("t") >= 2) & (lift >= 8)).select("h").toArrow()  # words of the sample's rows
     hashes = np.sort(np.asarray(chosen.column("h").combine_chunks(), dtype=np.int64).view(U64)) if chosen.num_rows else np.zeros(0, U64)
@@ -387,7 +387,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modul
                 yield pa.RecordBatch.from_arrays([pa.array(y[a:b]), pa.array([x.astype(np.int32).tobytes() for x in per], pa.binary()), pa.array(_vocabulary(first, data, offs, y[a:b]), pa.list_(pa.string()))], names=["y", "on", "vocab"])
 
     # at most fit_rows rows, in an order of their own, so that sums and with them weights agree to the bit between runs
-    rows = sorted(sample.mapInArrow(hits, "y int, on binary, vocab array<string>").collect(), key=lambda r: (r.y, bytes(r.on)))
+    rows = sorted(sample.mapInArrow(trimmed(hits), "y int, on binary, vocab array<string>").collect(), key=lambda r: (r.y, bytes(r.on)))
     sample.unpersist()
     ys = np.array([r.y for r in rows], dtype=float)
     on = [np.frombuffer(r.on, np.int32) for r in rows]
@@ -442,4 +442,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "score", "predicted", *(n for n, _ in last)])
 
     kinds = dict(docs.dtypes)
-    return base.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int" + "".join(f", `{n}` {kinds[n]}" for n, _ in last))
+    return base.mapInArrow(trimmed(score), "doc_id long, held_out boolean, score double, predicted int" + "".join(f", `{n}` {kinds[n]}" for n, _ in last))
